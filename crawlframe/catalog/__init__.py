@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def registered() -> dict[str, tuple]:
     """name -> (query, checking SQL or None)."""
-    from crawlframe.catalog import url_queries
+    from crawlframe.catalog import status_queries, url_queries
 
-    return {**url_queries.QUERIES}
+    return {**url_queries.QUERIES, **status_queries.QUERIES}
