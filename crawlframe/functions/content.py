@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crawlframe.functions.metadata import meta_first, meta_remove, meta_set, meta_true
+from crawlframe.functions.metadata import empty_meta, meta_first, meta_remove, meta_set, meta_true
 from crawlframe.schemas import IS_FEED, IS_INDEX, IS_NEWS, IS_SITEMAP, IS_VERIFIED
 
 # XML namespaces.
@@ -101,14 +101,23 @@ def resolve_sitemap_flags(metadata: Column, detected: Column) -> Column:
     is_sitemap = (found != "") | meta_true(metadata, IS_SITEMAP)
     parse = is_news | is_index | verified
 
-    out = F.when(found != "", meta_set(metadata, IS_SITEMAP, "true")).otherwise(meta_remove(metadata))
-    out = F.when(found == "NEWS", meta_set(out, IS_NEWS, "true")).when(
-        was_news & ~is_news, meta_set(out, IS_NEWS, "false")
-    ).otherwise(out)
-    out = F.when(found == "INDEX", meta_set(out, IS_INDEX, "true")).when(
-        was_index & ~is_index, meta_set(out, IS_INDEX, "false")
-    ).otherwise(out)
-    out = F.when(parse, meta_remove(out, IS_SITEMAP)).otherwise(out)
+    # new value per flag, NULL = as it was; isSitemap is dropped from everything that gets parsed
+    news = F.when(found == "NEWS", "true").when(was_news & ~is_news, "false")
+    index = F.when(found == "INDEX", "true").when(was_index & ~is_index, "false")
+    sitemap = F.when(~parse & (found != ""), "true")
+    changes = F.filter(
+        F.array(
+            *[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in ((IS_SITEMAP, sitemap), (IS_NEWS, news), (IS_INDEX, index))]
+        ),
+        lambda c: c["value"].isNotNull(),
+    )
+    changed = F.transform(changes, lambda c: c["key"])
+    kept = F.map_filter(
+        F.coalesce(metadata, empty_meta()),
+        lambda k, _v: ~F.array_contains(changed, k) & ~(parse & (k == IS_SITEMAP)),
+    )
+    new = F.map_from_arrays(changed, F.transform(changes, lambda c: F.array(c["value"])))
+    out = F.map_concat(kept, new)
     action = F.when(parse, "parse").when(is_sitemap, "fetched").otherwise("pass")
     return F.struct(out.alias("metadata"), action.alias("action"), verified.alias("verified"))
 
@@ -119,10 +128,15 @@ def sitemap_parse_mode(content_type: Column) -> Column:
     return F.when(unknown, "guess").otherwise("trust")
 
 
+def root_tag(text: Column) -> Column:
+    """Inside of the first start tag of a document."""
+    return F.regexp_extract(text, r"(?s)<(?![?!])([^>]*)>", 1)
+
+
 def namespace_guard(content: Column) -> Column:
     """True when the root element has no namespace or an accepted one."""
     text = content.cast("string")
-    root = F.regexp_extract(text, r"(?s)<(?![?!])([^>]*)>", 1)
+    root = root_tag(text)
     prefix = F.regexp_extract(root, r"^([A-Za-z_][\w.\-]*):", 1)
     default_ns = F.regexp_extract(root, r"""\sxmlns\s*=\s*["']([^"']*)["']""", 1)
     bound_ns = F.regexp_extract(root, r"""\sxmlns:[A-Za-z_][\w.\-]*\s*=\s*["'](\S*sitemap\S*?)["']""", 1)

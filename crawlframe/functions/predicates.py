@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from crawlframe.functions.urls import url_parts
 
 
-def basic_url_filter(url: Column, max_path_rep: int = 4, max_len: int = 1024) -> Column:
+def basic_url_filter(
+    url: Column, max_path_rep: int = 4, max_len: int = 1024, parts: Column | None = None
+) -> Column:
     """Reject long URLs and paths that repeat an element ``max_path_rep`` times."""
-    elements = F.filter(F.split(url_parts(url)["path"], "/", -1), lambda e: e != "")
+    path = (url_parts(url) if parts is None else parts)["path"]
+    elements = F.filter(F.split(path, "/", -1), lambda e: e != "")
     # an element can only repeat that often when enough elements are duplicates
     suspicious = F.size(elements) - F.size(F.array_distinct(elements)) >= max_path_rep - 1
     repeated = F.exists(

@@ -53,15 +53,19 @@ def remove_dot_segments(path: Column, keep_parents: bool = False) -> Column:
     return F.when(path.contains("/."), folded).otherwise(path)
 
 
-def url_parts(url: Column) -> Column:
+def url_pieces(url: Column) -> Column:
+    """Scheme, //authority, path, ?query and #fragment as an array; one element when it is no URL."""
+    text = F.btrim(url, F.lit(_CONTROL_AND_BLANK))
+    return F.split(F.regexp_replace(text, _URL_SHAPE, _CUT.join(["$1", "$2", "$3", "$4", "$5"])), _CUT, -1)
+
+
+def url_parts(url: Column, pieces: Column | None = None) -> Column:
     """Struct of scheme, authority, host, port, path, query, file, ref, valid.
 
-    ``query`` and ``ref`` are NULL when absent and empty when only the mark is there.
+    ``query`` and ``ref`` are NULL when absent and empty when only the mark is there. ``pieces`` is a
+    column that already holds :func:`url_pieces`.
     """
-    text = F.btrim(url, F.lit(_CONTROL_AND_BLANK))
-    pieces = F.split(
-        F.regexp_replace(text, _URL_SHAPE, _CUT.join(["$1", "$2", "$3", "$4", "$5"])), _CUT, -1
-    )
+    pieces = url_pieces(url) if pieces is None else pieces
     scheme = F.when(F.size(pieces) == 5, F.lower(F.get(pieces, F.lit(0))))
     authority = F.substring(F.get(pieces, F.lit(1)), 3, 2**31 - 1)
     path = remove_dot_segments(F.get(pieces, F.lit(2)), keep_parents=True)
@@ -119,12 +123,12 @@ def _idn(host: Column) -> Column:
     return F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), host)
 
 
-def punycode_host(url: Column) -> Column:
+def punycode_host(url: Column, parts: Column | None = None) -> Column:
     """Rewrite a non-ASCII host; other URLs stay as they are, malformed ones become NULL (rejected).
 
     The rewritten URL is made of scheme, host, port and file: user-info and fragment are lost.
     """
-    p = url_parts(url)
+    p = url_parts(url) if parts is None else parts
     port = F.coalesce(F.concat(F.lit(":"), p["port"].cast("string")), F.lit(""))
     rebuilt = F.concat(p["scheme"], F.lit("://"), _idn(p["host"]), port, p["file"])
     return F.when(~p["valid"], F.lit(None).cast("string")).when(p["host"].rlike(_NON_ASCII), rebuilt).otherwise(url)
@@ -136,9 +140,10 @@ def normalize_url(
     unmangle_query: bool = True,
     check_uri: bool = True,
     idn: bool = True,
+    parts: Column | None = None,
 ) -> Column:
     """Canonical spelling of a URL, NULL when it is rejected."""
-    p = url_parts(F.trim(url))
+    p = url_parts(url) if parts is None else parts
     has_user = p["authority"].contains("@")
     user = F.when(has_user, F.concat(F.substring_index(p["authority"], "@", 1), F.lit("@"))).otherwise("")
     host = F.lower(p["host"])
@@ -186,9 +191,9 @@ def regex_normalize(url: Column, rules: Sequence[tuple[str, str]] = ()) -> Colum
     return url
 
 
-def resolve_url(base: Column, href: Column) -> Column:
+def resolve_url(base: Column, href: Column, base_parts: Column | None = None) -> Column:
     """Absolute form of ``href`` found in the document at ``base`` (RFC 3986, section 5)."""
-    b = url_parts(base)
+    b = url_parts(base) if base_parts is None else base_parts
     root = F.concat(b["scheme"], F.lit("://"), b["authority"])
     base_path = F.when(b["path"] == "", "/").otherwise(b["path"])
     folder = F.regexp_replace(base_path, "[^/]*$", "")

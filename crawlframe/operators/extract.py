@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from crawlframe.functions.dates import parse_date_lenient, recently_modified
 from crawlframe.functions.metadata import meta_of
+from crawlframe.functions.stage import compute_once, with_parts
 from crawlframe.functions.urls import resolve_url
 from crawlframe.schemas import IS_FEED, IS_NEWS, IS_SITEMAP, ROBOTS_RULES
 from crawlframe.sources.rules import numbered_lines
@@ -22,6 +23,7 @@ Clock = Column | str | dt.datetime
 
 _ENTRY = "STRUCT<loc:STRING,lastmod:STRING,news:ARRAY<STRUCT<publication_date:STRING>>,link:ARRAY<STRUCT<_href:STRING>>>"
 _ENTRY_FIELDS = "loc STRING,lastmod STRING,news ARRAY<STRUCT<publication_date:STRING>>,link ARRAY<STRUCT<_href:STRING>>"
+_CHILD_FIELDS = "loc STRING,lastmod STRING"
 _DOC_FIELDS = f"url ARRAY<{_ENTRY}>, sitemap ARRAY<STRUCT<loc:STRING,lastmod:STRING>>, _corrupt_record STRING"
 _FEED_FIELDS = (
     "channel STRUCT<item:ARRAY<STRUCT<link:ARRAY<STRUCT<_VALUE:STRING>>,guid:STRUCT<_VALUE:STRING,_isPermaLink:STRING>,"
@@ -48,9 +50,9 @@ def partial_sitemap_urls(content: Column) -> Column:
     return F.transform(fragments, lambda f: F.from_xml(f, _ENTRY_FIELDS, _XML))
 
 
-def _partial_sitemaps(content: Column) -> Column:
-    fragments = F.regexp_extract_all(body_text(content), F.lit(_SITEMAP_FRAGMENT), 0)
-    return F.transform(fragments, lambda f: F.from_xml(f, "loc STRING,lastmod STRING", _XML))
+def _fragments(pattern: str, fields: str) -> Column:
+    """Complete elements of a broken text, each read on its own."""
+    return F.transform(F.regexp_extract_all("_text", F.lit(pattern), 0), lambda f: F.from_xml(f, fields, _XML))
 
 
 def parse_sitemap(docs: DataFrame, content: str = "content", allow_partial: bool = True) -> DataFrame:
@@ -59,18 +61,29 @@ def parse_sitemap(docs: DataFrame, content: str = "content", allow_partial: bool
     A broken document keeps the complete entries before the break; one that gives nothing at all is
     not ok. Nothing is raised.
     """
-    body = F.col(content)
-    doc = F.from_xml(body_text(body), _DOC_FIELDS, _XML)
     keep = [c for c in docs.columns if c != content]
-    is_index = body_text(body).rlike(r"(?s)^.{0,4096}?<(?:\w+:)?sitemapindex\b")
-    staged = docs.select(*keep, content, doc.alias("_doc"), F.coalesce(is_index, F.lit(False)).alias("is_index"))
+    staged = compute_once(docs.select(*keep, F.col(content).alias("_text")), "_text", body_text(F.col("_text")))
+    staged = compute_once(staged, "_doc", F.from_xml(F.col("_text"), _DOC_FIELDS, _XML))
     broken = F.col("_doc").isNull() | F.col("_doc._corrupt_record").isNotNull()
-    rescue = broken if allow_partial else F.lit(False)
-    entries = F.when(rescue & ~F.col("is_index"), partial_sitemap_urls(body)).otherwise(F.col("_doc.url"))
-    children = F.when(rescue & F.col("is_index"), _partial_sitemaps(body)).otherwise(F.col("_doc.sitemap"))
-    staged = staged.select(*keep, "is_index", broken.alias("_broken"), entries.alias("entries"), children.alias("children"))
-    found = F.coalesce(F.size("entries"), F.lit(0)) + F.coalesce(F.size("children"), F.lit(0))
-    return staged.withColumn("ok", ~F.col("_broken") | (found > 0)).drop("_broken")
+    # a readable document names its kind by what it holds; a broken one is looked into
+    names_index = F.coalesce(F.col("_text").rlike(r"(?s)^.{0,4096}?<(?:\w+:)?sitemapindex\b"), F.lit(False))
+    staged = staged.withColumn("_broken", broken).withColumn("is_index", names_index)
+    rescue = F.col("_broken") if allow_partial else F.lit(False)
+    entries = F.when(rescue & ~F.col("is_index"), _fragments(_URL_FRAGMENT, _ENTRY_FIELDS)).otherwise(F.col("_doc.url"))
+    children = F.when(rescue & F.col("is_index"), _fragments(_SITEMAP_FRAGMENT, _CHILD_FIELDS)).otherwise(
+        F.col("_doc.sitemap")
+    )
+    found = compute_once(
+        staged, "_found", F.struct(entries.alias("entries"), children.alias("children"))
+    )
+    n = F.coalesce(F.size("_found.entries"), F.lit(0)) + F.coalesce(F.size("_found.children"), F.lit(0))
+    return found.select(
+        *keep,
+        "is_index",
+        F.col("_found.entries").alias("entries"),
+        F.col("_found.children").alias("children"),
+        (~F.col("_broken") | (n > 0)).alias("ok"),
+    )
 
 
 def _is_recent_entry(entry: Column, now: Clock, hours: int) -> Column:
@@ -187,7 +200,7 @@ def inherit_verified(links: DataFrame, parents: DataFrame) -> DataFrame:
 def parse_feed(docs: DataFrame, content: str = "content") -> DataFrame:
     """Replace the body by ``ok`` and ``items`` (array of link, published) for RSS and Atom alike."""
     keep = [c for c in docs.columns if c != content]
-    staged = docs.select(*keep, F.from_xml(body_text(F.col(content)), _FEED_FIELDS, _XML).alias("_doc"))
+    staged = compute_once(docs, "_doc", F.from_xml(body_text(F.col(content)), _FEED_FIELDS, _XML)).drop(content)
     none = F.array().cast("array<struct<link:string,published:string>>")
 
     def rss_item(item: Column) -> Column:
@@ -220,10 +233,10 @@ def feed_links(
     parsed: DataFrame, now: Clock, hours: int = 720, url: str = "url", carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Recent links of parsed feeds, relative ones resolved against the feed."""
-    items = parsed.select(
-        F.col(url).alias("parent_url"), *carry, F.posexplode("items").alias("url_pos", "i")
+    items = with_parts(parsed, url, "_base").select(
+        F.col(url).alias("parent_url"), "_base", *carry, F.posexplode("items").alias("url_pos", "i")
     ).select(
-        "parent_url", *carry, "url_pos", F.col("i.link").alias("link"), parse_date_lenient(F.col("i.published")).alias("published")
+        "parent_url", "_base", *carry, "url_pos", F.col("i.link").alias("link"), parse_date_lenient(F.col("i.published")).alias("published")
     )
     return (
         items.filter(F.coalesce(F.col("link") != "", F.lit(False)))
@@ -232,7 +245,7 @@ def feed_links(
             "parent_url",
             "url_pos",
             F.lit(0).alias("link_pos"),
-            resolve_url(F.col("parent_url"), F.col("link")).alias("url"),
+            resolve_url(F.col("parent_url"), F.col("link"), F.col("_base")).alias("url"),
             "published",
             F.lit("DISCOVERED").alias("status"),
             meta_of().alias("metadata"),
@@ -260,22 +273,24 @@ def tag_attribute(tag: Column, name: str) -> Column:
 
 
 def html_tags(docs: DataFrame, pattern: str, content: str = "content", url: str = "url") -> DataFrame:
-    """Start tags of a document in order: ``parent_url, pos, tag``."""
+    """Start tags of a document in order, with the parts of its URL: ``parent_url, _base, pos, tag``."""
     text = F.col(content).cast("string")
-    return docs.select(
-        F.col(url).alias("parent_url"), F.posexplode(F.regexp_extract_all(text, F.lit(pattern), 0)).alias("pos", "tag")
+    return with_parts(docs.select(url, content), url, "_base").select(
+        F.col(url).alias("parent_url"), "_base", F.posexplode(F.regexp_extract_all(text, F.lit(pattern), 0)).alias("pos", "tag")
     )
 
 
 def extract_feed_autodiscovery(fetched: DataFrame) -> DataFrame:
     """Feeds announced in HTML heads; every other link of the page is discarded."""
     tags = html_tags(fetched, r"(?is)<link\b[^>]*>")
-    rel, kind, href = (tag_attribute(F.col("tag"), n) for n in ("rel", "type", "href"))
-    return tags.filter((rel == "alternate") & kind.isin(*FEED_LINK_TYPES) & (href != "")).select(
+    rel, kind = (tag_attribute(F.col("tag"), n) for n in ("rel", "type"))
+    feeds = tags.filter((rel == "alternate") & kind.isin(*FEED_LINK_TYPES))
+    found = compute_once(feeds, "_href", tag_attribute(F.col("tag"), "href")).filter(F.col("_href") != "")
+    return found.select(
         "parent_url",
         F.col("pos").alias("url_pos"),
         F.lit(0).alias("link_pos"),
-        resolve_url(F.col("parent_url"), href).alias("url"),
+        resolve_url(F.col("parent_url"), F.col("_href"), F.col("_base")).alias("url"),
         F.lit("DISCOVERED").alias("status"),
         meta_of(**{IS_FEED: "true"}).alias("metadata"),
     )
@@ -298,9 +313,12 @@ def extract_canonical(fetched: DataFrame) -> DataFrame:
 def extract_html_links(fetched: DataFrame) -> DataFrame:
     """Anchors of a page in order, as written and resolved."""
     tags = html_tags(fetched, r"(?is)<a\b[^>]*>")
-    href = tag_attribute(F.col("tag"), "href")
-    return tags.select("parent_url", F.col("pos").alias("link_pos"), href.alias("href")).filter("href <> ''").withColumn(
-        "url", resolve_url(F.col("parent_url"), F.col("href"))
+    found = compute_once(tags, "href", tag_attribute(F.col("tag"), "href")).filter("href <> ''")
+    return found.select(
+        "parent_url",
+        F.col("pos").alias("link_pos"),
+        "href",
+        resolve_url(F.col("parent_url"), F.col("href"), F.col("_base")).alias("url"),
     )
 
 

@@ -11,7 +11,7 @@ everything. Two physical forms give the same rows:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,14 +27,8 @@ from crawlframe.functions.predicates import (
     scheme_filter,
     self_filter,
 )
-from crawlframe.functions.urls import (
-    label_count,
-    last_labels,
-    normalize_url,
-    punycode_host,
-    regex_normalize,
-    url_parts,
-)
+from crawlframe.functions.stage import compute_once, with_parts
+from crawlframe.functions.urls import label_count, last_labels, normalize_url, punycode_host, regex_normalize
 from crawlframe.schemas import ERROR_CAUSE
 from crawlframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
@@ -117,7 +111,7 @@ def _with_rule_lists(urls: DataFrame, rules: DataFrame, prof: RuleProfile) -> tu
 
 def _denied_by_lookup(urls: DataFrame, rules: DataFrame, prof: RuleProfile, explain: bool) -> DataFrame:
     keep = urls.columns
-    staged = urls.withColumn("_p", url_parts(F.col("url")))
+    staged = with_parts(urls)
     joined, lists = _with_rule_lists(staged, rules, prof)
     path, file = F.col("_p.path"), F.col("_p.file")
     if explain:
@@ -133,7 +127,7 @@ def _denied_by_lookup(urls: DataFrame, rules: DataFrame, prof: RuleProfile, expl
 def _first_hits(urls: DataFrame, rules: DataFrame, salts: int) -> DataFrame:
     """Winning rule per distinct URL through a salted shuffle join: ``url, rule``."""
     p = F.col("_p")
-    staged = urls.select("url").withColumn("_p", url_parts(F.col("url"))).filter(p["valid"])
+    staged = with_parts(urls.select("url")).filter(p["valid"])
     host = p["host"]
     n = label_count(host)
     # level 0 = host rules, then the host as a domain, its parents, and "." last
@@ -170,8 +164,8 @@ def _first_hits(urls: DataFrame, rules: DataFrame, salts: int) -> DataFrame:
 
 def _denied_by_shuffle(urls: DataFrame, rules: DataFrame, explain: bool, salts: int) -> DataFrame:
     hits = _first_hits(urls, rules, salts)
-    joined = urls.join(hits, "url", "left")
-    unparsable = ~url_parts(F.col("url"))["valid"]
+    joined = with_parts(urls.join(hits, "url", "left"))
+    unparsable = ~F.col("_p.valid")
     if explain:
         return joined.select(*urls.columns, unparsable.alias("unparsable"), "rule")
     return joined.select(*urls.columns, (unparsable | F.col("rule").isNotNull()).alias("denied"))
@@ -266,7 +260,7 @@ def robots_flag(links: DataFrame, robots_rules: DataFrame, agent: str = "*") ->
     the link side only: AQE splits their partitions.
     """
     by_host = robots_by_host(robots_rules, agent).select(F.col("key").alias("_host"), F.col("rules").alias("_rules"))
-    staged = links.withColumn("_p", url_parts(F.col("url")))
+    staged = with_parts(links)
     joined = staged.join(by_host, F.lower("_p.host") == F.col("_host"), "left")
     file = F.when(F.col("_p.path") == "", F.lit("/")).otherwise(F.col("_p.file"))
     matching = F.filter(
@@ -286,34 +280,37 @@ def robots_filter(links: DataFrame, robots_rules: DataFrame, agent: str = "*") -
 Step = dict
 
 
-def _column_step(name: str, params: dict) -> Callable[[DataFrame], Column] | None:
-    """The new value of ``url`` for a step that needs no join; NULL rejects."""
-    url = F.col("url")
+# steps that look at the parts of the URL, and steps that leave the URL as it is
+_NEEDS_PARTS = {"basic", "normalize", "punycode"}
+_REWRITES = {"normalize", "punycode", "regex_normalize"}
 
-    def when_kept(keep: Column) -> Column:
-        return F.when(keep, url)
 
-    if name == "max_depth":
-        return lambda df: when_kept(
-            max_depth_filter(meta_first(F.col("metadata"), "depth").try_cast("int"), params.get("n", -1))
-        )
+def _column_step(name: str, params: dict, columns: Sequence[str]) -> Column:
+    """The new value of ``url`` for a step that needs no join; NULL rejects."""
+    url, parts = F.col("url"), F.col("_p")
     if name == "basic":
-        return lambda df: when_kept(basic_url_filter(url, params.get("max_path_rep", 4), params.get("max_len", 1024)))
+        return F.when(
+            basic_url_filter(url, params.get("max_path_rep", 4), params.get("max_len", 1024), parts), url
+        )
     if name == "normalize":
-        return lambda df: normalize_url(url, **params)
+        return normalize_url(url, **params, parts=parts)
     if name == "punycode":
-        return lambda df: punycode_host(url)
+        return punycode_host(url, parts)
     if name == "regex_normalize":
-        return lambda df: regex_normalize(url, params.get("rules", ()))
-    if name == "regex":
-        return lambda df: when_kept(regex_url_filter(url, params.get("rules", DEFAULT_REGEX_RULES)))
-    if name == "scheme":
-        return lambda df: when_kept(scheme_filter(url, params.get("schemes", ("http", "https"))))
-    if name == "self":
-        return lambda df: when_kept(self_filter(F.col("parent_url"), url)) if "parent_url" in df.columns else url
-    if name == "host":
-        return lambda df: when_kept(host_filter(F.col("parent_url"), url, **params)) if "parent_url" in df.columns else url
-    return None
+        return regex_normalize(url, params.get("rules", ()))
+    if name == "max_depth":
+        keep = max_depth_filter(meta_first(F.col("metadata"), "depth").try_cast("int"), params.get("n", -1))
+    elif name == "regex":
+        keep = regex_url_filter(url, params.get("rules", DEFAULT_REGEX_RULES))
+    elif name == "scheme":
+        keep = scheme_filter(url, params.get("schemes", ("http", "https")))
+    elif name == "self":
+        keep = self_filter(F.col("parent_url"), url) if "parent_url" in columns else F.lit(True)
+    elif name == "host":
+        keep = host_filter(F.col("parent_url"), url, **params) if "parent_url" in columns else F.lit(True)
+    else:
+        raise ValueError(f"unknown URL filter {name!r}")
+    return F.when(keep, url)
 
 
 def apply_url_filters(df: DataFrame, chain: Sequence[Step]) -> DataFrame:
@@ -322,25 +319,25 @@ def apply_url_filters(df: DataFrame, chain: Sequence[Step]) -> DataFrame:
     Rows need ``url``; ``parent_url`` and ``metadata`` are used by the steps that look at them. A
     step may also be a callable from DataFrame to DataFrame.
     """
+    columns = df.columns
+    fresh = False  # whether _p holds the parts of the current url
     for step in chain:
         if callable(step):
-            df = step(df)
+            df, fresh = step(df.select(*columns)), False
             continue
         name, params = step["name"], dict(step.get("params", {}))
         if name == "deny":
-            df = deny_filter(df, params.pop("rules"), **params)
+            df, fresh = deny_filter(df.select(*columns), params.pop("rules"), **params), False
         elif name == "robots":
             rules = params.get("rules")
             if rules is not None:
-                df = robots_filter(df, rules, params.get("agent", "*"))
-        else:
-            expr = _column_step(name, params)
-            if expr is None:
-                raise ValueError(f"unknown URL filter {name!r}")
-            if name in ("max_depth", "host", "self") and _is_noop(name, params):
-                continue
-            df = df.withColumn("url", expr(df)).filter(F.col("url").isNotNull())
-    return df
+                df, fresh = robots_filter(df.select(*columns), rules, params.get("agent", "*")), False
+        elif not _is_noop(name, params):
+            if name in _NEEDS_PARTS and not fresh:
+                df, fresh = with_parts(df), True
+            df = compute_once(df, "url", _column_step(name, params, columns)).filter(F.col("url").isNotNull())
+            fresh = fresh and name not in _REWRITES
+    return df.select(*columns)
 
 
 def _is_noop(name: str, params: dict) -> bool:
@@ -348,7 +345,7 @@ def _is_noop(name: str, params: dict) -> bool:
         return params.get("n", -1) == -1
     if name == "host":
         return not (params.get("ignore_host") or params.get("ignore_domain"))
-    return False
+    return name == "regex_normalize" and not params.get("rules")
 
 
 def filter_outlinks(links: DataFrame, chain: Sequence[Step]) -> DataFrame:

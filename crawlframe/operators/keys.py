@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.functions.urls import label_count, last_labels, url_parts
+from crawlframe.functions.stage import with_parts
+from crawlframe.functions.urls import label_count, last_labels
 from crawlframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 
@@ -67,7 +68,7 @@ def domain_join(urls: DataFrame, suffixes: DataFrame, host_col: str = "host") ->
 
 def partition_key(urls: DataFrame, mode: str = "byDomain", suffixes: DataFrame | None = None) -> DataFrame:
     """Add ``key``: the lower-cased host, or its registered domain."""
-    staged = urls.withColumn("_host", F.lower(url_parts(F.col("url"))["host"]))
+    staged = with_parts(urls).withColumn("_host", F.lower("_p.host")).drop("_p")
     if mode == "byHost":
         return staged.withColumn("key", F.col("_host")).drop("_host")
     if mode != "byDomain":

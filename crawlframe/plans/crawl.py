@@ -10,14 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crawlframe.functions.content import (
-    FEED_CLUES,
-    FEED_TYPES,
-    FEED_WINDOW,
     SITEMAP_WINDOW,
     detect_feed,
     detect_sitemap_bootstrap,
     detect_sitemap_type,
-    first_clue_match,
     namespace_guard,
     resolve_sitemap_flags,
     with_signature,
@@ -25,12 +21,12 @@ from crawlframe.functions.content import (
 from crawlframe.functions.dates import parse_date_lenient, recently_modified
 from crawlframe.functions.metadata import (
     meta_first,
-    meta_of,
     meta_remove,
     meta_set,
     meta_true,
     outlink_metadata,
 )
+from crawlframe.functions.stage import compute_once
 from crawlframe.operators.extract import (
     _is_recent_entry,
     canonical_href,
@@ -74,10 +70,9 @@ def signature_filter(docs: DataFrame) -> DataFrame:
 
 
 def canonical_filter(docs: DataFrame) -> DataFrame:
-    href = canonical_href(F.col("content"))
-    return docs.withColumn(
-        "metadata", F.when(href.isNotNull(), meta_set(F.col("metadata"), "canonical", href)).otherwise(F.col("metadata"))
-    )
+    staged = compute_once(docs, "_href", canonical_href(F.col("content")))
+    found = meta_set(F.col("metadata"), "canonical", F.col("_href"))
+    return staged.withColumn("metadata", F.when(F.col("_href").isNotNull(), found).otherwise(F.col("metadata"))).drop("_href")
 
 
 #: Parse filters of the two set-ups; the feed links of the second are rows, see ``bootstrap_step``.
@@ -95,7 +90,8 @@ def route_fetched(fetched: DataFrame, sniff: bool = True, window: int = SITEMAP_
     Branches: ``sitemap`` (to parse), ``plain_sitemap`` (fetched, not parsed), ``feed``, ``article``.
     """
     detected = detect_sitemap_type(F.col("content"), window) if sniff else F.lit(None).cast("string")
-    staged = fetched.withColumn("_f", resolve_sitemap_flags(F.col("metadata"), detected))
+    staged = compute_once(fetched, "_type", detected)
+    staged = compute_once(staged, "_f", resolve_sitemap_flags(F.col("metadata"), F.col("_type"))).drop("_type")
     is_feed = detect_feed(_content_type(fetched), F.col("content"), meta_true(F.col("metadata"), IS_FEED))
     branch = (
         F.when(F.col("_f.action") == "parse", "sitemap")
@@ -103,7 +99,7 @@ def route_fetched(fetched: DataFrame, sniff: bool = True, window: int = SITEMAP_
         .when(is_feed, "feed")
         .otherwise("article")
     )
-    routed = staged.withColumn("branch", branch)
+    routed = compute_once(staged, "branch", branch)
     meta = F.when(F.col("branch") == "feed", meta_set(F.col("_f.metadata"), IS_FEED, "true")).otherwise(F.col("_f.metadata"))
     return routed.withColumn("metadata", meta).drop("_f")
 
@@ -193,7 +189,7 @@ def process_sitemaps(
     child = F.when(
         F.col("is_index") & meta_true(parent, IS_VERIFIED), meta_set(child, IS_VERIFIED, "true")
     ).otherwise(child)
-    rows = _document_rows(parsed, links, child)
+    rows = _document_rows(compute_once(parsed, "_links", links), F.col("_links"), child)
     kept = _filtered_links(rows, chain)
     per_doc = W.partitionBy("parent_url")
     nth = F.row_number().over(per_doc.orderBy("url_pos", "link_pos"))
@@ -316,12 +312,12 @@ def crawl_step(
 def bootstrap_flags(fetched: DataFrame) -> DataFrame:
     """Classify candidate pages: add ``branch`` (sitemap, feed, page) and set flags; no links are followed."""
     meta = F.col("metadata")
-    staged = fetched.withColumn(
-        "_f", detect_sitemap_bootstrap(F.col("content"), meta_true(meta, IS_SITEMAP), meta_true(meta, IS_NEWS))
+    staged = compute_once(
+        fetched, "_f", detect_sitemap_bootstrap(F.col("content"), meta_true(meta, IS_SITEMAP), meta_true(meta, IS_NEWS))
     )
     is_feed = detect_feed(_content_type(fetched), F.col("content"), meta_true(meta, IS_FEED))
-    staged = staged.withColumn(
-        "branch", F.when(F.col("_f.is_sitemap"), "sitemap").when(is_feed, "feed").otherwise("page")
+    staged = compute_once(
+        staged, "branch", F.when(F.col("_f.is_sitemap"), "sitemap").when(is_feed, "feed").otherwise("page")
     )
     out = F.when(F.col("_f.is_sitemap"), meta_set(meta, IS_SITEMAP, "true")).otherwise(meta)
     out = F.when(F.col("_f.is_news"), meta_set(out, IS_NEWS, "true")).otherwise(out)
