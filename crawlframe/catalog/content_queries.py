@@ -404,7 +404,7 @@ def _fetched(spark: SparkSession, sf: str) -> DataFrame:
 def q_crawl_step(spark: SparkSession, sf: str) -> DataFrame:
     """One whole round against an empty status table; urls found more than once are collapsed."""
     empty = spark.createDataFrame([], "url STRING, url_id STRING, key STRING, status STRING, next_fetch TIMESTAMP, metadata MAP<STRING,ARRAY<STRING>>")
-    updates = crawl.crawl_step(_fetched(spark, sf), empty, NOW, SC.default_intervals(spark), deny_rules=_rules(spark), hours=HOURS)
+    updates = crawl.crawl_step(_fetched(spark, sf), NOW, SC.default_intervals(spark), deny_rules=_rules(spark), hours=HOURS)
     out = UP.status_upsert(empty, updates)
     return out.select("url", "key", "status", ts_text("next_fetch").alias("next_fetch"))
 

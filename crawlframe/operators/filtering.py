@@ -313,29 +313,35 @@ def _column_step(name: str, params: dict, columns: Sequence[str]) -> Column:
     return F.when(keep, url)
 
 
-def apply_url_filters(df: DataFrame, chain: Sequence[Step]) -> DataFrame:
+def apply_url_filters(df: DataFrame, chain: Sequence[Step], bypass: str | None = None) -> DataFrame:
     """Run ``{name, params}`` steps in order. A rejected URL leaves the DataFrame at its step.
 
     Rows need ``url``; ``parent_url`` and ``metadata`` are used by the steps that look at them. A
-    step may also be a callable from DataFrame to DataFrame.
+    step may also be a callable from DataFrame to DataFrame. Rows whose ``bypass`` column is true
+    (their url is NULL) stay whatever the steps say, so links and other rows share one pass.
     """
     columns = df.columns
+    exempt = F.col(bypass) if bypass else F.lit(False)
     fresh = False  # whether _p holds the parts of the current url
     for step in chain:
         if callable(step):
-            df, fresh = step(df.select(*columns)), False
+            df, fresh = df.select(*columns), False
+            df = step(df) if bypass is None else step(df.filter(~exempt)).unionByName(df.filter(exempt))
             continue
         name, params = step["name"], dict(step.get("params", {}))
         if name == "deny":
-            df, fresh = deny_filter(df.select(*columns), params.pop("rules"), **params), False
+            df = deny_flag(df.select(*columns), params.pop("rules"), **params).filter(~F.col("denied") | exempt)
+            fresh = False
         elif name == "robots":
             rules = params.get("rules")
             if rules is not None:
-                df, fresh = robots_filter(df.select(*columns), rules, params.get("agent", "*")), False
+                df = robots_flag(df.select(*columns), rules, params.get("agent", "*")).filter(F.col("allowed") | exempt)
+                fresh = False
         elif not _is_noop(name, params):
             if name in _NEEDS_PARTS and not fresh:
                 df, fresh = with_parts(df), True
-            df = compute_once(df, "url", _column_step(name, params, columns)).filter(F.col("url").isNotNull())
+            step_url = F.when(~exempt, _column_step(name, params, columns)) if bypass else _column_step(name, params, columns)
+            df = compute_once(df, "url", step_url).filter(F.col("url").isNotNull() | exempt)
             fresh = fresh and name not in _REWRITES
     return df.select(*columns)
 

@@ -20,27 +20,30 @@ from crawlframe.functions.content import (
 )
 from crawlframe.functions.dates import parse_date_lenient, recently_modified
 from crawlframe.functions.metadata import (
+    empty_meta,
+    meta_add,
     meta_first,
     meta_remove,
     meta_set,
     meta_true,
     outlink_metadata,
 )
-from crawlframe.functions.stage import compute_once
+from crawlframe.functions.stage import compute_once, with_parts
+from crawlframe.functions.urls import resolve_url
 from crawlframe.operators.extract import (
     _is_recent_entry,
     canonical_href,
     extract_alternates,
     extract_feed_autodiscovery,
-    feed_links,
     parse_feed,
     parse_sitemap,
 )
-from crawlframe.operators.filtering import apply_url_filters, prefilter
+from crawlframe.operators.filtering import apply_url_filters, deny_flag
 from crawlframe.operators.keys import partition_key
-from crawlframe.operators.schedule import classify_fetch, next_fetch_news, redirect_updates, sitemap_delay
+from crawlframe.operators.schedule import classify_fetch, next_fetch_news, sitemap_delay
 from crawlframe.operators.upsert import dedup_discovered, union_status
 from crawlframe.schemas import (
+    ERROR_CAUSE,
     ERROR_MESSAGE,
     ERROR_SOURCE,
     IS_FEED,
@@ -48,9 +51,12 @@ from crawlframe.schemas import (
     IS_NEWS,
     IS_SITEMAP,
     IS_VERIFIED,
-    META,
     NUM_LINKS,
+    REDIR_TO,
+    SIGNATURE,
+    SIGNATURE_OLD,
 )
+from crawlframe.session import as_ts
 
 Clock = Column | str | dt.datetime
 Chain = Sequence[dict | Callable]
@@ -104,39 +110,8 @@ def route_fetched(fetched: DataFrame, sniff: bool = True, window: int = SITEMAP_
     return routed.withColumn("metadata", meta).drop("_f")
 
 
-def _document_rows(parsed: DataFrame, links: Column, child: Column) -> DataFrame:
-    """One marker row per document with its metadata and one row per link with ``child``, from a single pass."""
-    marker = F.array(F.struct(F.lit(None).cast("string").alias("url"), F.lit(-1).alias("url_pos"), F.lit(-1).alias("link_pos")))
-    rows = F.concat(marker.cast(_LINK), F.coalesce(links, F.array().cast(_LINK)))
-    flat = parsed.select(
-        F.col("url").alias("parent_url"),
-        "metadata",
-        child.alias("_child"),
-        "ok",
-        "is_index",
-        F.inline(rows).alias("url", "url_pos", "link_pos"),
-    )
-    is_link = F.col("url_pos") >= 0
-    return flat.select(
-        "parent_url",
-        F.when(is_link, F.col("_child")).otherwise(F.col("metadata")).alias("metadata"),
-        "ok",
-        "is_index",
-        "url",
-        "url_pos",
-        "link_pos",
-        is_link.alias("is_link"),
-    )
-
-
-def _filtered_links(rows: DataFrame, chain: Chain) -> DataFrame:
-    """Run the URL filters on the link rows only; marker rows pass."""
-    links = apply_url_filters(rows.filter("is_link"), chain)
-    return links.unionByName(rows.filter(~F.col("is_link")))
-
-
 def _sitemap_link_array(now: Clock, hours: int) -> Column:
-    """Links of a parsed document in order, old ones left out, with their positions."""
+    """Links of a parsed sitemap or index in order, old ones left out, with their positions."""
     indexed = F.transform("entries", lambda e, i: F.struct(e.alias("e"), i.alias("i")))
     wanted = F.filter(
         indexed,
@@ -159,8 +134,24 @@ def _sitemap_link_array(now: Clock, hours: int) -> Column:
     return F.when(F.col("is_index"), from_children).otherwise(from_entries)
 
 
-def process_sitemaps(
-    fetched: DataFrame,
+def _feed_link_array(now: Clock, hours: int) -> Column:
+    """Recent links of a parsed feed in order, relative ones resolved against the feed."""
+    indexed = F.transform("items", lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    wanted = F.filter(
+        indexed,
+        lambda y: F.coalesce(y["x"]["link"] != "", F.lit(False))
+        & recently_modified(parse_date_lenient(y["x"]["published"]), now, hours),
+    )
+    return F.transform(
+        wanted,
+        lambda y: F.struct(
+            resolve_url(F.col("url"), y["x"]["link"], F.col("_base")).alias("url"), y["i"].alias("url_pos"), F.lit(0).alias("link_pos")
+        ),
+    ).cast(_LINK)
+
+
+def document_updates(
+    docs: DataFrame,
     now: Clock,
     hours: int = 720,
     delay: int = 15,
@@ -169,70 +160,128 @@ def process_sitemaps(
     track_depth: bool = False,
     strict_namespace: bool = True,
 ) -> DataFrame:
-    """Status updates of the sitemap step: ``url, status, metadata, delay, parent_url``.
+    """Status updates of fetched documents: ``url, status, metadata, delay, parent_url``.
+
+    ``docs`` has ``url, content, metadata, kind, state``: documents of kind ``sitemap`` and ``feed`` are
+    parsed, those of kind ``redirect`` hand on their target, all others keep ``state`` as their status.
 
-    ``fetched`` has ``url, content, metadata`` (flags set, see :func:`route_fetched`). Documents that
-    cannot be parsed turn ERROR; the others turn FETCHED with the number of links that survived the
-    filters. Everything up to the links is narrow; one shuffle by document counts and staggers them.
+    Every body is read once. Parsing, link arrays and filters are narrow; each document becomes one
+    marker row plus one row per link, and one shuffle by document (without bodies) counts and staggers
+    the links that survived. A document is bounded by the body limit, so no group is large.
     """
-    docs = fetched.select(
+    kind = F.col("kind")
+    staged = docs.select(
         "url",
-        "content",
         "metadata",
-        (namespace_guard(F.col("content")) if strict_namespace else F.lit(True)).alias("_ns"),
+        "kind",
+        "state",
+        F.when(kind == "sitemap", F.col("content")).alias("content"),
+        F.when(kind == "feed", F.col("content")).alias("_feed"),
+    )
+    guard = namespace_guard(F.col("content")) if strict_namespace else F.lit(True)
+    staged = compute_once(staged, "_ns", F.coalesce(guard, F.lit(False)))
+    parsed = parse_sitemap(staged).withColumn("_map_ok", F.col("ok") & F.col("_ns")).drop("ok")
+    parsed = with_parts(parse_feed(parsed, "_feed"), "url", "_base")
+    ok = F.when(kind == "sitemap", F.col("_map_ok")).when(kind == "feed", F.col("ok")).otherwise(True)
+    parsed = parsed.withColumn("_ok", ok)
+    target = meta_first(F.col("metadata"), REDIR_TO)
+    hop = F.array(F.struct(target.alias("url"), F.lit(0).alias("url_pos"), F.lit(0).alias("link_pos"))).cast(_LINK)
+    links = (
+        F.when((kind == "sitemap") & F.col("_ok"), _sitemap_link_array(now, hours))
+        .when((kind == "feed") & F.col("_ok"), _feed_link_array(now, hours))
+        .when((kind == "redirect") & target.isNotNull() & (target != F.col("url")), hop)
     )
-    parsed = parse_sitemap(docs).withColumn("ok", F.col("ok") & F.col("_ns"))
-    links = F.when(F.col("ok"), _sitemap_link_array(now, hours))
+    parsed = compute_once(parsed, "_links", links)
+
     parent = F.col("metadata")
-    child = outlink_metadata(F.col("url"), parent, track_path, track_depth)
-    child = meta_set(meta_set(child, IS_SITEMAP, F.col("is_index").cast("string")), IS_NEWS, "false")
-    child = F.when(
-        F.col("is_index") & meta_true(parent, IS_VERIFIED), meta_set(child, IS_VERIFIED, "true")
-    ).otherwise(child)
-    rows = _document_rows(compute_once(parsed, "_links", links), F.col("_links"), child)
-    kept = _filtered_links(rows, chain)
-    per_doc = W.partitionBy("parent_url")
+    tracked = outlink_metadata(F.col("url"), parent, track_path, track_depth)
+    below_map = meta_set(meta_set(tracked, IS_SITEMAP, F.col("is_index").cast("string")), IS_NEWS, "false")
+    verified = F.col("is_index") & meta_true(parent, IS_VERIFIED)
+    child = (
+        F.when((kind == "sitemap") & verified, meta_set(below_map, IS_VERIFIED, "true"))
+        .when(kind == "sitemap", below_map)
+        .when(kind == "redirect", meta_remove(parent, REDIR_TO))
+        .otherwise(tracked)
+    )
+    marker = F.array(F.struct(F.lit(None).cast("string").alias("url"), F.lit(-1).alias("url_pos"), F.lit(-1).alias("link_pos")))
+    rows = F.concat(marker.cast(_LINK), F.coalesce("_links", F.array().cast(_LINK)))
+    is_link = F.col("url_pos") >= 0
+    flat = compute_once(parsed, "_child", child).select(
+        F.col("url").alias("parent_url"), "metadata", "_child", "_ok", "is_index", "kind", "state", F.inline(rows).alias("url", "url_pos", "link_pos")
+    ).select(
+        "parent_url",
+        F.when(is_link, F.col("_child")).otherwise(F.col("metadata")).alias("metadata"),
+        "_ok",
+        "is_index",
+        "kind",
+        "state",
+        "url",
+        "url_pos",
+        "link_pos",
+        (~is_link).alias("is_doc"),
+        # the target of a redirect is not an extracted link: no filter looks at it
+        (~is_link | (F.col("kind") == "redirect")).alias("is_exempt"),
+    )
+    hops = F.col("is_exempt") & ~F.col("is_doc")
+    flat = flat.withColumns({"_hop": F.when(hops, F.col("url")), "url": F.when(~hops, F.col("url"))})
+    kept = apply_url_filters(flat, chain, bypass="is_exempt").withColumn("url", F.coalesce("url", "_hop"))
+
+    per_doc = W.partitionBy("parent_url", "kind")
     nth = F.row_number().over(per_doc.orderBy("url_pos", "link_pos"))
     # the marker row sorts first, so the k-th kept link has number k + 2
-    counted = kept.withColumns({"_n": F.count_if("is_link").over(per_doc), "_nth": nth - 2})
-
-    error = meta_remove(parent, NUM_LINKS)
-    error = meta_set(error, ERROR_SOURCE, "sitemap parsing")
-    error = meta_set(error, ERROR_MESSAGE, F.concat(F.lit("Not a readable sitemap: "), F.col("parent_url")))
-    done = F.when(F.col("is_index"), meta_set(parent, IS_INDEX, "true")).otherwise(meta_remove(parent, IS_INDEX))
-    done = meta_set(done, NUM_LINKS, F.col("_n").cast("string"))
-
-    staggered = F.col("is_link") & F.col("is_index") & (F.col("_nth") > 0)
+    counted = kept.withColumns({"_n": F.count_if(~F.col("is_doc")).over(per_doc), "_nth": nth - 2})
+
+    is_map, is_feed = F.col("kind") == "sitemap", F.col("kind") == "feed"
+    source = F.when(is_map, "sitemap parsing").otherwise("feed parsing")
+    message = F.concat(F.lit("Not a readable document: "), F.col("parent_url"))
+    error = meta_set(meta_set(meta_remove(parent, NUM_LINKS), ERROR_SOURCE, source), ERROR_MESSAGE, message)
+    error = F.when(is_feed, meta_set(error, IS_FEED, "true")).otherwise(error)
+    n_links = F.col("_n").cast("string")
+    map_done = F.when(F.col("is_index"), meta_set(meta_set(parent, IS_INDEX, "true"), NUM_LINKS, n_links)).otherwise(
+        meta_set(meta_remove(parent, IS_INDEX), NUM_LINKS, n_links)
+    )
+    own = (
+        F.when(~F.col("_ok"), error)
+        .when(is_map, map_done)
+        .when(is_feed, meta_set(parent, IS_FEED, "true"))
+        .otherwise(parent)
+    )
+    staggered = ~F.col("is_doc") & is_map & F.col("is_index") & (F.col("_nth") > 0)
     wait = F.when(staggered, F.col("_nth") * delay) if delay > 0 else F.lit(None)
     return counted.select(
         F.coalesce("url", "parent_url").alias("url"),
-        F.when(F.col("is_link"), "DISCOVERED").when(F.col("ok"), "FETCHED").otherwise("ERROR").alias("status"),
-        F.when(F.col("is_link"), parent).when(F.col("ok"), done).otherwise(error).alias("metadata"),
+        F.when(~F.col("is_doc"), "DISCOVERED").when(~F.col("_ok"), "ERROR").otherwise(F.col("state")).alias("status"),
+        F.when(F.col("is_doc"), own).otherwise(parent).alias("metadata"),
         wait.cast("int").alias("delay"),
         "parent_url",
     )
 
 
-def process_feeds(
-    fetched: DataFrame, now: Clock, hours: int = 720, chain: Chain = (), track_path: bool = True, track_depth: bool = False
-) -> DataFrame:
-    """Status updates of the feed step: the feed itself FETCHED (or ERROR), its recent links DISCOVERED."""
-    parsed = parse_feed(fetched.select("url", "content", "metadata"))
-    meta = meta_set(F.col("metadata"), IS_FEED, "true")
-    failed = meta_set(meta, ERROR_SOURCE, "feed parsing")
-    parents = parsed.select(
-        "url",
-        F.when(F.col("ok"), "FETCHED").otherwise("ERROR").alias("status"),
-        F.when(F.col("ok"), meta).otherwise(failed).alias("metadata"),
-        F.lit(None).cast("int").alias("delay"),
-        F.col("url").alias("parent_url"),
-    )
-    child = outlink_metadata(F.col("url"), F.col("metadata"), track_path, track_depth)
-    found = feed_links(parsed.filter("ok").withColumn("child", child), now, hours, carry=("child",))
-    links = apply_url_filters(found.withColumn("metadata", F.col("child")), chain).select(
-        "url", "status", "metadata", F.lit(None).cast("int").alias("delay"), "parent_url"
-    )
-    return parents.unionByName(links)
+def _as_kind(fetched: DataFrame, kind: str) -> DataFrame:
+    return fetched.select("url", "content", "metadata", F.lit(kind).alias("kind"), F.lit("FETCHED").alias("state"))
+
+
+def process_sitemaps(fetched: DataFrame, now: Clock, hours: int = 720, delay: int = 15, chain: Chain = (), **kw) -> DataFrame:
+    """The sitemap step on its own (``url, content, metadata``, flags set as by :func:`route_fetched`).
+
+    Documents that cannot be parsed turn ERROR; the others turn FETCHED with the number of links that
+    survived the filters, and their links become DISCOVERED.
+    """
+    return document_updates(_as_kind(fetched, "sitemap"), now, hours, delay, chain, **kw)
+
+
+def process_feeds(fetched: DataFrame, now: Clock, hours: int = 720, chain: Chain = (), **kw) -> DataFrame:
+    """The feed step on its own: the feed FETCHED (or ERROR), its recent links DISCOVERED."""
+    return document_updates(_as_kind(fetched, "feed"), now, hours, 0, chain, **kw)
+
+
+def with_known_metadata(fetched: DataFrame, status: DataFrame) -> DataFrame:
+    """Fill the metadata of fetched rows from the status table, for fetchers that do not carry it along."""
+    known = status.select("url", F.col("metadata").alias("_known"))
+    missing = F.map_filter("_known", lambda k, _v: ~F.map_contains_key(F.col("metadata"), k))
+    joined = fetched.join(known, "url", "left")
+    merged = F.map_concat(F.coalesce(missing, empty_meta()), F.col("metadata"))
+    return joined.withColumn("metadata", merged).drop("_known").select(*fetched.columns)
 
 
 def crawl_updates(
@@ -242,42 +291,39 @@ def crawl_updates(
     delay: int = 15,
     chain: Chain = (),
     scheduler: Callable[[DataFrame], DataFrame] | None = None,
-    previous: DataFrame | None = None,
     key_mode: str = "byHost",
     suffixes: DataFrame | None = None,
+    parse_filters: Sequence[Callable[[DataFrame], DataFrame]] = PARSE_FILTERS["production"],
 ) -> DataFrame:
     """All status updates of a batch of fetched records: ``url, key, status, next_fetch, metadata, event_time``.
 
-    ``previous`` (the status table) supplies the stored signature and interval of the fetched urls.
-    ``scheduler`` sets ``next_fetch`` on rows with ``url, status, metadata``.
+    The records carry the stored metadata of their url, as the frontier handed it out. A row with
+    ``state`` already set (see :func:`crawl_step`) is stored as it is. ``scheduler`` sets
+    ``next_fetch`` on rows with ``url, status, metadata``. One pass over the bodies.
     """
-    if previous is not None:
-        known = previous.select("url", F.col("metadata").alias("_known"))
-        fetched = fetched.join(known, "url", "left").withColumn(
-            "metadata",
-            F.map_concat(
-                F.coalesce(F.map_filter("_known", lambda k, _v: ~F.map_contains_key(F.col("metadata"), k)), F.create_map().cast(META)),
-                F.col("metadata"),
-            ),
-        ).drop("_known")
+    if "state" not in fetched.columns:
+        fetched = fetched.withColumn("state", F.lit(None).cast("string"))
     result = classify_fetch(F.col("http_status"), meta_first(F.col("metadata"), "error.count").try_cast("int"))
-    classified = fetched.withColumn("_status", result)
-    good = apply_parse_filters(route_fetched(classified.filter("_status = 'FETCHED'")), PARSE_FILTERS["production"])
-
-    none = F.lit(None).cast("int")
-    flat = {"delay": none, "parent_url": F.col("url")}
-    sitemaps = process_sitemaps(good.filter("branch = 'sitemap'"), now, hours, delay, chain)
-    feeds = process_feeds(good.filter("branch = 'feed'"), now, hours, chain)
-    others = good.filter("branch IN ('plain_sitemap', 'article')").select("url", F.lit("FETCHED").alias("status"), "metadata").withColumns(flat)
-    redirects = redirect_updates(classified.filter("_status = 'REDIRECTION'").select("url", "metadata")).withColumns(flat)
-    failed = classified.filter("_status IN ('ERROR', 'FETCH_ERROR')").select("url", F.col("_status").alias("status"), "metadata").withColumns(flat)
-    updates = union_status(sitemaps, feeds, others, redirects, failed)
+    classified = compute_once(fetched, "state", F.coalesce("state", result))
+    good = F.col("state") == "FETCHED"
+    # bodies of failed fetches are not looked at
+    body = F.when(good, F.col("content"))
+    routed = route_fetched(classified.withColumn("content", body))
+    signed = apply_parse_filters(routed, parse_filters).select(
+        "url",
+        "content",
+        "state",
+        F.when(good, F.col("metadata")).otherwise(meta_remove(F.col("metadata"), SIGNATURE, SIGNATURE_OLD)).alias("metadata"),
+        F.when(good & F.col("branch").isin("sitemap", "feed"), F.col("branch"))
+        .when(F.col("state") == "REDIRECTION", "redirect")
+        .otherwise("plain")
+        .alias("kind"),
+    )
+    updates = document_updates(signed, now, hours, delay, chain)
     if scheduler is not None:
         updates = sitemap_delay(scheduler(updates))
     else:
         updates = updates.withColumn("next_fetch", F.lit(None).cast("timestamp"))
-    from crawlframe.session import as_ts
-
     keyed = partition_key(updates, key_mode, suffixes)
     return keyed.select("url", "key", "status", "next_fetch", "metadata", as_ts(now).alias("event_time"))
 
@@ -288,25 +334,29 @@ def production_scheduler(now: Clock, fetch_intervals: DataFrame, **kw) -> Callab
 
 def crawl_step(
     fetched: DataFrame,
-    status: DataFrame,
     now: Clock,
     fetch_intervals: DataFrame,
     deny_rules: DataFrame | None = None,
+    status: DataFrame | None = None,
     **kw,
 ) -> DataFrame:
-    """Updates of one round: pre-filter, route, extract, filter links, schedule. Feed to ``status_upsert``."""
-    rejected = None
+    """Updates of one round: pre-filter, route, extract, filter links, schedule. Feed to ``status_upsert``.
+
+    Denied rows turn ERROR without their body being looked at. ``status`` is only needed when the
+    records do not carry the stored metadata themselves.
+    """
+    if status is not None:
+        fetched = with_known_metadata(fetched, status)
     if deny_rules is not None:
-        fetched, rejected = prefilter(fetched, deny_rules)
-    updates = crawl_updates(
-        fetched, now, scheduler=production_scheduler(now, fetch_intervals), previous=status, **kw
-    )
-    if rejected is not None:
-        denied = partition_key(rejected.select("url", "status", "metadata"), "byHost").withColumn(
-            "next_fetch", F.lit(None).cast("timestamp")
-        )
-        updates = union_status(updates, denied)
-    return updates
+        flagged = deny_flag(fetched, deny_rules)
+        meta = F.col("metadata")
+        fetched = flagged.withColumns(
+            {
+                "state": F.when(F.col("denied"), "ERROR"),
+                "metadata": F.when(F.col("denied"), meta_add(meta, ERROR_CAUSE, "Filtered")).otherwise(meta),
+            }
+        ).drop("denied")
+    return crawl_updates(fetched, now, scheduler=production_scheduler(now, fetch_intervals), **kw)
 
 
 def bootstrap_flags(fetched: DataFrame) -> DataFrame:

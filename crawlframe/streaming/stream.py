@@ -44,24 +44,11 @@ def crawl_step_stream(
 
     ``clock`` is asked once per batch. Without ``every`` the stream ends when the input is used up.
     """
-    spark = fetched.sparkSession
-    rules = RefreshingRules(spark, rules_path) if rules_path else None
+    rules = RefreshingRules(fetched.sparkSession, rules_path) if rules_path else None
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read by several branches of the step
-        batch.persist()
-        try:
-            updates = crawl_step(
-                batch,
-                read_status(spark, status_path),
-                clock(),
-                fetch_intervals,
-                deny_rules=rules.get() if rules else None,
-                **step,
-            )
-            write_status(updates, status_path, batch_id)
-        finally:
-            batch.unpersist()
+        updates = crawl_step(batch, clock(), fetch_intervals, deny_rules=rules.get() if rules else None, **step)
+        write_status(updates, status_path, batch_id)
 
     writer = fetched.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
