@@ -12,7 +12,7 @@ D = with_ctes("d_metrics")
 
 
 def _value(c: str = "value"):
-    return F.round(F.col(c), 4).alias(c)
+    return F.round(F.col(c), 8).alias(c)
 
 
 def _panel(name: str, metric: str, agg: str, bucket: str, split: bool, k: int = 5):
@@ -29,9 +29,9 @@ def _panel(name: str, metric: str, agg: str, bucket: str, split: bool, k: int =
     if split:
         sql = f"""{D}, g AS (SELECT {at} AS b, src_task, {agg}(value) AS v FROM d_metrics WHERE name = '{metric}' GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY v DESC, src_task) AS rank FROM g)
-SELECT {sql_ts('b')} AS bucket, round(v, 4) AS value, CAST(src_task AS BIGINT) AS src_task, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= {k}"""
+SELECT {sql_ts('b')} AS bucket, round(v, 8) AS value, CAST(src_task AS BIGINT) AS src_task, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= {k}"""
     else:
-        sql = f"{D}, g AS (SELECT {at} AS b, {agg}(value) AS v FROM d_metrics WHERE name = '{metric}' GROUP BY 1) SELECT {sql_ts('b')} AS bucket, round(v, 4) AS value FROM g"
+        sql = f"{D}, g AS (SELECT {at} AS b, {agg}(value) AS v FROM d_metrics WHERE name = '{metric}' GROUP BY 1) SELECT {sql_ts('b')} AS bucket, round(v, 8) AS value FROM g"
     return {f"metric_{name}": (run, sql)}
 
 
@@ -45,7 +45,7 @@ def q_top_table(spark: SparkSession, sf: str) -> DataFrame:
 SQL_TOP = f"""{D}, m AS (SELECT * FROM d_metrics WHERE name = 'num_queues'),
 o AS (SELECT src_task, avg(value) AS avg_1 FROM m GROUP BY 1 ORDER BY avg_1 DESC, src_task LIMIT 6),
 i AS (SELECT src_task, src_component, avg(value) AS avg_2, row_number() OVER (PARTITION BY src_task ORDER BY avg(value) DESC, src_component) AS rank_2 FROM m GROUP BY 1, 2)
-SELECT CAST(o.src_task AS BIGINT) AS src_task, src_component, round(avg_1, 4) AS avg_1, round(avg_2, 4) AS avg_2, CAST(rank_2 AS BIGINT) AS rank_2
+SELECT CAST(o.src_task AS BIGINT) AS src_task, src_component, round(avg_1, 8) AS avg_1, round(avg_2, 8) AS avg_2, CAST(rank_2 AS BIGINT) AS rank_2
 FROM o JOIN i ON i.src_task = o.src_task WHERE rank_2 <= 5"""
 
 
@@ -66,7 +66,7 @@ n AS (SELECT b, name, avg(value) AS nv FROM m GROUP BY 1, 2),
 nr AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY nv DESC, name) AS name_rank FROM n),
 h AS (SELECT b, name, src_host, avg(value) AS v FROM m GROUP BY 1, 2, 3),
 hr AS (SELECT *, row_number() OVER (PARTITION BY b, name ORDER BY v DESC, src_host) AS host_rank FROM h)
-SELECT {sql_ts('hr.b')} AS bucket, hr.name, src_host, round(v, 4) AS value, round(nv, 4) AS name_value, CAST(name_rank AS BIGINT) AS name_rank, CAST(host_rank AS BIGINT) AS host_rank
+SELECT {sql_ts('hr.b')} AS bucket, hr.name, src_host, round(v, 8) AS value, round(nv, 8) AS name_value, CAST(name_rank AS BIGINT) AS name_rank, CAST(host_rank AS BIGINT) AS host_rank
 FROM hr JOIN nr ON nr.b = hr.b AND nr.name = hr.name WHERE name_rank <= 10 AND host_rank <= 2"""
 
 
@@ -76,7 +76,7 @@ def q_parse_time(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_PARSE_TIME = f"""{D}, g AS (SELECT make_timestamp(CAST(floor(epoch(ts) / 30) * 30000000 AS BIGINT)) AS b, avg(value) AS v FROM d_metrics GROUP BY 1)
-SELECT {sql_ts('b')} AS bucket, round(v, 4) AS value FROM g"""
+SELECT {sql_ts('b')} AS bucket, round(v, 8) AS value FROM g"""
 
 
 QUERIES: dict[str, tuple] = {
