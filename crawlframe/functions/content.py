@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crawlframe.functions.metadata import empty_meta, meta_first, meta_remove, meta_set, meta_true
+from crawlframe.functions.metadata import meta_first, meta_true, meta_update
 from crawlframe.schemas import IS_FEED, IS_INDEX, IS_NEWS, IS_SITEMAP, IS_VERIFIED
 
 # XML namespaces.
@@ -105,19 +105,7 @@ def resolve_sitemap_flags(metadata: Column, detected: Column) -> Column:
     news = F.when(found == "NEWS", "true").when(was_news & ~is_news, "false")
     index = F.when(found == "INDEX", "true").when(was_index & ~is_index, "false")
     sitemap = F.when(~parse & (found != ""), "true")
-    changes = F.filter(
-        F.array(
-            *[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in ((IS_SITEMAP, sitemap), (IS_NEWS, news), (IS_INDEX, index))]
-        ),
-        lambda c: c["value"].isNotNull(),
-    )
-    changed = F.transform(changes, lambda c: c["key"])
-    kept = F.map_filter(
-        F.coalesce(metadata, empty_meta()),
-        lambda k, _v: ~F.array_contains(changed, k) & ~(parse & (k == IS_SITEMAP)),
-    )
-    new = F.map_from_arrays(changed, F.transform(changes, lambda c: F.array(c["value"])))
-    out = F.map_concat(kept, new)
+    out = meta_update(metadata, {IS_SITEMAP: sitemap, IS_NEWS: news, IS_INDEX: index}, remove={IS_SITEMAP: parse})
     action = F.when(parse, "parse").when(is_sitemap, "fetched").otherwise("pass")
     return F.struct(out.alias("metadata"), action.alias("action"), verified.alias("verified"))
 
@@ -159,9 +147,9 @@ def content_signature(content: Column) -> Column:
 
 def with_signature(metadata: Column, content: Column) -> Column:
     """Put the new signature in the metadata and keep the previous one beside it."""
-    old = meta_first(metadata, "signature")
-    kept = F.when(old.isNotNull(), meta_set(metadata, "signatureOld", old)).otherwise(meta_remove(metadata))
-    return meta_set(kept, "signature", content_signature(content))
+    return meta_update(
+        metadata, {"signature": content_signature(content), "signatureOld": meta_first(metadata, "signature")}
+    )
 
 
 def feed_flag(metadata: Column) -> Column:

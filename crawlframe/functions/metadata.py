@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,6 +65,29 @@ def meta_add(meta: Column, key: str, value: str | Column) -> Column:
     return meta_set_values(meta, key, F.concat(have, F.array(value.cast("string"))))
 
 
+def meta_update(meta: Column, changes: Mapping[str, Column], remove: Mapping[str, Column] | None = None) -> Column:
+    """Set several single values in one go; a NULL value leaves its key as it is.
+
+    ``remove`` maps keys to the condition under which they go.
+    """
+    entries = F.filter(
+        F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in changes.items()]),
+        lambda e: e["value"].isNotNull(),
+    )
+    keys = F.transform(entries, lambda e: e["key"])
+
+    def stays(key: Column, _value: Column) -> Column:
+        drop = F.lit(False)
+        for name, cond in (remove or {}).items():
+            drop = drop | ((key == name) & cond)
+        return ~F.array_contains(keys, key) & ~drop
+
+    new = F.map_from_entries(
+        F.transform(entries, lambda e: F.struct(e["key"].alias("key"), F.array(e["value"]).alias("value")))
+    )
+    return F.map_concat(F.map_filter(_or_empty(meta), stays), new)
+
+
 def persist_metadata(meta: Column, keys: Sequence[str] = PERSISTED_KEYS) -> Column:
     return F.map_filter(_or_empty(meta), lambda k, _v: k.isin(*keys))
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlframe.functions.dates import iso_instant, parse_instant, plus_minutes
-from crawlframe.functions.metadata import meta_first, meta_remove, meta_set, meta_true
+from crawlframe.functions.metadata import meta_first, meta_remove, meta_true, meta_update
+from crawlframe.functions.stage import compute_once
 from crawlframe.schemas import (
     FETCH_INTERVAL,
     FETCH_INTERVALS,
@@ -158,18 +159,17 @@ def next_fetch_adaptive(
     grown = F.floor(F.round(previous * factor, 6)).cast("int")
     adaptive = F.greatest(F.lit(min_minutes), F.least(F.lit(max_minutes), grown))
     applies = (F.col("status") == "FETCHED") & (previous >= 0)
-    stamped = F.when(changed | first_seen, meta_set(meta, SIGNATURE_CHANGE, iso_instant(now))).otherwise(meta)
-    stamped = F.when(changed | first_seen, meta_set(stamped, LAST_MODIFIED, iso_instant(now))).otherwise(stamped)
-    return out.withColumns(
+    staged = compute_once(out, "_adaptive", F.when(applies, adaptive))
+    stamp = F.when(F.col("_adaptive").isNotNull() & (changed | first_seen), iso_instant(now))
+    return staged.withColumns(
         {
-            "_adaptive": F.when(applies, adaptive),
-            "next_fetch": F.when(applies, plus_minutes(now, adaptive)).otherwise(_at(now, F.col("minutes"))),
+            "next_fetch": F.when(F.col("_adaptive").isNotNull(), plus_minutes(now, F.col("_adaptive"))).otherwise(
+                _at(now, F.col("minutes"))
+            ),
+            "metadata": meta_update(
+                meta, {SIGNATURE_CHANGE: stamp, LAST_MODIFIED: stamp, FETCH_INTERVAL: F.col("_adaptive").cast("string")}
+            ),
         }
-    ).withColumn(
-        "metadata",
-        F.when(
-            F.col("_adaptive").isNotNull(), meta_set(stamped, FETCH_INTERVAL, F.col("_adaptive").cast("string"))
-        ).otherwise(meta),
     ).drop("_adaptive", "minutes")
 
 

@@ -136,8 +136,8 @@ def inject_url(df: DataFrame, url: str, key: str, now: Clock, **meta: str) -> Da
         meta_of(**meta).alias("metadata"),
     )
     # the look-up is a filtered scan, not a join of the table
-    known = df.filter(F.col("url") == url).select("url").limit(1)
-    return df.unionByName(row.join(F.broadcast(known), "url", "left_anti"), allowMissingColumns=True)
+    known = df.filter(F.col("url") == url).agg(F.count("*")).scalar()
+    return df.unionByName(row.filter(known == 0), allowMissingColumns=True)
 
 
 def _keep_unless(df: DataFrame, cond: Column) -> DataFrame:

@@ -62,7 +62,8 @@ def collapse_updates(updates: DataFrame, batch_col: str | None = None) -> DataFr
 def status_upsert(current: DataFrame, updates: DataFrame, batch_col: str | None = None) -> DataFrame:
     """DISCOVERED only inserts; every other status replaces status, next_fetch and metadata of its url.
 
-    One full outer join on url. With ``current`` stored clustered by url only the updates move far.
+    One full outer join on url. A ``current`` that is bucketed by url (see ``sources.tables``) stays
+    where it is and only the updates are shuffled.
     """
     new = collapse_updates(updates, batch_col).select(
         F.col("url").alias("u_url"),

@@ -26,6 +26,7 @@ from crawlframe.functions.metadata import (
     meta_remove,
     meta_set,
     meta_true,
+    meta_update,
     outlink_metadata,
 )
 from crawlframe.functions.stage import compute_once, with_parts
@@ -195,14 +196,12 @@ def document_updates(
 
     parent = F.col("metadata")
     tracked = outlink_metadata(F.col("url"), parent, track_path, track_depth)
-    below_map = meta_set(meta_set(tracked, IS_SITEMAP, F.col("is_index").cast("string")), IS_NEWS, "false")
-    verified = F.col("is_index") & meta_true(parent, IS_VERIFIED)
-    child = (
-        F.when((kind == "sitemap") & verified, meta_set(below_map, IS_VERIFIED, "true"))
-        .when(kind == "sitemap", below_map)
-        .when(kind == "redirect", meta_remove(parent, REDIR_TO))
-        .otherwise(tracked)
-    )
+    below_map = {
+        IS_SITEMAP: F.when(kind == "sitemap", F.col("is_index").cast("string")),
+        IS_NEWS: F.when(kind == "sitemap", "false"),
+        IS_VERIFIED: F.when((kind == "sitemap") & F.col("is_index") & meta_true(parent, IS_VERIFIED), "true"),
+    }
+    child = F.when(kind == "redirect", meta_remove(parent, REDIR_TO)).otherwise(meta_update(tracked, below_map))
     marker = F.array(F.struct(F.lit(None).cast("string").alias("url"), F.lit(-1).alias("url_pos"), F.lit(-1).alias("link_pos")))
     rows = F.concat(marker.cast(_LINK), F.coalesce("_links", F.array().cast(_LINK)))
     is_link = F.col("url_pos") >= 0
@@ -226,25 +225,27 @@ def document_updates(
     flat = flat.withColumns({"_hop": F.when(hops, F.col("url")), "url": F.when(~hops, F.col("url"))})
     kept = apply_url_filters(flat, chain, bypass="is_exempt").withColumn("url", F.coalesce("url", "_hop"))
 
-    per_doc = W.partitionBy("parent_url", "kind")
-    nth = F.row_number().over(per_doc.orderBy("url_pos", "link_pos"))
+    # one order for both, so the rows of a document are sorted once
+    per_doc = W.partitionBy("parent_url", "kind").orderBy("url_pos", "link_pos")
+    whole_doc = per_doc.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     # the marker row sorts first, so the k-th kept link has number k + 2
-    counted = kept.withColumns({"_n": F.count_if(~F.col("is_doc")).over(per_doc), "_nth": nth - 2})
+    counted = kept.withColumns(
+        {"_n": F.count_if(~F.col("is_doc")).over(whole_doc), "_nth": F.row_number().over(per_doc) - 2}
+    )
 
     is_map, is_feed = F.col("kind") == "sitemap", F.col("kind") == "feed"
+    bad = ~F.col("_ok")
     source = F.when(is_map, "sitemap parsing").otherwise("feed parsing")
-    message = F.concat(F.lit("Not a readable document: "), F.col("parent_url"))
-    error = meta_set(meta_set(meta_remove(parent, NUM_LINKS), ERROR_SOURCE, source), ERROR_MESSAGE, message)
-    error = F.when(is_feed, meta_set(error, IS_FEED, "true")).otherwise(error)
-    n_links = F.col("_n").cast("string")
-    map_done = F.when(F.col("is_index"), meta_set(meta_set(parent, IS_INDEX, "true"), NUM_LINKS, n_links)).otherwise(
-        meta_set(meta_remove(parent, IS_INDEX), NUM_LINKS, n_links)
-    )
-    own = (
-        F.when(~F.col("_ok"), error)
-        .when(is_map, map_done)
-        .when(is_feed, meta_set(parent, IS_FEED, "true"))
-        .otherwise(parent)
+    own = meta_update(
+        parent,
+        {
+            ERROR_SOURCE: F.when(bad, source),
+            ERROR_MESSAGE: F.when(bad, F.concat(F.lit("Not a readable document: "), F.col("parent_url"))),
+            NUM_LINKS: F.when(is_map & ~bad, F.col("_n").cast("string")),
+            IS_INDEX: F.when(is_map & ~bad & F.col("is_index"), "true"),
+            IS_FEED: F.when(is_feed, "true"),
+        },
+        remove={NUM_LINKS: bad, IS_INDEX: is_map & ~bad & ~F.col("is_index")},
     )
     staggered = ~F.col("is_doc") & is_map & F.col("is_index") & (F.col("_nth") > 0)
     wait = F.when(staggered, F.col("_nth") * delay) if delay > 0 else F.lit(None)

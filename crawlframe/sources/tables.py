@@ -2,17 +2,20 @@
 
 Layout of a status table::
 
-    root/base/v=000003/        full snapshot, clustered by url into files sorted by key
+    root/base/v=000003/        full snapshot, bucketed and sorted by url
     root/updates/v=000003/batch=17/   updates that arrived after that snapshot
 
 A batch of updates is one small append, whatever the size of the table. Writing the same batch
 again replaces its own directory, so replays change nothing. Readers see base and updates merged by
-the same upsert the batch operators use; ``compact_status`` folds the updates into a new snapshot
-and the pointer file moves last.
+the same upsert the batch operators use, and because the snapshot is bucketed by url only the updates
+are shuffled for it. ``compact_status`` folds the updates into a new snapshot; the pointer file
+(version and number of buckets) moves last. One writer at a time, as with one streaming query.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,23 +41,28 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and len(fs.listStatus(p)) > 0
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Version the pointer names; 0 when the table was never written."""
+def _pointer(spark: SparkSession, root: str) -> tuple[int, int]:
     fs, p, jvm = _fs(spark, f"{root}/{_POINTER}")
     if not fs.exists(p):
-        return 0
+        return 0, 0
     stream = fs.open(p)
     try:
-        return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
+        version, buckets = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+        return int(version), int(buckets)
     finally:
         stream.close()
 
 
-def _point_to(spark: SparkSession, root: str, version: int) -> None:
+def current_version(spark: SparkSession, root: str) -> int:
+    """Version the pointer names; 0 when the table was never written."""
+    return _pointer(spark, root)[0]
+
+
+def _point_to(spark: SparkSession, root: str, version: int, buckets: int) -> None:
     fs, p, jvm = _fs(spark, f"{root}/{_POINTER}")
     tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_{version}.tmp")
     out = fs.create(tmp, True)
-    out.write(bytearray(str(version), "utf-8"))
+    out.write(bytearray(f"{version} {buckets}", "utf-8"))
     out.close()
     # a reader between the two calls sees no pointer only on stores without atomic replace
     if fs.exists(p):
@@ -70,16 +78,42 @@ def _updates(root: str, version: int) -> str:
     return f"{root}/updates/v={version:06d}"
 
 
-def write_snapshot(df: DataFrame, root: str, files: int | None = None) -> int:
-    """Write a full snapshot and point to it. One shuffle by url; files sorted by key for pruning."""
+def _table_name(root: str, version: int) -> str:
+    return f"status_{hashlib.sha256(root.encode()).hexdigest()[:12]}_v{version}"
+
+
+def write_snapshot(df: DataFrame, root: str, buckets: int | None = None) -> int:
+    """Write a full snapshot bucketed by url and point to it. One shuffle, one file per bucket."""
     spark = df.sparkSession
     version = current_version(spark, root) + 1
-    by_url = df.repartition(files, "url") if files else df.repartition("url")
-    by_url.sortWithinPartitions("key", "url").write.mode("overwrite").parquet(_base(root, version))
-    _point_to(spark, root, version)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = [c.split(" ")[0] for c in STATUS.split(", ")]
+    (
+        df.select(*columns)
+        .repartition(n, "url")
+        .write.format("parquet")
+        .mode("overwrite")
+        .bucketBy(n, "url")
+        .sortBy("url")
+        .option("path", _base(root, version))
+        .saveAsTable(_table_name(root, version))
+    )
+    _point_to(spark, root, version, n)
     return version
 
 
+def _read_base(spark: SparkSession, root: str) -> DataFrame:
+    """The snapshot as a bucketed table, registered again where this session does not know it yet."""
+    version, n = _pointer(spark, root)
+    name = _table_name(root, version)
+    if not spark.catalog.tableExists(name):
+        spark.sql(
+            f"CREATE TABLE {name} ({STATUS}) USING parquet CLUSTERED BY (url) SORTED BY (url) INTO {n} BUCKETS "
+            f"LOCATION '{_base(root, version)}'"
+        )
+    return spark.table(name)
+
+
 def write_status(updates: DataFrame, root: str, batch_id: int) -> None:
     """Append one batch of status updates; the same ``batch_id`` replaces itself."""
     version = current_version(updates.sparkSession, root)
@@ -92,7 +126,7 @@ def read_status(spark: SparkSession, root: str) -> DataFrame:
     from crawlframe.operators.upsert import status_upsert
 
     version = current_version(spark, root)
-    base = spark.read.schema(STATUS).parquet(_base(root, version))
+    base = _read_base(spark, root)
     if not _has_files(spark, _updates(root, version)):
         return base
     updates = spark.read.schema(UPDATES + ", batch BIGINT").option("basePath", _updates(root, version)).parquet(
@@ -101,19 +135,19 @@ def read_status(spark: SparkSession, root: str) -> DataFrame:
     return status_upsert(base, updates, batch_col="batch")
 
 
-def compact_status(spark: SparkSession, root: str, files: int | None = None) -> int:
+def compact_status(spark: SparkSession, root: str, buckets: int | None = None) -> int:
     """Fold all updates into a new snapshot."""
-    return write_snapshot(read_status(spark, root), root, files)
+    return write_snapshot(read_status(spark, root), root, buckets)
 
 
-def rewrite_status(spark: SparkSession, root: str, change, files: int | None = None) -> int:
+def rewrite_status(spark: SparkSession, root: str, change, buckets: int | None = None) -> int:
     """Apply a bulk change (reset, delete, fetch_at, ...) and publish the result as a new snapshot."""
-    return write_snapshot(change(read_status(spark, root)), root, files)
+    return write_snapshot(change(read_status(spark, root)), root, buckets)
 
 
 def init_tables(spark: SparkSession, root: str) -> None:
     """Start empty status, content and metrics tables; an older status stays behind its version."""
-    write_snapshot(spark.createDataFrame([], STATUS), f"{root}/status", files=1)
+    write_snapshot(spark.createDataFrame([], STATUS), f"{root}/status", buckets=1)
     spark.createDataFrame([], CONTENT).write.mode("overwrite").parquet(f"{root}/content")
     spark.createDataFrame([], METRICS + ", date DATE").write.mode("overwrite").partitionBy("date").parquet(
         f"{root}/metrics"

@@ -61,7 +61,7 @@ def test_refreshing_rules_reload_only_on_change(spark, tmp_path):
 
 def test_status_table_round_trip(spark, tmp_path):
     root = str(tmp_path / "status")
-    tables.write_snapshot(spark.createDataFrame([], STATUS), root, files=1)
+    tables.write_snapshot(spark.createDataFrame([], STATUS), root, buckets=2)
     first = updates(spark, [("http://a/", "DISCOVERED", "1"), ("http://b/", "FETCHED", "1")])
     second = updates(spark, [("http://a/", "FETCHED", "2"), ("http://b/", "DISCOVERED", "2"), ("http://c/", "DISCOVERED", "2")])
     tables.write_status(first, root, 0)
