@@ -296,6 +296,17 @@ def extract_feed_autodiscovery(fetched: DataFrame) -> DataFrame:
     )
 
 
+def feed_urls_of(text: Column, url: Column, base_parts: Column) -> Column:
+    """The same links as an array, for plans that keep one row per document."""
+    tags = F.filter(
+        F.regexp_extract_all(text, F.lit(r"(?is)<link\b[^>]*>"), 0),
+        lambda t: (tag_attribute(t, "rel") == "alternate")
+        & tag_attribute(t, "type").isin(*FEED_LINK_TYPES)
+        & (tag_attribute(t, "href") != ""),
+    )
+    return F.transform(tags, lambda t: resolve_url(url, tag_attribute(t, "href"), base_parts))
+
+
 def canonical_href(content: Column) -> Column:
     """``href`` of the first element marked as canonical, NULL when there is none."""
     tag = F.regexp_extract(content.cast("string"), r"""(?is)<\w+\b[^>]*\srel\s*=\s*["']?canonical["']?[^>]*>""", 0)

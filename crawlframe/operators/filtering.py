@@ -127,7 +127,8 @@ def _denied_by_lookup(urls: DataFrame, rules: DataFrame, prof: RuleProfile, expl
 def _first_hits(urls: DataFrame, rules: DataFrame, salts: int) -> DataFrame:
     """Winning rule per distinct URL through a salted shuffle join: ``url, rule``."""
     p = F.col("_p")
-    staged = with_parts(urls.select("url")).filter(p["valid"])
+    # copies of a URL share their verdict, and would share their salt
+    staged = with_parts(urls.select("url").distinct()).filter(p["valid"])
     host = p["host"]
     n = label_count(host)
     # level 0 = host rules, then the host as a domain, its parents, and "." last

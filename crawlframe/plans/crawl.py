@@ -23,6 +23,7 @@ from crawlframe.functions.metadata import (
     empty_meta,
     meta_add,
     meta_first,
+    meta_of,
     meta_remove,
     meta_set,
     meta_true,
@@ -35,14 +36,13 @@ from crawlframe.operators.extract import (
     _is_recent_entry,
     canonical_href,
     extract_alternates,
-    extract_feed_autodiscovery,
+    feed_urls_of,
     parse_feed,
     parse_sitemap,
 )
 from crawlframe.operators.filtering import apply_url_filters, deny_flag
 from crawlframe.operators.keys import partition_key
 from crawlframe.operators.schedule import classify_fetch, next_fetch_news, sitemap_delay
-from crawlframe.operators.upsert import dedup_discovered, union_status
 from crawlframe.schemas import (
     ERROR_CAUSE,
     ERROR_MESSAGE,
@@ -166,9 +166,11 @@ def document_updates(
     ``docs`` has ``url, content, metadata, kind, state``: documents of kind ``sitemap`` and ``feed`` are
     parsed, those of kind ``redirect`` hand on their target, all others keep ``state`` as their status.
 
-    Every body is read once. Parsing, link arrays and filters are narrow; each document becomes one
-    marker row plus one row per link, and one shuffle by document (without bodies) counts and staggers
-    the links that survived. A document is bounded by the body limit, so no group is large.
+    Every body is read once. Parsing is narrow and leaves one row with a link array per document. One
+    shuffle by document (without bodies) folds copies of the same record, map-side first, so a record
+    that was delivered a million times weighs no more than one. Behind it each document becomes a
+    marker row plus one row per link, the filters run, and the links that survived are counted and
+    staggered where they are. A document is bounded by the body limit, so no group is large.
     """
     kind = F.col("kind")
     staged = docs.select(
@@ -181,6 +183,10 @@ def document_updates(
     )
     guard = namespace_guard(F.col("content")) if strict_namespace else F.lit(True)
     staged = compute_once(staged, "_ns", F.coalesce(guard, F.lit(False)))
+    identity = F.md5(
+        F.concat_ws("\x01", "url", "kind", "state", F.xxhash64("content", "_feed").cast("string"), F.to_json("metadata"))
+    )
+    staged = compute_once(staged, "_doc_id", identity)
     parsed = parse_sitemap(staged).withColumn("_map_ok", F.col("ok") & F.col("_ns")).drop("ok")
     parsed = with_parts(parse_feed(parsed, "_feed"), "url", "_base")
     ok = F.when(kind == "sitemap", F.col("_map_ok")).when(kind == "feed", F.col("ok")).otherwise(True)
@@ -192,7 +198,10 @@ def document_updates(
         .when((kind == "feed") & F.col("_ok"), _feed_link_array(now, hours))
         .when((kind == "redirect") & target.isNotNull() & (target != F.col("url")), hop)
     )
-    parsed = compute_once(parsed, "_links", links)
+    parsed = compute_once(parsed, "_links", links).select(
+        "_doc_id", "url", "metadata", "kind", "state", "_ok", "is_index", "_links"
+    )
+    parsed = parsed.dropDuplicates(["_doc_id"])
 
     parent = F.col("metadata")
     tracked = outlink_metadata(F.col("url"), parent, track_path, track_depth)
@@ -206,8 +215,9 @@ def document_updates(
     rows = F.concat(marker.cast(_LINK), F.coalesce("_links", F.array().cast(_LINK)))
     is_link = F.col("url_pos") >= 0
     flat = compute_once(parsed, "_child", child).select(
-        F.col("url").alias("parent_url"), "metadata", "_child", "_ok", "is_index", "kind", "state", F.inline(rows).alias("url", "url_pos", "link_pos")
+        "_doc_id", F.col("url").alias("parent_url"), "metadata", "_child", "_ok", "is_index", "kind", "state", F.inline(rows).alias("url", "url_pos", "link_pos")
     ).select(
+        "_doc_id",
         "parent_url",
         F.when(is_link, F.col("_child")).otherwise(F.col("metadata")).alias("metadata"),
         "_ok",
@@ -226,7 +236,7 @@ def document_updates(
     kept = apply_url_filters(flat, chain, bypass="is_exempt").withColumn("url", F.coalesce("url", "_hop"))
 
     # one order for both, so the rows of a document are sorted once
-    per_doc = W.partitionBy("parent_url", "kind").orderBy("url_pos", "link_pos")
+    per_doc = W.partitionBy("_doc_id").orderBy("url_pos", "link_pos")
     whole_doc = per_doc.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     # the marker row sorts first, so the k-th kept link has number k + 2
     counted = kept.withColumns(
@@ -377,8 +387,29 @@ def bootstrap_flags(fetched: DataFrame) -> DataFrame:
 
 
 def bootstrap_step(fetched: DataFrame, chain: Chain = ()) -> DataFrame:
-    """Status updates of the site classifier: every document FETCHED, pages give the feeds they announce."""
-    flagged = bootstrap_flags(fetched)
-    docs = apply_parse_filters(flagged, PARSE_FILTERS["bootstrap"]).select("url", F.lit("FETCHED").alias("status"), "metadata")
-    found = apply_url_filters(extract_feed_autodiscovery(flagged.filter("branch = 'page'")), chain)
-    return union_status(docs, dedup_discovered(found.select("url", "status", "metadata")))
+    """Status updates of the site classifier: every document FETCHED, pages give the feeds they announce.
+
+    One narrow pass: a document turns into its own row and one row per feed.
+    """
+    flagged = with_parts(apply_parse_filters(bootstrap_flags(fetched), PARSE_FILTERS["bootstrap"]), "url", "_base")
+    found = F.when(
+        F.col("branch") == "page", feed_urls_of(F.col("content").cast("string"), F.col("url"), F.col("_base"))
+    )
+    row_type = "array<struct<target:string,is_doc:boolean>>"
+    own = F.array(F.struct(F.lit(None).cast("string").alias("target"), F.lit(True).alias("is_doc"))).cast(row_type)
+    feeds = F.coalesce(
+        F.transform(found, lambda u: F.struct(u.alias("target"), F.lit(False).alias("is_doc"))).cast(row_type),
+        F.array().cast(row_type),
+    )
+    rows = compute_once(flagged, "_rows", F.concat(own, feeds)).select(
+        F.col("url").alias("parent_url"), "metadata", F.inline("_rows").alias("url", "is_doc")
+    )
+    links = rows.withColumn(
+        "metadata", F.when(F.col("is_doc"), F.col("metadata")).otherwise(meta_of(**{IS_FEED: "true"}))
+    )
+    kept = apply_url_filters(links, chain, bypass="is_doc")
+    return kept.select(
+        F.coalesce("url", "parent_url").alias("url"),
+        F.when(F.col("is_doc"), "FETCHED").otherwise("DISCOVERED").alias("status"),
+        "metadata",
+    )

@@ -55,7 +55,7 @@ def test_crawl_updates_shuffle_documents_once(spark):
     text = plan(crawl.process_sitemaps(docs, NOW, 240))
     assert text.count("Exchange hashpartitioning") == base + 1
     moved = next(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
-    assert "parent_url" in moved
+    assert "_doc_id" in moved
 
 
 def test_stored_status_is_not_shuffled_by_an_upsert(spark, tmp_path):
@@ -126,6 +126,17 @@ def test_hot_url_collapses(spark, skewed):
     assert dedup_discovered(ups.select("url", "status", "key")).count() == out.count()
 
 
+def test_copies_of_a_record_count_once(spark):
+    docs = sitemap_docs(spark, SF).withColumn("metadata", M.meta_of(isSitemapNews="true"))
+    copies = docs.unionByName(docs).unionByName(docs.limit(1).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("x"))
+    assert rows(crawl.process_sitemaps(copies, NOW, 240)) == rows(crawl.process_sitemaps(docs, NOW, 240))
+    # another body under the same url is another document
+    other = docs.withColumn("content", F.lit("<urlset><url><loc>http://other/</loc></url></urlset>").cast("binary"))
+    n = crawl.process_sitemaps(docs.unionByName(other), NOW, 240)
+    assert n.filter("status = 'FETCHED'").count() == 2 * docs.count()
+    assert n.filter("status = 'FETCHED' AND metadata.numLinks[0] = '1'").count() >= docs.count()
+
+
 def test_both_forms_of_the_deny_filter_agree(spark, skewed):
     rules = spark.createDataFrame(
         [(1, "domain", "example", "path", "/1[0-9]*3$"), (2, "host", "h7", "all", "."), (3, "domain", ".", "path", "/99"), (4, "domain", "hot.example", "path", "/2")],
