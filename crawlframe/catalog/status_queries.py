@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.catalog.fixtures import NOW, derived, sql_ts, status_table, table, ts_text, with_ctes
+from crawlframe.catalog.fixtures import NOW, derived, metrics_table, sql_ts, status_table, table, ts_text, with_ctes
 from crawlframe.functions import metadata as M
 from crawlframe.functions.dates import status_date
 from crawlframe.operators import aggregates as A
@@ -17,6 +18,8 @@ from crawlframe.operators import schedule as SC
 from crawlframe.operators import status as S
 from crawlframe.operators import upsert as UP
 from crawlframe.schemas import PERSISTED_KEYS
+from crawlframe.session import shared_dir
+from crawlframe.sources import tables
 from crawlframe.sources.tables import index_size_gb
 
 DUE = "2024-01-05 00:00:00"
@@ -398,6 +401,35 @@ SELECT coalesce(s.url, u.url) AS url, sha256(coalesce(s.url, u.url)) AS url_id,
 FROM d_status s FULL OUTER JOIN u ON u.url = s.url"""
 
 
+def q_write_status(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert through the stored table: snapshot, one batch of updates written twice, compaction."""
+    root = f"{shared_dir(spark)}/status-{uuid.uuid4().hex}"
+    tables.write_snapshot(status_table(spark, sf), root)
+    for _ in range(2):
+        tables.write_status(_updates(spark, sf), root, batch_id=7)
+    tables.compact_status(spark, root)
+    out = tables.read_status(spark, root)
+    return out.select(
+        "url", "url_id", "key", "status", ts_text("next_fetch").alias("next_fetch"), _first("isFeed").alias("is_feed"),
+        F.map_contains_key("metadata", F.lit("other")).alias("has_other"),
+    )
+
+
+def q_write_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metric rows appended day by day and read back, counted per day."""
+    path = f"{shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    rows = metrics_table(spark, sf).select(
+        "ts", "name", F.lit("s").alias("storm_id"), "src_component", "src_task", "src_host", F.lit(6700).alias("src_port"), "value"
+    )
+    tables.write_metrics(rows, path)
+    tables.write_metrics(rows.filter("name = 'in_queues'"), path)
+    return tables.read_metrics(spark, path).groupBy(F.col("date").cast("string").alias("day"), "name").agg(F.count("*").alias("n"))
+
+
+SQL_WRITE_METRICS = with_ctes("d_metrics") + """SELECT strftime(ts, '%Y-%m-%d') AS day, name,
+  CAST(count(*) * CASE WHEN name = 'in_queues' THEN 2 ELSE 1 END AS BIGINT) AS n FROM d_metrics GROUP BY 1, 2"""
+
+
 def q_collapse(spark: SparkSession, sf: str) -> DataFrame:
     return UP.collapse_updates(_updates(spark, sf)).select("url", "key", "status")
 
@@ -586,6 +618,17 @@ QUERIES: dict[str, tuple] = {
     "politeness_plan": (q_politeness, SQL_POLITENESS),
     "warc_file_assign": (q_warc_assign, SQL_WARC_ASSIGN),
     "status_upsert": (q_status_upsert, SQL_UPSERT),
+    "write_status": (q_write_status, SQL_UPSERT),
+    "write_metrics": (q_write_metrics, SQL_WRITE_METRICS),
+    "reset_by_query_count": (lambda s, d: S.reset_by_query(status_table(s, d), "count", f"key = '{KEY}'", NOW), _count(f"key = '{KEY}'")),
+    "reset_failed_by_metadata_count": (
+        lambda s, d: S.reset_failed_by_metadata(status_table(s, d), "count", "isFeed", NOW),
+        _count("is_feed = 'true' AND status <> 'FETCHED'"),
+    ),
+    "fetch_at_count": (
+        lambda s, d: S.fetch_at(status_table(s, d), "count", "tomorrow", "status", "ERROR", "isFeed", NOW),
+        _count("status = 'ERROR' AND is_feed = 'true'"),
+    ),
     "collapse_updates": (q_collapse, f"{_UPDATES_SQL} SELECT url, key, status FROM u"),
     "union_status": (q_union_status, SQL_UNION),
     "dedup_discovered": (q_dedup, SQL_DEDUP),

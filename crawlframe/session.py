@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,12 @@ def as_ts(value: Column | str | dt.datetime) -> Column:
     return F.lit(value).cast("timestamp")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it; a local one only where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or tempfile.mkdtemp(prefix="crawlframe-")
+
+
 @dataclass(frozen=True)
 class TableSize:
     """Measured size of a candidate build side."""
