@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crawlframe.functions.metadata import meta_first, meta_true, meta_update
+from crawlframe.functions.metadata import empty_meta, meta_first, meta_true, meta_update
 from crawlframe.schemas import IS_FEED, IS_INDEX, IS_NEWS, IS_SITEMAP, IS_VERIFIED
 
 # XML namespaces.
@@ -105,7 +105,8 @@ def resolve_sitemap_flags(metadata: Column, detected: Column) -> Column:
     news = F.when(found == "NEWS", "true").when(was_news & ~is_news, "false")
     index = F.when(found == "INDEX", "true").when(was_index & ~is_index, "false")
     sitemap = F.when(~parse & (found != ""), "true")
-    out = meta_update(metadata, {IS_SITEMAP: sitemap, IS_NEWS: news, IS_INDEX: index}, remove={IS_SITEMAP: parse})
+    updated = meta_update(metadata, {IS_SITEMAP: sitemap, IS_NEWS: news, IS_INDEX: index}, remove={IS_SITEMAP: parse})
+    out = F.when((found != "") | parse, updated).otherwise(F.coalesce(metadata, empty_meta()))
     action = F.when(parse, "parse").when(is_sitemap, "fetched").otherwise("pass")
     return F.struct(out.alias("metadata"), action.alias("action"), verified.alias("verified"))
 

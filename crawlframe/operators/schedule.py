@@ -166,9 +166,13 @@ def next_fetch_adaptive(
             "next_fetch": F.when(F.col("_adaptive").isNotNull(), plus_minutes(now, F.col("_adaptive"))).otherwise(
                 _at(now, F.col("minutes"))
             ),
-            "metadata": meta_update(
-                meta, {SIGNATURE_CHANGE: stamp, LAST_MODIFIED: stamp, FETCH_INTERVAL: F.col("_adaptive").cast("string")}
-            ),
+            # most rows are articles and failures, whose metadata stays as it is
+            "metadata": F.when(
+                F.col("_adaptive").isNotNull(),
+                meta_update(
+                    meta, {SIGNATURE_CHANGE: stamp, LAST_MODIFIED: stamp, FETCH_INTERVAL: F.col("_adaptive").cast("string")}
+                ),
+            ).otherwise(meta),
         }
     ).drop("_adaptive", "minutes")
 

@@ -214,7 +214,7 @@ def document_updates(
     marker = F.array(F.struct(F.lit(None).cast("string").alias("url"), F.lit(-1).alias("url_pos"), F.lit(-1).alias("link_pos")))
     rows = F.concat(marker.cast(_LINK), F.coalesce("_links", F.array().cast(_LINK)))
     is_link = F.col("url_pos") >= 0
-    flat = compute_once(parsed, "_child", child).select(
+    flat = compute_once(parsed, "_child", F.when(F.size("_links") > 0, child)).select(
         "_doc_id", F.col("url").alias("parent_url"), "metadata", "_child", "_ok", "is_index", "kind", "state", F.inline(rows).alias("url", "url_pos", "link_pos")
     ).select(
         "_doc_id",
@@ -246,7 +246,7 @@ def document_updates(
     is_map, is_feed = F.col("kind") == "sitemap", F.col("kind") == "feed"
     bad = ~F.col("_ok")
     source = F.when(is_map, "sitemap parsing").otherwise("feed parsing")
-    own = meta_update(
+    changed = meta_update(
         parent,
         {
             ERROR_SOURCE: F.when(bad, source),
@@ -257,6 +257,7 @@ def document_updates(
         },
         remove={NUM_LINKS: bad, IS_INDEX: is_map & ~bad & ~F.col("is_index")},
     )
+    own = F.when(is_map | is_feed, changed).otherwise(parent)
     staggered = ~F.col("is_doc") & is_map & F.col("is_index") & (F.col("_nth") > 0)
     wait = F.when(staggered, F.col("_nth") * delay) if delay > 0 else F.lit(None)
     return counted.select(
