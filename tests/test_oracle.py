@@ -6,6 +6,7 @@ import pytest
 from compare import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from crawlframe.catalog import registered
 
 SF = "/root/testdata/sf0.001"
 SQL = oracle_sql()
@@ -21,6 +22,6 @@ def test_entry(spark):
     assert rows and set(rows[0].asDict()) == {"host", "n"}
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(registered()))
 def test_query(spark, con, name):
     assert compare(spark, con, name, queries()[name], SQL.get(name), SF) is None
