@@ -26,6 +26,20 @@ def op1_bitpack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_packed(spark, path)
 
 
+def op3_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: five words, 75 per cent."""
+    from crawlframe.llm.jaccard_join import jaccard_classes
+
+    return jaccard_classes(_documents(spark, sf_dir))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document."""
+    from crawlframe.llm.decontaminate import leaked_items
+
+    return leaked_items(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 ids."""
     from crawlframe.llm.packing import pack_documents
@@ -35,5 +49,7 @@ def op9_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bitpack_ids": (op1_bitpack_ids, None),
+    "op3_grouped_prefix_join": (op3_grouped_prefix_join, None),
+    "op10_decontaminate": (op10_decontaminate, None),
     "op9_bounded_space_packing": (op9_bounded_space_packing, None),
 }
