@@ -7,6 +7,7 @@ rare words dominate the cost, hence the table of known pieces.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import unicodedata
@@ -34,6 +35,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = byte_level
         self.known: dict[str, bytes] = {}
+        # the printable stand-in of each byte that byte-level vocabularies are written in
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
         for a in range(0, len(texts), 4096):
@@ -54,33 +59,41 @@ class PieceEncoder:
         return text.replace("\n", " \n").split(" ")
 
     def _learn(self, missing: set[str]) -> None:
-        known, plain, tails = self.known, [], []
+        known, plain, tails, words = self.known, [], [], set()
         for w in missing:
             if w[-1:] in _TAIL and w[:-1].isalpha():
                 tails.append(w)
+                words.add(w[:-1])
+            elif w.isalpha():
+                words.add(w)
             else:
                 plain.append(w)
-        bases = {w[:-1] for w in tails}
-        plain += [w for w in bases if w not in known and w not in missing]
+        # a run of letters is one piece to the model, with nothing left to normalise or cut
+        space, tokenize, letters = (self.letters[32] if self.byte_level else ""), self.tokenizer.model.tokenize, self.letters
+        for w in words.difference(known):
+            if not self.byte_level and (w != w.lower() or not unicodedata.is_normalized("NFC", w)):
+                plain.append(w)
+                continue
+            own = w if w.isascii() else w.encode().decode("latin-1").translate(letters)
+            known[w] = array("I", [t.id for t in tokenize(space + own)]).tobytes()
         for w, ids in zip(plain, self._ids([self._as_text(w) for w in plain]), strict=True):
             known[w] = ids
         marks = {c: ids for c, ids in zip(sorted(_TAIL), self._ids(sorted(_TAIL)), strict=True)}
-        later = []
         for w in tails:
-            base = known.get(w[:-1])
-            if base is None:
-                later.append(w)
-            else:
-                known[w] = base + marks[w[-1]]
-        for w, ids in zip(later, self._ids([self._as_text(w) for w in later]), strict=True):
-            known[w] = ids
+            known[w] = known[w[:-1]] + marks[w[-1]]
 
     def _as_text(self, piece: str) -> str:
         return " " + piece if self.byte_level and piece[:1] != "\n" else piece
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of every text, in order; an empty text has none."""
-        texts = list(texts)
+        gc.disable()  # millions of small objects, none of them in cycles
+        try:
+            return self._encode(list(texts))
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._pieces(t) for t in texts]
         skip = int(self.byte_level)
         if len(self.known) > KNOWN_PIECES:

@@ -38,6 +38,15 @@ def test_pieces_equal_whole_texts(byte_level):
         assert encoder.encode(texts) == expected
 
     check()
+    words = st.text(st.sampled_from("abcdEÉéßñΣσς日́ŉǆ") | st.characters(categories=["L"]), min_size=1, max_size=12)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(words.flatmap(lambda w: st.sampled_from([w, w + ".", w + "'s", "x" + w + ","])), max_size=8))
+    def check_words(found):
+        text = " ".join(found)
+        assert encoder.encode([text]) == [np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+    check_words()
     expected = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(TEXTS, add_special_tokens=False)]
     assert encoder.encode(TEXTS) == expected
 
