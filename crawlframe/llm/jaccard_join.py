@@ -40,7 +40,7 @@ SHINGLE_WORDS = 5
 THRESHOLD = 75
 #: Slots of the table that orders shingles, and bits of the filters in front of joins: both of fixed size.
 ORDER_SLOTS = 22
-FILTER_BITS = 26
+FILTER_BITS = 25
 #: A shingle counts as common from this many documents on.
 COMMON = 8
 _SLICE = 8 << 20
@@ -75,16 +75,16 @@ def order_table(docs: DataFrame, size: int) -> np.ndarray:
         counts.filter(F.col("n") >= COMMON)
         .groupBy(F.shiftrightunsigned("h", 64 - ORDER_SLOTS).alias("slot"))
         .agg(F.max(F.least(F.log2("n").cast("int"), F.lit(31))).alias("level"))
-        .toPandas()
+        .toArrow()
     )
-    table = np.zeros(1 << ORDER_SLOTS, U64)
-    table[slots["slot"].to_numpy(np.int64)] = slots["level"].to_numpy(np.uint64)
+    table = np.zeros(1 << ORDER_SLOTS, np.uint8)
+    table[slots["slot"].to_numpy()] = slots["level"].to_numpy()
     return table
 
 
 def ordered(h: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Shingle ids that sort common ones last: the slot's level, then 59 bits of the hash."""
-    return (table[h >> U64(64 - ORDER_SLOTS)] << U64(59)) | (h >> U64(5))
+    return (table[h >> U64(64 - ORDER_SLOTS)].astype(U64) << U64(59)) | (h >> U64(5))
 
 
 def _sets(part: WordSlice, size: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,13 +129,20 @@ def set_rows(docs: DataFrame, size: int, threshold: int, table) -> DataFrame:
 def bit_filter(df: DataFrame, column: str) -> np.ndarray:
     """A bit for the low bits of every value: ``2 ** FILTER_BITS`` bits at any size of ``df``."""
     low = F.col(column).bitwiseAND((1 << FILTER_BITS) - 1)
-    bits = (
-        df.groupBy(F.shiftrightunsigned(low, 6).alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(63).cast("int"))).alias("bits"))
-        .toPandas()
-    )
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(63).cast("int"))
+    bits = df.groupBy(F.shiftrightunsigned(low, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    per_row = 1 << 12
+
+    def dense(group: pa.Table) -> pa.Table:
+        words = np.zeros(per_row, U64)
+        words[group["word"].to_numpy() % per_row] = group["bits"].to_numpy().view(U64)
+        return pa.table({"part": [group["word"][0].as_py() // per_row], "words": pa.array([words.tobytes()], pa.binary())})
+
+    # the driver gets whole stretches of bits
+    rows = bits.groupBy(F.expr(f"word div {per_row}")).applyInArrow(dense, "part long, words binary").collect()
     words = np.zeros(1 << (FILTER_BITS - 6), U64)
-    words[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(U64)
+    for row in rows:
+        words[row["part"] * per_row : (row["part"] + 1) * per_row] = np.frombuffer(row["words"], U64)
     return words
 
 
