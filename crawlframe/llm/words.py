@@ -39,12 +39,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordSlice:
     """The words of a run of documents.
 
-    ``data``: lower-cased bytes; ``starts`` / ``ends``: byte span of each word; ``first``: index of
+    ``raw``: the texts' bytes; ``data``: lower-cased; ``starts`` / ``ends``: byte span of each word; ``first``: index of
     each document's first word, one more entry at the end; ``rows``: the documents' place in the batch.
     """
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, rows: range):
         self.rows = rows
+        self.raw = raw
         self.data = _LOWER[raw]
         n = len(self.data)
         space = _SPACE[self.data]
