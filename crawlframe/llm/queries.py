@@ -67,6 +67,14 @@ def op4_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_columns(secret_spans(_documents(spark, sf_dir)), KINDS)
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document; a fifth of the ids are held out of the model."""
+    from crawlframe.llm.ppm import score_documents
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    return score_documents(_documents(spark, sf_dir), held_out)
+
+
 def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, fixed forms and what their contexts discover."""
     from crawlframe.llm.pii_bootstrap import KINDS, personal_spans
@@ -105,6 +113,7 @@ QUERIES = {
     "op1_bitpack_ids": (op1_bitpack_ids, None),
     "op3_grouped_prefix_join": (op3_grouped_prefix_join, None),
     "op4_secret_novelty": (op4_secret_novelty, None),
+    "op5_ppm": (op5_ppm, None),
     "op6_pii_bootstrap": (op6_pii_bootstrap, None),
     "op7_simhash": (op7_simhash, None),
     "op8_mil_quality": (op8_mil_quality, None),
