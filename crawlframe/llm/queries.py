@@ -27,6 +27,13 @@ def op1_bitpack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_packed(spark, path)
 
 
+def op2_mincut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from crawlframe.llm.mincut_html import extract_main_text
+
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: five words, 75 per cent."""
     from crawlframe.llm.jaccard_join import jaccard_classes
@@ -111,6 +118,7 @@ def op9_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bitpack_ids": (op1_bitpack_ids, None),
+    "op2_mincut_html": (op2_mincut_html, None),
     "op3_grouped_prefix_join": (op3_grouped_prefix_join, None),
     "op4_secret_novelty": (op4_secret_novelty, None),
     "op5_ppm": (op5_ppm, None),
