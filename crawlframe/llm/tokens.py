@@ -12,15 +12,51 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-_ODD_SPACE = re.compile(r"[^\S \n]")
+#: White space other than space and line feed, or what one of the two sides might take for it.
+_ODD_SPACE = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _TAIL = frozenset(".,;:!?")
 #: Pieces remembered by one task; the table starts afresh beyond it.
 KNOWN_PIECES = 600_000
 
 
+class _Known(dict):
+    """Ids of pieces; one that isn't there yet is encoded. A piece stands behind a space unless it begins with a line feed."""
+
+    def __init__(self, tokenizer, byte_level: bool):
+        self.tokenizer, self.byte_level = tokenizer, byte_level
+        # the printable stand-in of each byte that byte-level vocabularies are written in
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.space = self.letters[32] if byte_level else ""
+        self.marks = {c: self.whole(c) for c in _TAIL}
+        self.line = self.whole("\n")
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, letters: str, space: str) -> bytes:
+        """A run of letters is one piece to the model, with nothing left to normalise or cut."""
+        own = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(space + own)]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        lead, rest, space = b"", piece, self.space
+        if self.byte_level and piece[:1] == "\n":
+            lead, rest, space = self.line, piece[1:], ""
+        if rest.isalpha() and (self.byte_level or (rest == rest.lower() and unicodedata.is_normalized("NFC", rest))):
+            ids = lead + self.word(rest, space)
+        elif rest[-1:] in _TAIL and rest[:-1].isalpha():
+            ids = self[piece[:-1]] + self.marks[rest[-1]]
+        else:
+            ids = self.whole(" " + piece if self.byte_level and not lead else piece)
+        self[piece] = ids
+        return ids
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -34,83 +70,35 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = byte_level
-        self.known: dict[str, bytes] = {}
-        # the printable stand-in of each byte that byte-level vocabularies are written in
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        for a in range(0, len(texts), 4096):
-            for e in self.tokenizer.encode_batch_fast(texts[a : a + 4096], add_special_tokens=False):
-                yield array("I", e.ids).tobytes()
+        self.known = _Known(self.tokenizer, byte_level)
 
-    def _pieces(self, text: str) -> list[str]:
-        """Byte level: the first piece has no space before it, each later one has, unless it begins with a line end."""
+    def _one(self, text: str) -> bytes:
+        known = self.known
         if not self.byte_level:
             if "Σ" not in text and unicodedata.is_normalized("NFC", text):
                 text = text.lower()
             # str.split also cuts at these four, which are no white space to the tokenizer
             if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                return [w for w in text.split(" ") if w]
-            return text.split()
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD_SPACE.search(text) or text[-1:] in ("\n", " ") or text[:1] in ("\n", " "):
-            return _CUT.split(text)
-        return text.replace("\n", " \n").split(" ")
-
-    def _learn(self, missing: set[str]) -> None:
-        known, plain, tails, words = self.known, [], [], set()
-        for w in missing:
-            if w[-1:] in _TAIL and w[:-1].isalpha():
-                tails.append(w)
-                words.add(w[:-1])
-            elif w.isalpha():
-                words.add(w)
-            else:
-                plain.append(w)
-        # a run of letters is one piece to the model, with nothing left to normalise or cut
-        space, tokenize, letters = (self.letters[32] if self.byte_level else ""), self.tokenizer.model.tokenize, self.letters
-        for w in words.difference(known):
-            if not self.byte_level and (w != w.lower() or not unicodedata.is_normalized("NFC", w)):
-                plain.append(w)
-                continue
-            own = w if w.isascii() else w.encode().decode("latin-1").translate(letters)
-            known[w] = array("I", [t.id for t in tokenize(space + own)]).tobytes()
-        for w, ids in zip(plain, self._ids([self._as_text(w) for w in plain]), strict=True):
-            known[w] = ids
-        marks = {c: ids for c, ids in zip(sorted(_TAIL), self._ids(sorted(_TAIL)), strict=True)}
-        for w in tails:
-            known[w] = known[w[:-1]] + marks[w[-1]]
-
-    def _as_text(self, piece: str) -> str:
-        return " " + piece if self.byte_level and piece[:1] != "\n" else piece
+                return b"".join([known[w] for w in text.split(" ") if w])
+            return b"".join(map(known.__getitem__, text.split()))
+        if not text:
+            return b""
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1] in " \n" or text[0] in " \n" or any(c in text for c in _ODD_SPACE):
+            first, *rest = _CUT.split(text)
+            return known.whole(first) + b"".join(map(known.__getitem__, rest))
+        # a line end before the text, and its id off again
+        return b"".join(map(known.__getitem__, ("\n" + text.replace("\n", " \n")).split(" ")))[len(known.line) :]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of every text, in order; an empty text has none."""
+        if len(self.known) > KNOWN_PIECES:
+            self.known = _Known(self.tokenizer, self.byte_level)
         gc.disable()  # millions of small objects, none of them in cycles
         try:
-            return self._encode(list(texts))
+            return [self._one(text) for text in texts]
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(t) for t in texts]
-        skip = int(self.byte_level)
-        if len(self.known) > KNOWN_PIECES:
-            self.known = {}
-        known = self.known
-        missing: set[str] = set()
-        for pieces in cut:
-            missing.update(pieces[skip:])
-        missing.difference_update(known)
-        if missing:
-            self._learn(missing)
-        get = known.__getitem__
-        if not self.byte_level:
-            return [b"".join(map(get, pieces)) for pieces in cut]
-        heads = self._ids([p[0] for p in cut])
-        return [head + b"".join(map(get, p[skip:])) for head, p in zip(heads, cut, strict=True)]
-
 
 def vocabulary_size(path: str) -> int:
     from tokenizers import Tokenizer
