@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlframe.llm.graph import components
@@ -43,6 +43,8 @@ ORDER_SLOTS = 22
 FILTER_BITS = 25
 #: A shingle counts as common from this many documents on.
 COMMON = 8
+#: Ids up to this many (8 bytes each) are sent to all tasks.
+BROADCAST_IDS = 1_000_000
 _SLICE = 8 << 20
 
 
@@ -276,3 +278,27 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int =
     linked = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     classed = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
     return own.join(found, ["k1", "k2"], "left").select("doc_id", "n_shingles", linked.alias("component_id"), classed.alias("class_id"))
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each component, that of the least doc_id (and text, among repeated ids); all their columns.
+
+    Rows without words or doc_id stay. Only the ids that go are looked up; they are sent to all tasks where
+    they fit ``BROADCAST_IDS``.
+    """
+    found = jaccard_classes(docs, **options).filter("n_shingles > 0 and component_id is not null")
+    gone = store(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    repeated = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again"))
+    repeated = store(repeated, "again")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    if repeated.first() is None:
+        return kept
+    # ids that occur more than once: the first of their rows with words
+    again = kept.join(repeated, kept["doc_id"].cast("long") == repeated["_again"], "left_semi")
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    place = F.row_number().over(Window.partitionBy("doc_id", words).orderBy("text"))
+    first = again.withColumn("_place", place).filter((F.col("_place") == 1) | ~F.coalesce(words, F.lit(False))).drop("_place")
+    rest = kept.join(repeated, kept["doc_id"].cast("long") == repeated["_again"], "left_anti")
+    return rest.unionByName(first)

@@ -187,3 +187,9 @@ def quality_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_
     rows = docs.select(*keep, text_of().alias("_text"))
     schema = docs.select(*keep).withColumn("_score", F.lit(0.0)).schema
     return rows.mapInArrow(score, schema)
+
+
+def without_low_quality(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score below ``least``; all their columns."""
+    scored = quality_scores(docs, model, tuple(docs.columns))
+    return scored.filter(F.col("_score") >= least).select(*docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from crawlframe.llm.shared import new_path
 
 
@@ -116,6 +117,11 @@ def op9_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), byte_level=False, end_id=1)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_bitpack_ids": (op1_bitpack_ids, None),
     "op2_mincut_html": (op2_mincut_html, None),
@@ -127,4 +133,5 @@ QUERIES = {
     "op8_mil_quality": (op8_mil_quality, None),
     "op10_decontaminate": (op10_decontaminate, None),
     "op9_bounded_space_packing": (op9_bounded_space_packing, None),
+    "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
