@@ -347,7 +347,7 @@ def _updates_flat(df: DataFrame) -> DataFrame:
 def q_process_sitemaps(spark: SparkSession, sf: str) -> DataFrame:
     """News sitemaps, verified indexes and pages that only claim to be sitemaps, in one step."""
     broken = table(spark, sf, "pages").select(
-        F.concat(F.lit("https://broken.example/"), F.col("page_id").cast("string")).alias("url"), F.substring(F.col("html").cast("binary"), 1, 300).alias("content")
+        F.concat(F.lit("https://broken.example/"), F.col("page_id").cast("string")).alias("url"), F.col("html").cast("binary").alias("content")
     )
     docs = (
         _parents(sitemap_docs(spark, sf), isSitemapNews="true")

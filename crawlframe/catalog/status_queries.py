@@ -343,15 +343,15 @@ SELECT url, key, CAST(rank - 1 AS BIGINT) AS position, delay,
 
 def q_warc_assign(spark: SparkSession, sf: str) -> DataFrame:
     """Fetched records spread over writers; sizes up to 10 MB, files of 40 MB or 12 hours."""
-    d = derived(spark, sf, "d_status")
+    d = derived(spark, sf, "d_status").join(table(spark, sf, "events").select("event_id", "ts"), "event_id")
     records = d.select(
-        "url", F.col("signature_change").cast("timestamp").alias("fetch_time"), (F.col("event_id") * 7919 % 10000000).alias("size"),
+        "url", F.col("ts").cast("timestamp").alias("fetch_time"), (F.col("event_id") * 7919 % 10000000).alias("size"),
         F.pmod(F.col("user_id"), F.lit(16)).alias("writer"),
-    ).filter("fetch_time IS NOT NULL")
+    )
     return FR.warc_file_assign(records, max_mb=40, max_minutes=720).select("url", "writer", "file_no")
 
 
-SQL_WARC_ASSIGN = f"""{D}, r AS (SELECT url, signature_change AS t, event_id * 7919 % 10000000 AS size, user_id % 16 AS writer FROM d_status WHERE signature_change IS NOT NULL),
+SQL_WARC_ASSIGN = f"""{D}, r AS (SELECT d.url, e.ts AS t, d.event_id * 7919 % 10000000 AS size, d.user_id % 16 AS writer FROM d_status d JOIN events e ON e.event_id = d.event_id),
 w AS (SELECT url, writer, sum(size) OVER (PARTITION BY writer ORDER BY t, url ROWS UNBOUNDED PRECEDING) - size AS before,
   CAST(epoch(date_trunc('second', t)) - epoch(date_trunc('second', min(t) OVER (PARTITION BY writer))) AS BIGINT) AS age FROM r)
 SELECT url, writer, CAST(floor(before / (40 * 1024 * 1024)) + floor(age / (60 * 720)) AS BIGINT) AS file_no FROM w"""

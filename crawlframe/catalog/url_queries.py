@@ -95,10 +95,9 @@ def _suffixes(spark: SparkSession) -> DataFrame:
 
 
 def q_accepted_per_host(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: pages no rule denies, counted per host, largest first."""
+    """Flagship: pages no rule denies, counted per host."""
     kept = filtering.deny_filter(_pages(spark, sf), _rules(spark))
-    hosts = kept.select(U.url_host(F.col("url")).alias("host"))
-    return aggregate(hosts, "host", 20).withColumnRenamed("value", "host")
+    return kept.groupBy(U.url_host(F.col("url")).alias("host")).agg(F.count("*").alias("n"))
 
 
 def q_url_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,14 +170,14 @@ SELECT page_id, CASE WHEN valid THEN replace(url, ' ', '%20') ELSE '-' END AS ur
 
 
 def q_regex_normalize(spark: SparkSession, sf: str) -> DataFrame:
-    names = ("anchors", "question_mark_ampersand", "repeated_ampersands", "trailing_mark")
-    chain = [U.OPTIONAL_REWRITES[n] for n in names]
-    return _forms(spark, sf).select("page_id", U.regex_normalize(F.col("url"), chain).alias("url"))
+    """Tracking parameters off, mobile hosts and numbered pages to their main form."""
+    rules = [(r"[?&](utm_source|ref)=[^&#]*", ""), (r"://m[.]", "://"), (r"/([0-9]+)[.]html", "/$1")]
+    return _forms(spark, sf).select("page_id", U.regex_normalize(F.col("url"), rules).alias("url"))
 
 
 SQL_REGEX_NORMALIZE = with_ctes("d_url_forms") + r"""
-SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(url, '#.*?(\?|&|$)', '\1', 'g'),
-  '\?&', '?', 'g'), '&{2,}', '&', 'g'), '[\?&\.]$', '', 'g') AS url FROM d_url_forms
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '[?&](utm_source|ref)=[^&#]*', '', 'g'),
+  '://m[.]', '://', 'g'), '/([0-9]+)[.]html', '/\1', 'g') AS url FROM d_url_forms
 """
 
 
@@ -242,9 +241,13 @@ def q_self_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_host_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rows = derived(spark, sf, "d_sitemap_rows").filter("alt IS NOT NULL")
+    """Every entry's location and alternate against the sitemap that names them."""
+    rows = derived(spark, sf, "d_sitemap_rows")
+    parent = F.col("parent_url")
     return rows.select(
-        "pos", P.host_filter(F.lit("https://www.ththin.example.net/x"), F.col("alt"), ignore_host=True).alias("same_host")
+        "pos",
+        P.host_filter(parent, F.col("loc"), ignore_host=True).alias("loc_inside"),
+        P.host_filter(parent, F.coalesce("alt", parent), ignore_host=True).alias("alt_inside"),
     )
 
 
@@ -535,7 +538,7 @@ def q_newest_excluded(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, tuple] = {
     "accepted_pages_per_host": (
         q_accepted_per_host,
-        f"WITH {RULES_SQL},{_URLS_SQL} SELECT host, count(*) AS n FROM d_u WHERE url NOT IN (SELECT url FROM d_hits) GROUP BY host ORDER BY n DESC, host LIMIT 20",
+        f"WITH {RULES_SQL},{_URLS_SQL} SELECT host, count(*) AS n FROM d_u WHERE url NOT IN (SELECT url FROM d_hits) GROUP BY host",
     ),
     "url_parts": (q_url_parts, SQL_URL_PARTS),
     "host_suffixes": (q_host_suffixes, SQL_HOST_SUFFIXES),
@@ -551,7 +554,9 @@ QUERIES: dict[str, tuple] = {
     "host_filter": (
         q_host_filter,
         with_ctes("d_sitemap_rows")
-        + "SELECT pos, regexp_matches(alt, '^https?://www[.]ththin[.]example[.]net([/?#:]|$)') AS same_host FROM d_sitemap_rows WHERE alt IS NOT NULL",
+        + ", h AS (SELECT pos, regexp_extract(parent_url, '^[a-z]+://([^/?#:]*)', 1) AS own, regexp_extract(loc, '^[a-z]+://([^/?#:]*)', 1) AS l,"
+        + " regexp_extract(coalesce(alt, parent_url), '^[a-z]+://([^/?#:]*)', 1) AS a FROM d_sitemap_rows)"
+        + " SELECT pos, own = l AS loc_inside, own = a AS alt_inside FROM h",
     ),
     "max_depth_filter": (
         q_max_depth,

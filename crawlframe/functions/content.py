@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crawlframe.functions.metadata import empty_meta, meta_first, meta_true, meta_update
-from crawlframe.schemas import IS_FEED, IS_INDEX, IS_NEWS, IS_SITEMAP, IS_VERIFIED
+from crawlframe.schemas import IS_INDEX, IS_NEWS, IS_SITEMAP, IS_VERIFIED
 
 # XML namespaces.
 NEWS_NAMESPACES = (
@@ -117,9 +117,18 @@ def sitemap_parse_mode(content_type: Column) -> Column:
     return F.when(unknown, "guess").otherwise("trust")
 
 
+#: What may stand before the root element: blanks, processing instructions, comments, a doctype.
+_PROLOG = r"(?:[\uFEFF\s]++|<\?.*?\?>|<!--.*?-->|<![A-Za-z][^>\[]*+(?:\[.*?\]\s*)?>)*+"
+
+
 def root_tag(text: Column) -> Column:
-    """Inside of the first start tag of a document."""
-    return F.regexp_extract(text, r"(?s)<(?![?!])([^>]*)>", 1)
+    """Inside of the root element's start tag; empty where the text does not begin as a document."""
+    return F.regexp_extract(text, rf"(?s)^{_PROLOG}<([A-Za-z_][^>]*)>", 1)
+
+
+def root_name(text: Column) -> Column:
+    """Name of the root element without its prefix."""
+    return F.regexp_extract(root_tag(text), r"^(?:[A-Za-z_][\w.\-]*:)?([A-Za-z_][\w.\-]*)", 1)
 
 
 def namespace_guard(content: Column) -> Column:
@@ -128,7 +137,10 @@ def namespace_guard(content: Column) -> Column:
     root = root_tag(text)
     prefix = F.regexp_extract(root, r"^([A-Za-z_][\w.\-]*):", 1)
     default_ns = F.regexp_extract(root, r"""\sxmlns\s*=\s*["']([^"']*)["']""", 1)
-    bound_ns = F.regexp_extract(root, r"""\sxmlns:[A-Za-z_][\w.\-]*\s*=\s*["'](\S*sitemap\S*?)["']""", 1)
+    bound = r"""\sxmlns:([A-Za-z_][\w.\-]*)\s*=\s*["']([^"']*)["']"""
+    place = F.array_position(F.regexp_extract_all(root, F.lit(bound), 1), prefix)
+    # a prefix that is bound to nothing is no namespace of ours
+    bound_ns = F.coalesce(F.get(F.regexp_extract_all(root, F.lit(bound), 2), (place - 1).cast("int")), F.lit("?"))
     ns = F.when(prefix != "", bound_ns).otherwise(default_ns)
     return F.trim(ns).isin("", SITEMAP_NAMESPACE, LINK_NAMESPACE, *LEGACY_NAMESPACES, *NEWS_NAMESPACES)
 
@@ -151,7 +163,3 @@ def with_signature(metadata: Column, content: Column) -> Column:
     return meta_update(
         metadata, {"signature": content_signature(content), "signatureOld": meta_first(metadata, "signature")}
     )
-
-
-def feed_flag(metadata: Column) -> Column:
-    return meta_true(metadata, IS_FEED)

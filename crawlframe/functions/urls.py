@@ -168,22 +168,6 @@ def normalize_url(
     return F.when(ok, out)
 
 
-# The optional catalogue of rewrites, none of which is active by default.
-OPTIONAL_REWRITES: dict[str, tuple[str, str]] = {
-    "session_ids": (r"(?i)(;?\b_?(l|j|bv_)?(sid|phpsessid|sessionid)=.*?)(\?|&|#|$)", "$4"),
-    "default_pages": (
-        r"/((?i)index|default)\.((?i)js[pf]{1}?[afx]?|cgi|cfm|asp[x]?|[psx]?htm[l]?|php[3456]?)(\?|&|#|$)",
-        "/$3",
-    ),
-    "anchors": (r"#.*?(\?|&|$)", "$1"),
-    "question_mark_ampersand": (r"\?&", "?"),
-    "repeated_ampersands": (r"&{2,}", "&"),
-    "trailing_mark": (r"[\?&\.]$", ""),
-    "query": (r"\?.*$", ""),
-    "repeated_slashes": (r"(?<!:)/{2,}", "/"),
-}
-
-
 def regex_normalize(url: Column, rules: Sequence[tuple[str, str]] = ()) -> Column:
     """Apply (pattern, substitution) pairs in order; ``$n`` names a group."""
     for pattern, substitution in rules:

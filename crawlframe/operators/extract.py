@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crawlframe.functions.content import root_name
 from crawlframe.functions.dates import parse_date_lenient, recently_modified
 from crawlframe.functions.metadata import meta_of
 from crawlframe.functions.stage import compute_once, with_parts
@@ -65,9 +66,10 @@ def parse_sitemap(docs: DataFrame, content: str = "content", allow_partial: bool
     staged = compute_once(docs.select(*keep, F.col(content).alias("_text")), "_text", body_text(F.col("_text")))
     staged = compute_once(staged, "_doc", F.from_xml(F.col("_text"), _DOC_FIELDS, _XML))
     broken = F.col("_doc").isNull() | F.col("_doc._corrupt_record").isNotNull()
-    # a readable document names its kind by what it holds; a broken one is looked into
-    names_index = F.coalesce(F.col("_text").rlike(r"(?s)^.{0,4096}?<(?:\w+:)?sitemapindex\b"), F.lit(False))
-    staged = staged.withColumn("_broken", broken).withColumn("is_index", names_index)
+    # the root element decides; a broken text that has lost it is looked into for entries
+    staged = compute_once(staged, "_root", F.coalesce(root_name(F.col("_text")), F.lit("")))
+    known = F.col("_root").isin("urlset", "sitemapindex") | (broken & (F.col("_root") == ""))
+    staged = staged.withColumns({"_broken": broken, "_known": known, "is_index": F.col("_root") == "sitemapindex"})
     rescue = F.col("_broken") if allow_partial else F.lit(False)
     entries = F.when(rescue & ~F.col("is_index"), _fragments(_URL_FRAGMENT, _ENTRY_FIELDS)).otherwise(F.col("_doc.url"))
     children = F.when(rescue & F.col("is_index"), _fragments(_SITEMAP_FRAGMENT, _CHILD_FIELDS)).otherwise(
@@ -82,7 +84,7 @@ def parse_sitemap(docs: DataFrame, content: str = "content", allow_partial: bool
         "is_index",
         F.col("_found.entries").alias("entries"),
         F.col("_found.children").alias("children"),
-        (~F.col("_broken") | (n > 0)).alias("ok"),
+        (F.col("_known") & (~F.col("_broken") | (n > 0))).alias("ok"),
     )
 
 

@@ -12,22 +12,26 @@ from crawlframe.functions.urls import label_count, last_labels
 from crawlframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 
-def domain_join(urls: DataFrame, suffixes: DataFrame, host_col: str = "host") -> DataFrame:
+def domain_join(
+    urls: DataFrame,
+    suffixes: DataFrame,
+    host_col: str = "host",
+    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+) -> DataFrame:
     """Add ``suffix`` and ``domain`` (suffix plus one label) for each host.
 
     One look-up per label count found in the suffix table; the table is broadcast when its measured
-    size allows, so the rows of ``urls`` stay where they are.
+    size is within both bounds, so the rows of ``urls`` stay where they are. Otherwise the same look-ups
+    are joins, whose skewed keys are left to AQE.
     """
-    prof = (
-        suffixes.limit(BROADCAST_MAX_ROWS + 1)
-        .agg(
-            F.count("*").alias("n"),
-            F.coalesce(F.sum(F.octet_length("suffix") + 32), F.lit(0)).alias("b"),
-            F.array_sort(F.collect_set(label_count(F.col("suffix")))).alias("levels"),
-        )
-        .first()
-    )
-    small = prof["n"] <= BROADCAST_MAX_ROWS and prof["b"] <= BROADCAST_MAX_BYTES
+    # the levels are a handful at any size of the table
+    prof = suffixes.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.octet_length("suffix") + 32), F.lit(0)).alias("b"),
+        F.array_sort(F.collect_set(label_count(F.col("suffix")))).alias("levels"),
+    ).first()
+    small = prof["n"] <= max_rows and prof["b"] <= max_bytes
     by_suffix = suffixes.groupBy("suffix").agg(F.collect_set("kind").alias("kinds"))
     host = F.lower(F.col(host_col))
     out = urls

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlframe.functions.dates import iso_instant, parse_instant, plus_minutes
-from crawlframe.functions.metadata import meta_first, meta_remove, meta_true, meta_update
+from crawlframe.functions.metadata import meta_first, meta_true, meta_update, outlink_metadata
 from crawlframe.functions.stage import compute_once
 from crawlframe.schemas import (
     FETCH_INTERVAL,
@@ -73,7 +73,10 @@ def default_intervals(spark: SparkSession) -> DataFrame:
 
 
 def classify_fetch(http_status: Column, error_count: Column | None = None, max_errors: int = MAX_FETCH_ERRORS) -> Column:
-    """Status of a finished fetch; 304 counts as success, repeated transient errors become ERROR."""
+    """Status of a finished fetch; 304 counts as success, the ``max_errors``-th transient error in a row is ERROR.
+
+    ``error_count`` counts the failures in a row, this one included.
+    """
     tries = F.lit(0) if error_count is None else F.coalesce(error_count, F.lit(0))
     return (
         F.when(http_status.isin(200, 304), "FETCHED")
@@ -84,12 +87,17 @@ def classify_fetch(http_status: Column, error_count: Column | None = None, max_e
     )
 
 
-def redirect_updates(fetched: DataFrame) -> DataFrame:
-    """A redirecting row becomes REDIRECTION, its target a DISCOVERED row. Needs ``_redirTo`` in the metadata."""
+def redirect_updates(fetched: DataFrame, transfer: Sequence[str] = ()) -> DataFrame:
+    """A redirecting row becomes REDIRECTION, its target a DISCOVERED row. Needs ``_redirTo`` in the metadata.
+
+    The target gets the path and what ``transfer`` names, nothing else.
+    """
     target = meta_first(F.col("metadata"), "_redirTo")
     source_row = F.struct(F.col("url").alias("url"), F.lit("REDIRECTION").alias("status"), F.col("metadata").alias("metadata"))
     target_row = F.struct(
-        target.alias("url"), F.lit("DISCOVERED").alias("status"), meta_remove(F.col("metadata"), "_redirTo").alias("metadata")
+        target.alias("url"),
+        F.lit("DISCOVERED").alias("status"),
+        outlink_metadata(F.col("url"), F.col("metadata"), transfer=transfer).alias("metadata"),
     )
     rows = F.when(target.isNotNull() & (target != F.col("url")), F.array(source_row, target_row)).otherwise(F.array(source_row))
     return fetched.select(F.inline(rows))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from crawlframe.functions.metadata import empty_meta, persist_metadata
 from crawlframe.functions.urls import url_id
-from crawlframe.schemas import PERSISTED_KEYS
+from crawlframe.schemas import ERROR_COUNT, PERSISTED_KEYS
 
-#: Persisted keys plus the tracking keys links carry.
-STORED_KEYS = (*PERSISTED_KEYS, "url.path", "depth")
+#: Persisted keys, the count of failures, and the tracking keys links carry.
+STORED_KEYS = (*PERSISTED_KEYS, ERROR_COUNT, "url.path", "depth")
 
 
 def union_status(*dfs: DataFrame) -> DataFrame:

@@ -24,7 +24,6 @@ from crawlframe.functions.metadata import (
     meta_add,
     meta_first,
     meta_of,
-    meta_remove,
     meta_set,
     meta_true,
     meta_update,
@@ -45,6 +44,7 @@ from crawlframe.operators.keys import partition_key
 from crawlframe.operators.schedule import classify_fetch, next_fetch_news, sitemap_delay
 from crawlframe.schemas import (
     ERROR_CAUSE,
+    ERROR_COUNT,
     ERROR_MESSAGE,
     ERROR_SOURCE,
     IS_FEED,
@@ -210,7 +210,7 @@ def document_updates(
         IS_NEWS: F.when(kind == "sitemap", "false"),
         IS_VERIFIED: F.when((kind == "sitemap") & F.col("is_index") & meta_true(parent, IS_VERIFIED), "true"),
     }
-    child = F.when(kind == "redirect", meta_remove(parent, REDIR_TO)).otherwise(meta_update(tracked, below_map))
+    child = meta_update(tracked, below_map)
     marker = F.array(F.struct(F.lit(None).cast("string").alias("url"), F.lit(-1).alias("url_pos"), F.lit(-1).alias("link_pos")))
     rows = F.concat(marker.cast(_LINK), F.coalesce("_links", F.array().cast(_LINK)))
     is_link = F.col("url_pos") >= 0
@@ -228,12 +228,8 @@ def document_updates(
         "url_pos",
         "link_pos",
         (~is_link).alias("is_doc"),
-        # the target of a redirect is not an extracted link: no filter looks at it
-        (~is_link | (F.col("kind") == "redirect")).alias("is_exempt"),
     )
-    hops = F.col("is_exempt") & ~F.col("is_doc")
-    flat = flat.withColumns({"_hop": F.when(hops, F.col("url")), "url": F.when(~hops, F.col("url"))})
-    kept = apply_url_filters(flat, chain, bypass="is_exempt").withColumn("url", F.coalesce("url", "_hop"))
+    kept = apply_url_filters(flat, chain, bypass="is_doc")
 
     # one order for both, so the rows of a document are sorted once
     per_doc = W.partitionBy("_doc_id").orderBy("url_pos", "link_pos")
@@ -254,8 +250,15 @@ def document_updates(
             NUM_LINKS: F.when(is_map & ~bad, F.col("_n").cast("string")),
             IS_INDEX: F.when(is_map & ~bad & F.col("is_index"), "true"),
             IS_FEED: F.when(is_feed, "true"),
+            # a document that can't be read keeps the signature it had
+            SIGNATURE: F.when(bad, meta_first(parent, SIGNATURE_OLD)),
+        },
+        remove={
+            NUM_LINKS: bad,
+            IS_INDEX: is_map & ~bad & ~F.col("is_index"),
+            SIGNATURE: bad & meta_first(parent, SIGNATURE_OLD).isNull(),
+            SIGNATURE_OLD: bad,
         },
-        remove={NUM_LINKS: bad, IS_INDEX: is_map & ~bad & ~F.col("is_index")},
     )
     own = F.when(is_map | is_feed, changed).otherwise(parent)
     staggered = ~F.col("is_doc") & is_map & F.col("is_index") & (F.col("_nth") > 0)
@@ -315,17 +318,23 @@ def crawl_updates(
     """
     if "state" not in fetched.columns:
         fetched = fetched.withColumn("state", F.lit(None).cast("string"))
-    result = classify_fetch(F.col("http_status"), meta_first(F.col("metadata"), "error.count").try_cast("int"))
-    classified = compute_once(fetched, "state", F.coalesce("state", result))
+    failures = F.coalesce(meta_first(F.col("metadata"), ERROR_COUNT).try_cast("int"), F.lit(0)) + 1
+    classified = compute_once(fetched, "state", F.coalesce("state", classify_fetch(F.col("http_status"), failures)))
     good = F.col("state") == "FETCHED"
+    failed = F.col("state") == "FETCH_ERROR"
+    counted = meta_update(F.col("metadata"), {ERROR_COUNT: F.when(failed, failures.cast("string"))}, remove={ERROR_COUNT: good})
+    has_count = F.map_contains_key("metadata", F.lit(ERROR_COUNT))
+    classified = classified.withColumn("metadata", F.when(failed | (good & has_count), counted).otherwise(F.col("metadata")))
     # bodies of failed fetches are not looked at
     body = F.when(good, F.col("content"))
     routed = route_fetched(classified.withColumn("content", body))
-    signed = apply_parse_filters(routed, parse_filters).select(
+    # only documents that are parsed pass the parse filters
+    parsed = good & F.col("branch").isin("sitemap", "feed")
+    signed = apply_parse_filters(routed.withColumn("_before", F.col("metadata")), parse_filters).select(
         "url",
         "content",
         "state",
-        F.when(good, F.col("metadata")).otherwise(meta_remove(F.col("metadata"), SIGNATURE, SIGNATURE_OLD)).alias("metadata"),
+        F.when(parsed, F.col("metadata")).otherwise(F.col("_before")).alias("metadata"),
         F.when(good & F.col("branch").isin("sitemap", "feed"), F.col("branch"))
         .when(F.col("state") == "REDIRECTION", "redirect")
         .otherwise("plain")

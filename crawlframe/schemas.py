@@ -46,6 +46,9 @@ REDIR_TO = "_redirTo"
 SITEMAP_FLAGS = (IS_SITEMAP, IS_NEWS, IS_INDEX, IS_VERIFIED)
 
 # The metadata kept when a row is stored.
+#: Failed fetches in a row.
+ERROR_COUNT = "error.count"
+
 PERSISTED_KEYS = (
     "_redirTo",
     "fetch.statusCode",

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: A table is broadcast only after an aggregate over it proved both bounds.
@@ -44,35 +42,6 @@ def as_ts(value: Column | str | dt.datetime) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a local one only where none is named."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or tempfile.mkdtemp(prefix="crawlframe-")
-
-
-@dataclass(frozen=True)
-class TableSize:
-    """Measured size of a candidate build side."""
-
-    rows: int
-    bytes: int
-
-    def fits(self, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-        return self.rows <= max_rows and self.bytes <= max_bytes
-
-
-def measure(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> TableSize:
-    """Rows and text bytes of ``df``; reading stops just past ``max_rows``."""
-    row = (
-        df.limit(max_rows + 1)
-        .select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("b"))
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
-        .first()
-    )
-    return TableSize(row["n"], row["b"])
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
-    """Hint a broadcast when the measured size is within both bounds, else leave the join to AQE."""
-    return F.broadcast(df) if measure(df, max_rows).fits(max_rows, max_bytes) else df
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

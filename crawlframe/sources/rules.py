@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crawlframe.functions.urls import OPTIONAL_REWRITES  # noqa: F401  (catalogue of rewrites)
 
 
 def valid_regex(pattern: Column) -> Column:

@@ -8,21 +8,26 @@ Layout of a status table::
 A batch of updates is one small append, whatever the size of the table. Writing the same batch
 again replaces its own directory, so replays change nothing. Readers see base and updates merged by
 the same upsert the batch operators use, and because the snapshot is bucketed by url only the updates
-are shuffled for it. ``compact_status`` folds the updates into a new snapshot; the pointer file
-(version and number of buckets) moves last. One writer at a time, as with one streaming query.
+are shuffled for it. ``compact_status`` folds the updates into a new snapshot. A snapshot counts from the
+moment its marker ``root/_current/v=000003-b=16`` (version and number of buckets) exists; markers are only
+ever added, and the highest one holds, so a crash at any point leaves the last complete snapshot in
+force. One writer at a time, as with one streaming query.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.functions.urls import url_id
 from crawlframe.schemas import CONTENT, METRICS, STATUS, UPDATES
 
-_POINTER = "_CURRENT"
+_MARKERS = "_current"
+_MARKER = re.compile(r"v=(\d+)-b=(\d+)")
+#: Batches of updates after which ``write_status`` folds them.
+COMPACT_AFTER = 64
 
 
 def _fs(spark: SparkSession, path: str):
@@ -42,15 +47,11 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 
 
 def _pointer(spark: SparkSession, root: str) -> tuple[int, int]:
-    fs, p, jvm = _fs(spark, f"{root}/{_POINTER}")
+    fs, p, _ = _fs(spark, f"{root}/{_MARKERS}")
     if not fs.exists(p):
         return 0, 0
-    stream = fs.open(p)
-    try:
-        version, buckets = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
-        return int(version), int(buckets)
-    finally:
-        stream.close()
+    names = (_MARKER.fullmatch(f.getPath().getName()) for f in fs.listStatus(p))
+    return max(((int(m[1]), int(m[2])) for m in names if m), default=(0, 0))
 
 
 def current_version(spark: SparkSession, root: str) -> int:
@@ -59,15 +60,8 @@ def current_version(spark: SparkSession, root: str) -> int:
 
 
 def _point_to(spark: SparkSession, root: str, version: int, buckets: int) -> None:
-    fs, p, jvm = _fs(spark, f"{root}/{_POINTER}")
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_{version}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(f"{version} {buckets}", "utf-8"))
-    out.close()
-    # a reader between the two calls sees no pointer only on stores without atomic replace
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    fs, p, _ = _fs(spark, f"{root}/{_MARKERS}/v={version:06d}-b={buckets}")
+    fs.create(p, False).close()
 
 
 def _base(root: str, version: int) -> str:
@@ -114,11 +108,18 @@ def _read_base(spark: SparkSession, root: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_status(updates: DataFrame, root: str, batch_id: int) -> None:
-    """Append one batch of status updates; the same ``batch_id`` replaces itself."""
+def write_status(updates: DataFrame, root: str, batch_id: int, compact_after: int = COMPACT_AFTER) -> None:
+    """Append one batch of status updates; the same ``batch_id`` replaces itself.
+
+    More than ``compact_after`` batches are folded into a new snapshot (0: never). Writing the last batch
+    once more behind the fold repeats an upsert whose results are already there.
+    """
     version = current_version(updates.sparkSession, root)
     cols = [c.split(" ")[0] for c in UPDATES.split(", ")]
     updates.select(*cols).write.mode("overwrite").parquet(f"{_updates(root, version)}/batch={batch_id}")
+    fs, p, _ = _fs(updates.sparkSession, _updates(root, version))
+    if compact_after and len(fs.listStatus(p)) > compact_after:
+        compact_status(updates.sparkSession, root)
 
 
 def read_status(spark: SparkSession, root: str) -> DataFrame:
@@ -154,24 +155,6 @@ def init_tables(spark: SparkSession, root: str) -> None:
     )
 
 
-def merge_status(updates: DataFrame, table: str) -> None:
-    """The same upsert as one MERGE, for catalogs whose tables take it."""
-    from crawlframe.operators.upsert import collapse_updates
-
-    source = collapse_updates(updates).withColumn("url_id", url_id(F.col("url"))).alias("u")
-    overwrites = F.col("u.status") != "DISCOVERED"
-    changed = {c: F.col(f"u.{c}") for c in ("status", "next_fetch", "metadata")}
-    new = {c: F.col(f"u.{c}") for c in ("url", "url_id", "key", "status", "next_fetch", "metadata")}
-    (
-        source.mergeInto(table, F.expr(f"{table}.url = u.url"))
-        .whenMatched(overwrites)
-        .update(changed)
-        .whenNotMatched()
-        .insert(new)
-        .merge()
-    )
-
-
 def write_metrics(df: DataFrame, path: str) -> None:
     """Append metric rows, one directory per day."""
     df.withColumn("date", F.to_date("ts")).write.partitionBy("date").mode("append").parquet(path)

@@ -164,6 +164,10 @@ class ScheduleState(StatefulProcessor):
                     sig = row.signature
                 else:
                     errors += 1
+                    # fixed intervals; too many failures in a row are final
+                    final = row.status == "FETCH_ERROR" and errors >= self.max_errors
+                    if not final and row.minutes >= 0:
+                        due = when + pd.Timedelta(minutes=row.minutes)
                 out.append((key[0], sig, changed, since, interval, errors, due))
             frame = pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in STATE_OUT.split(",")])
             for c in ("signature_change", "next_fetch"):
