@@ -63,11 +63,11 @@ def likeness(a: str, b: str) -> Column:
 
 
 def _neighbours(docs: DataFrame) -> DataFrame:
-    """o, h (order: doc_id, then text), times, and before each: po, ph, pn (its code points). The first comes after the last.
+    """o, h (order: doc_id, then text), doc_id, times, and before each: po, ph, pn (its code points). The first comes after the last.
 
     Ids alone are ranged; what lies across the ends of ranges is one row per range.
     """
-    ids = docs.groupBy("o", "h").agg(F.count("*").alias("times"), F.max("n").alias("n"))
+    ids = docs.groupBy("o", "h").agg(F.count("*").alias("times"), F.max("n").alias("n"), F.max("doc_id").alias("doc_id"))
     ids = store(ids.repartitionByRange("o", "h").withColumn("part", F.spark_partition_id()), "order")
     inner = Window.partitionBy("part").orderBy("o", "h")
     own = F.struct("o", "h", "n")
@@ -77,7 +77,7 @@ def _neighbours(docs: DataFrame) -> DataFrame:
     whole = Window.partitionBy(F.lit(1))
     ends = ends.withColumn("wrap", F.max("last").over(whole)).select("part", F.coalesce(F.lag("last").over(every), "wrap").alias("edge"))
     before = F.coalesce(F.lag(own).over(inner), "edge")
-    return ids.join(ends, "part").withColumn("b", before).select("o", "h", "times", F.col("b.o").alias("po"), F.col("b.h").alias("ph"), F.col("b.n").alias("pn"))
+    return ids.join(ends, "part").withColumn("b", before).select("o", "h", "doc_id", "times", F.col("b.o").alias("po"), F.col("b.h").alias("ph"), F.col("b.n").alias("pn"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -88,24 +88,25 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     keyed = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).withColumn("o", order).withColumn("h", F.xxhash64("text"))
-    beside = store(_neighbours(keyed.select("o", "h", F.length("text").alias("n"))), "beside")
+    beside = store(_neighbours(keyed.select("o", "h", "doc_id", F.length("text").alias("n"))), "beside")
     first = F.row_number().over(Window.partitionBy("o", "h").orderBy("o"))
-    texts = keyed.select("o", "h", "doc_id", "text").withColumn("first", first).filter("first = 1").drop("first")
+    # used twice with the same columns, so the texts are shuffled once
+    texts = keyed.select("o", "h", "text").withColumn("first", first).filter("first = 1").drop("first")
     tails = texts.join(beside, ["o", "h"]).select(F.col("po").alias("o"), F.col("ph").alias("h"), F.expr("left(text, cast(floor(pn / 4) as int))").alias("tail"))
     n = F.length("text")
     edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 4) as int))"), F.col("tail"))
-    both = texts.join(tails, ["o", "h"]).select("o", "h", "doc_id", n.cast("long").alias("n_chars"), F.array("text", edited).alias("forms"))
-    forms = both.select("o", "h", "doc_id", "n_chars", F.posexplode("forms").alias("form", "text"))
+    both = texts.join(tails, ["o", "h"]).select("o", "h", n.cast("long").alias("n_chars"), F.array("text", edited).alias("forms"))
+    forms = both.select("o", "h", "n_chars", F.posexplode("forms").alias("form", "text"))
     digest = F.when(F.col("form") == 1, F.sha2(F.encode("text", "utf-8"), 256))
     forms = forms.withColumn("edited_sha256", digest)
-    found = fingerprints(forms, ["o", "h", "doc_id", "n_chars", "form", "edited_sha256"])
+    found = fingerprints(forms, ["o", "h", "n_chars", "form", "edited_sha256"])
     pick = lambda c, form: F.max(F.when(F.col("form") == form, F.col(c)))
-    wide = found.groupBy("o", "h", "doc_id", "n_chars").agg(pick("fp", 0).alias("fp"), pick("fp", 1).alias("edited_fp"), F.max("edited_sha256").alias("edited_sha256"))
+    wide = found.groupBy("o", "h", "n_chars").agg(pick("fp", 0).alias("fp"), pick("fp", 1).alias("edited_fp"), F.max("edited_sha256").alias("edited_sha256"))
     wide = store(wide, "fingerprints")
     following = wide.select("o", "h", F.col("fp").alias("next_fp")).join(beside.select("o", "h", "po", "ph"), ["o", "h"]).select(
         F.col("po").alias("o"), F.col("ph").alias("h"), "next_fp"
     )
-    out = wide.join(following, ["o", "h"]).join(beside.select("o", "h", "times"), ["o", "h"])
+    out = wide.join(following, ["o", "h"]).join(beside.select("o", "h", "doc_id", "times"), ["o", "h"])
     text = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
     return out.select(
         "doc_id",
