@@ -40,7 +40,7 @@ SHINGLE_WORDS = 5
 THRESHOLD = 75
 #: Slots of the table that orders shingles, and bits of the filters in front of joins: both of fixed size.
 ORDER_SLOTS = 22
-FILTER_BITS = 25
+FILTER_BITS = 27
 #: A shingle counts as common from this many documents on.
 COMMON = 8
 #: Ids up to this many (8 bytes each) are sent to all tasks.
@@ -159,12 +159,41 @@ def _may_link(n1: Column, p1: Column, n2: Column, p2: Column, threshold: int) ->
     return (100 * F.least(n1, n2) >= threshold * F.greatest(n1, n2)) & ((100 + threshold) * most >= threshold * (n1 + n2))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, threshold: int, table) -> DataFrame:
-    """The pairs (a, b) of classes whose sets reach the threshold."""
-    spark = docs.sparkSession
-    members = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    needed = store(members.join(classes.select("cid", "rep"), "cid"), "needed")
-    wanted = spark.sparkContext.broadcast(bit_filter(needed.select("rep"), "rep"))
+def short_codes(ids: np.ndarray) -> bytes:
+    """A set in about a byte per shingle: how many, the width of its codes, and the gaps of the sorted distinct codes.
+
+    A code is the high end of a remixed id, five bits wider than the set's size. Gaps are bytes; 255 goes on.
+    """
+    width = 5 + int(len(ids)).bit_length()
+    codes = np.unique(mix(ids ^ U64(0x3C6EF372FE94F82B)) >> U64(64 - width))
+    gaps = np.diff(codes, prepend=U64(0)).astype(np.int64)
+    ends = np.cumsum(gaps // 255 + 1)
+    out = np.full(ends[-1], 255, np.uint8)
+    out[ends - 1] = gaps % 255
+    return np.array([len(ids), width], "<i8").tobytes() + out.tobytes()
+
+
+def most_common(x: bytes, y: bytes) -> tuple[int, int, int]:
+    """Sizes of two sets of ``short_codes``, and what their intersection can't exceed."""
+
+    def read(raw: bytes) -> tuple[int, int, np.ndarray]:
+        n, width = np.frombuffer(raw, "<i8", 2)
+        steps = np.frombuffer(raw, np.uint8, offset=16)
+        return int(n), int(width), np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+    (n, width, a), (m, other, b) = read(x), read(y)
+    if width > other:
+        a = np.unique(a >> (width - other))
+    elif other > width:
+        b = np.unique(b >> (other - width))
+    # every common shingle has a common code; those that share a code are counted by what each set has over its codes
+    both = int(np.isin(a, b, assume_unique=True).sum())
+    return n, m, both + min(n - len(a), m - len(b))
+
+
+def _sets_of(docs: DataFrame, needed: DataFrame, size: int, table, encode) -> DataFrame:
+    """cid and ``encode`` of the set of each needed class (cid, rep), built from the texts of the reps."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(needed.select("rep"), "rep"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, words = table.value, wanted.value
@@ -173,26 +202,48 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
             for part in text_slices(batch.column(1)):
                 ids, n = _sets(part, size, levels)
                 ends = np.cumsum(n)
-                sets = [ids[e - k : e].tobytes() for e, k in zip(ends, n, strict=True)]
-                yield pa.RecordBatch.from_arrays([_long(_sums(mix(ids), n)), pa.array(sets, pa.binary())], names=["cid", "ids"])
+                keep = np.flatnonzero(n)
+                sets = [encode(ids[ends[i] - n[i] : ends[i]]) for i in keep]
+                yield pa.RecordBatch.from_arrays([_long(_sums(mix(ids), n)[keep]), pa.array(sets, pa.binary())], names=["cid", "ids"])
 
     found = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    sets = found.mapInArrow(build, "cid long, ids binary").join(needed.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
-    sets = store(sets, "sets", "none")
+    sets = found.mapInArrow(build, "cid long, ids binary")
+    return store(sets.join(needed.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets", "none")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, table, encode, check) -> DataFrame:
+    """The pairs (a, b) of classes whose encoded sets pass ``check``."""
+    members = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+    needed = store(members.join(classes.select("cid", "rep"), "cid"), "needed")
+    sets = _sets_of(docs, needed, size, table, encode)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(100 * both >= threshold * (len(x) + len(y) - both))
+            keep = [check(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return store(joined.mapInArrow(check, "a long, b long"), "links")
+    joined = pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return store(joined.mapInArrow(run, "a long, b long"), "checked")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, threshold: int, table) -> DataFrame:
+    """The pairs (a, b) of classes whose sets reach the threshold.
+
+    Short codes bound each intersection first, so whole sets move only for pairs that link or nearly do.
+    """
+
+    def may(x, y) -> bool:
+        n, m, both = most_common(x, y)
+        return (100 + threshold) * both >= threshold * (n + m)
+
+    def do(x, y) -> bool:
+        a, b = np.frombuffer(x, U64), np.frombuffer(y, U64)
+        at = np.searchsorted(a, b)
+        both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+        return (100 + threshold) * both >= threshold * (len(a) + len(b))
+
+    left = _checked(docs, pairs, classes, size, table, short_codes, may)
+    return _checked(docs, left, classes, size, table, lambda ids: ids.tobytes(), do)
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -229,12 +280,14 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int =
         "classes",
     )
 
-    # shingles that more than one group has in its prefix, each with the group that is least for it
+    # prefix entries of shingles that occur more than once, and per shingle the group that is least for it
+    often = rows.filter("n > 0").select(F.explode("prefix").alias("s")).groupBy("s").agg(F.count("*").alias("times")).filter("times > 1")
+    words = spark.sparkContext.broadcast(bit_filter(often, "s"))
+    entries = store(_candidates(rows, words), "entries")
     mixed = F.col("pk").bitwiseXOR(F.col("s"))
-    shared = rows.filter("n > 0").select("pk", F.explode("prefix").alias("s")).groupBy("s").agg(F.min(mixed).alias("lo"), F.max(mixed).alias("hi"))
-    shared = store(shared.filter("lo <> hi").select("s", F.col("lo").bitwiseXOR(F.col("s")).alias("lead")), "shared")
-    words = spark.sparkContext.broadcast(bit_filter(shared, "s"))
-    entries = store(_candidates(rows, words).join(shared, "s"), "entries")
+    shared = entries.groupBy("s").agg(F.min(mixed).alias("lo"), F.max(mixed).alias("hi"))
+    shared = shared.filter("lo <> hi").select("s", F.col("lo").bitwiseXOR(F.col("s")).alias("lead"))
+    entries = store(entries.join(shared, "s"), "entries")
 
     leads = entries.filter("pk = lead").select("s", F.col("n").alias("ln"), F.col("pos").alias("lpos"))
     may = _may_link(F.col("n"), F.col("pos"), F.col("ln"), F.col("lpos"), threshold)

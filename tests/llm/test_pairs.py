@@ -11,7 +11,7 @@ import pytest
 
 from crawlframe.llm.decontaminate import GAP, MATCH, MISMATCH, align, leaked_items, without_leaks
 from crawlframe.llm.graph import components
-from crawlframe.llm.jaccard_join import jaccard_classes
+from crawlframe.llm.jaccard_join import jaccard_classes, most_common, short_codes
 from crawlframe.llm.words import text_slices
 
 SCHEMA = "doc_id long, text string, k1 long, n string, label string, row string"
@@ -186,3 +186,11 @@ def test_leaks(spark):
     left = without_leaks(docs, table)
     assert left.columns == docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(d) for d, *_ in rows if d not in {x for x, _ in expected})
+
+
+def test_short_codes_bound_the_intersection():
+    rng = np.random.default_rng(11)
+    for n, m, both in [(1, 1, 1), (1, 3, 0), (40, 50, 30), (600, 700, 500), (3000, 2000, 1500), (9, 9, 9)]:
+        ids = rng.integers(0, 2**63, n + m - both, dtype=np.int64).astype(np.uint64)
+        got = most_common(short_codes(np.sort(ids[:n])), short_codes(np.sort(ids[n - both :])))
+        assert got[:2] == (n, m) and both <= got[2] <= min(both + 2 + 0.1 * min(n, m), min(n, m))
