@@ -29,6 +29,7 @@ from crawlframe.functions.predicates import (
 )
 from crawlframe.functions.stage import compute_once, with_parts
 from crawlframe.functions.urls import label_count, last_labels, normalize_url, punycode_host, regex_normalize
+from crawlframe.operators.keys import domain_join
 from crawlframe.schemas import ERROR_CAUSE
 from crawlframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
@@ -261,8 +262,11 @@ def robots_flag(links: DataFrame, robots_rules: DataFrame, agent: str = "*") ->
     the link side only: AQE splits their partitions.
     """
     by_host = robots_by_host(robots_rules, agent).select(F.col("key").alias("_host"), F.col("rules").alias("_rules"))
+    # rows without a host, such as the marker rows of documents, are spread over keys that match nothing
+    plain = [c for c, t in links.dtypes if not t.startswith(("map", "array", "struct"))]
+    nowhere = F.concat(F.lit("\x01"), F.pmod(F.xxhash64(*plain), F.lit(1 << 20)).cast("string"))
     staged = with_parts(links)
-    joined = staged.join(by_host, F.lower("_p.host") == F.col("_host"), "left")
+    joined = staged.join(by_host, F.coalesce(F.lower("_p.host"), nowhere) == F.col("_host"), "left")
     file = F.when(F.col("_p.path") == "", F.lit("/")).otherwise(F.col("_p.file"))
     matching = F.filter(
         "_rules",
@@ -314,6 +318,17 @@ def _column_step(name: str, params: dict, columns: Sequence[str]) -> Column:
     return F.when(keep, url)
 
 
+def _same_site(df: DataFrame, params: dict) -> DataFrame:
+    """Add ``_same``: whether a link stays in the registered domain (and host, if asked for) of its parent."""
+    if params.get("suffixes") is None:
+        raise ValueError("the host step needs a suffix table for ignore_domain")
+    for side, name in (("parent_url", "_pd"), ("url", "_ud")):
+        staged = with_parts(df, side, "_q").withColumn("_h", F.lower("_q.host")).drop("_q")
+        df = domain_join(staged, params["suffixes"], "_h").drop("_h", "suffix").withColumnRenamed("domain", name)
+    keep = host_filter(F.col("parent_url"), F.col("url"), params.get("ignore_host", False), True, F.col("_pd"), F.col("_ud"))
+    return df.withColumn("_same", keep)
+
+
 def apply_url_filters(df: DataFrame, chain: Sequence[Step], bypass: str | None = None) -> DataFrame:
     """Run ``{name, params}`` steps in order. A rejected URL leaves the DataFrame at its step.
 
@@ -338,6 +353,9 @@ def apply_url_filters(df: DataFrame, chain: Sequence[Step], bypass: str | None =
             if rules is not None:
                 df = robots_flag(df.select(*columns), rules, params.get("agent", "*")).filter(F.col("allowed") | exempt)
                 fresh = False
+        elif name == "host" and params.get("ignore_domain") and "parent_url" in columns:
+            df = _same_site(df.select(*columns), params).filter(F.col("_same") | exempt)
+            fresh = False
         elif not _is_noop(name, params):
             if name in _NEEDS_PARTS and not fresh:
                 df, fresh = with_parts(df), True

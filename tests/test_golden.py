@@ -568,3 +568,11 @@ def test_signatures_of_parsed_documents_only(spark):
     assert "signature" not in out["http://a.example/"].metadata
     assert out["http://m.example/"].metadata["signature"] != ["0"] and out["http://m.example/"].metadata["signatureOld"] == ["0"]
     assert out["http://x.example/"].status == "ERROR" and out["http://x.example/"].metadata["signature"] == ["0"]
+
+
+def test_host_step_inside_a_chain(spark):
+    table = R.parse_suffixes(texts(spark, "// list\nuk\nco.uk\ncom\n"))
+    rows = [("http://a.b.co.uk/", u) for u in ("http://c.b.co.uk/x", "http://b.co.uk/", "http://d.co.uk/", "http://a.b.co.uk/y", "nonsense")]
+    links = spark.createDataFrame(rows, "parent_url STRING, url STRING")
+    chain = [{"name": "host", "params": {"ignore_domain": True, "suffixes": table}}]
+    assert {r.url for r in FI.apply_url_filters(links, chain).collect()} == {"http://c.b.co.uk/x", "http://b.co.uk/", "http://a.b.co.uk/y"}
