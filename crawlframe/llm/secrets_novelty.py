@@ -36,6 +36,7 @@ ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 SENSITIVE = (*ASSIGN_WORDS, b"credential", b"bearer", b"authorization", b"private_key", b"private key", b"access_key", b"access key", b"passphrase")
 _SENSITIVE = re.compile("|".join(w.decode() for w in SENSITIVE), re.IGNORECASE | re.ASCII)
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+_HOST = re.compile(r"(?:[a-z0-9-]+\.)+[a-z]{2,}")
 #: Characters around a sensitive word in which strings are candidates, and around a candidate that prime its measure.
 NEAR, AROUND = 80, 256
 #: Least added bytes per character.
@@ -108,6 +109,8 @@ def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty)
             break
         if len(own) < 12 or words[at][0] > start or (past < len(taken) and taken[past][0] < end):
             continue
+        if text[start - 1 : start] == "@" or text[end : end + 1] == "@" or _HOST.fullmatch(own):
+            continue  # mail addresses and host names
         if any(c.isdigit() for c in own) and any(c.isalpha() for c in own) and novelty.of(text, start, end) >= NOVELTY:
             found.append(("novel", start, end))
     return found
