@@ -11,8 +11,9 @@ everything. Two physical forms give the same rows:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,16 +111,40 @@ def _with_rule_lists(urls: DataFrame, rules: DataFrame, prof: RuleProfile) -> tu
     return out, lists
 
 
+#: Patterns that mean something else inside an alternation: back-references, inline flags, quoting.
+_ALONE = re.compile(r"\\[0-9kQE]|\(\?[a-zA-Z-]*[):<]")
+_TOGETHER = 100
+
+
+def _everywhere(rules: DataFrame, path: Column, file: Column) -> Column:
+    """Whether a global rule matches, its patterns as literals that are compiled once per task.
+
+    Called within the measured bounds of the rule table only.
+    """
+    rows = rules.filter("scope = 'domain' AND key = '.'").select("kind", "pattern").distinct().collect()
+    hit = F.lit(any(r["kind"] == "all" for r in rows))
+    for of_path, text in ((True, path), (False, file)):
+        own = sorted(r["pattern"] for r in rows if r["kind"] != "all" and (r["kind"] == "path") == of_path)
+        single = [p for p in own if _ALONE.search(p)]
+        joined = [f"(?:{p})" for p in own if not _ALONE.search(p)]
+        for pattern in [*single, *("|".join(joined[i : i + _TOGETHER]) for i in range(0, len(joined), _TOGETHER))]:
+            hit = hit | F.coalesce(text.rlike(pattern), F.lit(False))
+    return hit
+
+
 def _denied_by_lookup(urls: DataFrame, rules: DataFrame, prof: RuleProfile, explain: bool) -> DataFrame:
     keep = urls.columns
     staged = with_parts(urls)
-    joined, lists = _with_rule_lists(staged, rules, prof)
+    # the verdict needs no list of the global rules, the explanation does
+    joined, lists = _with_rule_lists(staged, rules, prof if explain else replace(prof, has_global=False))
     path, file = F.col("_p.path"), F.col("_p.file")
     if explain:
         firsts = [F.get(F.filter(F.col(c), lambda r: _hit(r, path, file)), F.lit(0)) for c in lists]
         rule = F.coalesce(*firsts) if firsts else F.lit(None).cast("struct<seq:bigint,scope:string,key:string,kind:string,pattern:string,plain:boolean>")
         return joined.select(*keep, (~F.col("_p.valid")).alias("unparsable"), rule.alias("rule"))
     denied = ~F.col("_p.valid")
+    if prof.has_global:
+        denied = denied | _everywhere(rules, path, file)
     for c in lists:
         denied = denied | F.coalesce(F.exists(F.col(c), lambda r: _hit(r, path, file)), F.lit(False))
     return joined.select(*keep, denied.alias("denied"))

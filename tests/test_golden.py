@@ -83,6 +83,14 @@ def test_deny_global_rule_reaches_urls_without_host(spark):
     assert kept(spark, rules, "file:/private/x", "file:/public", "http://a.example/private", None) == {"file:/public"}
 
 
+def test_deny_global_rules_of_all_kinds(spark):
+    text = "Domain .\n DenyPath ^/a[0-9]$\n DenyPathQuery [?]x=(.)\\1\n DenyPathQuery b=2|c=3\n DenyPath (?i)/Upper\n"
+    items = ["http://h/a1", "http://h/a1/b", "http://h/?x=zz", "http://h/?x=zy", "http://h/?c=3", "http://h/c=3", "http://h/UPPER", "http://h/b"]
+    for bounds in ({}, {"max_rows": 0, "salts": 3}):
+        rules = R.parse_deny_rules(texts(spark, text)).drop("doc")
+        assert kept(spark, rules, *items, **bounds) == {"http://h/a1/b", "http://h/?x=zy", "http://h/b"}
+
+
 def test_deny_rule_text_semantics(spark):
     text = "DenyPath /orphan\nHostx a.example\nDenyPath /two words\nDenyPath /cut#off\nHost\nDenyPath (bad\nDenyPath .\nDenyPathQuery .?\n"
     got = {(r.scope, r.key, r.kind, r.pattern) for r in R.parse_deny_rules(texts(spark, text)).collect()}
