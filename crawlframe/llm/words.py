@@ -13,6 +13,8 @@ import pyarrow as pa
 
 #: Bytes of text that are turned into arrays at a time (a longer single text makes its own slice).
 SLICE_BYTES = 2 << 20
+#: Bytes of text that are hashed at a time.
+HASH_BYTES = 1 << 19
 U64 = np.uint64
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -68,11 +70,16 @@ class WordSlice:
         """One 64-bit hash for each word."""
         if not len(self.starts):
             return np.empty(0, U64)
-        n = len(self.data)
-        spans = np.diff(self.starts, append=n)
-        pos = np.arange(self.starts[0], n) - np.repeat(self.starts, spans)
-        value = _BYTE[self.data[self.starts[0] :]] * _POW[pos & (_POWERS - 1)]
-        return mix(np.add.reduceat(value, self.starts - self.starts[0]))
+        out = np.empty(len(self.starts), U64)
+        i = 0
+        while i < len(out):  # a stretch at a time: the arrays here take many bytes for each of the text
+            j = max(i + 1, int(np.searchsorted(self.starts, self.starts[i] + HASH_BYTES)))
+            first, end = self.starts[i], self.ends[j - 1]
+            starts = self.starts[i:j] - first
+            pos = np.arange(end - first) - np.repeat(starts, np.diff(starts, append=end - first))
+            out[i:j] = mix(np.add.reduceat(_BYTE[self.data[first:end]] * _POW[pos & (_POWERS - 1)], starts))
+            i = j
+        return out
 
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all word n-grams, and the first one of each document (one more at the end).
