@@ -142,10 +142,10 @@ class RefreshingRules:
         files = (
             self._spark.read.format("binaryFile")
             .load(self._path)
-            .agg(F.max("modificationTime").alias("t"), F.sum("length").alias("n"), F.count("*").alias("files"))
+            .agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("h"), F.count("*").alias("files"))
             .first()
         )
-        return (files["t"], files["n"], files["files"])
+        return (files["h"], files["files"])
 
     def get(self) -> DataFrame:
         now = self._fingerprint()

@@ -11,12 +11,13 @@ required, part of the names), and ``info.<field>`` for the header of each file.
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
-import base64
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -55,9 +56,14 @@ def _http_head(text: str | None, fallback: str) -> bytes:
     return head.encode("utf-8") + b"\r\n\r\n"
 
 
+def _utc(when: datetime) -> str:
+    """A worker's time, which is in its own zone, in UTC."""
+    return datetime.fromtimestamp(when.timestamp(), UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
 def warc_records(row: Row) -> bytes:
     """Request (when its headers were stored) and response records of one fetched row."""
-    when = row["fetch_time"].strftime("%Y-%m-%dT%H:%M:%SZ")
+    when = _utc(row["fetch_time"])
     url, body = row["url"], bytes(row["content"] or b"")
     response_id = _record_id("response", url, when)
     out = b""
@@ -100,7 +106,7 @@ class WarcWriter(DataSourceWriter):
     def _filesystem(self):
         from pyarrow import fs
 
-        return fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
+        return fs.FileSystem.from_uri(self.path)
 
     def write(self, iterator: Iterator[Row]) -> WarcFiles:
         from pyspark import TaskContext
@@ -128,7 +134,7 @@ class WarcWriter(DataSourceWriter):
                         _record(
                             {
                                 "WARC-Type": "warcinfo",
-                                "WARC-Date": row["fetch_time"].strftime("%Y-%m-%dT%H:%M:%SZ"),
+                                "WARC-Date": _utc(row["fetch_time"]),
                                 "WARC-Filename": name,
                                 "WARC-Record-ID": _record_id("warcinfo", name),
                                 "Content-Type": "application/warc-fields",
@@ -177,8 +183,13 @@ def write_warc(
     max_minutes: int = 1440,
     info: dict[str, str] | None = None,
 ) -> None:
-    """Write fetched records to WARC files below ``path``."""
-    register(df.sparkSession)
+    """Write fetched records to WARC files below ``path``; one without a scheme is of the default file system."""
+    spark = df.sparkSession
+    register(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    qualified = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    if qualified.startswith("file:/") and not qualified.startswith("file://"):
+        qualified = "file://" + qualified[5:]
     writer = (
         df.select("url", "fetch_time", "http_status", "content", "trimmed", "request_headers", "response_headers")
         .write.format("warc")
@@ -189,4 +200,4 @@ def write_warc(
     )
     for key, value in (info or {}).items():
         writer = writer.option(f"info.{key}", value)
-    writer.mode("append").save(path)
+    writer.mode("append").save(qualified)

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from crawlframe.catalog import registered
 from crawlframe.catalog.fixtures import NOW, sitemap_docs, status_table
 from crawlframe.functions import metadata as M
 from crawlframe.operators import aggregates as A
@@ -83,9 +83,9 @@ def test_key_predicate_reaches_the_scan(spark, tmp_path):
     assert re.search(r"ReadSchema: struct<key:string,status:string>", text)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in ("crawl_step",)])
+@pytest.mark.parametrize("name", list(registered()))
 def test_no_cross_join(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(registered()[name][0](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
