@@ -193,14 +193,14 @@ def personal_spans(docs: DataFrame, **options) -> DataFrame:
 def redact(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets (``[EMAIL]``), and n_chars to match; all their columns."""
     _, more = _with_found(docs, **options)
-    more = store(more.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), "found")
-    if (more.select(F.sum(F.size("more") + 1)).first()[0] or 0) <= BROADCAST_SPANS:
+    more = store(more.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "more": "_spans"}), "found")
+    if (more.select(F.sum(F.size("_spans") + 1)).first()[0] or 0) <= BROADCAST_SPANS:
         more = F.broadcast(more)
     joined = docs.join(more, docs["doc_id"].cast("long").eqNullSafe(more["_id"]) & (F.xxhash64(text_of()) == more["_key"]), "left")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, extra = batch.schema.get_field_index("text"), batch.schema.get_field_index("more")
+            at, extra = batch.schema.get_field_index("text"), batch.schema.get_field_index("_spans")
             data, offsets = text_bytes(batch.column(at).fill_null(""))
             texts = None
             for i in sorted(holders(data, offsets, (b"@", *_DIGITS))):
@@ -220,5 +220,5 @@ def redact(docs: DataFrame, **options) -> DataFrame:
             kept = [i for i in range(len(columns)) if i != extra]
             yield pa.RecordBatch.from_arrays([columns[i] for i in kept], names=[batch.schema.names[i] for i in kept])
 
-    out = joined.select(*[docs[c] for c in docs.columns], "more").mapInArrow(rewrite, docs.schema)
+    out = joined.select(*[docs[c] for c in docs.columns], "_spans").mapInArrow(rewrite, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
