@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlframe.llm.jaccard_join import bit_filter, passes
-from crawlframe.llm.shared import store, text_of
+from crawlframe.llm.shared import lean_batches, store, text_of
 from crawlframe.llm.words import U64, text_slices
 
 SEED_WORDS = 3
@@ -142,7 +142,7 @@ def leaked_items(
     docs: DataFrame, items: DataFrame, size: int = SEED_WORDS, share: float = SEED_SHARE, least: float = LEAST
 ) -> DataFrame:
     """doc_id, item_id, score, first_word, end_word: each item found in each document, best place only."""
-    spark = docs.sparkSession
+    spark = lean_batches(docs).sparkSession
     known = store(_item_words(items, size), "items")
     grams = known.select("item_id", F.explode("grams").alias("gram"))
     all_grams = spark.sparkContext.broadcast(bit_filter(grams, "gram"))

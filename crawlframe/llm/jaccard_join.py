@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlframe.llm.graph import components
-from crawlframe.llm.shared import store, text_of
+from crawlframe.llm.shared import lean_batches, store, text_of
 from crawlframe.llm.words import U64, WordSlice, mix, text_slices
 
 SHINGLE_WORDS = 5
@@ -45,7 +45,7 @@ FILTER_BITS = 27
 COMMON = 8
 #: Ids up to this many (8 bytes each) are sent to all tasks.
 BROADCAST_IDS = 1_000_000
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 
 
 def _long(values: np.ndarray) -> pa.Array:
@@ -272,7 +272,7 @@ def _candidates(rows: DataFrame, docs_filter) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (documents of equal sets share it) of every row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
+    spark = lean_batches(docs).sparkSession
     table = spark.sparkContext.broadcast(order_table(docs, size))
     rows = store(set_rows(docs, size, threshold, table), "sets")
     classes = store(

@@ -25,6 +25,12 @@ def store(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """``df``, whose session hands at most so many rows at a time to Python: texts are large, tasks have little memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return df
+
+
 def text_of(column: str = "text") -> Column:
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are turned into arrays at a time (a longer single text makes its own slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes of text that are hashed at a time.
 HASH_BYTES = 1 << 19
 U64 = np.uint64
