@@ -6,7 +6,7 @@
    prefix of that order which any set of enough overlap must meet. Equal sets become one class;
    classes of equal prefix and size one group.
 3. Groups that share a prefix shingle are candidates. First every group meets one partner per shingle
-   (a different one for each, so a large family is linked many times over without its pairs). Size and
+   (the most central one there, so a large family is linked without its pairs). Size and
    position bounds drop pairs that can't reach the threshold. Pairs that are left expand to classes,
    and only classes in candidates have their sets built again and intersected.
 4. What that has not joined yet meets in full: all group pairs of a shingle whose classes still lie in
@@ -280,16 +280,18 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int =
         "classes",
     )
 
-    # prefix entries of shingles that occur more than once, and per shingle the group that is least for it
+    # prefix entries of shingles that occur more than once, and per shingle the group that is most central
     often = rows.filter("n > 0").select(F.explode("prefix").alias("s")).groupBy("s").agg(F.count("*").alias("times")).filter("times > 1")
     words = spark.sparkContext.broadcast(bit_filter(often, "s"))
     entries = store(_candidates(rows, words), "entries")
+    # the fewest rare shingles ahead of it make a group central; ties are broken anew for each shingle
     mixed = F.col("pk").bitwiseXOR(F.col("s"))
-    shared = entries.groupBy("s").agg(F.min(mixed).alias("lo"), F.max(mixed).alias("hi"))
-    shared = shared.filter("lo <> hi").select("s", F.col("lo").bitwiseXOR(F.col("s")).alias("lead"))
-    entries = store(entries.join(shared, "s"), "entries")
+    rank = F.least(F.col("pos"), F.lit((1 << 20) - 1)) * F.lit(1 << 43) + F.shiftrightunsigned(mixed, 21)
+    shared = entries.groupBy("s").agg(F.min(rank).alias("least"), F.min("pk").alias("lo"), F.max("pk").alias("hi"))
+    shared = shared.filter("lo <> hi").select("s", "least")
+    entries = store(entries.join(shared, "s").withColumn("leads", rank == F.col("least")).drop("least"), "entries")
 
-    leads = entries.filter("pk = lead").select("s", F.col("n").alias("ln"), F.col("pos").alias("lpos"))
+    leads = entries.filter("leads").select("s", F.col("pk").alias("lead"), F.col("n").alias("ln"), F.col("pos").alias("lpos"))
     may = _may_link(F.col("n"), F.col("pos"), F.col("ln"), F.col("lpos"), threshold)
     group_pairs = entries.join(leads, "s").filter((F.col("pk") != F.col("lead")) & may).select("pk", "lead").distinct()
     first_of = classes.groupBy("pk").agg(F.min("cid").alias("first"), F.count("*").alias("m"))
@@ -303,7 +305,7 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int =
     label = F.coalesce("component", "cid")
     at = store(classes.join(known, classes["cid"] == known["node"], "left").select("cid", "pk", "n", label.alias("label")), "labels")
     groups = at.groupBy("pk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    open_entries = entries.drop("lead").join(groups, "pk")
+    open_entries = entries.drop("leads").join(groups, "pk")
     open_s = open_entries.groupBy("s").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a <> b").select("s")
     open_entries = store(open_entries.join(open_s, "s"), "open")
     x, y = open_entries.toDF("s", *[f"x_{c}" for c in open_entries.columns[1:]]), open_entries.toDF("s", *[f"y_{c}" for c in open_entries.columns[1:]])
