@@ -3,9 +3,11 @@
 Fixed forms (mail addresses, IPv4 addresses, card numbers that pass Luhn's check, international phone
 numbers) are the seeds. The words around a seed, with the shape of what they enclose, are its patterns. A
 bipartite graph links patterns with the instances (identifier-like strings) they enclose anywhere in the
-corpus. Rounds over it as Spark aggregates: a pattern is as reliable as the mean of its instances, with
-a prior against small samples; an instance as its best patterns together. Instances of no fixed form
-that end above the bar are reported as ``found``.
+corpus. Rounds over it as Spark aggregates: a pattern lives once it meets an instance above the bar, be it
+a seed or discovered in a round before; it is as reliable as the mean of its instances, with
+a prior against small samples; an instance as its best patterns together. Scores only rise, so the rounds
+end: when no further instance passes the bar. Instances of no fixed form that end above it are reported
+as ``found``.
 
 A pattern or instance that is very frequent is a plain sum with map-side parts; nothing is gathered per
 pattern. Scores live in tables written to the shared folder between rounds.
@@ -40,6 +42,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CONTEXT = 64
 _DIGITS = tuple(str(d).encode() for d in range(10))
 
+#: Least number of rounds; more follow as long as instances pass the bar for the first time.
 ROUNDS = 3
 #: Weight of the prior (of reliability 0) in a pattern's mean, as instances.
 PRIOR = 3.0
@@ -151,22 +154,26 @@ def _patterns() -> Column:
 
 
 def discovered(occurrences: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR, bar: float = BAR) -> DataFrame:
-    """value, score of the instances that the patterns of the seeds reach."""
-    seeds = occurrences.filter("kind <> ''").select("value").distinct().withColumn("score", F.lit(1.0))
+    """value, score of the instances that the patterns of the seeds, and those of what these discover, reach."""
+    seeds = store(occurrences.filter("kind <> ''").select("value").distinct().withColumn("score", F.lit(1.0)), "seeds")
     links = occurrences.select("value", F.explode(_patterns()).alias("pattern")).groupBy("value", "pattern").agg(F.count("*").alias("times"))
-    # an instance counts once for a pattern, and only patterns that meet a seed and something else matter
+    # an instance counts once for a pattern, and only patterns that can carry a score from one instance to another that is no seed matter
     score = F.coalesce("score", F.lit(0.0))
     known = links.join(seeds, "value", "left").withColumn("score", score).groupBy("pattern")
-    alive = known.agg(F.max("score").alias("hi"), F.min("score").alias("lo")).filter("hi > 0 and lo = 0").select("pattern")
-    links = store(links.join(alive, "pattern"), "links")
-    scores = seeds
-    for _ in range(rounds):
-        rated = links.join(scores, "value", "left").groupBy("pattern").agg((F.sum(score) / (F.count("*") + prior)).alias("trust"))
+    useful = known.agg(F.count("*").alias("instances"), F.min("score").alias("lo")).filter("instances > 1 and lo = 0").select("pattern")
+    links = store(links.join(useful, "pattern"), "links")
+    scores, passed, done = seeds, -1, 0
+    while True:
+        rated = links.join(scores, "value", "left").groupBy("pattern").agg((F.sum(score) / (F.count("*") + prior)).alias("trust"), F.max(score).alias("hi"))
+        rated = rated.filter(F.col("hi") >= bar).drop("hi")
         # several patterns that agree: one minus the chance that all are wrong
         doubt = F.sum(F.log1p(-F.least("trust", F.lit(0.999))))
         found = links.join(rated, "pattern").groupBy("value").agg((1 - F.exp(doubt / 2)).alias("reached"))
         merged = found.join(seeds, "value", "full").select("value", F.greatest(F.coalesce("reached", F.lit(0.0)), score).alias("score"))
         scores = store(merged, "scores")
+        done, before, passed = done + 1, passed, scores.filter(F.col("score") >= bar).count()
+        if done >= rounds and passed == before:
+            break
     return scores.join(seeds.select("value"), "value", "left_anti").filter(F.col("score") >= bar)
 
 

@@ -124,6 +124,20 @@ def test_personal_data(spark):
         assert found == (re.findall(r"030-\d{7}", text or ""))
 
 
+def test_discovery_goes_on_from_what_it_discovered(spark):
+    """Each hop has two contexts that only the identifiers of the hop before share with it."""
+    hops = [[f"mail{i}@example.com" for i in range(30)]] + [[f"{c}{c}-{1000 + 7 * i}-{c}" for i in range(30)] for c in "pqrstu"]
+    texts = []
+    for hop, (own, following) in enumerate(zip(hops, hops[1:])):
+        texts += [f"{word}{hop} key{hop} {x} end{hop} and" for x in [*own, *following[:30]] for word in ("alpha", "beta", "gamma", "delta")]
+    texts += [f"plain words {5000 + i}-zz here" for i in range(30)]
+    found = set()
+    for row in pii_bootstrap.personal_spans(frame(spark, texts)).collect():
+        text = texts[3 if row.doc_id is None else row.doc_id // 5]
+        found |= {text[a:b] for kind, a, b in row.spans if kind == "found"}
+    assert found == {x for hop in hops[1:] for x in hop}
+
+
 def test_redaction(spark):
     texts = personal_texts()
     docs = frame(spark, texts)
