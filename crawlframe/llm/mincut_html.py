@@ -8,6 +8,11 @@ element that holds them, and elements with theirs; an element of a region of its
 menu, hangs on loosely. The minimum cut is the cheapest labelling. Nodes whose terminal capacity exceeds
 all their edges are settled first, which doesn't change the cut's value; maximum flow decides the rest.
 
+A class or id word such as sidebar is a cost among others: an article or main below it begins a region of
+content again unless its own class names it a comment, an advertisement or related matter, and
+long sentences outweigh it. Names such as has-sidebar or share-enabled aren't such words. Element names and roles
+(nav, aside, footer) and hidden elements do decide for all they hold.
+
 Each page is read where it lies: no shuffle. Work is linear in the page's length but for the flow
 among what isn't settled.
 
@@ -56,8 +61,17 @@ AWAY_WORDS = frozenset(
     "signup login share sharing social related recommended recommendations popup modal banner notice notices alert toolbar pagination pager "
     "masthead topbar skip".split()
 )
+#: Of these, the ones that tell an article apart from a page's own.
+ITEM_WORDS = frozenset(
+    "ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments disqus reply replies respond "
+    "related recommended recommendations".split()
+)
+HEAD_WORDS = frozenset(("header", "head"))
+#: A class name with one of these says what the page has, not what the element is.
+MODIFIERS = frozenset("has have with without no open enabled disabled".split())
 TEXT_WORDS = frozenset("article content post entry story text body main".split())
-AWAY, FORM, NEUTRAL, MILD, MAIN = -2, -1, 0, 1, 2
+#: NAMED: under a class or id word of AWAY_WORDS alone.
+AWAY, NAMED, FORM, NEUTRAL, MILD, MAIN = -3, -2, -1, 0, 1, 2
 
 
 class Element:
@@ -87,7 +101,9 @@ def _region(name: str, attributes: str, up: Element) -> tuple[int, float]:
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
-                words.update(w.lower() for w in _PART.findall(value))
+                for own in value.split():
+                    parts = {w.lower() for w in _PART.findall(own)}
+                    words |= parts - AWAY_WORDS - HEAD_WORDS if parts & MODIFIERS else parts
             elif key == "role":
                 role = value.lower().strip()
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
@@ -99,14 +115,18 @@ def _region(name: str, attributes: str, up: Element) -> tuple[int, float]:
     main = name in ("article", "main") or role in ("main", "article")
     if held == AWAY:
         return AWAY, 1.0
-    if not whole and (role in AWAY_ROLES or name in AWAY_TAGS or words & AWAY_WORDS) and not (name == "main" or role == "main"):
+    if not whole and (role in AWAY_ROLES or name in AWAY_TAGS) and not (name == "main" or role == "main"):
         if name == "form" and not words & AWAY_WORDS:
-            return (FORM if held < MAIN else AWAY), 0.1
+            return (FORM if NAMED < held < MAIN else NAMED if held == NAMED else AWAY), 0.1
         return AWAY, 0.1
-    if (name == "header" or words & {"header", "head"}) and held < MILD and not main and not whole:
-        return AWAY, 0.1
-    if main:
+    if main and not (words & ITEM_WORDS and name != "main" and role != "main"):
         return MAIN, 0.3
+    if name == "header" and held < MILD and not whole:
+        return AWAY, 0.1
+    if not whole and (words & AWAY_WORDS or (words & HEAD_WORDS and held < MILD)):
+        return NAMED, 0.1
+    if held == NAMED:
+        return NAMED, 1.0
     if held in (MAIN, FORM):
         return held, 1.0
     if words & TEXT_WORDS and not whole:
@@ -216,6 +236,8 @@ def log_odds(block: Block, some_main: bool) -> float:
     region = block.holder.region
     if region == AWAY:
         base = -6.0
+    elif region == NAMED:
+        base = -3.0 if some_main else -2.6
     elif region == MAIN:
         base = 2.5
     elif region == MILD:
@@ -352,7 +374,7 @@ def main_text(page: str | None) -> str:
     edges: list[tuple[int, int, float]] = []
     for i in range(1, len(blocks)):
         a, b = blocks[i - 1].holder, blocks[i].holder
-        apart = 0.2 if (a.region == AWAY) != (b.region == AWAY) else 1.0
+        apart = 0.2 if (a.region <= NAMED) != (b.region <= NAMED) else 1.0
         edges.append((i - 1, i, ADJACENT * apart / (1 + _steps(a, b))))
     for i, block in enumerate(blocks):
         child, at = i, block.holder

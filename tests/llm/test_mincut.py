@@ -76,6 +76,25 @@ def test_site_forms(body):
     assert main_text(site(body)) == WANTED
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        f'<div class="layout with-sidebar"><article>{PARTS}</article></div>',
+        f'<article class="post share-enabled">{PARTS}</article>',
+        f'<article class="post share related-open">{PARTS}</article>',
+        f'<div id="content" class="has-comments">{PARTS}</div>',
+        f'<div class="sidebar-layout"><div><article>{PARTS}</article></div></div>',
+        f'<div class="widget"><main>{PARTS}</main></div>',
+    ],
+)
+def test_wrappers_with_class_words(body):
+    assert main_text(site(body)) == WANTED
+
+
+def test_long_sentences_outweigh_a_class_word():
+    assert main_text(f'<div class="subscription-page"><p>{LONG * 12}</p><p>{LONG * 12}</p></div>').count("nobody") == 24
+
+
 def test_links_between_paragraphs_stay():
     page = f'<article><p>{LONG}</p><p><a href="x">See what the council said about it</a></p><p>{LONG}</p></article>'
     assert main_text(page).count("\n\n") == 2
