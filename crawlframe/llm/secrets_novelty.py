@@ -1,10 +1,15 @@
 """Secrets in texts: fixed forms, and strings that dictionary-primed compression can't shorten.
 
 Fixed forms are key-value assignments, access key ids and long lower-case hexadecimal runs. Beyond them,
-every word-like run in the neighbourhood of a sensitive word is a candidate. zstandard, primed with a
+runs of 12 characters or more of A-Z, a-z, 0-9 and +/_.=- that hold a digit are candidates where they begin
+within 80 characters of a sensitive word, or behind one in its statement (to a line's end, a semicolon or a
+sentence's end), or in a private key block. zstandard, primed with a
 dictionary of identifiers, compresses the text around the candidate without and with it; the added
 bytes per character are its novelty. Names, paths and repeats cost little, random strings about what they hold.
 
+Left out are runs without a digit (added bytes don't tell them from rare words: 'uncharacteristically' has 0.80 a
+character, 20 random letters 0.80), strings broken by other signs, mail addresses and host names.
+
 Each text is looked at whole, where it lies: no shuffle. Documents that hold none of the trigger words
 are told apart for a whole batch at memory speed.
 
@@ -15,6 +20,7 @@ and in linear time; an empty table gives an empty result; other columns are not
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +42,8 @@ ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 SENSITIVE = (*ASSIGN_WORDS, b"credential", b"bearer", b"authorization", b"private_key", b"private key", b"access_key", b"access key", b"passphrase")
 _SENSITIVE = re.compile("|".join(w.decode() for w in SENSITIVE), re.IGNORECASE | re.ASCII)
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+_STATEMENT_END = re.compile(r"[\n;]|[.!?](?=\s)")
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY")
 _HOST = re.compile(r"(?:[a-z0-9-]+\.)+[a-z]{2,}")
 #: Characters around a sensitive word in which strings are candidates, and around a candidate that prime its measure.
 NEAR, AROUND = 80, 256
@@ -89,11 +97,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
 
 
+def sensitive_regions(text: str) -> list[tuple[int, int]]:
+    """Neighbourhoods of sensitive words, statements behind them and key blocks, by their starts, with ends that don't fall."""
+    words = [(m.start(), m.end()) for m in _SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    ends = [m.start() for m in _STATEMENT_END.finditer(text)] + [len(text)]
+    regions = [(a - NEAR, max(b + NEAR, ends[bisect_left(ends, b)])) for a, b in words]
+    done = 0
+    for m in _KEY_BLOCK.finditer(text):
+        if m.start() >= done:
+            done = text.find("-----END", m.end())
+            done = len(text) if done < 0 else done
+            regions.append((m.start(), done))
+    out, last = [], 0
+    for a, b in sorted(regions):
+        last = max(last, b)
+        out.append((a, last))
+    return out
+
+
 def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty) -> list[tuple[str, int, int]]:
     """Candidates in sensitive neighbourhoods that overlap no known span and can't be compressed."""
     found: list[tuple[str, int, int]] = []
     taken = sorted((a, b) for _, a, b in known)
-    words = [(m.start() - NEAR, m.end() + NEAR) for m in _SENSITIVE.finditer(text)]
+    words = sensitive_regions(text)
     if not words:
         return found
     at = past = 0
@@ -111,7 +139,7 @@ def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty)
             continue
         if text[start - 1 : start] == "@" or text[end : end + 1] == "@" or _HOST.fullmatch(own):
             continue  # mail addresses and host names
-        if any(c.isdigit() for c in own) and any(c.isalpha() for c in own) and novelty.of(text, start, end) >= NOVELTY:
+        if any(c.isdigit() for c in own) and novelty.of(text, start, end) >= NOVELTY:
             found.append(("novel", start, end))
     return found
 
