@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,11 +119,22 @@ def op9_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), byte_level=False, end_id=1)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every two sources of each language compared, and what lifts each source above its language."""
+    from crawlframe.llm.divergence import source_divergence
+
+    return source_divergence(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _sql(module: str) -> str:
+    return import_module(f"crawlframe.llm.{module}").ORACLE_SQL
+
+
 QUERIES = {
     "op1_bitpack_ids": (op1_bitpack_ids, None),
     "op2_mincut_html": (op2_mincut_html, None),
@@ -133,5 +146,6 @@ QUERIES = {
     "op8_mil_quality": (op8_mil_quality, None),
     "op10_decontaminate": (op10_decontaminate, None),
     "op9_bounded_space_packing": (op9_bounded_space_packing, None),
+    "op13_source_divergence": (op13_source_divergence, _sql("divergence")),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
