@@ -119,6 +119,23 @@ def op9_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), byte_level=False, end_id=1)
 
 
+def op11_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's strongest phrases of two to five words."""
+    from crawlframe.llm.collocations import collocations
+
+    return collocations(_documents(spark, sf_dir))
+
+
+def op12_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; a quarter of the ids is held out of the filters."""
+    from crawlframe.llm.language_filters import learn_filters, predict_languages
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = _documents(spark, sf_dir)
+    found = predict_languages(docs, learn_filters(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every two sources of each language compared, and what lifts each source above its language."""
     from crawlframe.llm.divergence import source_divergence
@@ -146,6 +163,8 @@ QUERIES = {
     "op8_mil_quality": (op8_mil_quality, None),
     "op10_decontaminate": (op10_decontaminate, None),
     "op9_bounded_space_packing": (op9_bounded_space_packing, None),
+    "op11_suffix_collocations": (op11_suffix_collocations, _sql("collocations")),
+    "op12_language_filters": (op12_language_filters, None),
     "op13_source_divergence": (op13_source_divergence, _sql("divergence")),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
