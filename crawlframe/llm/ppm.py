@@ -1,20 +1,21 @@
-"""Document scores by prediction by partial matching over the bytes of words, and by word counts.
+"""Document scores by prediction by partial matching over the bytes of whole texts, and by word counts.
 
-The model is a trie of byte contexts up to ``order`` bytes deep, learned from all training texts. A word
-is its bytes and a space, a document's end a line feed; contexts reach back to the word's start, so a
-word costs the same wherever it stands. A byte that follows its longest known context gets its count
+The model is a trie of byte contexts up to ``order`` bytes deep, learned from all training texts. A document is one
+line: its words (A-Z lower-cased) with a space behind each, and a line feed. Contexts reach back over spaces into the words
+before; ahead of a line there are spaces. A byte that follows its longest known context gets its count
 there, less one half, over the context's count; the halves make up the escape (method D). On an escape
 the next shorter context decides, with the followers already ruled out left out of its counts. A byte
 counts in a shorter context once for each longer one that had it (update exclusion). Behind the empty
-context all bytes not seen yet are alike. Probabilities of all continuations sum to one.
+context all bytes not seen yet are alike. Probabilities of all continuations sum to one; a byte's log10 is
+rounded to 2 ** -24, so that a text's sum is the same in any order of adding.
 
 Neither the trie nor the word counts are bounded, and the order is the same at every size. Codes (a byte
-and its context) are counted over all training texts with Spark; those of other texts count 0. All levels
-of a code but the two lowest lie with the two bytes before it, by which codes are dealt to buckets: each
-builds its part of the trie and prices its codes. The two lowest levels (65,792 nodes at most) are
-broadcast. Documents in a row make chunks of some megabytes, stored with their distinct words and who has
-which how often; each chunk asks every bucket once for its distinct words and codes, packed to one
-row, and gets counts and costs back by a cogroup. Texts are never shuffled.
+and its context) are counted over all training texts with Spark; those of other texts count 0. A code is dealt to a
+bucket by the two bytes before it; two bytes with more codes than a bucket should hold are extended by the byte before
+them, and so on. Each bucket builds its part of the trie and prices its codes; the nodes that buckets share are
+broadcast: the two lowest levels (65,792 nodes at most), and the followers of the extended contexts (256 each). Documents in a row make
+chunks of some megabytes, stored with their lines packed; each chunk asks every bucket once for its distinct words and codes, packed to one
+row, and gets counts and costs back by a cogroup. A bucket that is asked for much answers in several tasks.
 
 Cases: null or empty text is its end alone; repeated rows are each scored (and each learned from); an
 empty training set makes all bytes alike and base scores 0; rows without doc_id are held in; an empty
@@ -32,40 +33,89 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.llm.shared import lean_batches, same_partition_count, store, text_of
-from crawlframe.llm.words import U64, WordSlice, text_slices
+from crawlframe.llm.words import U64, WordSlice, mix
 
-ORDER = 6
-CHUNK_BYTES = 16 << 20
-_COUNT_SLICE = 6 << 20
+ORDER = 5
+CHUNK_BYTES = 8 << 20
+#: Bytes whose codes are held at a time.
+_STRETCH = 1 << 20
 #: Levels of the trie that every task has, and about how many words and codes a bucket holds.
 _LOW = 2
-_BUCKET_KEYS = 200_000
+BUCKET_KEYS = 200_000
+#: Packed bytes of one bucket's questions that a task takes.
+ASK_BYTES = 64 << 20
 _WALK = 1 << 18
 #: Set in the keys of words; byte codes have at most 56 bits.
 _WORD = U64(1 << 63)
-_SPACE, _END = 0x20, 0x0A
+#: Costs are whole multiples of this.
+_UNIT = 2.0**-24
 
 
-def end_code(order: int) -> int:
-    """The end of a document behind an empty context."""
-    return int.from_bytes(bytes([_SPACE] * order + [_END]), "big")
+def line_of(text: bytes) -> bytes:
+    """The words with a space behind each, and the end."""
+    words = text.lower().split()
+    return b" ".join(words) + b" \n" if words else b"\n"
 
 
-def word_codes(part: WordSlice, words: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte of the chosen words and the space behind, with the ``order`` bytes before it, as one number; and the number per word."""
-    lengths = part.ends[words] - part.starts[words]
-    padded = lengths + 1 + order
-    first = np.cumsum(padded) - padded
-    total = int(padded.sum())
-    line = np.full(total + order, _SPACE, U64)
-    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    line[np.repeat(first + order, lengths) + inner] = part.data[np.repeat(part.starts[words], lengths) + inner]
-    code = np.zeros(total, U64)
-    for j in range(order + 1):
-        code |= line[order - j : order - j + total] << U64(8 * j)
-    # code[i] ends at line[i + order]; a word's own places begin `order` behind its first
-    at = np.arange((lengths + 1).sum()) - np.repeat(np.cumsum(lengths + 1) - lengths - 1, lengths + 1)
-    return code[np.repeat(first, lengths + 1) + at], lengths + 1
+class Lines:
+    """Some documents' lines: ``first`` is the first one's place in its batch."""
+
+    def __init__(self, lines: list[bytes], first: int = 0):
+        self.first, self.lines = first, lines
+        self.lengths = np.array([len(x) for x in lines], np.int64)
+
+    @classmethod
+    def cut(cls, column: pa.Array, max_bytes: int) -> Iterator[Lines]:
+        """The lines of a string column in order, so many bytes at a time (one longer line is a cut of its own); null counts as empty."""
+        raw = column.cast(pa.large_binary())
+        held, size, first = [], 0, 0
+        for i in range(len(raw)):
+            line = line_of(raw[i].as_py() or b"")
+            if held and size + len(line) > max_bytes:
+                yield cls(held, first)
+                held, size, first = [], 0, i
+            held.append(line)
+            size += len(line)
+        if held:
+            yield cls(held, first)
+
+    def __len__(self) -> int:
+        return len(self.lines)
+
+    def words(self) -> WordSlice:
+        offsets = np.concatenate([[0], np.cumsum(self.lengths)])
+        return WordSlice(np.frombuffer(b"".join(self.lines), np.uint8), offsets, range(len(self)))
+
+    def codes(self, order: int, stretch: int = _STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(document, code) of every byte: the byte and the ``order`` bytes before it as one number, some at a time."""
+        pad = b" " * order
+        whole = np.frombuffer(b"".join([pad + x for x in self.lines]), np.uint8)
+        edges = np.concatenate([[0], np.cumsum(self.lengths + order)])
+        for i in range(order, len(whole), stretch):
+            j = min(i + stretch, len(whole))
+            code = np.zeros(j - i, U64)
+            for back in range(order, -1, -1):
+                code = (code << U64(8)) | whole[i - back : j - back]
+            a, b = np.searchsorted(edges, [i, j - 1], "right") - 1
+            own = np.repeat(np.arange(a, b + 1), np.diff(np.clip(edges[a : b + 2], i, j)))
+            inside = np.arange(i, j) - edges[own] >= order
+            yield own[inside], code[inside]
+
+    def keys(self, order: int) -> np.ndarray:
+        """All distinct codes, ascending."""
+        parts = [np.unique(c) for _, c in self.codes(order)]
+        return np.unique(np.concatenate(parts)) if parts else np.empty(0, U64)
+
+    def pack(self) -> bytes:
+        import zstandard
+
+        return zstandard.ZstdCompressor(level=3).compress(b"".join(self.lines))
+
+    @classmethod
+    def unpack(cls, packed: bytes) -> Lines:
+        import zstandard
+
+        return cls(zstandard.ZstdDecompressor().decompress(packed).splitlines(keepends=True))
 
 
 def _mask(level: int) -> np.uint64:
@@ -90,20 +140,24 @@ class Trie:
     sums: list[np.ndarray] = field(default_factory=list)
     kinds: list[np.ndarray] = field(default_factory=list)
     lower: list[np.ndarray] = field(default_factory=list)
-    leaf_costs: np.ndarray | None = None
 
     @classmethod
-    def of(cls, codes: np.ndarray, counts: np.ndarray, order: int, low: Trie | None = None) -> Trie:
-        """From the distinct codes of the deepest level and their counts; the lowest levels are those of ``low`` where given."""
+    def of(cls, codes: np.ndarray, counts: np.ndarray, order: int, low: Shared | None = None) -> Trie:
+        """From the distinct codes of the deepest level and their counts; nodes that buckets share are those of ``low`` where given."""
         trie = cls(order)
         by = np.argsort(codes)
         nodes = [(codes[by], counts[by])]
-        for level in range(order - 1, low.order if low else -1, -1):
+        for level in range(order - 1, low.trie.order if low else -1, -1):
             # a byte counts in a shorter context once for each longer one it was new in
             own, n = np.unique(nodes[0][0] & _mask(level), return_counts=True)
+            if low and level in low.heavy:
+                alone = ~_find(low.heavy[level], own >> U64(8))[1]
+                own, n = np.concatenate([own[alone], low.codes[level]]), np.concatenate([n[alone], low.counts[level]])
+                by = np.argsort(own)
+                own, n = own[by], n[by]
             nodes.insert(0, (own, n.astype(np.int64)))
         if low:
-            nodes[:0] = zip(low.codes, low.counts, strict=True)
+            nodes[:0] = zip(low.trie.codes, low.trie.counts, strict=True)
         for level, (own, n) in enumerate(nodes):
             first = np.flatnonzero(np.diff(own >> U64(8), prepend=~U64(0)) != 0) if len(own) else np.empty(0, np.int64)
             trie.codes.append(own)
@@ -116,7 +170,6 @@ class Trie:
                 trie.lower.append(np.add.reduceat(trie.counts[level - 1][at], first) if len(first) else n)
             else:
                 trie.lower.append(np.zeros(len(first), np.int64))
-        trie.leaf_costs = None if low else trie.walk(trie.codes[order])
         return trie
 
     def walk(self, codes: np.ndarray) -> np.ndarray:
@@ -143,16 +196,29 @@ class Trie:
         cost[open_] -= np.log10(256 - out_kinds[open_])
         return cost
 
-    def cost(self, codes: np.ndarray) -> np.ndarray:
-        own, group = np.unique(codes, return_inverse=True)
-        at, known = _find(self.codes[self.order], own)
-        out = self.leaf_costs[at] if len(self.leaf_costs) else np.zeros(len(own))
-        out[~known] = self.walk(own[~known])
-        return out[group]
 
+@dataclass
+class Shared:
+    """What all buckets have: the lowest levels, and by depth the extended contexts with the nodes behind them."""
+
+    trie: Trie
+    heavy: dict[int, np.ndarray] = field(default_factory=dict)
+    codes: dict[int, np.ndarray] = field(default_factory=dict)
+    counts: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def bucket_of(self, keys: np.ndarray, buckets: int) -> np.ndarray:
+        """Codes go by the two bytes before the last, or more where these are extended, words by their hash."""
+        before = keys >> U64(8)
+        part = np.where(keys >= _WORD, keys, before & _mask(_LOW - 1))
+        more = keys < _WORD
+        for depth in sorted(self.heavy):
+            more &= _find(self.heavy[depth], before & _mask(depth - 1))[1]
+            part[more] = (before[more] & _mask(depth)) + (U64(depth) << U64(56))
+        return ((mix(part) >> U64(33)) % U64(buckets)).astype(np.int32)
 
-def _counts(rows: DataFrame, order: int) -> DataFrame:
-    """key, n over the training texts of ``rows`` (held_out, text): words have the top bit of their hash set, byte codes and ends don't.
+
+def _counts(rows: DataFrame, order: int, chunk_bytes: int) -> DataFrame:
+    """key, n over the training texts of ``rows`` (held_out, text): words have the top bit of their hash set, byte codes don't.
 
     Codes that only other texts have are there with 0.
     """
@@ -160,16 +226,21 @@ def _counts(rows: DataFrame, order: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             learned = ~batch.column(0).fill_null(True).to_numpy(zero_copy_only=False)
-            for part in text_slices(batch.column(1), _COUNT_SLICE):
-                own = learned[part.rows.start : part.rows.stop]
-                keys, at, word = np.unique(part.hashes() | _WORD, return_index=True, return_inverse=True)
-                n = np.bincount(word, np.repeat(own, np.diff(part.first)), minlength=len(keys)).astype(np.int64)
-                codes, per_word = word_codes(part, at, order)
-                grams, group = np.unique(codes, return_inverse=True)
-                gram_n = np.bincount(group, np.repeat(n, per_word), minlength=len(grams)).astype(np.int64)
-                every = np.concatenate([keys[n > 0], grams, [U64(end_code(order))]]).view(np.int64)
-                numbers = np.concatenate([n[n > 0], gram_n, [own.sum()]]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(numbers)], names=["key", "n"])
+            for lines in Lines.cut(batch.column(1), chunk_bytes):
+                own = learned[lines.first : lines.first + len(lines)]
+                part = lines.words()
+                words, n = np.unique(part.hashes()[np.repeat(own, np.diff(part.first))] | _WORD, return_counts=True)
+                del part
+                keys, numbers = [words], [n]
+                for doc, codes in lines.codes(order):
+                    train = own[doc]
+                    grams, n = np.unique(codes[train], return_counts=True)
+                    other = np.unique(codes[~train])
+                    keys += [grams, other]
+                    numbers += [n, np.zeros(len(other), np.int64)]
+                every, at = np.unique(np.concatenate(keys), return_inverse=True)
+                n = np.bincount(at, np.concatenate(numbers), len(every)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     return rows.select("held_out", "text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -183,208 +254,175 @@ def _from_planes(raw: bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
-def pack_bags(doc: np.ndarray, word: np.ndarray, docs: int, words: int) -> tuple[bytes, bytes, bytes]:
-    """How often each document (of ``docs``) has each word (of ``words``): words per document, gaps between them, counts."""
+def _press(values: np.ndarray, width: int) -> bytes:
     import zstandard
 
-    pair, times = np.unique(doc * max(words, 1) + word, return_counts=True)
-    own, at = pair // max(words, 1), pair % max(words, 1)
-    gaps = np.diff(at, prepend=0)
-    gaps[np.flatnonzero(np.diff(own, prepend=-1))] = at[np.flatnonzero(np.diff(own, prepend=-1))]
-    press = zstandard.ZstdCompressor(level=3).compress
-    return press(_planes(np.bincount(own, minlength=docs), 4)), press(_planes(gaps, 4)), press(_planes(times, 4))
+    return zstandard.ZstdCompressor(level=3).compress(_planes(values, width))
 
 
-def unpack_bags(packed: tuple[bytes, bytes, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, word and count of each entry of ``pack_bags``."""
+def _unpress(packed: bytes, width: int) -> np.ndarray:
     import zstandard
 
-    per_doc, gaps, times = (_from_planes(zstandard.ZstdDecompressor().decompress(p), 4) for p in packed)
-    doc = np.repeat(np.arange(len(per_doc)), per_doc)
-    total = np.cumsum(gaps)
-    first = np.cumsum(per_doc) - per_doc
-    before = np.concatenate([[0], total])[first]
-    return doc, total - np.repeat(before, per_doc), times
-
-
-def _low_levels(grams: DataFrame, order: int) -> Trie:
-    """The lowest levels of the trie of ``grams`` (key, n)."""
-    if order >= _LOW:
-        # a byte counts in a shorter context once for each longer one it was new in
-        longer = grams.select(F.col("key").bitwiseAND(int(_mask(_LOW))).alias("key")).distinct()
-        grams = longer.groupBy(F.col("key").bitwiseAND(int(_mask(_LOW - 1))).alias("key")).agg(F.count("*").alias("n"))
-    rows = grams.select("key", "n").toArrow()
-    return Trie.of(rows["key"].to_numpy().view(U64), rows["n"].to_numpy(), min(order, _LOW - 1))
-
-
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Codes go by the two bytes before the last, words by their hash."""
-    part = np.where(keys >= _WORD, keys, (keys >> U64(8)) & _mask(_LOW - 1)) & U64(0x7FFFFFFF)
-    return (part % U64(buckets)).astype(np.int32)
-
-
-def _bucket_column(buckets: int) -> Column:
-    part = F.when(F.col("key") < 0, F.col("key")).otherwise(F.shiftright("key", 8).bitwiseAND(int(_mask(_LOW - 1))))
-    return (part.bitwiseAND(0x7FFFFFFF) % buckets).cast("int")
+    return _from_planes(zstandard.ZstdDecompressor().decompress(packed), width)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
     """Ascending numbers as the gaps between them."""
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=3).compress(_planes(np.diff(keys, prepend=U64(0)), 8))
+    return _press(np.diff(keys, prepend=U64(0)), 8)
 
 
 def unpack_keys(packed: bytes) -> np.ndarray:
-    import zstandard
+    return np.cumsum(_unpress(packed, 8).view(U64))
 
-    return np.cumsum(_from_planes(zstandard.ZstdDecompressor().decompress(packed), 8).view(U64))
 
+def _masked(level: int) -> Column:
+    return F.col("key").bitwiseAND(int(_mask(level)))
 
-def _answers(asked: DataFrame, counted: DataFrame, order: int, buckets: int) -> DataFrame:
-    """own, bucket, value of every row of ``asked`` (own, bucket, keys): counts of words, and log10 of the probabilities of codes."""
-    low = counted.sparkSession.sparkContext.broadcast(_low_levels(counted.filter("key >= 0 and n > 0"), order))
 
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        import zstandard
+def _followers(grams: DataFrame, level: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of a level: a byte counts in a context once for each longer one it was new in."""
+    if level < order:
+        grams = grams.select(_masked(level + 1).alias("key")).distinct().groupBy(_masked(level).alias("key")).agg(F.count("*").alias("n"))
+    rows = grams.select("key", "n").toArrow()
+    codes, n = rows["key"].to_numpy().view(U64), rows["n"].to_numpy()
+    by = np.argsort(codes)
+    return codes[by], n[by]
+
+
+def _shared(counted: DataFrame, order: int, bucket_keys: int) -> Shared:
+    """Extended contexts have more codes than a bucket should; there are fewer than codes / ``bucket_keys`` a level."""
+    grams = counted.filter("key >= 0")
+    known = grams.filter("n > 0")
+    low = min(order, _LOW - 1)
+    shared = Shared(Trie.of(*_followers(known, low, order), low))
+    for depth in range(_LOW, order):
+        context = F.shiftrightunsigned("key", 8).bitwiseAND(int(_mask(depth - 1)))
+        many = grams.groupBy(context.alias("context")).agg(F.count("*").alias("codes")).filter(F.col("codes") > bucket_keys)
+        heavy = sorted(r["context"] for r in many.collect())
+        if not heavy:
+            break
+        grams, known = grams.filter(context.isin(heavy)), known.filter(context.isin(heavy))
+        shared.heavy[depth] = np.array(heavy, U64)
+        shared.codes[depth], shared.counts[depth] = _followers(known, depth, order)
+    return shared
+
+
+def _answers(asked: DataFrame, counted: DataFrame, shared, order: int, buckets: int, ask_bytes: int) -> DataFrame:
+    """own, bucket, costs, counts of every row of ``asked`` (own, bucket, keys): counts of words, and costs of codes."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = shared.value.bucket_of(batch.column(0).to_numpy().view(U64), buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns], names=["bucket", "key", "n"])
 
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         keys, n = right["key"].to_numpy().view(U64), right["n"].to_numpy()
         by = np.argsort(keys)
         keys, n = keys[by], n[by]
-        value = n.astype(np.float64)
         codes = int(np.searchsorted(keys, _WORD))
+        cost = np.zeros(codes, np.int64)
         if codes:
             some = n[:codes] > 0
-            model = Trie.of(keys[:codes][some], n[:codes][some], order, low.value) if order >= _LOW else low.value
+            model = Trie.of(keys[:codes][some], n[:codes][some], order, shared.value) if order >= _LOW else shared.value.trie
             for a in range(0, codes, _WALK):
                 b = min(a + _WALK, codes)
-                value[a:b] = model.walk(keys[a:b])
-        told = []
+                cost[a:b] = np.rint(model.walk(keys[a:b]) / -_UNIT)
+        costs, counts = [], []
         for packed in left["keys"]:
-            asked_keys = unpack_keys(packed.as_py())
-            at, known = _find(keys, asked_keys)
-            own = np.where(known, value[at], 0.0) if len(keys) else np.zeros(len(asked_keys))
-            told.append(zstandard.ZstdCompressor(level=3).compress(_planes(own.view(np.int64), 8)))
-        return pa.table([left["own"], left["bucket"], pa.array(told, pa.binary())], names=["own", "bucket", "value"])
-
-    known = counted.select(_bucket_column(buckets).alias("bucket"), "key", "n")
-    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "own long, bucket int, value binary")
-
-
-_CHUNK = (
-    "chunk long, doc_ids array<long>, held array<boolean>, tokens array<long>, asks array<struct<bucket:int,keys:binary>>, letters binary, "
-    "per_doc binary, gaps binary, times binary"
-)
+            own = unpack_keys(packed.as_py())
+            first = int(np.searchsorted(own, _WORD))
+            costs.append(_press(cost[_find(keys[:codes], own[:first])[0]], 4))
+            at, known = _find(keys[codes:], own[first:])
+            counts.append(_press(np.where(known, n[codes:][at], 0) if codes < len(keys) else np.zeros(len(at), np.int64), 8))
+        return pa.table([left["own"], left["bucket"], pa.array(costs, pa.binary()), pa.array(counts, pa.binary())], names=["own", "bucket", "costs", "counts"])
+
+    most = asked.groupBy("bucket").agg(F.sum(F.length("keys")).alias("bytes")).agg(F.max("bytes")).first()[0] or 0
+    tasks = 1 + most // ask_bytes
+    known = counted.select("key", "n").mapInArrow(deal, "bucket int, key long, n long")
+    known = known.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1).cast("int"))))
+    asked = asked.withColumn("task", F.pmod("own", F.lit(tasks)).cast("int"))
+    return asked.groupBy("bucket", "task").cogroup(known.groupBy("bucket", "task")).applyInArrow(answer, "own long, bucket int, costs binary, counts binary")
+
+
+_CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, asks array<struct<bucket:int,keys:binary>>, lines binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _SCORES_ARROW = pa.schema(
     list(zip([c.split()[0] for c in _SCORES.split(", ")], [pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2], strict=True))
 )
 
 
-def pack_words(part: WordSlice, words: np.ndarray) -> bytes:
-    """The bytes of the chosen words, a space behind each."""
-    import zstandard
-
-    lengths = part.ends[words] - part.starts[words] + 1
-    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    line = np.full(len(inner), _SPACE, np.uint8)
-    letter = inner < np.repeat(lengths - 1, lengths)
-    line[letter] = part.data[np.repeat(part.starts[words], lengths)[letter] + inner[letter]]
-    return zstandard.ZstdCompressor(level=3).compress(line.tobytes())
-
-
-def unpack_words(packed: bytes) -> WordSlice:
-    import zstandard
-
-    line = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return WordSlice(line, np.array([0, len(line)]), range(1))
-
-
-def _chunks(rows: DataFrame, order: int, buckets: int, chunk_bytes: int) -> DataFrame:
-    """Documents of some megabytes in a row: their distinct words, which have which, and what they ask of each bucket."""
+def _chunks(rows: DataFrame, shared, order: int, buckets: int, chunk_bytes: int) -> DataFrame:
+    """Documents of some megabytes in a row: their lines, and what they ask of each bucket."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in text_slices(batch.column(2), chunk_bytes):
-                own, at, group = np.unique(part.hashes() | _WORD, return_index=True, return_inverse=True)
-                keys = np.sort(np.concatenate([own, np.unique(word_codes(part, at, order)[0]), [U64(end_code(order))]]))
-                bucket = bucket_of(keys, buckets)
+            for lines in Lines.cut(batch.column(2), chunk_bytes):
+                keys = np.concatenate([lines.keys(order), np.unique(lines.words().hashes() | _WORD)])
+                bucket = shared.value.bucket_of(keys, buckets)
                 by = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
                 asks = [{"bucket": bucket[by[a]], "keys": pack_keys(keys[by[a:b]])} for a, b in zip(cuts, [*cuts[1:], len(by)], strict=True)]
-                per_doc = np.diff(part.first)
-                doc = np.repeat(np.arange(len(per_doc)), per_doc)
-                bags = pack_bags(doc, group, len(per_doc), len(own))
-                first, n = part.rows.start, len(part.rows)
                 row = {
                     "chunk": pa.array([number]),
-                    "doc_ids": pa.array([batch.column(0).slice(first, n).to_pylist()], pa.list_(pa.int64())),
-                    "held": pa.array([batch.column(1).slice(first, n).to_pylist()], pa.list_(pa.bool_())),
-                    "tokens": pa.array([per_doc + 1], pa.list_(pa.int64())),
+                    "doc_ids": pa.array([batch.column(0).slice(lines.first, len(lines)).to_pylist()], pa.list_(pa.int64())),
+                    "held": pa.array([batch.column(1).slice(lines.first, len(lines)).to_pylist()], pa.list_(pa.bool_())),
                     "asks": pa.array([asks], pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary())]))),
-                    "letters": pa.array([pack_words(part, at)], pa.binary()),
+                    "lines": pa.array([lines.pack()], pa.binary()),
                 }
-                row |= {k: pa.array([b], pa.binary()) for k, b in zip(("per_doc", "gaps", "times"), bags, strict=True)}
                 yield pa.RecordBatch.from_pydict(row)
                 number += 1
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(cut, _CHUNK)
 
 
-def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER, max_leaves: int | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def score_documents(
+    docs: DataFrame, held_out: Column, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES, bucket_keys: int = BUCKET_KEYS, ask_bytes: int = ASK_BYTES
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text).
 
     Learns from the rows that don't meet ``held_out``. Scores are log10 probabilities of the whole text:
-    ``base_score`` by smoothed word counts, ``score`` by the trie. Only where ``max_leaves`` is given, the order is
-    lowered until the trie has no more leaves.
+    ``base_score`` by smoothed word counts, ``score`` by the trie.
     """
-    lean_batches(docs)
+    lean_batches(docs, 1000)
     rows = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), text_of().alias("text"))
-    counted = store(_counts(rows, order), "counts")
-    words = counted.filter("key < 0")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = counted.filter(F.col("key") == end_code(order)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counted = store(_counts(rows, order, chunk_bytes), "counts")
+    total, distinct = counted.filter("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = rows.filter(~F.col("held_out")).count()
     tokens, kinds = total + ends, distinct + (ends > 0)
-    grams = counted.filter("key >= 0")
-    while max_leaves is not None and order > 1 and grams.filter("n > 0").count() > max_leaves:
-        order -= 1
-        grams = grams.groupBy(F.col("key").bitwiseAND(int(_mask(order))).alias("key")).agg(F.sum("n").alias("n"))
-
-    counted = words.unionByName(grams)
-    buckets = max(same_partition_count(docs), counted.count() // _BUCKET_KEYS)
-    chunks = store(_chunks(rows, order, buckets, chunk_bytes), "chunks")
+    buckets = max(same_partition_count(docs), counted.count() // bucket_keys)
+    shared = docs.sparkSession.sparkContext.broadcast(_shared(counted, order, bucket_keys))
+    chunks = store(_chunks(rows, shared, order, buckets, chunk_bytes), "chunks")
     asked = chunks.select(F.col("chunk").alias("own"), F.explode("asks").alias("ask")).select("own", "ask.bucket", "ask.keys")
-    answers = _answers(asked, counted, order, buckets)
+    answers = _answers(asked, counted, shared, order, buckets, ask_bytes)
     whole = tokens + 0.5 * (kinds + 1)
 
     def score(left: pa.Table, known: pa.Table) -> pa.Table:
-        import zstandard
-
         out = []
-        plain = zstandard.ZstdDecompressor().decompress
-        told = dict(zip(known["bucket"].to_pylist(), known["value"].to_pylist(), strict=True))
+        told = {b: (c.as_py(), n.as_py()) for b, c, n in zip(known["bucket"].to_pylist(), known["costs"], known["counts"], strict=True)}
         for row in left.to_pylist():
-            doc, word, times = unpack_bags((row["per_doc"], row["gaps"], row["times"]))
-            part = unpack_words(row["letters"])
-            words_own = part.hashes() | _WORD
-            codes, per_word = word_codes(part, np.arange(len(words_own)), order)
-            keys = np.unique(np.concatenate([codes, [U64(end_code(order))], words_own]))
-            value = np.empty(len(keys))
-            by = np.argsort(bucket_of(keys, buckets), kind="stable")
-            value[by] = np.concatenate([_from_planes(plain(told[b]), 8).view(np.float64) for b in sorted(told)])
-            count = value[np.searchsorted(keys, words_own)]
-            trie = np.add.reduceat(value[np.searchsorted(keys, codes)], np.cumsum(per_word) - per_word) if len(codes) else np.empty(0)
-            end = value[np.searchsorted(keys, U64(end_code(order)))]
-            cost = np.log10((count + 0.5) / whole)
-            n = len(row["doc_ids"])
-            base = np.bincount(doc, cost[word] * times, minlength=n) + np.log10((ends + 0.5) / whole)
-            seen = np.bincount(doc, (count[word] > 0) * times, minlength=n).astype(np.int64) + int(ends > 0)
-            columns = [row["doc_ids"], row["held"], row["tokens"], seen, np.full(n, tokens), base, np.bincount(doc, trie[word] * times, minlength=n) + end]
+            lines = Lines.unpack(row["lines"])
+            part = lines.words()
+            hashes, per_doc = part.hashes() | _WORD, np.diff(part.first)
+            del part
+            codes, words = lines.keys(order), np.unique(hashes)
+            cost, count = np.zeros(len(codes), np.int64), np.zeros(len(words), np.int64)
+            for keys, value, at, width in ((codes, cost, 0, 4), (words, count, 1, 8)):
+                bucket = shared.value.bucket_of(keys, buckets)
+                value[np.argsort(bucket, kind="stable")] = np.concatenate([_unpress(told[b][at], width) for b in sorted(told)])
+            n = len(lines)
+            trie = np.zeros(n)
+            for doc, own in lines.codes(order):
+                trie += np.bincount(doc, cost[np.searchsorted(codes, own)], n)
+            doc = np.repeat(np.arange(n), per_doc)
+            own = count[np.searchsorted(words, hashes)] if len(words) else np.empty(0, np.int64)
+            base = np.bincount(doc, np.log10((own + 0.5) / whole), n) + np.log10((ends + 0.5) / whole)
+            seen = np.bincount(doc, own > 0, n).astype(np.int64) + int(ends > 0)
+            columns = [row["doc_ids"], row["held"], per_doc + 1, seen, np.full(n, tokens), base, -_UNIT * trie]
             out.append(pa.table([pa.array(c, f.type) for c, f in zip(columns, _SCORES_ARROW, strict=True)], schema=_SCORES_ARROW))
         return pa.concat_tables(out) if out else _SCORES_ARROW.empty_table()
 
-    bags = chunks.drop("asks")
-    return bags.groupBy("chunk").cogroup(answers.groupBy("own")).applyInArrow(score, _SCORES)
+    texts = chunks.drop("asks")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("own")).applyInArrow(score, _SCORES)
