@@ -11,11 +11,11 @@ from crawlframe.llm.shared import store
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link the greater (``large``) or smaller neighbours of every node to the least one. Edges have u > v.
 
-    The minimum is a partial aggregate and meets the edges again in a plain join, so the edges of a
-    node with very many neighbours can be split over tasks.
+    The minimum is a partial aggregate. It is stored, and meets the edges again in a plain join of two stored tables, so that
+    Spark can split the edges of a node with very many neighbours over tasks.
     """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = store(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     joined = both.join(least, "u")
     if large:
         moved = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -33,6 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
-        state = store(_star(_star(state, True), False), "edges")
+        state = store(_star(store(_star(state, True), "edges"), False), "edges")
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

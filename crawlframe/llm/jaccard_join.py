@@ -1,7 +1,7 @@
 """Exact near-duplicate classes by a grouped prefix join on word shingles.
 
-1. A pass over all texts counts shingles that documents share. Their order of magnitude fills a table
-   of fixed size (a slot per hash); with the hash it orders all shingles, common ones last.
+1. A pass over all texts counts all shingles in a table of fixed size (a slot per hash; a task sends its sums). The order of
+   magnitude of the slots that stand out, with the hash, orders all shingles, common ones last.
 2. A second pass keeps, per document, the size of its shingle set, a 128-bit key of the set, and the
    prefix of that order which any set of enough overlap must meet. Equal sets become one class;
    classes of equal prefix and size one group.
@@ -13,12 +13,13 @@
    different components, under the same bounds. So each pair that shares a prefix shingle is either
    verified or known to be connected, and components are exact.
 
-Any fixed order of shingles gives the same result; the counts only keep candidates few. No step holds
-the documents of a shingle, group or component in one task.
+Any fixed order of shingles gives the same result; the counts only keep candidates few. Documents meet as classes and
+groups; a shingle of more than ``BLOCK`` groups still unconnected is dealt to cells of two blocks each, and joins on
+components meet a stored table of one row a component, so that Spark splits large ones.
 
 Cases: null or empty text, or none but white space: no shingle, no link, its own component. Fewer words
 than a shingle: the whole sequence is the one shingle. Repeated rows have equal sets and so one
-component. A row without doc_id keeps its row; its component is the least doc_id it is linked to, or
+component. A row without doc_id keeps its row and links others; its component is the least doc_id it is linked to, or
 null. An empty table gives an empty result. Other columns of the input are not looked at.
 """
 
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.llm.graph import components
@@ -38,11 +39,14 @@ from crawlframe.llm.words import U64, WordSlice, mix, text_slices
 SHINGLE_WORDS = 5
 #: Likeness in per cent.
 THRESHOLD = 75
-#: Slots of the table that orders shingles, and bits of the filters in front of joins: both of fixed size.
+#: Slots of the table that orders shingles, of fixed size, and the most bits of a filter in front of a join: 128 MB; with more
+#: than a quarter as many values it lets more by, which costs time alone.
 ORDER_SLOTS = 22
-FILTER_BITS = 27
-#: A shingle counts as common from this many documents on.
-COMMON = 8
+FILTER_BITS = 30
+#: A slot counts as common from this many shingles on, and from this many times the mean slot.
+COMMON, STANDS_OUT = 8, 4
+#: Groups of a shingle that meet in one cell, twice.
+BLOCK = 2000
 #: Ids up to this many (8 bytes each) are sent to all tasks.
 BROADCAST_IDS = 1_000_000
 _SLICE = 4 << 20
@@ -53,35 +57,45 @@ def _long(values: np.ndarray) -> pa.Array:
 
 
 def order_table(docs: DataFrame, size: int) -> np.ndarray:
-    """Per slot, the order of magnitude of its most shared shingle's count over all documents."""
+    """Per slot, the order of magnitude of its shingles' occurrences in all documents, 0 unless it stands out."""
+    import zstandard
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block, parts = 1 << 14, 64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part_of = TaskContext.get().partitionId() % parts
+        total = np.zeros(1 << ORDER_SLOTS, np.int64)
         for batch in batches:
             for part in text_slices(batch.column(0), _SLICE):
-                h, first = part.shingles(size)
-                doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                by = np.argsort(h, kind="stable")
-                h, doc = h[by], doc[by]
-                new = np.empty(len(h), bool)
-                new[:1] = True
-                new[1:] = h[1:] != h[:-1]
-                other = new.copy()
-                other[1:] |= doc[1:] != doc[:-1]
-                at = np.flatnonzero(new)
-                docs_of = np.add.reduceat(other.astype(np.int64), at) if len(at) else np.empty(0, np.int64)
-                keep = docs_of > 1
-                yield pa.RecordBatch.from_arrays([_long(h[at[keep]]), pa.array(docs_of[keep])], names=["h", "n"])
-
-    counts = docs.select(text_of()).mapInArrow(shared, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    slots = (
-        counts.filter(F.col("n") >= COMMON)
-        .groupBy(F.shiftrightunsigned("h", 64 - ORDER_SLOTS).alias("slot"))
-        .agg(F.max(F.least(F.log2("n").cast("int"), F.lit(31))).alias("level"))
-        .toArrow()
-    )
-    table = np.zeros(1 << ORDER_SLOTS, np.uint8)
-    table[slots["slot"].to_numpy()] = slots["level"].to_numpy()
-    return table
+                slot = np.sort(part.shingles(size)[0] >> U64(64 - ORDER_SLOTS)).astype(np.int64)
+                first = np.flatnonzero(np.diff(slot, prepend=-1))
+                total[slot[first]] += np.diff(first, append=len(slot))
+        for i in range(0, len(total), block):
+            own = total[i : i + block]
+            if own.any():
+                columns = [pa.array([i // block]), pa.array([part_of]), pa.array([packed(own)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "counts"])
+
+    def packed(own: np.ndarray) -> bytes:
+        return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+    def unpacked(raw: bytes) -> np.ndarray:
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+        return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(unpacked(raw.as_py()) for raw in table["counts"])
+        return pa.table({"block": table["block"][:1], "part": table["part"][:1], "counts": pa.array([packed(total)], pa.binary())})
+
+    schema = "block long, part long, counts binary"
+    sums = docs.select(text_of()).mapInArrow(count, schema).groupBy("block", "part").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
+    counts = np.zeros(1 << ORDER_SLOTS, np.int64)
+    for row in sums.collect():
+        counts[row["block"] * block : (row["block"] + 1) * block] = unpacked(row["counts"])
+    common = counts >= max(COMMON, STANDS_OUT * counts.mean())
+    return np.where(common, np.minimum(np.log2(np.maximum(counts, 1)), 31), 0).astype(np.uint8)
 
 
 def ordered(h: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -104,13 +118,23 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
+def text_key() -> Column:
+    """Tells apart the texts of one doc_id."""
+    return F.xxhash64(text_of())
+
+
+def known_by(doc_id: Column, key: Column) -> Column:
+    """What finds a row's text again: its id, or else its text's key."""
+    return F.coalesce(doc_id, key)
+
+
 def set_rows(docs: DataFrame, size: int, threshold: int, table) -> DataFrame:
-    """doc_id, n, k1, k2 (the set's key), pk (its prefix and size), prefix."""
+    """doc_id, text_key, n, k1, k2 (the set's key), pk (its prefix and size), prefix."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = table.value
         for batch in batches:
-            for part in text_slices(batch.column(1)):
+            for part in text_slices(batch.column(2)):
                 ids, n = _sets(part, size, levels)
                 k1, k2 = _sums(mix(ids), n), _sums(mix(ids ^ U64(0xA5A5A5A5A5A5A5A5)), n)
                 length = np.where(n > 0, n - -(-threshold * n // 100) + 1, 0)
@@ -119,18 +143,19 @@ def set_rows(docs: DataFrame, size: int, threshold: int, table) -> DataFrame:
                 prefix = ids[at]
                 pk = mix(_sums(mix(prefix ^ U64(0x5DEECE66D)), length) + mix(n.astype(U64)))
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), _long(prefix))
-                doc_ids = batch.column(0).slice(part.rows.start, len(part.rows))
+                doc_ids, texts = (batch.column(i).slice(part.rows.start, len(part.rows)) for i in range(2))
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(n), _long(k1), _long(k2), _long(pk), lists], names=["doc_id", "n", "k1", "k2", "pk", "prefix"]
+                    [doc_ids, texts, pa.array(n), _long(k1), _long(k2), _long(pk), lists], names=["doc_id", "text_key", "n", "k1", "k2", "pk", "prefix"]
                 )
 
-    schema = "doc_id long, n long, k1 long, k2 long, pk long, prefix array<long>"
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(rows, schema)
+    schema = "doc_id long, text_key long, n long, k1 long, k2 long, pk long, prefix array<long>"
+    return docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), text_of().alias("text")).mapInArrow(rows, schema)
 
 
-def bit_filter(df: DataFrame, column: str) -> np.ndarray:
-    """A bit for the low bits of every value: ``2 ** FILTER_BITS`` bits at any size of ``df``."""
-    low = F.col(column).bitwiseAND((1 << FILTER_BITS) - 1)
+def bit_filter(df: DataFrame, column: str, values: int, each: int = 4) -> np.ndarray:
+    """A bit for the low bits of every value: ``each`` bits or up to twice as many for each of ``values``, up to ``2 ** FILTER_BITS``."""
+    size = min(FILTER_BITS, max(20, (each * values).bit_length()))
+    low = F.col(column).bitwiseAND((1 << size) - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(63).cast("int"))
     bits = df.groupBy(F.shiftrightunsigned(low, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
     per_row = 1 << 12
@@ -142,14 +167,14 @@ def bit_filter(df: DataFrame, column: str) -> np.ndarray:
 
     # the driver gets whole stretches of bits
     rows = bits.groupBy(F.expr(f"word div {per_row}")).applyInArrow(dense, "part long, words binary").collect()
-    words = np.zeros(1 << (FILTER_BITS - 6), U64)
+    words = np.zeros(1 << (size - 6), U64)
     for row in rows:
         words[row["part"] * per_row : (row["part"] + 1) * per_row] = np.frombuffer(row["words"], U64)
     return words
 
 
 def passes(values: np.ndarray, words: np.ndarray) -> np.ndarray:
-    low = values.view(U64) & U64((1 << FILTER_BITS) - 1)
+    low = values.view(U64) & U64(64 * len(words) - 1)
     return (words[low >> U64(6)] >> (low & U64(63))) & U64(1) > 0
 
 
@@ -192,21 +217,23 @@ def most_common(x: bytes, y: bytes) -> tuple[int, int, int]:
 
 
 def _sets_of(docs: DataFrame, needed: DataFrame, size: int, table, encode) -> DataFrame:
-    """cid and ``encode`` of the set of each needed class (cid, rep), built from the texts of the reps."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(needed.select("rep"), "rep"))
+    """cid and ``encode`` of the set of each needed class (cid, known_by), built from the texts of the rows it is known by."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(needed.select("known_by"), "known_by", needed.count()))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, words = table.value, wanted.value
+        done: set[int] = set()
         for batch in batches:
             batch = batch.filter(pa.array(passes(batch.column(0).to_numpy(zero_copy_only=False), words)))
             for part in text_slices(batch.column(1)):
                 ids, n = _sets(part, size, levels)
-                ends = np.cumsum(n)
-                keep = np.flatnonzero(n)
+                ends, cids = np.cumsum(n), _sums(mix(ids), n)
+                # copies of a row are built once a task
+                keep = [i for i, c in enumerate(cids.tolist()) if n[i] and not (c in done or done.add(c))]
                 sets = [encode(ids[ends[i] - n[i] : ends[i]]) for i in keep]
-                yield pa.RecordBatch.from_arrays([_long(_sums(mix(ids), n)[keep]), pa.array(sets, pa.binary())], names=["cid", "ids"])
+                yield pa.RecordBatch.from_arrays([_long(cids[keep]), pa.array(sets, pa.binary())], names=["cid", "ids"])
 
-    found = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), text_of().alias("text"))
+    found = docs.select(known_by(F.col("doc_id").cast("long"), text_key()).alias("known_by"), text_of().alias("text"))
     sets = found.mapInArrow(build, "cid long, ids binary")
     return store(sets.join(needed.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets", "none")
 
@@ -214,7 +241,7 @@ def _sets_of(docs: DataFrame, needed: DataFrame, size: int, table, encode) -> Da
 def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, table, encode, check) -> DataFrame:
     """The pairs (a, b) of classes whose encoded sets pass ``check``."""
     members = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    needed = store(members.join(classes.select("cid", "rep"), "cid"), "needed")
+    needed = store(members.join(classes.select("cid", "known_by"), "cid"), "needed")
     sets = _sets_of(docs, needed, size, table, encode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,19 +297,34 @@ def _candidates(rows: DataFrame, docs_filter) -> DataFrame:
     return kept.mapInArrow(entries, "s long, pk long, n long, pos long").distinct()
 
 
-def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id (documents of equal sets share it) of every row of ``docs`` (doc_id, text)."""
+def _open_pairs(entries: DataFrame, threshold: int) -> DataFrame:
+    """(x_pk, y_pk) of groups that share a shingle and may link, but are not known to be connected.
+
+    The groups of a shingle lie in blocks; each two blocks meet in a cell of their own, each pair in one cell.
+    """
+    names = [c for c in entries.columns if c not in ("s", "blocks", "block")]
+    x = entries.select("s", *[F.col(c).alias(f"x_{c}") for c in names], F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
+    y = entries.select("s", *[F.col(c).alias(f"y_{c}") for c in names], F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+    may = _may_link(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"), threshold)
+    apart = ~((F.col("x_lo") == F.col("x_hi")) & (F.col("y_lo") == F.col("y_hi")) & (F.col("x_lo") == F.col("y_lo")))
+    once = (F.col("i") < F.col("j")) | (F.col("x_pk") < F.col("y_pk"))
+    met = x.join(y, ["s", "i", "j"]).filter((F.col("x_pk") != F.col("y_pk")) & once & apart & may)
+    return met.select(F.least("x_pk", "y_pk").alias("x_pk"), F.greatest("x_pk", "y_pk").alias("y_pk"))
+
+
+def _classified(docs: DataFrame, size: int, threshold: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, label (of the component, null without words), component_id, class_id of every row of ``docs`` (doc_id, text)."""
     spark = lean_batches(docs).sparkSession
     table = spark.sparkContext.broadcast(order_table(docs, size))
     rows = store(set_rows(docs, size, threshold, table), "sets")
-    classes = store(
-        rows.filter("n > 0").groupBy(F.col("k1").alias("cid"), "k2", "n", "pk").agg(F.min("doc_id").alias("rep")).filter("rep is not null"),
-        "classes",
-    )
+    own = rows.filter("n > 0").groupBy(F.col("k1").alias("cid"), "k2", "n", "pk")
+    reps = own.agg(F.min("doc_id").alias("rep"), F.min("text_key").alias("text_key"))
+    classes = store(reps.withColumn("known_by", known_by(F.col("rep"), F.col("text_key"))).drop("text_key"), "classes")
 
     # prefix entries of shingles that occur more than once, and per shingle the group that is most central
     often = rows.filter("n > 0").select(F.explode("prefix").alias("s")).groupBy("s").agg(F.count("*").alias("times")).filter("times > 1")
-    words = spark.sparkContext.broadcast(bit_filter(often, "s"))
+    most = rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    words = spark.sparkContext.broadcast(bit_filter(often, "s", most))
     entries = store(_candidates(rows, words), "entries")
     # the fewest rare shingles ahead of it make a group central; ties are broken anew for each shingle
     mixed = F.col("pk").bitwiseXOR(F.col("s"))
@@ -306,12 +348,11 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int =
     at = store(classes.join(known, classes["cid"] == known["node"], "left").select("cid", "pk", "n", label.alias("label")), "labels")
     groups = at.groupBy("pk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     open_entries = entries.drop("leads").join(groups, "pk")
-    open_s = open_entries.groupBy("s").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a <> b").select("s")
-    open_entries = store(open_entries.join(open_s, "s"), "open")
-    x, y = open_entries.toDF("s", *[f"x_{c}" for c in open_entries.columns[1:]]), open_entries.toDF("s", *[f"y_{c}" for c in open_entries.columns[1:]])
-    may = _may_link(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"), threshold)
-    apart = ~((F.col("x_lo") == F.col("x_hi")) & (F.col("y_lo") == F.col("y_hi")) & (F.col("x_lo") == F.col("y_lo")))
-    group_pairs = x.join(y, (x["s"] == y["s"]) & (F.col("x_pk") < F.col("y_pk")) & apart & may).select("x_pk", "y_pk").distinct()
+    open_s = open_entries.groupBy("s").agg(F.min("lo").alias("a"), F.max("hi").alias("b"), F.count("*").alias("groups"))
+    open_s = open_s.filter("a <> b").select("s", F.expr(f"1 + groups div {BLOCK}").cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("pk"), F.col("blocks")).cast("int")
+    open_entries = store(open_entries.join(open_s, "s").withColumn("block", block), "open")
+    group_pairs = store(_open_pairs(open_entries, threshold).distinct(), "open_pairs")
     one, two = at.select(F.col("pk").alias("x_pk"), F.col("cid").alias("c1"), F.col("label").alias("l1")), at.select(
         F.col("pk").alias("y_pk"), F.col("cid").alias("c2"), F.col("label").alias("l2")
     )
@@ -326,34 +367,49 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int =
     if rest.first() is not None:
         known = components(links.unionByName(_verified(docs, rest, classes, size, threshold, table)))
 
-    found = classes.join(known, classes["cid"] == known["node"], "left").select("cid", "k2", "rep", label.alias("label"))
-    least = found.groupBy("label").agg(F.min("rep").alias("component_id"))
-    found = found.join(least, "label").select(F.col("cid").alias("k1"), "k2", F.col("rep").alias("class_id"), "component_id")
-    own = rows.select("doc_id", F.col("n").alias("n_shingles"), "k1", "k2")
+    found = store(classes.join(known, classes["cid"] == known["node"], "left").select("cid", "k2", "rep", label.alias("label")), "found")
+    least = store(found.groupBy("label").agg(F.min("rep").alias("component_id")), "least")
+    found = found.join(least, "label").select(F.col("cid").alias("k1"), "k2", "label", F.col("rep").alias("class_id"), "component_id")
+    own = rows.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "k1", "k2")
     linked = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     classed = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
-    return own.join(found, ["k1", "k2"], "left").select("doc_id", "n_shingles", linked.alias("component_id"), classed.alias("class_id"))
+    return own.join(found, ["k1", "k2"], "left").select(
+        "doc_id", "text_key", "n_shingles", "label", linked.alias("component_id"), classed.alias("class_id")
+    )
+
 
+def jaccard_classes(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id (documents of equal sets share it) of every row of ``docs`` (doc_id, text)."""
+    return _classified(docs, size, threshold).select("doc_id", "n_shingles", "component_id", "class_id")
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each component, that of the least doc_id (and text, among repeated ids); all their columns.
 
-    Rows without words or doc_id stay. Only the ids that go are looked up; they are sent to all tasks where
-    they fit ``BROADCAST_IDS``.
+def keep_by_text(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
+    """``docs`` without (or, ``left_semi``, with only) the rows whose doc_id and text are those of ``gone`` (doc_id, text_key).
+
+    The pairs are sent to all tasks where they fit ``BROADCAST_IDS``.
     """
-    found = jaccard_classes(docs, **options).filter("n_shingles > 0 and component_id is not null")
-    gone = store(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    repeated = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again"))
-    repeated = store(repeated, "again")
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    if repeated.first() is None:
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__id"]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == gone["__key"]), how)
+
+
+def without_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each component, that of the least doc_id (none counts as greatest); all their columns.
+
+    Among rows of that doc_id the one of the least text key stays, among equal rows any. Rows without words stay. A decision holds for
+    a doc_id with its text, so other texts of the same doc_id are left alone.
+    """
+    found = _classified(docs, size, threshold).filter("label is not null").select("label", "doc_id", "text_key")
+    found = store(found.groupBy("label", "doc_id", "text_key").agg(F.count("*").alias("rows")), "found")
+    first = found.groupBy("label").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key")).alias("first"))
+    first = store(first.select("label", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key")), "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))
+    marked = store(found.join(first, "label").select("doc_id", "text_key", "rows", stays.alias("stays")), "marked")
+    kept = keep_by_text(docs, marked.filter("not stays"))
+    again = marked.filter("stays and rows > 1")
+    if again.first() is None:
         return kept
-    # ids that occur more than once: the first of their rows with words
-    again = kept.join(repeated, kept["doc_id"].cast("long") == repeated["_again"], "left_semi")
-    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    place = F.row_number().over(Window.partitionBy("doc_id", words).orderBy("text"))
-    first = again.withColumn("_place", place).filter((F.col("_place") == 1) | ~F.coalesce(words, F.lit(False))).drop("_place")
-    rest = kept.join(repeated, kept["doc_id"].cast("long") == repeated["_again"], "left_anti")
-    return rest.unionByName(first)
+    # equal rows of a document that stays: one of them
+    once = keep_by_text(kept, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return keep_by_text(kept, again).unionByName(once)

@@ -11,7 +11,7 @@ import pytest
 
 from crawlframe.llm.decontaminate import GAP, MATCH, MISMATCH, align, leaked_items, without_leaks
 from crawlframe.llm.graph import components
-from crawlframe.llm.jaccard_join import jaccard_classes, most_common, short_codes
+from crawlframe.llm.jaccard_join import jaccard_classes, most_common, short_codes, without_near_duplicates
 from crawlframe.llm.words import text_slices
 
 SCHEMA = "doc_id long, text string, k1 long, n string, label string, row string"
@@ -177,17 +177,61 @@ def test_leaks(spark):
     for d, text, *_ in rows:
         words = WORD.findall(lower(text))
         for k, item in enumerate(items):
-            if d is not None and words and brute_align(words, item) >= 0.4 * MATCH * len(item):
+            if words and brute_align(words, item) >= 0.4 * MATCH * len(item):
                 expected.add((d, k))
     assert planted <= expected and set(got) == expected
+    texts = {d: text for d, text, *_ in rows}
     for (d, k), r in got.items():
-        words = WORD.findall(lower(rows[d][1]))
+        words = WORD.findall(lower(texts[d]))
         assert r.score == brute_align(words, items[k]) / (MATCH * len(items[k])) == brute_align(words[r.first_word : r.end_word], items[k]) / (MATCH * len(items[k]))
     left = without_leaks(docs, table)
     assert left.columns == docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(d) for d, *_ in rows if d not in {x for x, _ in expected})
 
 
+def test_a_long_item_leaves_other_stretches_short(spark, monkeypatch):
+    from crawlframe.llm import decontaminate
+
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
+    short, long, text = ([word() for _ in range(n)] for n in (20, 20_000, 30_000))
+    text[9000:9000] = short
+    docs = spark.createDataFrame([(1, " ".join(text), 0, "", "", ""), (1, " ".join(long[500:16_000]), 0, "", "", "")], SCHEMA)
+    items = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(long))], "item_id long, text string")
+    kept = []
+    whole = decontaminate._stretches
+    monkeypatch.setattr(decontaminate, "_stretches", lambda *a: kept.append(whole(*a)) or kept[-1])
+    assert {(r.item_id, r.first_word) for r in decontaminate.leaked_items(docs, items).collect()} == {(1, 9000), (2, 0)}
+    assert max(len(r.words) for r in kept[0].filter("class = 5").collect()) <= 2 * (20 + 3 * 32)
+
+
+def test_decisions_hold_for_an_id_with_its_text(spark):
+    one, two, three = "a b c d e f g h", "q r s t u v w x", "k l m n o p q r"
+    rows = [(1, one), (2, one), (2, two), (3, two[:-2] + " y"), (3, three), (None, three), (None, "z z"), (3, three), (None, None), (2, "")]
+    docs = spark.createDataFrame([(d, t, 1, "x", "y", "z") for d, t in rows], SCHEMA).repartition(3)
+    left = sorted(((r.doc_id, r.text) for r in without_near_duplicates(docs).collect()), key=str)
+    assert left == sorted([(1, one), (2, two), (3, two[:-2] + " y"), (3, three), (None, "z z"), (None, None), (2, "")], key=str)
+    items = spark.createDataFrame([(1, one)], "item_id long, text string")
+    more = spark.createDataFrame([(7, one, 1, "x", "y", "z"), (7, two, 1, "x", "y", "z"), (None, "so " + one, 1, "", "", ""), (None, two, 1, "", "", "")], SCHEMA)
+    assert sorted(((r.doc_id, r.text) for r in without_leaks(more, items).collect()), key=str) == sorted([(7, two), (None, two)], key=str)
+
+
+def test_links_run_through_rows_without_an_id(spark):
+    words = [f"w{i}" for i in range(40)]
+    ends = (" ".join(words[:-5]), " ".join(words), " ".join(words[5:]))
+    rows = [(1, ends[0]), (None, ends[1]), (2, ends[2]), (None, "other " + ends[2] + " x y z"), (None, "lone one")]
+    assert brute_components([(1, ends[0]), (2, ends[2])]) == [(1, 31, 1), (2, 31, 2)]
+    assert found(spark, rows) == brute_components(rows)
+
+
+def test_blocks_of_a_shingle_meet_once(spark, monkeypatch):
+    from crawlframe.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "BLOCK", 3)
+    rows = corpus(8, families=4, copies=20)
+    assert found(spark, rows) == brute_components(rows)
+
+
 def test_short_codes_bound_the_intersection():
     rng = np.random.default_rng(11)
     for n, m, both in [(1, 1, 1), (1, 3, 0), (40, 50, 30), (600, 700, 500), (3000, 2000, 1500), (9, 9, 9)]:
