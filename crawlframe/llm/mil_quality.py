@@ -6,12 +6,12 @@ often words repeat. A small layer encodes it; gated attention (tanh times sigmoi
 passages against each other; the score comes from the weighted sum, so one bad passage of a long
 document can count as much as it should. Weights are learned from document labels alone.
 
-The fit uses a bounded sample of labelled documents (``FIT_DOCUMENTS`` by hash, at most
-``FIT_PASSAGES`` passages of each, evenly spaced) on the driver. Scoring is one pass over whole texts
+The fit uses a bounded sample of labelled documents on the driver: the first ``FIT_DOCUMENTS`` by hash, each with all its passages,
+up to the one that fills ``FIT_PASSAGES``. Scoring is one pass over whole texts
 without a shuffle; all passages of a document are encoded.
 
 Cases: null or empty text is a bag of one passage without words and is scored like any other; repeated
-rows have equal scores; repeated labels of a document count once (the least); labels that are null are
+rows have equal scores; of several texts of a labelled doc_id that of the least hash is learned; repeated labels of a document count once (the least); labels that are null are
 left out; without labels of both kinds every score is the share of label 1, or 0.5 without any; an
 empty table gives an empty result; other columns are no input.
 """
@@ -23,15 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlframe.llm.shared import text_of
+from crawlframe.llm.shared import store, text_of
 from crawlframe.llm.words import WordSlice, text_slices
 
 PASSAGE_WORDS = 96
 #: Bounds of the sample a model is fitted on.
-FIT_DOCUMENTS, FIT_PASSAGES = 4000, 32
+FIT_DOCUMENTS, FIT_PASSAGES = 4000, 40_000
 HIDDEN, ATTENTION = 16, 8
 EPOCHS, RATE, DECAY = 250, 0.02, 1e-4
 
@@ -147,25 +147,25 @@ def _slices(column: pa.Array) -> Iterator[tuple[WordSlice, np.ndarray, np.ndarra
 def fit_on_labels(docs: DataFrame, labels: DataFrame, used: Column, documents: int = FIT_DOCUMENTS, most: int = FIT_PASSAGES) -> Model:
     """A model from ``labels`` (doc_id, label) of the rows that meet ``used`` (a condition on doc_id)."""
     own = labels.filter(used & F.col("label").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("label").alias("label"))
-    sample = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    place = F.xxhash64("doc_id")
+    sample = own.orderBy(place, "doc_id").limit(documents)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, x, per_doc in _slices(batch.column(2)):
                 ends = np.cumsum(per_doc)
-                rows = []
-                for e, k in zip(ends, per_doc, strict=True):
-                    chosen = np.unique(np.linspace(e - k, e - 1, min(k, most)).astype(np.int64))
-                    rows.append(x[chosen].astype(np.float32).tobytes())
+                rows = [x[e - k : e].astype(np.float32).tobytes() for e, k in zip(ends, per_doc, strict=True)]
                 at, n = part.rows.start, len(part.rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(rows, pa.binary())], names=["doc_id", "label", "x"]
-                )
+                columns = [batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(per_doc.astype(np.int64)), pa.array(rows, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "passages", "x"])
 
-    # the sample's size is bounded by its parameter
+    # the sample's size is bounded by its parameters
     joined = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).join(F.broadcast(sample), "doc_id")
-    rows = joined.select("doc_id", F.col("label").cast("int"), "text").mapInArrow(encode, "doc_id long, label int, x binary").toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
+    single = joined.groupBy("doc_id", F.col("label").cast("int").alias("label")).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    bags = store(single.mapInArrow(encode, "doc_id long, label int, passages long, x binary"), "bags")
+    before = F.sum("passages").over(Window.orderBy(place, "doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    within = bags.select("doc_id", "passages").withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < most).select("doc_id")
+    rows = bags.join(F.broadcast(within), "doc_id").toPandas().sort_values("doc_id")
     bags = [np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x in rows["x"]]
     x = np.vstack(bags).astype(np.float64) if bags else np.empty((0, FEATURES))
     return fit(x, np.array([len(b) for b in bags], np.int64), rows["label"].to_numpy(np.float64))

@@ -193,6 +193,19 @@ def test_quality_of_held_out_documents(spark):
     assert len(rows) > 80 and right[rows["label"] == 1].mean() > 0.97 and right[rows["label"] == 0].mean() > 0.8
 
 
+def test_the_fit_sees_every_passage(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(mil_quality, "fit", lambda x, per_doc, y: kept.append((len(x), per_doc.tolist(), y.tolist())))
+    texts = ["good words " * 9600 + "bad", "short one", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1, "another text of the id " * 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 1)], "doc_id long, label int")
+    mil_quality.fit_on_labels(docs, labels, F.lit(True))
+    assert kept[0][0] == sum(kept[0][1]) and kept[0][1][0] == 201 and kept[0][2] == [0.0, 1.0, 1.0]
+    # documents are taken whole, up to the one that fills the bound
+    mil_quality.fit_on_labels(docs, labels, F.lit(True), most=1)
+    assert len(kept[1][1]) == 1 and kept[1][1][0] in kept[0][1]
+
+
 def test_quality_cases(spark):
     texts = [None, "", " ", "word", "x" * 100_000, "a b " * 5000, "word", "Good words here.", None]
     docs = frame(spark, texts)
