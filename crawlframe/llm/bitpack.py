@@ -90,7 +90,7 @@ def write_packed(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer, byte_level)
-        shard, block, first = 0, 0, 0
+        shard, block, first, held = 0, 0, 0, 0
         doc_ids: list = []
         parts: list[bytes] = []
         lengths: list[int] = []
@@ -108,14 +108,17 @@ def write_packed(
                     doc_ids.append(doc_id)
                     parts.append(ids + end)
                     lengths.append(len(ids) // 4 + 1)
-                    if sum(lengths) >= block_ids:
+                    held += lengths[-1]
+                    if held >= block_ids:
                         yield flush()
-                        block, first = block + 1, first + sum(lengths)
+                        block, first, held = block + 1, first + held, 0
                         doc_ids, parts, lengths = [], [], []
         if doc_ids:
             yield flush()
 
-    ordered = docs.select("doc_id", text_of().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the text's head splits rows without doc_id, or of one doc_id, over ranges
+    keyed = docs.select("doc_id", text_of().alias("text"))
+    ordered = keyed.repartitionByRange("doc_id", F.substring("text", 1, 24)).sortWithinPartitions("doc_id", "text")
     rows = ordered.select(F.spark_partition_id().alias("shard"), F.col("doc_id").cast("long"), "text")
     rows.mapInArrow(encode, _BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
     totals = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))

@@ -47,9 +47,10 @@ class _Known(dict):
         lead, rest, space = b"", piece, self.space
         if self.byte_level and piece[:1] == "\n":
             lead, rest, space = self.line, piece[1:], ""
-        if rest.isalpha() and (self.byte_level or (rest == rest.lower() and unicodedata.is_normalized("NFC", rest))):
+        plain = self.byte_level or (rest == rest.lower() and unicodedata.is_normalized("NFC", rest))
+        if plain and rest.isalpha():
             ids = lead + self.word(rest, space)
-        elif rest[-1:] in _TAIL and rest[:-1].isalpha():
+        elif plain and rest[-1:] in _TAIL and rest[:-1].isalpha():
             ids = self[piece[:-1]] + self.marks[rest[-1]]
         else:
             ids = self.whole(" " + piece if self.byte_level and not lead else piece)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import time
+import unicodedata
 import zlib
 
 import numpy as np
@@ -9,6 +12,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from crawlframe.llm.bitpack import bits_for, pack_ids, read_packed, unpack_ids, write_packed
@@ -155,3 +159,39 @@ def test_packing_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(4)
     sizes = check_pieces(spark, docs)
     assert sum(sizes) > 0.95 * 2048 * len(sizes)
+
+
+def test_signs_behind_letters_that_change():
+    """Texts that aren't NFC keep their case until the tokenizer; a sign behind such a word goes with it."""
+    rnd = random.Random(12)
+    pieces = ["é", "é", "İ", "I", "i", "Σ", "σ", "a", "B", "̇", "ß", "ſ", " ", " ", ".", ",", "!", "?", ";", ":", "\n", "x"]
+    texts = ["é İ.", "İ!"] + ["".join(rnd.choices(pieces, k=rnd.randrange(1, 9))) for _ in range(30_000)]
+    assert any(not unicodedata.is_normalized("NFC", t) for t in texts)
+    for name, byte_level in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = public_tokenizers.path(name)
+        whole = Tokenizer.from_file(path)
+        expected = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in PieceEncoder(path, byte_level).encode(texts)]
+        assert got == expected
+
+
+def test_empty_texts_fill_a_block_in_linear_time(spark, tmp_path):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text")).coalesce(1)
+    path = str(tmp_path / "packed")
+    began = time.time()
+    write_packed(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    assert time.time() - began < 30
+    rows = read_packed(spark, path).orderBy("doc_id").collect()
+    assert [r.start for r in rows] == list(range(40_000)) and {r.n_tokens for r in rows} == {1}
+
+
+def test_rows_without_an_id_are_split(spark, tmp_path):
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text")).repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_packed(docs, str(tmp_path / "packed"), public_tokenizers.path("byte_bpe_50k.json"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spark.read.parquet(str(tmp_path / "packed/shards")).count() > 1
+    rows = read_packed(spark, str(tmp_path / "packed")).collect()
+    assert len(rows) == 3000 and len({r.start for r in rows}) == 3000
