@@ -84,14 +84,16 @@ class Words:
     hashes: np.ndarray
     piece: np.ndarray
 
-    def suffixes(self) -> np.ndarray:
-        """Hashes of the up to DEPTH words from each word on, 0 behind the piece's end: one column a word."""
-        n = len(self.hashes)
-        out = np.zeros((DEPTH, n), U64)
-        out[0] = self.hashes
-        for k in range(1, min(DEPTH, n)):
-            same = self.piece[k:] == self.piece[:-k]
-            out[k, : n - k] = np.where(same, self.hashes[k:], U64(0))
+    def suffixes(self, values: np.ndarray, at: np.ndarray | None = None, depth: int = DEPTH) -> np.ndarray:
+        """The words' ``values`` for the up to ``depth`` words from each word (or those ``at`` places) on, 0 behind the piece's end."""
+        n = len(values)
+        at = np.arange(n) if at is None else at
+        out = np.zeros((depth, len(at)), values.dtype)
+        out[0] = values[at]
+        for k in range(1, depth):
+            later = np.minimum(at + k, n - 1)
+            inside = (at + k < n) & (self.piece[later] == self.piece[at])
+            out[k, inside] = values[later[inside]]
         return out
 
 
@@ -188,18 +190,18 @@ class Layout:
         at = np.minimum(np.searchsorted(self.heavy[k], codes), len(self.heavy[k]) - 1)
         return self.heavy[k][at] == codes
 
-    def prefix(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Depth (0 for one word) and code of the prefix that deals each suffix."""
-        depth = np.zeros(codes.shape[1], np.int8)
-        own = codes[0].copy()
-        more = self.is_heavy(own, 0)
+    def prefixes(self, words: Words) -> np.ndarray:
+        """The code of the prefix that deals each word's suffix."""
+        own = words.hashes.copy()
+        at = np.flatnonzero(self.is_heavy(own, 0))
+        codes = prefix_codes(words.suffixes(words.hashes, at))
         for k in range(1, DEPTH):
-            if not more.any():
+            if not len(at):
                 break
-            depth[more] = k
-            own[more] = codes[k, more]
-            more[more] = self.is_heavy(own[more], k)
-        return depth, own
+            own[at] = codes[k]
+            more = self.is_heavy(codes[k], k)
+            at, codes = at[more], codes[:, more]
+        return own
 
     def groups(self, codes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.cuts, codes, "right").astype(np.int32)
@@ -222,7 +224,7 @@ def _extended(layout: Layout):
             at = np.flatnonzero(layout.is_heavy(words.hashes, 0))
             if not len(at):
                 continue
-            codes = prefix_codes(words.suffixes()[: k + 1, at])
+            codes = prefix_codes(words.suffixes(words.hashes, at, k + 1))
             for d in range(1, k):
                 codes = codes[:, layout.is_heavy(codes[d], d)]
             parts.append(np.unique(codes[k], return_counts=True))
@@ -276,23 +278,22 @@ def pack_suffixes(layout: Layout):
         for _, words in _chunks(batches):
             if not len(words.hashes):
                 continue
-            suffixes = words.suffixes()
-            _, code = layout.prefix(prefix_codes(suffixes))
-            group = layout.groups(code)
-            del code
-            distinct, ids = np.unique(suffixes, return_inverse=True)
-            ids = ids.reshape(suffixes.shape).astype(np.uint64)
-            del suffixes
-            # five numbers below 2 ** 25 and the group make three keys; equal suffixes lie together
-            a, b = ids[0] << U64(25) | ids[1], ids[2] << U64(25) | ids[3]
+            group = layout.groups(layout.prefixes(words))
+            distinct, number = np.unique(words.hashes, return_inverse=True)
+            distinct = np.concatenate([np.zeros(1, U64), distinct])
+            ids = words.suffixes((number + 1).astype(np.uint32))
+            del words, number
+            # two numbers make a key; equal suffixes lie together
+            a, b = ids[0].astype(np.uint64) << U64(32) | ids[1], ids[2].astype(np.uint64) << U64(32) | ids[3]
             order = np.lexsort((ids[4], b, a, group))
-            a, b, c, group = a[order], b[order], ids[4][order], group[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1]) | (group[1:] != group[:-1])
+            del a, b
+            ids, group = ids[:, order], group[order]
+            del order
+            new = np.ones(len(group), bool)
+            new[1:] = (ids[:, 1:] != ids[:, :-1]).any(0) | (group[1:] != group[:-1])
             first = np.flatnonzero(new)
-            n = np.diff(first, append=len(a)).astype(np.uint32)
-            ids = ids.astype(np.uint32)[:, order[first]]
-            group = group[first]
+            n = np.diff(first, append=len(group)).astype(np.uint32)
+            ids, group = ids[:, first], group[first]
             edges = np.concatenate([np.flatnonzero(np.diff(group, prepend=-1)), [len(group)]])
             rows: list[tuple] = []
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
