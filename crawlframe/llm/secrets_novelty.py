@@ -1,14 +1,16 @@
 """Secrets in texts: fixed forms, and strings that dictionary-primed compression can't shorten.
 
 Fixed forms are key-value assignments, access key ids and long lower-case hexadecimal runs. Beyond them,
-runs of 12 characters or more of A-Z, a-z, 0-9 and +/_.=- that hold a digit are candidates where they begin
+runs of 12 characters or more of A-Z, a-z, 0-9 and +/_.=- are candidates where they begin
 within 80 characters of a sensitive word, or behind one in its statement (to a line's end, a semicolon or a
-sentence's end), or in a private key block. zstandard, primed with a
-dictionary of identifiers, compresses the text around the candidate without and with it; the added
-bytes per character are its novelty. Names, paths and repeats cost little, random strings about what they hold.
+sentence's end), or in a private key block. zstandard, with a dictionary trained on identifiers (fixed words joined
+as names are), compresses the text around the candidate without and with it, case folded. The added bits
+are held against what as many characters drawn at random from the candidate's classes (letters, digits, each sign)
+would take: names, words and repeats stay below, random strings come near or pass it. That ratio alone decides, for
+candidates that could hold ``BITS`` bits; a word of one case needs a higher one.
 
-Left out are runs without a digit (added bytes don't tell them from rare words: 'uncharacteristically' has 0.80 a
-character, 20 random letters 0.80), strings broken by other signs, mail addresses and host names.
+Left out are strings broken by other signs, mail addresses, host names, dates, and what the fixed forms of personal data
+(cards, phone numbers) take. Paths and the like, which begin with a slash or a dot and a slash, are measured part by part.
 
 Each text is looked at whole, where it lies: no shuffle. Documents that hold none of the trigger words
 are told apart for a whole batch at memory speed.
@@ -19,14 +21,18 @@ and in linear time; an empty table gives an empty result; other columns are not
 
 from __future__ import annotations
 
+import math
+import random
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlframe.llm.pii_bootstrap import base_spans as personal_forms
 from crawlframe.llm.shared import text_of
 from crawlframe.llm.spans import holders, text_bytes
 
@@ -45,10 +51,17 @@ _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 _STATEMENT_END = re.compile(r"[\n;]|[.!?](?=\s)")
 _KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY")
 _HOST = re.compile(r"(?:[a-z0-9-]+\.)+[a-z]{2,}")
+_DATE = re.compile(r"[0-9]{4}([-./])[0-9]{1,2}\1[0-9]{1,2}(?:[T_-][0-9.-]*Z?)?")
+_WORD = re.compile(r"[A-Z]?[a-z]+")
+_PART = re.compile(r"[^/]+")
 #: Characters around a sensitive word in which strings are candidates, and around a candidate that prime its measure.
 NEAR, AROUND = 80, 256
-#: Least added bytes per character.
-NOVELTY = 0.55
+#: Least added bits, as a part of what random characters would take; that of a word of one case.
+NOVELTY, WORD_NOVELTY = 0.91, 1.05
+#: Least bits that as many random characters would take.
+BITS = 60
+#: Size of the trained dictionary, the samples it is trained on and the names in each.
+DICTIONARY_BYTES, SAMPLES, SAMPLE_NAMES = 112_640, 4000, 60
 #: Words of code and configuration that make a name rather than a secret.
 IDENTIFIERS = """
 access account action address admin alias allow api app application argument array async auth authorization backend base64 bearer bool
@@ -70,24 +83,44 @@ true type undefined unique update upload url user username utility uuid validate
 webhook window worker workflow write yaml
 """.split()
 
+_FIXED = frozenset(IDENTIFIERS)
+
+
+@lru_cache(1)
+def identifier_dictionary() -> bytes:
+    """A dictionary trained on names made of the fixed words; the same at every call."""
+    import zstandard
+
+    rnd = random.Random(9)
+
+    def name() -> str:
+        own = rnd.choice(("_", "-", "", "", "/", ".")).join(rnd.choices(IDENTIFIERS, k=rnd.randrange(1, 4)))
+        return own + str(rnd.randrange(1, 100)) if rnd.random() < 0.03 else own
+
+    samples = [" ".join(name() for _ in range(SAMPLE_NAMES)).encode() for _ in range(SAMPLES)]
+    return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=200, d=8, level=6).as_bytes()
+
 
 class Novelty:
-    """Added compressed bytes per character of a string behind the text around it."""
+    """Added compressed bits of a string behind the text around it, as a part of what random characters of its classes would take."""
 
-    def __init__(self, identifiers: list[str] = IDENTIFIERS):
+    def __init__(self, dictionary: bytes | None = None):
         import zstandard
 
-        words = " ".join(identifiers)
-        own = "\n".join((words, words.title(), words.upper(), "_".join(identifiers), "-".join(identifiers)))
-        dictionary = zstandard.ZstdCompressionDict(own.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        own = zstandard.ZstdCompressionDict(dictionary or identifier_dictionary(), dict_type=zstandard.DICT_TYPE_FULLDICT)
         options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
-        self.zstd = zstandard.ZstdCompressor(level=9, dict_data=dictionary, **options)
+        self.zstd = zstandard.ZstdCompressor(level=6, dict_data=own, **options)
+
+    @staticmethod
+    def random_bits(own: str) -> float:
+        kinds = 26 * any(map(str.isalpha, own)) + 10 * any(map(str.isdigit, own)) + len({c for c in own if not c.isalnum()})
+        return len(own) * math.log2(max(2, kinds))
 
     def of(self, text: str, start: int, end: int) -> float:
         before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-        around = (after + "\n" + before).encode("utf-8", "surrogatepass")
-        candidate = text[start:end].encode("utf-8", "surrogatepass")
-        return (len(self.zstd.compress(around + candidate)) - len(self.zstd.compress(around))) / (end - start)
+        around = (after + "\n" + before).lower().encode("utf-8", "surrogatepass")
+        own = text[start:end].lower()
+        return 8 * (len(self.zstd.compress(around + own.encode())) - len(self.zstd.compress(around))) / self.random_bits(own)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -117,29 +150,39 @@ def sensitive_regions(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Runs without dots at their ends; of a path, its parts."""
+    for m in _RUN.finditer(text):
+        start, end = m.span()
+        path = text.startswith(("/", "./", "../", "-/"), start)
+        for a, b in [p.span() for p in _PART.finditer(text, start, end)] if path else [(start, end)]:
+            own = text[a:b].strip(".")
+            a += len(text[a:b]) - len(text[a:b].lstrip("."))
+            if len(own) >= 12:
+                yield a, a + len(own)
+
+
 def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty) -> list[tuple[str, int, int]]:
     """Candidates in sensitive neighbourhoods that overlap no known span and can't be compressed."""
     found: list[tuple[str, int, int]] = []
-    taken = sorted((a, b) for _, a, b in known)
     words = sensitive_regions(text)
     if not words:
         return found
+    taken = sorted((a, b) for _, a, b in known + personal_forms(text))
     at = past = 0
-    for m in _RUN.finditer(text):
-        own = m[0].strip(".")
-        start = m.start() + len(m[0]) - len(m[0].lstrip("."))
-        end = start + len(own)
+    for start, end in _candidates(text):
+        own = text[start:end]
         while at < len(words) and words[at][1] < start:
             at += 1
         while past < len(taken) and taken[past][1] <= start:
             past += 1
         if at == len(words):
             break
-        if len(own) < 12 or words[at][0] > start or (past < len(taken) and taken[past][0] < end):
+        if words[at][0] > start or (past < len(taken) and taken[past][0] < end):
+            continue
+        if text[start - 1 : start] == "@" or text[end : end + 1] == "@" or _HOST.fullmatch(own) or _DATE.fullmatch(own) or own.lower() in _FIXED:
             continue
-        if text[start - 1 : start] == "@" or text[end : end + 1] == "@" or _HOST.fullmatch(own):
-            continue  # mail addresses and host names
-        if any(c.isdigit() for c in own) and novelty.of(text, start, end) >= NOVELTY:
+        if novelty.random_bits(own.lower()) >= BITS and novelty.of(text, start, end) >= (WORD_NOVELTY if _WORD.fullmatch(own) else NOVELTY):
             found.append(("novel", start, end))
     return found
 
@@ -147,8 +190,10 @@ def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty)
 def secret_spans(docs: DataFrame) -> DataFrame:
     """doc_id and spans (array of kind, start, end in code points) of every row of ``docs`` (doc_id, text)."""
 
+    dictionary = docs.sparkSession.sparkContext.broadcast(identifier_dictionary())
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        novelty = Novelty()
+        novelty = Novelty(dictionary.value)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -109,6 +111,47 @@ def test_regions_of_secrets():
         assert [text[a:b] for _, a, b in secrets_novelty.novel_spans(text, [], secrets_novelty.Novelty())] == expected
 
 
+def names(rnd):
+    """Names of the standard library, alone and put together, that no fixed word list was made for."""
+    found = set()
+    for module in ("asyncio", "collections", "csv", "datetime", "decimal", "functools", "http.client", "itertools", "json", "logging", "pathlib", "queue",
+                   "shutil", "socket", "sqlite3", "statistics", "string", "subprocess", "tarfile", "threading", "unittest", "urllib.parse", "zipfile"):
+        own = importlib.import_module(module)
+        found |= {n for n in dir(own)} | {k for n in dir(own) if isinstance(getattr(own, n), type) for k in dir(getattr(own, n))}
+    alone = sorted(n for n in found if not n.startswith("_"))
+    parts = [n for n in alone if 3 <= len(n) <= 12]
+    put = [rnd.choice("_-./").join([*rnd.choices(parts, k=rnd.randrange(2, 4)), *rnd.choice([[], [], ["2024"], ["64"]])]) for _ in range(500)]
+    return [n for n in alone if len(n) >= 12] + [n for n in put if len(n) >= 12]
+
+
+def test_precision_and_recall_of_novelty():
+    rnd = random.Random(21)
+    letters, figures = string.ascii_letters, string.digits
+    kinds = [(letters + figures, 20), (letters + figures, 32), (letters + figures + "+/", 40), (string.ascii_lowercase + figures, 24), (letters, 24),
+             (figures + "ABCDEF", 32), (figures, 24)]
+    novelty = secrets_novelty.Novelty()
+
+    def found(own):
+        text = f"we set the bearer header {own} before each call to the host, and what came back was kept in the first place for later use"
+        return [text[a:b] for _, a, b in secrets_novelty.novel_spans(text, [], novelty)] == [own]
+
+    keys = [found("".join(rnd.choices(signs, k=n))) for signs, n in kinds for _ in range(80)]
+    plain_names = [found(n) for n in rnd.sample(names(rnd), len(keys))]
+    recall, precision = sum(keys) / len(keys), sum(keys) / (sum(keys) + sum(plain_names))
+    print(recall, precision)
+    assert recall >= 0.9 and precision >= 0.9
+
+
+@pytest.mark.parametrize(
+    "own",
+    ["/usr/local/lib/python3.11/site-packages", "section-2024-overview", "https://www.example.com/reset/2024/page1", "sequel-edition-2019", "uncharacteristically",
+     "2024-01-15T10:22:33Z", "2024-01-15", "4111 1111 1111 1111", "4111111111111111", "+1 (017) 555-7713", "1234567890123456", "internationalisation"],
+)
+def test_names_dates_and_personal_data_are_no_secrets(own):
+    text = f"the bearer token for {own} was kept"
+    assert secrets_novelty.novel_spans(text, [], secrets_novelty.Novelty()) == []
+
+
 def test_digests():
     spans = [("hex", 5, 9), ("assign", 5, 30), ("access", 1, 4)]
     text = "access:1:4,assign:5:30,hex:5:9"
