@@ -59,7 +59,7 @@ NEAR, AROUND = 80, 256
 #: Least added bits, as a part of what random characters would take; that of a word of one case.
 NOVELTY, WORD_NOVELTY = 0.91, 1.05
 #: Least bits that as many random characters would take.
-BITS = 60
+BITS = 64
 #: Size of the trained dictionary, the samples it is trained on and the names in each.
 DICTIONARY_BYTES, SAMPLES, SAMPLE_NAMES = 112_640, 4000, 60
 #: Words of code and configuration that make a name rather than a secret.
