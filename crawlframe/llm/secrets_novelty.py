@@ -4,9 +4,9 @@ Fixed forms are key-value assignments, access key ids and long lower-case hexade
 runs of 12 characters or more of A-Z, a-z, 0-9 and +/_.=- are candidates where they begin
 within 80 characters of a sensitive word, or behind one in its statement (to a line's end, a semicolon or a
 sentence's end), or in a private key block. zstandard, with a dictionary trained on identifiers (fixed words joined
-as names are), compresses the text around the candidate without and with it, case folded. The added bits
-are held against what as many characters drawn at random from the candidate's classes (letters, digits, each sign)
-would take: names, words and repeats stay below, random strings come near or pass it. That ratio alone decides, for
+as names are), compresses the text around the candidate without and with it, case folded. The added bytes
+are held against the mean of ``DRAWS`` strings in its place whose characters are drawn at random from the same classes (letters, digits;
+signs stay): names, words and repeats stay below, random strings come near or pass it. That ratio alone decides, for
 candidates that could hold ``BITS`` bits; a word of one case needs a higher one.
 
 Left out are strings broken by other signs, mail addresses, host names, dates, and what the fixed forms of personal data
@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import string
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
@@ -56,8 +57,9 @@ _WORD = re.compile(r"[A-Z]?[a-z]+")
 _PART = re.compile(r"[^/]+")
 #: Characters around a sensitive word in which strings are candidates, and around a candidate that prime its measure.
 NEAR, AROUND = 80, 256
-#: Least added bits, as a part of what random characters would take; that of a word of one case.
-NOVELTY, WORD_NOVELTY = 0.91, 1.05
+#: Least added bytes, as a part of what random characters add; that of a word of one case; strings drawn for that.
+DRAWS = 6
+NOVELTY, WORD_NOVELTY = 0.88, 1.0
 #: Least bits that as many random characters would take.
 BITS = 64
 #: Size of the trained dictionary, the samples it is trained on and the names in each.
@@ -84,6 +86,10 @@ webhook window worker workflow write yaml
 """.split()
 
 _FIXED = frozenset(IDENTIFIERS)
+#: Prose in front of what is measured: letters enough that the dictionary's code for letters is used.
+_LEAD = """We went down along the river before anyone else was awake, and what the morning brought us there was nothing but fog. Nobody
+had seen the two of them since early in the week; so we asked at each house on the way, but all who answered knew as little as we did.
+"""
 
 
 @lru_cache(1)
@@ -101,8 +107,12 @@ def identifier_dictionary() -> bytes:
     return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=200, d=8, level=6).as_bytes()
 
 
+def _same_class(c: str) -> str:
+    return string.ascii_lowercase if c.isalpha() else string.digits if c.isdigit() else c
+
+
 class Novelty:
-    """Added compressed bits of a string behind the text around it, as a part of what random characters of its classes would take."""
+    """Added compressed bytes of a string behind the text around it, as a part of what random characters of its classes add there."""
 
     def __init__(self, dictionary: bytes | None = None):
         import zstandard
@@ -118,9 +128,13 @@ class Novelty:
 
     def of(self, text: str, start: int, end: int) -> float:
         before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-        around = (after + "\n" + before).lower().encode("utf-8", "surrogatepass")
+        # the lines in front keep what a short text costs by itself out of the difference
+        around = (_LEAD + after + "\n" + before).lower().encode("utf-8", "surrogatepass")
         own = text[start:end].lower()
-        return 8 * (len(self.zstd.compress(around + own.encode())) - len(self.zstd.compress(around))) / self.random_bits(own)
+        rnd = random.Random(own)
+        drawn = ["".join(map(rnd.choice, map(_same_class, own))) for _ in range(DRAWS)]
+        bare, cost, *costs = (len(self.zstd.compress(around + x.encode())) for x in ("", own, *drawn))
+        return DRAWS * (cost - bare) / max(1, sum(costs) - DRAWS * bare)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
