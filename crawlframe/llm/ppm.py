@@ -118,6 +118,45 @@ class Lines:
         return cls(zstandard.ZstdDecompressor().decompress(packed).splitlines(keepends=True))
 
 
+class Lookup:
+    """Values of distinct codes, in tables of some slots a code; a code whose slot is taken goes to the next, smaller table."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.tables: list[tuple[int, np.ndarray, np.ndarray]] = []
+        while len(codes):
+            bits = max(6, int(2 * len(codes)).bit_length())
+            slot = self._slots(codes, len(self.tables), bits)
+            owner = np.full(1 << bits, -1, np.int64)
+            owner[slot] = np.arange(len(codes))
+            placed = owner[slot] == np.arange(len(codes))
+            own, at = np.full(1 << bits, ~U64(0)), np.zeros(1 << bits, values.dtype)  # no code is all ones
+            own[slot[placed]], at[slot[placed]] = codes[placed], values[placed]
+            self.tables.append((bits, own, at))
+            codes, values = codes[~placed], values[~placed]
+
+    @staticmethod
+    def _slots(codes: np.ndarray, level: int, bits: int) -> np.ndarray:
+        spread = (codes + U64(level)) * U64(0x9E3779B97F4A7C15)
+        return ((spread ^ (spread >> U64(29))) * U64(0xBF58476D1CE4E5B9) >> U64(64 - bits)).astype(np.int64)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        """The values of codes, all of which are known."""
+        out, rest = None, None
+        for level, (bits, own, values) in enumerate(self.tables):
+            slot = self._slots(codes, level, bits)
+            hit = own[slot] == codes
+            if out is None:
+                out = values[slot]
+                rest = np.flatnonzero(~hit)
+            else:
+                out[rest[hit]] = values[slot[hit]]
+                rest = rest[~hit]
+            if not len(rest):
+                break
+            codes = codes[~hit]
+        return out
+
+
 def _mask(level: int) -> np.uint64:
     return U64((1 << 8 * (level + 1)) - 1)
 
@@ -413,9 +452,9 @@ def score_documents(
                 bucket = shared.value.bucket_of(keys, buckets)
                 value[np.argsort(bucket, kind="stable")] = np.concatenate([_unpress(told[b][at], width) for b in sorted(told)])
             n = len(lines)
-            trie = np.zeros(n)
+            trie, look = np.zeros(n), Lookup(codes, cost)
             for doc, own in lines.codes(order):
-                trie += np.bincount(doc, cost[np.searchsorted(codes, own)], n)
+                trie += np.bincount(doc, look(own), n)
             doc = np.repeat(np.arange(n), per_doc)
             own = count[np.searchsorted(words, hashes)] if len(words) else np.empty(0, np.int64)
             base = np.bincount(doc, np.log10((own + 0.5) / whole), n) + np.log10((ends + 0.5) / whole)

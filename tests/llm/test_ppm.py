@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from crawlframe.llm.ppm import Lines, Trie, line_of, pack_keys, score_documents, unpack_keys
+from crawlframe.llm.ppm import Lines, Lookup, Trie, line_of, pack_keys, score_documents, unpack_keys
 from crawlframe.llm.words import U64
 
 SCHEMA = "doc_id long, text string, n long, block long, key string"
@@ -138,6 +138,15 @@ def test_lines_and_keys_round_trip():
     assert (unpack_keys(pack_keys(keys)) == keys).all() and not len(unpack_keys(pack_keys(keys[:0])))
 
 
+def test_lookup():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 50, 30_000):
+        codes = np.unique(rng.integers(0, 2**48, n, dtype=np.int64).astype(U64))
+        values = rng.integers(0, 2**31, len(codes))
+        at = rng.integers(0, len(codes), 4 * n)
+        assert (Lookup(codes, values)(codes[at]) == values[at]).all()
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", 0, 0, ""), (2, None, 0, 0, "")], SCHEMA)
     rows = {r.doc_id: r for r in score_documents(docs, F.lit(True)).collect()}
