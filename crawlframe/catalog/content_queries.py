@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from crawlframe.catalog.fixtures import (
     ATOM_NS,
@@ -333,6 +337,40 @@ SELECT parent_url, url FROM d_u WHERE url NOT IN (SELECT url FROM d_hits)"""
 # --- whole steps ------------------------------------------------------------------------------
 
 
+def _disguised(spark: SparkSession, sf: str) -> DataFrame:
+    """Sitemaps as they also come: compressed ones (every second), and feeds under a sitemap's stale flag."""
+    packed = F.arrow_udf(lambda bodies: pa.array([gzip.compress(b, mtime=0) for b in bodies.to_pylist()], pa.binary()), BinaryType())
+    every = F.pmod(F.crc32(F.encode("url", "utf-8")), F.lit(2)) == 0
+    maps = sitemap_docs(spark, sf)
+    maps = maps.withColumn("content", F.when(every, packed("content")).otherwise(F.col("content")))
+    return maps.unionByName(feed_docs(spark, sf))
+
+
+def q_disguised_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return X.extract_sitemap_urls(_disguised(spark, sf), NOW, HOURS).select("parent_url", "url", _flag("isSitemap").alias("is_sitemap"))
+
+
+SQL_DISGUISED_URLS = f"""{R.strip()}, {with_ctes('d_feed_rows')[5:].strip()}
+SELECT parent_url, url, 'false' AS is_sitemap FROM ({_LINKS}) x
+UNION ALL SELECT parent_url, link, 'false' FROM d_feed_rows WHERE CAST(published AS TIMESTAMP) >= {CUT}"""
+
+
+def q_sitemap_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Plain-text sitemaps, a URL a line, some lines no URL; where the media type says XML they are no sitemaps."""
+    rows = derived(spark, sf, "d_sitemap_rows")
+    listed = F.array_sort(F.collect_list(F.struct("pos", F.concat("loc", F.when(F.col("pos") % 5 == 0, "\nnot a url").otherwise("")).alias("x"))))
+    text = F.concat(F.array_join(F.transform(listed, lambda e: e["x"]), "\n"), F.lit("\n"))
+    docs = rows.groupBy(F.col("parent_url").alias("url")).agg(text.cast("binary").alias("content"), F.min("pos").alias("first"))
+    kinds = F.array(*[F.lit(x) for x in ("text/plain", "application/octet-stream", "application/xml")])
+    docs = docs.withColumn("type", F.element_at(kinds, (F.col("first") % 3 + 1).cast("int")))
+    parsed = X.parse_sitemap(docs, content_type=F.col("type"))
+    return parsed.select("url", "ok", F.coalesce(F.array_join("entries.loc", " "), F.lit("")).alias("locs"))
+
+
+SQL_SITEMAP_LINES = f"""{R} SELECT parent_url AS url, min(pos) % 3 <> 2 AS ok,
+  CASE WHEN min(pos) % 3 <> 2 THEN string_agg(loc, ' ' ORDER BY pos) ELSE '' END AS locs FROM d_sitemap_rows GROUP BY 1"""
+
+
 def _parents(docs: DataFrame, **flags: str) -> DataFrame:
     return docs.withColumn("metadata", M.meta_of(**flags))
 
@@ -357,6 +395,37 @@ def q_process_sitemaps(spark: SparkSession, sf: str) -> DataFrame:
     return _updates_flat(crawl.process_sitemaps(docs, NOW, HOURS, 15))
 
 
+def q_process_disguised(spark: SparkSession, sf: str) -> DataFrame:
+    return _updates_flat(crawl.process_sitemaps(_parents(_disguised(spark, sf), isSitemapNews="true"), NOW, HOURS, 15))
+
+
+SQL_PROCESS_DISGUISED = f"""{R.strip()}, {with_ctes('d_feed_rows')[5:].strip()}, l AS ({_LINKS}
+  UNION ALL SELECT parent_url, link, pos, 1 FROM d_feed_rows WHERE CAST(published AS TIMESTAMP) >= {CUT}),
+docs AS (SELECT DISTINCT parent_url FROM d_sitemap_rows UNION SELECT DISTINCT parent_url FROM d_feed_rows), n AS (SELECT parent_url, count(*) AS n FROM l GROUP BY 1)
+SELECT url, 'DISCOVERED' AS status, '-' AS num_links, 'false' AS is_sitemap, '-' AS is_index, CAST(0 AS BIGINT) AS delay, '-' AS error FROM l
+UNION ALL SELECT d.parent_url, 'FETCHED', CAST(coalesce(n.n, 0) AS VARCHAR), '-', '-', 0, '-' FROM docs d LEFT JOIN n ON n.parent_url = d.parent_url"""
+
+
+def q_parse_filter_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """A parse filter that refuses some sitemaps, and pages no parser can read, of which it refuses some as well."""
+    pages = table(spark, sf, "pages").select(
+        F.concat(F.lit("https://broken.example/"), F.col("page_id").cast("string")).alias("url"), F.col("html").cast("binary").alias("content")
+    )
+    docs = _parents(sitemap_docs(spark, sf).unionByName(pages), isSitemapNews="true", numLinks="3")
+    refuse = lambda df: crawl.failing(df, F.when(F.col("url").rlike(r"7(\.xml)?$"), F.concat(F.lit("refused "), "url")))
+    out = crawl.process_sitemaps(crawl.apply_parse_filters(docs, (crawl.signature_filter, refuse)), NOW, HOURS, 15)
+    return _updates_flat(out)
+
+
+_REFUSED = "ends_with(parent_url, '7.xml')"
+SQL_PARSE_FILTER_ERRORS = f"""{R}, l AS ({_LINKS}), pn AS (SELECT parent_url, count(*) AS n FROM l GROUP BY 1), p AS (SELECT DISTINCT parent_url FROM d_sitemap_rows)
+SELECT url, 'DISCOVERED' AS status, '-' AS num_links, 'false' AS is_sitemap, '-' AS is_index, CAST(0 AS BIGINT) AS delay, '-' AS error FROM l WHERE NOT {_REFUSED}
+UNION ALL SELECT p.parent_url, CASE WHEN {_REFUSED.replace('parent_url', 'p.parent_url')} THEN 'ERROR' ELSE 'FETCHED' END,
+  CASE WHEN {_REFUSED.replace('parent_url', 'p.parent_url')} THEN '-' ELSE CAST(coalesce(pn.n, 0) AS VARCHAR) END, '-', '-', 0,
+  CASE WHEN {_REFUSED.replace('parent_url', 'p.parent_url')} THEN 'content filtering' ELSE '-' END FROM p LEFT JOIN pn ON pn.parent_url = p.parent_url
+UNION ALL SELECT concat('https://broken.example/', page_id), 'ERROR', '-', '-', '-', 0, 'sitemap parsing' FROM pages"""
+
+
 SQL_PROCESS = f"""{_CHILDREN}, l AS ({_LINKS}), pn AS (SELECT parent_url, count(*) AS n FROM l GROUP BY 1), xn AS (SELECT index_url, count(*) AS n FROM k GROUP BY 1)
 SELECT url, 'DISCOVERED' AS status, '-' AS num_links, 'false' AS is_sitemap, '-' AS is_index, CAST(0 AS BIGINT) AS delay, '-' AS error FROM l
 UNION ALL SELECT parent_url, 'DISCOVERED', '-', 'true', '-', CAST(n * 15 AS BIGINT), '-' FROM k
@@ -406,7 +475,12 @@ def q_crawl_step(spark: SparkSession, sf: str) -> DataFrame:
     empty = spark.createDataFrame([], "url STRING, url_id STRING, key STRING, status STRING, next_fetch TIMESTAMP, metadata MAP<STRING,ARRAY<STRING>>")
     updates = crawl.crawl_step(_fetched(spark, sf), NOW, SC.default_intervals(spark), deny_rules=_rules(spark), hours=HOURS)
     out = UP.status_upsert(empty, updates)
-    return out.select("url", "key", "status", ts_text("next_fetch").alias("next_fetch"))
+    path = F.coalesce(F.try_element_at("metadata", F.lit("url.path")), F.array(F.lit("-")))
+    return out.select(
+        "url", "key", "status", ts_text("next_fetch").alias("next_fetch"), _flag("numLinks").alias("num_links"), _flag("isSitemap").alias("is_sitemap"),
+        _flag("isSitemapIndex").alias("is_index"), _flag("isSitemapNews").alias("is_news"), _flag("isFeed").alias("is_feed"), F.array_join(path, " ").alias("path"),
+        _flag("error.source").alias("error_source"), _flag("error.cause").alias("error_cause"), F.map_contains_key("metadata", F.lit("signature")).alias("signed"),
+    )
 
 
 SQL_CRAWL_STEP = f"""{R.strip()}, {with_ctes('d_feed_rows')[5:].strip()}, {RULES_SQL},{_URLS_SQL},
@@ -418,19 +492,26 @@ dd AS (SELECT url, t FROM du WHERE NOT (host = 'example.org' OR regexp_matches(h
    OR regexp_matches(path, '/1[0-9]*7$') OR (host = 'www.ththin.example.net' AND contains(path, '/en/')))),
 pages_ok AS (SELECT page_id, d_u.url FROM d_u WHERE url NOT IN (SELECT url FROM d_hits)),
 k AS (SELECT *, row_number() OVER (PARTITION BY index_url ORDER BY pos) - 1 AS n FROM c WHERE CAST(lastmod AS TIMESTAMP) >= {CUT}),
+kept_links AS (SELECT l.parent_url, l.url FROM ({_LINKS}) l), n_links AS (SELECT parent_url AS url, count(*) AS n FROM kept_links GROUP BY 1),
+n_children AS (SELECT index_url AS url, count(*) AS n FROM k GROUP BY 1),
 ev AS (
-  SELECT l.url, 'DISCOVERED' AS status, 0 AS minutes FROM ({_LINKS}) l JOIN dd ON dd.url = l.parent_url
-  UNION ALL SELECT k.parent_url, 'DISCOVERED', 300 + n * 15 FROM k JOIN dd ON dd.url = k.index_url
-  UNION ALL SELECT f.link, 'DISCOVERED', 0 FROM d_feed_rows f JOIN dd ON dd.url = f.parent_url WHERE CAST(f.published AS TIMESTAMP) >= {CUT}
-  UNION ALL SELECT concat('https://to.example/', page_id), 'DISCOVERED', 0 FROM pages_ok WHERE page_id % 5 = 2
-  UNION ALL SELECT url, 'FETCHED', CASE t WHEN 'map' THEN 1440 WHEN 'index' THEN 10080 ELSE 720 END FROM dd
+  SELECT l.url, 'DISCOVERED' AS status, 0 AS minutes, '-' AS num_links, 'false' AS is_sitemap, '-' AS is_index, 'false' AS is_news, '-' AS is_feed, l.parent_url AS path,
+    '-' AS error_cause, FALSE AS signed FROM kept_links l JOIN dd ON dd.url = l.parent_url
+  UNION ALL SELECT k.parent_url, 'DISCOVERED', 300 + n * 15, '-', 'true', '-', 'false', '-', k.index_url, '-', FALSE FROM k JOIN dd ON dd.url = k.index_url
+  UNION ALL SELECT f.link, 'DISCOVERED', 0, '-', '-', '-', '-', '-', f.parent_url, '-', FALSE FROM d_feed_rows f JOIN dd ON dd.url = f.parent_url WHERE CAST(f.published AS TIMESTAMP) >= {CUT}
+  UNION ALL SELECT concat('https://to.example/', page_id), 'DISCOVERED', 0, '-', '-', '-', '-', '-', url, '-', FALSE FROM pages_ok WHERE page_id % 5 = 2
+  UNION ALL SELECT dd.url, 'FETCHED', CASE t WHEN 'map' THEN 1440 WHEN 'index' THEN 10080 ELSE 720 END,
+    CASE t WHEN 'map' THEN CAST(coalesce(a.n, 0) AS VARCHAR) WHEN 'index' THEN CAST(coalesce(b.n, 0) AS VARCHAR) ELSE '-' END, '-', CASE WHEN t = 'index' THEN 'true' ELSE '-' END,
+    CASE WHEN t = 'map' THEN 'true' ELSE '-' END, CASE WHEN t = 'feed' THEN 'true' ELSE '-' END, '-', '-', TRUE
+    FROM dd LEFT JOIN n_links a ON a.url = dd.url LEFT JOIN n_children b ON b.url = dd.url
   UNION ALL SELECT url, CASE page_id % 5 WHEN 2 THEN 'REDIRECTION' WHEN 3 THEN 'ERROR' WHEN 4 THEN 'FETCH_ERROR' ELSE 'FETCHED' END,
-     CASE WHEN page_id % 5 = 4 THEN 2880 ELSE -1 END FROM pages_ok
-  UNION ALL SELECT url, 'ERROR', NULL FROM docs WHERE url NOT IN (SELECT url FROM dd)
-  UNION ALL SELECT url, 'ERROR', NULL FROM d_u WHERE url IN (SELECT url FROM d_hits)),
+     CASE WHEN page_id % 5 = 4 THEN 2880 ELSE -1 END, '-', '-', '-', '-', '-', '-', '-', FALSE FROM pages_ok
+  UNION ALL SELECT url, 'ERROR', NULL, '-', '-', '-', '-', CASE WHEN t = 'feed' THEN 'true' ELSE '-' END, '-', 'Filtered', FALSE FROM docs WHERE url NOT IN (SELECT url FROM dd)
+  UNION ALL SELECT url, 'ERROR', NULL, '-', '-', '-', '-', '-', '-', 'Filtered', FALSE FROM d_u WHERE url IN (SELECT url FROM d_hits)),
 w AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY CASE WHEN status = 'DISCOVERED' THEN 1 ELSE 0 END, coalesce(minutes, 0) DESC) AS rn FROM ev)
 SELECT url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS key, status,
-  CASE WHEN minutes >= 0 THEN strftime(TIMESTAMP '{NOW}' + to_minutes(CAST(minutes AS BIGINT)), '%Y-%m-%d %H:%M:%S') ELSE '' END AS next_fetch FROM w WHERE rn = 1"""
+  CASE WHEN minutes >= 0 THEN strftime(TIMESTAMP '{NOW}' + to_minutes(CAST(minutes AS BIGINT)), '%Y-%m-%d %H:%M:%S') ELSE '' END AS next_fetch,
+  num_links, is_sitemap, is_index, is_news, is_feed, path, '-' AS error_source, error_cause, signed FROM w WHERE rn = 1"""
 
 
 def q_bootstrap_step(spark: SparkSession, sf: str) -> DataFrame:
@@ -508,6 +589,10 @@ QUERIES: dict[str, tuple] = {
     "discover_sitemaps": (q_discover_sitemaps, SQL_DISCOVER),
     "filter_outlinks": (q_filter_outlinks, SQL_FILTER_OUTLINKS),
     "process_sitemaps": (q_process_sitemaps, SQL_PROCESS),
+    "extract_sitemap_urls_disguised": (q_disguised_urls, SQL_DISGUISED_URLS),
+    "sitemap_lines": (q_sitemap_lines, SQL_SITEMAP_LINES),
+    "process_sitemaps_disguised": (q_process_disguised, SQL_PROCESS_DISGUISED),
+    "parse_filter_errors": (q_parse_filter_errors, SQL_PARSE_FILTER_ERRORS),
     "process_feeds": (q_process_feeds, SQL_PROCESS_FEEDS),
     "crawl_step": (q_crawl_step, SQL_CRAWL_STEP),
     "bootstrap_step": (q_bootstrap_step, SQL_BOOTSTRAP_STEP),

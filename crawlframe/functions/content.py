@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from crawlframe.functions.metadata import empty_meta, meta_first, meta_true, meta_update
 from crawlframe.schemas import IS_INDEX, IS_NEWS, IS_SITEMAP, IS_VERIFIED
@@ -111,6 +114,36 @@ def resolve_sitemap_flags(metadata: Column, detected: Column) -> Column:
     return F.struct(out.alias("metadata"), action.alias("action"), verified.alias("verified"))
 
 
+GZIP_MAGIC = b"\x1f\x8b"
+#: A compressed body gives at most this many bytes.
+INFLATE_LIMIT = 64 * 1024 * 1024
+
+
+def gunzip(body: bytes, limit: int = INFLATE_LIMIT) -> bytes:
+    """What can be read of a gzip body, all its members, up to the limit; a broken one gives what lies before the break."""
+    out, left = [], limit
+    while body[:2] == GZIP_MAGIC and left > 0:
+        member = zlib.decompressobj(31)
+        try:
+            piece = member.decompress(body, left)
+        except zlib.error:
+            break
+        out.append(piece)
+        left -= len(piece)
+        body = member.unused_data
+    return b"".join(out)
+
+
+def _inflated(bodies: pa.Array) -> pa.Array:
+    return pa.array([None if b is None else gunzip(b) for b in bodies.to_pylist()], pa.binary())
+
+
+def inflate(content: Column) -> Column:
+    """The body, decompressed where it begins as gzip does. Only such bodies leave the JVM, in Arrow batches."""
+    packed = F.substring(content, 1, 2) == F.lit(GZIP_MAGIC)
+    return F.when(packed, F.arrow_udf(_inflated, BinaryType())(F.when(packed, content))).otherwise(content)
+
+
 def sitemap_parse_mode(content_type: Column) -> Column:
     """Whether the media type is trusted or guessed from the body."""
     unknown = content_type.isNull() | (F.trim(content_type) == "") | content_type.contains("octet-stream")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crawlframe.functions.content import root_name
+from crawlframe.functions.content import inflate, root_name, sitemap_parse_mode
 from crawlframe.functions.dates import parse_date_lenient, recently_modified
 from crawlframe.functions.metadata import meta_of
 from crawlframe.functions.stage import compute_once, with_parts
@@ -56,22 +56,59 @@ def _fragments(pattern: str, fields: str) -> Column:
     return F.transform(F.regexp_extract_all("_text", F.lit(pattern), 0), lambda f: F.from_xml(f, fields, _XML))
 
 
-def parse_sitemap(docs: DataFrame, content: str = "content", allow_partial: bool = True) -> DataFrame:
+#: Roots of feeds, which may stand where a sitemap was expected.
+FEED_ROOTS = ("rss", "RDF", "feed")
+_URL_LINE = r"^(?i:https?)://\S+$"
+
+
+def _feed_entries(items: Column) -> Column:
+    """Items of a feed as entries of a sitemap: the link, and its date as the last change."""
+
+    def entry(i: Column) -> Column:
+        none = (F.lit(None).cast("array<struct<publication_date:string>>"), F.lit(None).cast("array<struct<_href:string>>"))
+        return F.struct(i["link"].alias("loc"), i["published"].alias("lastmod"), none[0].alias("news"), none[1].alias("link"))
+
+    return F.transform(items, entry).cast(f"ARRAY<{_ENTRY}>")
+
+
+def _line_entries(text: Column) -> Column:
+    lines = F.filter(F.transform(F.split(text, r"[\r\n]+"), F.trim), lambda x: x.rlike(_URL_LINE))
+    return _feed_entries(F.transform(lines, lambda x: F.struct(x.alias("link"), F.lit(None).cast("string").alias("published"))))
+
+
+def parse_sitemap(
+    docs: DataFrame, content: str = "content", allow_partial: bool = True, content_type: Column | None = None, inflated: bool = False
+) -> DataFrame:
     """Replace the body by ``ok, is_index, entries, children``.
 
-    A broken document keeps the complete entries before the break; one that gives nothing at all is
-    not ok. Nothing is raised.
+    The root element chooses the reader: sitemaps and indexes, but also feeds, whose items count as entries. A body
+    without markup is read as one URL a line, unless its media type (where it is to be trusted) says XML. Gzip bodies
+    are decompressed. A broken document keeps the complete entries before the break; one that gives nothing at
+    all is not ok. Nothing is raised.
     """
     keep = [c for c in docs.columns if c != content]
-    staged = compute_once(docs.select(*keep, F.col(content).alias("_text")), "_text", body_text(F.col("_text")))
-    staged = compute_once(staged, "_doc", F.from_xml(F.col("_text"), _DOC_FIELDS, _XML))
-    broken = F.col("_doc").isNull() | F.col("_doc._corrupt_record").isNotNull()
+    body = F.col("_text") if inflated else inflate(F.col("_text"))
+    xml_type = F.lit(False) if content_type is None else (sitemap_parse_mode(content_type) == "trust") & content_type.contains("xml")
+    typed = docs.select(*keep, F.col(content).alias("_text"), F.coalesce(xml_type, F.lit(False)).alias("_xml"))
+    staged = compute_once(typed, "_text", body_text(body))
     # the root element decides; a broken text that has lost it is looked into for entries
     staged = compute_once(staged, "_root", F.coalesce(root_name(F.col("_text")), F.lit("")))
+    is_feed = F.col("_root").isin(*FEED_ROOTS)
+    is_text = ~F.col("_xml") & (F.col("_root") == "") & F.coalesce(F.col("_text").rlike(r"^(?i:https?)://"), F.lit(False))
+    staged = staged.withColumns({"_is_feed": is_feed, "_is_text": is_text})
+    staged = compute_once(staged, "_feed_doc", F.from_xml(F.when(F.col("_is_feed"), F.col("_text")), _FEED_FIELDS, _XML))
+    of_map = F.when(~F.col("_is_feed") & ~F.col("_is_text"), F.col("_text"))
+    staged = compute_once(staged, "_doc", F.from_xml(of_map, _DOC_FIELDS, _XML))
+    broken = F.col("_doc").isNull() | F.col("_doc._corrupt_record").isNotNull()
     known = F.col("_root").isin("urlset", "sitemapindex") | (broken & (F.col("_root") == ""))
     staged = staged.withColumns({"_broken": broken, "_known": known, "is_index": F.col("_root") == "sitemapindex"})
     rescue = F.col("_broken") if allow_partial else F.lit(False)
-    entries = F.when(rescue & ~F.col("is_index"), _fragments(_URL_FRAGMENT, _ENTRY_FIELDS)).otherwise(F.col("_doc.url"))
+    entries = (
+        F.when(F.col("_is_feed"), _feed_entries(_feed_items("_feed_doc")))
+        .when(F.col("_is_text"), _line_entries(F.col("_text")))
+        .when(rescue & ~F.col("is_index"), _fragments(_URL_FRAGMENT, _ENTRY_FIELDS))
+        .otherwise(F.col("_doc.url"))
+    )
     children = F.when(rescue & F.col("is_index"), _fragments(_SITEMAP_FRAGMENT, _CHILD_FIELDS)).otherwise(
         F.col("_doc.sitemap")
     )
@@ -84,7 +121,10 @@ def parse_sitemap(docs: DataFrame, content: str = "content", allow_partial: bool
         "is_index",
         F.col("_found.entries").alias("entries"),
         F.col("_found.children").alias("children"),
-        (F.col("_known") & (~F.col("_broken") | (n > 0))).alias("ok"),
+        F.when(F.col("_is_feed"), _feed_ok("_feed_doc"))
+        .when(F.col("_is_text"), True)
+        .otherwise(F.col("_known") & (~F.col("_broken") | (n > 0)))
+        .alias("ok"),
     )
 
 
@@ -199,10 +239,12 @@ def inherit_verified(links: DataFrame, parents: DataFrame) -> DataFrame:
 # --- feeds ------------------------------------------------------------------------------------
 
 
-def parse_feed(docs: DataFrame, content: str = "content") -> DataFrame:
-    """Replace the body by ``ok`` and ``items`` (array of link, published) for RSS and Atom alike."""
-    keep = [c for c in docs.columns if c != content]
-    staged = compute_once(docs, "_doc", F.from_xml(body_text(F.col(content)), _FEED_FIELDS, _XML)).drop(content)
+def _feed_ok(doc: str) -> Column:
+    return F.col(doc).isNotNull() & F.col(f"{doc}._corrupt_record").isNull()
+
+
+def _feed_items(doc: str) -> Column:
+    """Items of a read RSS or Atom document: array of link, published."""
     none = F.array().cast("array<struct<link:string,published:string>>")
 
     def rss_item(item: Column) -> Column:
@@ -222,13 +264,18 @@ def parse_feed(docs: DataFrame, content: str = "content") -> DataFrame:
             F.coalesce(entry["published"], entry["updated"]).alias("published"),
         )
 
-    items = F.concat(
-        F.coalesce(F.transform("_doc.channel.item", rss_item), none),
-        F.coalesce(F.transform("_doc.item", rss_item), none),
-        F.coalesce(F.transform("_doc.entry", atom_entry), none),
+    return F.concat(
+        F.coalesce(F.transform(f"{doc}.channel.item", rss_item), none),
+        F.coalesce(F.transform(f"{doc}.item", rss_item), none),
+        F.coalesce(F.transform(f"{doc}.entry", atom_entry), none),
     )
-    ok = F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull()
-    return staged.select(*keep, ok.alias("ok"), items.alias("items"))
+
+
+def parse_feed(docs: DataFrame, content: str = "content") -> DataFrame:
+    """Replace the body by ``ok`` and ``items`` (array of link, published) for RSS and Atom alike."""
+    keep = [c for c in docs.columns if c != content]
+    staged = compute_once(docs, "_doc", F.from_xml(body_text(F.col(content)), _FEED_FIELDS, _XML)).drop(content)
+    return staged.select(*keep, _feed_ok("_doc").alias("ok"), _feed_items("_doc").alias("items"))
 
 
 def feed_links(

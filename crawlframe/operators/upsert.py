@@ -43,7 +43,7 @@ def _rank(batch: Column, time: Column) -> Column:
         F.when(result, t).otherwise(-t).alias("time"),
         F.col("status"),
         F.coalesce(F.unix_micros("next_fetch"), F.lit(0)).alias("next"),
-        F.to_json("metadata").alias("tie"),
+        F.xxhash64(F.col("key"), F.map_entries("metadata")).alias("tie"),
     )
 
 
@@ -59,23 +59,20 @@ def collapse_updates(updates: DataFrame, batch_col: str | None = None) -> DataFr
     return picked.select("url", "r.key", "r.status", "r.next_fetch", "r.metadata")
 
 
-def status_upsert(current: DataFrame, updates: DataFrame, batch_col: str | None = None) -> DataFrame:
-    """DISCOVERED only inserts; every other status replaces status, next_fetch and metadata of its url.
-
-    One full outer join on url. A ``current`` that is bucketed by url (see ``sources.tables``) stays
-    where it is and only the updates are shuffled.
-    """
-    new = collapse_updates(updates, batch_col).select(
+def _new_rows(updates: DataFrame, batch_col: str | None) -> DataFrame:
+    return collapse_updates(updates, batch_col).select(
         F.col("url").alias("u_url"),
         F.col("key").alias("u_key"),
         F.col("status").alias("u_status"),
         F.col("next_fetch").alias("u_next"),
         persist_metadata(F.col("metadata"), STORED_KEYS).alias("u_meta"),
     )
-    joined = current.join(new, F.col("url") == F.col("u_url"), "full_outer")
+
+
+def _merged(joined: DataFrame, url: Column) -> DataFrame:
+    """The row an update leaves of each (old, new) pair."""
     absent = F.col("url").isNull()
     take = F.col("u_url").isNotNull() & (absent | (F.col("u_status") != "DISCOVERED"))
-    url = F.coalesce("url", "u_url")
     return joined.select(
         url.alias("url"),
         F.coalesce(F.col("url_id"), url_id(url)).alias("url_id"),
@@ -86,6 +83,22 @@ def status_upsert(current: DataFrame, updates: DataFrame, batch_col: str | None
     )
 
 
+def touched_rows(current: DataFrame, updates: DataFrame, batch_col: str | None = None) -> DataFrame:
+    """The rows of the urls that have updates, after the upsert. A condition on the url reaches both scans."""
+    new = _new_rows(updates, batch_col)
+    return _merged(new.join(current, F.col("url") == F.col("u_url"), "left"), F.col("u_url"))
+
+
+def status_upsert(current: DataFrame, updates: DataFrame, batch_col: str | None = None) -> DataFrame:
+    """DISCOVERED only inserts; every other status replaces status, next_fetch and metadata of its url.
+
+    One full outer join on url. A ``current`` that is bucketed by url (see ``sources.tables``) stays
+    where it is and only the updates are shuffled.
+    """
+    joined = current.join(_new_rows(updates, batch_col), F.col("url") == F.col("u_url"), "full_outer")
+    return _merged(joined, F.coalesce("url", "u_url"))
+
+
 def signature_change(fetched: DataFrame, status: DataFrame) -> DataFrame:
     """Compare the body's signature with the stored one: ``url, signature, signature_old, changed``."""
     from crawlframe.functions.metadata import meta_first

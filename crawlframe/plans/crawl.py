@@ -14,7 +14,9 @@ from crawlframe.functions.content import (
     detect_feed,
     detect_sitemap_bootstrap,
     detect_sitemap_type,
+    inflate,
     namespace_guard,
+    root_name,
     resolve_sitemap_flags,
     with_signature,
 )
@@ -32,7 +34,9 @@ from crawlframe.functions.metadata import (
 from crawlframe.functions.stage import compute_once, with_parts
 from crawlframe.functions.urls import resolve_url
 from crawlframe.operators.extract import (
+    FEED_ROOTS,
     _is_recent_entry,
+    body_text,
     canonical_href,
     extract_alternates,
     feed_urls_of,
@@ -66,7 +70,11 @@ _LINK = "array<struct<url:string,url_pos:int,link_pos:int>>"
 
 
 def apply_parse_filters(docs: DataFrame, chain: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Run parse filters in order; each adds to the metadata of ``url, content, metadata`` rows."""
+    """Run parse filters in order; each adds to the metadata of ``url, content, metadata`` rows.
+
+    A filter that can't deal with a document names the reason in the column ``filter_error``: the document then turns
+    ERROR behind its parser, and its links are dropped. See :func:`failing`.
+    """
     for step in chain:
         docs = step(docs)
     return docs
@@ -82,6 +90,12 @@ def canonical_filter(docs: DataFrame) -> DataFrame:
     return staged.withColumn("metadata", F.when(F.col("_href").isNotNull(), found).otherwise(F.col("metadata"))).drop("_href")
 
 
+def failing(docs: DataFrame, error: Column) -> DataFrame:
+    """Mark rows whose ``error`` is not NULL; the first error of a row stays."""
+    known = F.col("filter_error") if "filter_error" in docs.columns else F.lit(None).cast("string")
+    return docs.withColumn("filter_error", F.coalesce(known, error))
+
+
 #: Parse filters of the two set-ups; the feed links of the second are rows, see ``bootstrap_step``.
 PARSE_FILTERS = {"production": (signature_filter,), "bootstrap": (signature_filter, canonical_filter)}
 
@@ -164,7 +178,8 @@ def document_updates(
     """Status updates of fetched documents: ``url, status, metadata, delay, parent_url``.
 
     ``docs`` has ``url, content, metadata, kind, state``: documents of kind ``sitemap`` and ``feed`` are
-    parsed, those of kind ``redirect`` hand on their target, all others keep ``state`` as their status.
+    parsed, those of kind ``redirect`` hand on their target, all others keep ``state`` as their status. What the
+    parse filters said against a document may stand in ``filter_error``.
 
     Every body is read once. Parsing is narrow and leaves one row with a link array per document. One
     shuffle by document (without bodies) folds copies of the same record, map-side first, so a record
@@ -173,24 +188,31 @@ def document_updates(
     staggered where they are. A document is bounded by the body limit, so no group is large.
     """
     kind = F.col("kind")
+    refused = F.col("filter_error") if "filter_error" in docs.columns else F.lit(None).cast("string")
     staged = docs.select(
         "url",
         "metadata",
         "kind",
         "state",
+        F.when(kind.isin("sitemap", "feed"), refused).alias("_refused"),
         F.when(kind == "sitemap", F.col("content")).alias("content"),
         F.when(kind == "feed", F.col("content")).alias("_feed"),
     )
-    guard = namespace_guard(F.col("content")) if strict_namespace else F.lit(True)
+    staged = compute_once(staged, "content", inflate(F.col("content")))
+    # a feed under a sitemap's flag is read as one, whatever its namespace
+    is_sitemap_feed = root_name(body_text(F.substring("content", 1, 4096))).isin(*FEED_ROOTS)
+    guard = namespace_guard(F.col("content")) | is_sitemap_feed if strict_namespace else F.lit(True)
     staged = compute_once(staged, "_ns", F.coalesce(guard, F.lit(False)))
     identity = F.md5(
-        F.concat_ws("\x01", "url", "kind", "state", F.xxhash64("content", "_feed").cast("string"), F.to_json("metadata"))
+        F.concat_ws("\x01", "url", "kind", "state", F.xxhash64("content", "_feed").cast("string"), "_refused", F.to_json("metadata"))
     )
     staged = compute_once(staged, "_doc_id", identity)
-    parsed = parse_sitemap(staged).withColumn("_map_ok", F.col("ok") & F.col("_ns")).drop("ok")
+    media_type = F.coalesce(meta_first(F.col("metadata"), "content-type"), meta_first(F.col("metadata"), "Content-Type"))
+    read = parse_sitemap(staged, content_type=media_type, inflated=True)
+    parsed = read.withColumn("_map_ok", F.col("ok") & F.col("_ns")).drop("ok")
     parsed = with_parts(parse_feed(parsed, "_feed"), "url", "_base")
     ok = F.when(kind == "sitemap", F.col("_map_ok")).when(kind == "feed", F.col("ok")).otherwise(True)
-    parsed = parsed.withColumn("_ok", ok)
+    parsed = parsed.withColumns({"_read": ok, "_ok": ok & F.col("_refused").isNull()})
     target = meta_first(F.col("metadata"), REDIR_TO)
     hop = F.array(F.struct(target.alias("url"), F.lit(0).alias("url_pos"), F.lit(0).alias("link_pos"))).cast(_LINK)
     links = (
@@ -199,7 +221,7 @@ def document_updates(
         .when((kind == "redirect") & target.isNotNull() & (target != F.col("url")), hop)
     )
     parsed = compute_once(parsed, "_links", links).select(
-        "_doc_id", "url", "metadata", "kind", "state", "_ok", "is_index", "_links"
+        "_doc_id", "url", "metadata", "kind", "state", "_ok", "is_index", "_links", F.when(F.col("_read"), F.col("_refused")).alias("_refused")
     )
     parsed = parsed.dropDuplicates(["_doc_id"])
 
@@ -215,7 +237,7 @@ def document_updates(
     rows = F.concat(marker.cast(_LINK), F.coalesce("_links", F.array().cast(_LINK)))
     is_link = F.col("url_pos") >= 0
     flat = compute_once(parsed, "_child", F.when(F.size("_links") > 0, child)).select(
-        "_doc_id", F.col("url").alias("parent_url"), "metadata", "_child", "_ok", "is_index", "kind", "state", F.inline(rows).alias("url", "url_pos", "link_pos")
+        "_doc_id", F.col("url").alias("parent_url"), "metadata", "_child", "_ok", "is_index", "kind", "state", "_refused", F.inline(rows).alias("url", "url_pos", "link_pos")
     ).select(
         "_doc_id",
         "parent_url",
@@ -224,6 +246,7 @@ def document_updates(
         "is_index",
         "kind",
         "state",
+        "_refused",
         "url",
         "url_pos",
         "link_pos",
@@ -241,12 +264,13 @@ def document_updates(
 
     is_map, is_feed = F.col("kind") == "sitemap", F.col("kind") == "feed"
     bad = ~F.col("_ok")
-    source = F.when(is_map, "sitemap parsing").otherwise("feed parsing")
+    source = F.when(F.col("_refused").isNotNull(), "content filtering").when(is_map, "sitemap parsing").otherwise("feed parsing")
+    message = F.coalesce("_refused", F.concat(F.lit("Not a readable document: "), F.col("parent_url")))
     changed = meta_update(
         parent,
         {
             ERROR_SOURCE: F.when(bad, source),
-            ERROR_MESSAGE: F.when(bad, F.concat(F.lit("Not a readable document: "), F.col("parent_url"))),
+            ERROR_MESSAGE: F.when(bad, message),
             NUM_LINKS: F.when(is_map & ~bad, F.col("_n").cast("string")),
             IS_INDEX: F.when(is_map & ~bad & F.col("is_index"), "true"),
             IS_FEED: F.when(is_feed, "true"),
@@ -273,7 +297,8 @@ def document_updates(
 
 
 def _as_kind(fetched: DataFrame, kind: str) -> DataFrame:
-    return fetched.select("url", "content", "metadata", F.lit(kind).alias("kind"), F.lit("FETCHED").alias("state"))
+    more = ["filter_error"] if "filter_error" in fetched.columns else []
+    return fetched.select("url", "content", "metadata", F.lit(kind).alias("kind"), F.lit("FETCHED").alias("state"), *more)
 
 
 def process_sitemaps(fetched: DataFrame, now: Clock, hours: int = 720, delay: int = 15, chain: Chain = (), **kw) -> DataFrame:
@@ -330,7 +355,9 @@ def crawl_updates(
     routed = route_fetched(classified.withColumn("content", body))
     # only documents that are parsed pass the parse filters
     parsed = good & F.col("branch").isin("sitemap", "feed")
-    signed = apply_parse_filters(routed.withColumn("_before", F.col("metadata")), parse_filters).select(
+    filtered = apply_parse_filters(routed.withColumn("_before", F.col("metadata")), parse_filters)
+    signed = filtered.select(
+        *(["filter_error"] if "filter_error" in filtered.columns else []),
         "url",
         "content",
         "state",

@@ -6,9 +6,9 @@ Layout of a status table::
     root/updates/v=000003/batch=17/   updates that arrived after that snapshot
 
 A batch of updates is one small append, whatever the size of the table. Writing the same batch
-again replaces its own directory, so replays change nothing. Readers see base and updates merged by
-the same upsert the batch operators use, and because the snapshot is bucketed by url only the updates
-are shuffled for it. ``compact_status`` folds the updates into a new snapshot. A snapshot counts from the
+again replaces its own directory, so replays change nothing. Readers see the snapshot without the urls that have
+updates, and those urls merged by the same upsert the batch operators use. Conditions reach the scans of both
+parts, and because the snapshot is bucketed by url only the updates are shuffled, and a look-up by url reads one bucket. ``compact_status`` folds the updates into a new snapshot. A snapshot counts from the
 moment its marker ``root/_current/v=000003-b=16`` (version and number of buckets) exists; markers are only
 ever added, and the highest one holds, so a crash at any point leaves the last complete snapshot in
 force. One writer at a time, as with one streaming query.
@@ -122,18 +122,23 @@ def write_status(updates: DataFrame, root: str, batch_id: int, compact_after: in
         compact_status(updates.sparkSession, root)
 
 
+def pending_updates(spark: SparkSession, root: str) -> DataFrame | None:
+    """The updates that arrived after the snapshot, with their ``batch``; None where there are none."""
+    path = _updates(root, current_version(spark, root))
+    if not _has_files(spark, path):
+        return None
+    return spark.read.schema(UPDATES + ", batch BIGINT").option("basePath", path).parquet(path)
+
+
 def read_status(spark: SparkSession, root: str) -> DataFrame:
-    """Base snapshot with the later updates applied."""
-    from crawlframe.operators.upsert import status_upsert
+    """Base snapshot with the later updates applied: rows without updates as they are, the others merged."""
+    from crawlframe.operators.upsert import touched_rows
 
-    version = current_version(spark, root)
-    base = _read_base(spark, root)
-    if not _has_files(spark, _updates(root, version)):
+    base, updates = _read_base(spark, root), pending_updates(spark, root)
+    if updates is None:
         return base
-    updates = spark.read.schema(UPDATES + ", batch BIGINT").option("basePath", _updates(root, version)).parquet(
-        _updates(root, version)
-    )
-    return status_upsert(base, updates, batch_col="batch")
+    untouched = base.join(updates.select("url").distinct(), "url", "left_anti").select(*base.columns)
+    return untouched.unionByName(touched_rows(base, updates, batch_col="batch"))
 
 
 def compact_status(spark: SparkSession, root: str, buckets: int | None = None) -> int:

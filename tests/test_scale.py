@@ -64,15 +64,42 @@ def test_stored_status_is_not_shuffled_by_an_upsert(spark, tmp_path):
     ups = spark.createDataFrame([("http://n/", "k", "FETCHED", None, {}, None)], UPDATES)
     tables.write_status(ups, root, 1)
     df = tables.read_status(spark, root)
-    text = plan(df)
-    left = text[text.index("FullOuter") :].split("Exchange hashpartitioning")
-    assert len(left) == 2 and "Bucketed: true" in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(tables.read_status(spark, root))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # both scans of the snapshot stay where they are; the updates alone are dealt out
+    assert text.count("Bucketed: true") == 2 and "FullOuter" not in text
+    parts = re.split(r"(?=Exchange hashpartitioning)", text)
+    assert len(parts) == 3 and all("Bucketed: true" not in re.split(r"\n *(?::- |\+- )(?:\*\(\d+\) )?Sort", p)[0] for p in parts[1:])
     assert df.count() == status_table(spark, SF).count() + 1
     # a session that never saw the table registers it again
     spark.sql(f"DROP TABLE {tables._table_name(root, 1)}")
     assert tables.read_status(spark, root).count() == df.count()
 
 
+def test_look_up_reads_one_bucket(spark, tmp_path):
+    from crawlframe.operators import status as S
+
+    root = str(tmp_path / "s")
+    rows_ = status_table(spark, SF)
+    tables.write_snapshot(rows_, root, buckets=8)
+    url = rows_.first().url
+    ups = spark.createDataFrame([("http://n/", "k", "FETCHED", None, {}, None), (url, "k", "ERROR", None, {}, None)], UPDATES)
+    tables.write_status(ups, root, 1)
+    text = S.lookup_url(tables.read_status(spark, root), url)._jdf.queryExecution().executedPlan().toString()
+    pushed = re.findall(r"FileScan parquet .*?PushedFilters: \[(.*?)\]", text)
+    assert len(pushed) == 4 and all(f"EqualTo(url,{url[:20]}" in p or f"EqualTo(url,{url}" in p for p in pushed)
+    # files of all other buckets may be unreadable
+    mine = {r.f for r in tables._read_base(spark, root).filter(F.col("url") == url).select(F.input_file_name().alias("f")).collect()}
+    for file in (tmp_path / "s" / "base").rglob("*.parquet"):
+        if file.name not in next(iter(mine)):
+            file.write_bytes(b"no parquet")
+    (row,) = S.lookup_url(tables.read_status(spark, root), url).collect()
+    assert row.status == "ERROR"
+
+
 def test_key_predicate_reaches_the_scan(spark, tmp_path):
     root = str(tmp_path / "s")
     tables.write_snapshot(status_table(spark, SF), root, buckets=2)
