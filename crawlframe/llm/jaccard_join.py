@@ -1,7 +1,7 @@
 """Exact near-duplicate classes by a grouped prefix join on word shingles.
 
-1. A pass over all texts counts all shingles in a table of fixed size (a slot per hash; a task sends its sums). The order of
-   magnitude of the slots that stand out, with the hash, orders all shingles, common ones last.
+1. A pass over all texts counts shingles that documents of a stretch share, added up over all stretches. Their order of magnitude
+   fills a table of fixed size (a slot per hash); with the hash it orders all shingles, common ones last.
 2. A second pass keeps, per document, the size of its shingle set, a 128-bit key of the set, and the
    prefix of that order which any set of enough overlap must meet. Equal sets become one class;
    classes of equal prefix and size one group.
@@ -43,8 +43,8 @@ THRESHOLD = 75
 #: than a quarter as many values it lets more by, which costs time alone.
 ORDER_SLOTS = 22
 FILTER_BITS = 30
-#: A slot counts as common from this many shingles on, and from this many times the mean slot.
-COMMON, STANDS_OUT = 8, 4
+#: A shingle counts as common from this many documents on.
+COMMON = 8
 #: Groups of a shingle that meet in one cell, twice.
 BLOCK = 2000
 #: Ids up to this many (8 bytes each) are sent to all tasks.
@@ -57,45 +57,40 @@ def _long(values: np.ndarray) -> pa.Array:
 
 
 def order_table(docs: DataFrame, size: int) -> np.ndarray:
-    """Per slot, the order of magnitude of its shingles' occurrences in all documents, 0 unless it stands out."""
-    import zstandard
+    """Per slot, the order of magnitude of its most shared shingle's count.
 
-    block, parts = 1 << 14, 64
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    A task counts the documents that hold a shingle within stretches of some megabytes, and reports shingles that two of a
+    stretch share; the sums run over all stretches of all tasks. Counting every shingle in so small a table was tried: the slots' noise hid
+    the common ones, and the last round met 24 times the pairs on five times the input.
+    """
 
-        part_of = TaskContext.get().partitionId() % parts
-        total = np.zeros(1 << ORDER_SLOTS, np.int64)
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch.column(0), _SLICE):
-                slot = np.sort(part.shingles(size)[0] >> U64(64 - ORDER_SLOTS)).astype(np.int64)
-                first = np.flatnonzero(np.diff(slot, prepend=-1))
-                total[slot[first]] += np.diff(first, append=len(slot))
-        for i in range(0, len(total), block):
-            own = total[i : i + block]
-            if own.any():
-                columns = [pa.array([i // block]), pa.array([part_of]), pa.array([packed(own)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "counts"])
-
-    def packed(own: np.ndarray) -> bytes:
-        return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8).T).tobytes())
-
-    def unpacked(raw: bytes) -> np.ndarray:
-        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-        return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(unpacked(raw.as_py()) for raw in table["counts"])
-        return pa.table({"block": table["block"][:1], "part": table["part"][:1], "counts": pa.array([packed(total)], pa.binary())})
-
-    schema = "block long, part long, counts binary"
-    sums = docs.select(text_of()).mapInArrow(count, schema).groupBy("block", "part").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
-    counts = np.zeros(1 << ORDER_SLOTS, np.int64)
-    for row in sums.collect():
-        counts[row["block"] * block : (row["block"] + 1) * block] = unpacked(row["counts"])
-    common = counts >= max(COMMON, STANDS_OUT * counts.mean())
-    return np.where(common, np.minimum(np.log2(np.maximum(counts, 1)), 31), 0).astype(np.uint8)
+                h, first = part.shingles(size)
+                doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                by = np.argsort(h, kind="stable")
+                h, doc = h[by], doc[by]
+                new = np.empty(len(h), bool)
+                new[:1] = True
+                new[1:] = h[1:] != h[:-1]
+                other = new.copy()
+                other[1:] |= doc[1:] != doc[:-1]
+                at = np.flatnonzero(new)
+                docs_of = np.add.reduceat(other.astype(np.int64), at) if len(at) else np.empty(0, np.int64)
+                keep = docs_of > 1
+                yield pa.RecordBatch.from_arrays([_long(h[at[keep]]), pa.array(docs_of[keep])], names=["h", "n"])
+
+    counts = docs.select(text_of()).mapInArrow(shared, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    slots = (
+        counts.filter(F.col("n") >= COMMON)
+        .groupBy(F.shiftrightunsigned("h", 64 - ORDER_SLOTS).alias("slot"))
+        .agg(F.max(F.least(F.log2("n").cast("int"), F.lit(31))).alias("level"))
+        .toArrow()
+    )
+    table = np.zeros(1 << ORDER_SLOTS, np.uint8)
+    table[slots["slot"].to_numpy()] = slots["level"].to_numpy()
+    return table
 
 
 def ordered(h: np.ndarray, table: np.ndarray) -> np.ndarray:
