@@ -407,6 +407,19 @@ def crawl_step(
     return crawl_updates(fetched, now, scheduler=production_scheduler(now, fetch_intervals), **kw)
 
 
+def article_records(fetched: DataFrame, deny_rules: DataFrame | None = None) -> DataFrame:
+    """Fetched records that neither the sitemap nor the feed step takes: what an archive of articles keeps.
+
+    All columns stay as they are. Failed and redirected fetches and denied URLs are left out.
+    """
+    columns = fetched.columns
+    good = fetched.filter(classify_fetch(F.col("http_status")) == "FETCHED")
+    if deny_rules is not None:
+        good = deny_flag(good, deny_rules).filter(~F.col("denied")).drop("denied")
+    routed = route_fetched(good.withColumn("_kept", F.col("metadata")))
+    return routed.filter("branch = 'article'").withColumn("metadata", F.col("_kept")).select(*columns)
+
+
 def bootstrap_flags(fetched: DataFrame) -> DataFrame:
     """Classify candidate pages: add ``branch`` (sitemap, feed, page) and set flags; no links are followed."""
     meta = F.col("metadata")

@@ -129,30 +129,55 @@ def parse_suffixes(texts: DataFrame, doc: str = "doc", text: str = "text") -> Da
 class RefreshingRules:
     """Rule table of a path, parsed again only when its files changed.
 
-    Meant for ``foreachBatch``: call :meth:`get` per batch, the listing decides.
+    Meant for ``foreachBatch``: call :meth:`get` per batch, the listing decides. With ``versions`` (a folder) every state of
+    the rules is stored under its fingerprint, and a batch pins the one it used: a batch that is tried again, also by
+    another process, gets the rules of its first try.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path
-        self._seen: tuple | None = None
+    def __init__(self, spark: SparkSession, path: str, versions: str | None = None):
+        self._spark, self._path, self._versions = spark, path, versions
+        self._seen: str | None = None
         self._rules: DataFrame | None = None
         self.loads = 0
 
-    def _fingerprint(self) -> tuple:
+    def _fingerprint(self) -> str:
         files = (
             self._spark.read.format("binaryFile")
             .load(self._path)
             .agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("h"), F.count("*").alias("files"))
             .first()
         )
-        return (files["h"], files["files"])
-
-    def get(self) -> DataFrame:
-        now = self._fingerprint()
-        if self._rules is None or now != self._seen:
+        return f"{files['files']}-{(files['h'] or 0) & (2**64 - 1):016x}"
+
+    def _fs(self, path: str):
+        p = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self._spark._jsc.hadoopConfiguration()), p
+
+    def _pinned(self, batch_id: int) -> str | None:
+        """The version a batch used, from the name of its marker."""
+        fs, p = self._fs(f"{self._versions}/batches")
+        if not fs.exists(p):
+            return None
+        found = [f.getPath().getName().split("=", 1)[1] for f in fs.globStatus(self._fs(f"{self._versions}/batches/{batch_id}=*")[1]) or ()]
+        return min(found, default=None)
+
+    def get(self, batch_id: int | None = None) -> DataFrame:
+        if self._versions is None or batch_id is None:
+            return self._current(self._fingerprint())
+        version = self._pinned(batch_id)
+        if version is None:
+            version = self._fingerprint()
+            fs, done = self._fs(f"{self._versions}/rules={version}/_SUCCESS")
+            if not fs.exists(done):
+                read_deny_rules(self._spark, self._path).write.mode("overwrite").parquet(f"{self._versions}/rules={version}")
+            fs.create(self._fs(f"{self._versions}/batches/{batch_id}={version}")[1], True).close()
+        return self._current(version, f"{self._versions}/rules={version}")
+
+    def _current(self, version: str, stored: str | None = None) -> DataFrame:
+        if self._rules is None or version != self._seen:
             if self._rules is not None:
                 self._rules.unpersist()
-            self._rules = read_deny_rules(self._spark, self._path).persist()
-            self._seen = now
+            self._rules = (self._spark.read.parquet(stored) if stored else read_deny_rules(self._spark, self._path)).persist()
+            self._seen = version
             self.loads += 1
         return self._rules

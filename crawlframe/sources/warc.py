@@ -1,12 +1,16 @@
-"""WARC export as a Spark data source (``df.write.format("warc")``).
+"""WARC files as a Spark data source: ``df.write.format("warc")`` and ``spark.read.format("warc")``.
 
-Every task writes its own gzip files, one member per record, and starts a new file on size or age,
+Every task writes its own gzip files from Arrow batches, one member per record, and starts a new file on size or age,
 so no record is shuffled and files fill up as they do in a long-running writer. A file becomes
-visible under its final name only when the job commits; a lost or repeated task leaves an unpublished
-file at most. Column ``content`` is written whole.
+visible under its final name only when the job commits; the folder of unpublished files goes with the commit or the abort.
+Column ``content`` is written whole. With ``batch`` the names carry it, and the commit replaces what an
+earlier try of the same batch left.
 
-Options: ``prefix`` (required), ``max_mb`` (1023), ``max_minutes`` (1440), ``date`` (yyyyMMddHHmmss,
-required, part of the names), and ``info.<field>`` for the header of each file.
+Write options: ``prefix`` (required), ``max_mb`` (1023), ``max_minutes`` (1440), ``date`` (yyyyMMddHHmmss,
+required, part of the names), ``batch``, and ``info.<field>`` for the header of each file.
+
+Reading gives the records of all files below the path: ``file, offset, type, url, date, record_id, digest, head, content``. A file is a
+partition, read as a stream, record by record.
 """
 
 from __future__ import annotations
@@ -14,14 +18,16 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import Row, StructType
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 # Format statement of the file header.
 WARC_INFO = {
@@ -61,7 +67,7 @@ def _utc(when: datetime) -> str:
     return datetime.fromtimestamp(when.timestamp(), UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def warc_records(row: Row) -> bytes:
+def warc_records(row: dict) -> bytes:
     """Request (when its headers were stored) and response records of one fetched row."""
     when = _utc(row["fetch_time"])
     url, body = row["url"], bytes(row["content"] or b"")
@@ -93,7 +99,7 @@ def warc_records(row: Row) -> bytes:
     return out + _record(headers, _http_head(row["response_headers"], status_line) + body)
 
 
-class WarcWriter(DataSourceWriter):
+class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"].rstrip("/")
         self.prefix = options["prefix"]
@@ -101,6 +107,7 @@ class WarcWriter(DataSourceWriter):
         self.max_bytes = int(float(options.get("max_mb", "1023")) * 1024 * 1024)
         self.max_seconds = 60 * int(options.get("max_minutes", "1440"))
         self.info = {**{k[5:]: v for k, v in options.items() if k.startswith("info.")}, **WARC_INFO}
+        self.batch = options.get("batch")
         self.job = uuid.uuid4().hex[:12]
 
     def _filesystem(self):
@@ -108,7 +115,11 @@ class WarcWriter(DataSourceWriter):
 
         return fs.FileSystem.from_uri(self.path)
 
-    def write(self, iterator: Iterator[Row]) -> WarcFiles:
+    @property
+    def _stem(self) -> str:
+        return f"{self.prefix}-{self.date}-" + (f"b{int(self.batch):08d}-" if self.batch is not None else "")
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WarcFiles:
         from pyspark import TaskContext
 
         task = TaskContext.get()
@@ -118,14 +129,14 @@ class WarcWriter(DataSourceWriter):
         done = WarcFiles()
         out, started = None, None
         try:
-            for row in iterator:
+            for row in (r for batch in iterator for part in range(0, batch.num_rows, 256) for r in batch.slice(part, 256).to_pylist()):
                 data = warc_records(row)
                 now = row["fetch_time"].timestamp()
                 if out is not None and (out.tell() >= self.max_bytes or now - started >= self.max_seconds):
                     out.close()
                     out = None
                 if out is None:
-                    name = f"{self.prefix}-{self.date}-{part:05d}{len(done.files):05d}.warc.gz"
+                    name = f"{self._stem}{part:05d}{len(done.files):05d}.warc.gz"
                     tmp = f"{root}/_tmp-{self.job}/{attempt}-{name}"
                     out, started = filesystem.open_output_stream(tmp, compression=None), now
                     done.files.append((tmp, name))
@@ -148,17 +159,118 @@ class WarcWriter(DataSourceWriter):
                 out.close()
         return done
 
+    def _of_batch(self, filesystem, root: str) -> list[str]:
+        """Files that any try of this batch published."""
+        from pyarrow import fs
+
+        if self.batch is None:
+            return []
+        listed = filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        mark = f"-b{int(self.batch):08d}-"
+        return [f.path for f in listed if f.is_file and f.base_name.startswith(f"{self.prefix}-") and mark in f.base_name]
+
     def commit(self, messages: list[WarcFiles | None]) -> None:
         filesystem, root = self._filesystem()
-        for message in messages:
-            for tmp, name in message.files if message else ():
-                filesystem.move(tmp, f"{root}/{name}")
+        new = [pair for message in messages for pair in (message.files if message else ())]
+        for path in self._of_batch(filesystem, root):
+            filesystem.delete_file(path)
+        for tmp, name in new:
+            filesystem.move(tmp, f"{root}/{name}")
+        self._clean(filesystem, root)
 
     def abort(self, messages: list[WarcFiles | None]) -> None:
-        filesystem, _ = self._filesystem()
-        for message in messages:
-            for tmp, _name in message.files if message else ():
-                filesystem.delete_file(tmp)
+        self._clean(*self._filesystem())
+
+    def _clean(self, filesystem, root: str) -> None:
+        from pyarrow import fs
+
+        tmp = f"{root}/_tmp-{self.job}"
+        if filesystem.get_file_info(tmp).type == fs.FileType.Directory:
+            filesystem.delete_dir(tmp)
+
+
+_READ = "file STRING, offset BIGINT, type STRING, url STRING, date STRING, record_id STRING, digest STRING, head STRING, content BINARY"
+_READ_ARROW = pa.schema(
+    [pa.field(c.split()[0], {"STRING": pa.string(), "BIGINT": pa.int64(), "BINARY": pa.binary()}[c.split()[1]]) for c in _READ.split(", ")]
+)
+#: Bytes of content handed on at a time.
+_READ_BYTES = 4 << 20
+
+
+class WarcFile(InputPartition):
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.path = path
+
+
+class WarcReader(DataSourceReader):
+    """A partition for each file."""
+
+    def __init__(self, options: dict[str, str]):
+        self.path = options["path"].rstrip("/")
+
+    def partitions(self) -> list[WarcFile]:
+        from pyarrow import fs
+
+        filesystem, root = fs.FileSystem.from_uri(self.path)
+        listed = filesystem.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+        files = sorted(f.path for f in listed if f.is_file and f.base_name.endswith((".warc.gz", ".warc")) and "/_tmp-" not in f.path)
+        return [WarcFile(f) for f in files] or [WarcFile("")]
+
+    def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        if not partition.path:
+            return
+        filesystem, _ = fs.FileSystem.from_uri(self.path)
+        name = partition.path.rsplit("/", 1)[-1]
+        rows: list[tuple] = []
+        size = 0
+        with filesystem.open_input_stream(partition.path, compression=None) as raw:
+            text = gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw
+            for row in read_records(text):
+                rows.append((name, *row))
+                size += len(row[-1])
+                if size > _READ_BYTES:
+                    yield _batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _READ_ARROW, strict=True)], schema=_READ_ARROW)
+
+
+def read_records(stream) -> Iterator[tuple]:
+    """(offset, type, url, date, record id, digest, head, content) of every record of a plain stream.
+
+    ``head`` is what stands ahead of the content of a request or response. A file that ends inside a record ends before it.
+    """
+    buffer, offset = io.BufferedReader(stream), 0
+    while True:
+        at, line = offset, buffer.readline()
+        while line in (b"\r\n", b"\n"):
+            at += len(line)
+            line = buffer.readline()
+        if not line.startswith(b"WARC/"):
+            return
+        used, headers = len(line), {}
+        while (line := buffer.readline()) not in (b"\r\n", b"\n", b""):
+            used += len(line)
+            key, _, value = line.decode("utf-8", "replace").partition(":")
+            headers[key.strip().lower()] = value.strip()
+        length = int(headers.get("content-length", "0"))
+        block = buffer.read(length)
+        if len(block) < length:
+            return
+        offset = at + used + len(line) + length
+        head, content = "", block
+        if headers.get("content-type", "").startswith("application/http"):
+            first, mark, rest = block.partition(b"\r\n\r\n")
+            head, content = first.decode("utf-8", "replace"), rest if mark else b""
+        fields = (headers.get(k) for k in ("warc-type", "warc-target-uri", "warc-date", "warc-record-id", "warc-payload-digest"))
+        yield (at, *fields, head, content)
 
 
 class WarcDataSource(DataSource):
@@ -166,6 +278,12 @@ class WarcDataSource(DataSource):
     def name(cls) -> str:
         return "warc"
 
+    def schema(self) -> str:
+        return _READ
+
+    def reader(self, schema: StructType) -> WarcReader:
+        return WarcReader(dict(self.options))
+
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(dict(self.options))
 
@@ -174,6 +292,21 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme; one without is of the default file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    qualified = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    if qualified.startswith("file:/") and not qualified.startswith("file://"):
+        qualified = "file://" + qualified[5:]
+    return qualified
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """All records of the WARC files below ``path``."""
+    register(spark)
+    return spark.read.format("warc").load(_qualified(spark, path))
+
+
 def write_warc(
     df: DataFrame,
     path: str,
@@ -182,14 +315,14 @@ def write_warc(
     max_mb: float = 1023,
     max_minutes: int = 1440,
     info: dict[str, str] | None = None,
+    batch_id: int | None = None,
 ) -> None:
-    """Write fetched records to WARC files below ``path``; one without a scheme is of the default file system."""
+    """Write fetched records to WARC files below ``path``; one without a scheme is of the default file system.
+
+    With ``batch_id`` a repeated call replaces the files of the batch.
+    """
     spark = df.sparkSession
     register(spark)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    qualified = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
-    if qualified.startswith("file:/") and not qualified.startswith("file://"):
-        qualified = "file://" + qualified[5:]
     writer = (
         df.select("url", "fetch_time", "http_status", "content", "trimmed", "request_headers", "response_headers")
         .write.format("warc")
@@ -198,6 +331,8 @@ def write_warc(
         .option("max_mb", str(max_mb))
         .option("max_minutes", str(max_minutes))
     )
+    if batch_id is not None:
+        writer = writer.option("batch", str(batch_id))
     for key, value in (info or {}).items():
         writer = writer.option(f"info.{key}", value)
-    writer.mode("append").save(qualified)
+    writer.mode("append").save(_qualified(spark, path))

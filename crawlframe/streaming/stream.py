@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from crawlframe.functions.dates import parse_instant
+from crawlframe.functions.metadata import meta_first
 from crawlframe.operators.filtering import deny_filter
 from crawlframe.operators.frontier import due_urls, purgatory_filter
-from crawlframe.plans.crawl import crawl_step
+from crawlframe.operators.schedule import STALE_MINUTES
+from crawlframe.plans.crawl import article_records, crawl_step
+from crawlframe.schemas import ERROR_COUNT, FETCH_INTERVAL, SIGNATURE, SIGNATURE_CHANGE
 from crawlframe.sources.rules import RefreshingRules
 from crawlframe.sources.seeds import read_seeds
 from crawlframe.sources.tables import read_status, write_status
+from crawlframe.sources.warc import write_warc
 
 Clock = Callable[[], str | dt.datetime]
 
@@ -38,22 +43,34 @@ def crawl_step_stream(
     fetch_intervals: DataFrame,
     rules_path: str | None = None,
     every: str | None = None,
+    warc: dict[str, Any] | None = None,
     **step: Any,
 ) -> StreamingQuery:
     """Detect, extract, filter, schedule and store each micro-batch of fetched records.
 
-    ``clock`` is asked once per batch. Without ``every`` the stream ends when the input is used up.
+    ``clock`` is asked once per batch. Without ``every`` the stream ends when the input is used up. With ``warc`` (the
+    options of :func:`write_warc`, ``path`` among them) the batch's articles go to WARC files as well. Both sinks replace what an earlier
+    try of the batch left; the rules a batch was filtered with are kept for its replays.
     """
-    rules = RefreshingRules(fetched.sparkSession, rules_path) if rules_path else None
+    spark = fetched.sparkSession
+    rules = RefreshingRules(spark, rules_path, f"{checkpoint}-rules") if rules_path else None
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        updates = crawl_step(batch, clock(), fetch_intervals, deny_rules=rules.get() if rules else None, **step)
-        write_status(updates, status_path, batch_id)
+        now, deny = clock(), rules.get(batch_id) if rules else None
+        if warc is not None:
+            options = {"prefix": "CRAWL", "date": _stamp(now), **warc}
+            write_warc(article_records(batch, deny), batch_id=batch_id, **options)
+        write_status(crawl_step(batch, now, fetch_intervals, deny_rules=deny, **step), status_path, batch_id)
 
     writer = fetched.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
+def _stamp(now: str | dt.datetime) -> str:
+    now = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
+    return now.strftime("%Y%m%d%H%M%S")
+
+
 def seed_stream(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
     """Seeds arriving as files."""
     return read_seeds(spark, directory, pattern, stream=True)
@@ -62,11 +79,14 @@ def seed_stream(spark: SparkSession, directory: str, pattern: str = "*") -> Data
 def rules_stream_static_join(
     urls: DataFrame, rules_path: str, checkpoint: str, sink: Callable[[DataFrame, int], None], every: str | None = None
 ) -> StreamingQuery:
-    """Filter a stream of URLs by a rule table that is read again when its files change."""
-    rules = RefreshingRules(urls.sparkSession, rules_path)
+    """Filter a stream of URLs by a rule table that is read again when its files change.
+
+    A batch that is tried again meets the rules of its first try.
+    """
+    rules = RefreshingRules(urls.sparkSession, rules_path, f"{checkpoint}-rules")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        sink(deny_filter(batch, rules.get()), batch_id)
+        sink(deny_filter(batch, rules.get(batch_id)), batch_id)
 
     writer = urls.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
@@ -106,9 +126,65 @@ def frontier_poll_stream(
     return _trigger(writer, every).start()
 
 
+def _micros(t: pd.Timestamp) -> int:
+    return (t - pd.Timestamp(0)) // pd.Timedelta(microseconds=1)
+
+
+def _millis(t: pd.Timestamp, zone: str) -> int:
+    """A time of the session's zone as epoch milliseconds, rounded up."""
+    utc = t.tz_localize(zone, ambiguous=True, nonexistent="shift_forward").tz_convert("UTC").tz_localize(None)
+    return -(-_micros(utc) // 1000)
+
+
+class HandedOut(StatefulProcessor):
+    """The last hand-out of each url; an event-time timer forgets it when its time to live is over."""
+
+    def __init__(self, ttl_seconds: int, time: str, zone: str):
+        self.ttl, self.time, self.zone = pd.Timedelta(seconds=ttl_seconds), time, zone
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "at BIGINT")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        last = pd.Timestamp(self.last.get()[0], unit="us") if self.last.exists() else None
+        for chunk in rows:
+            ordered = chunk.sort_values(self.time, kind="stable")
+            keep = []
+            for at in ordered[self.time]:
+                passes = last is None or at - last >= self.ttl
+                keep.append(passes)
+                last = at if passes else last
+            yield ordered[keep]
+        if last is not None:
+            self.last.update((_micros(last),))
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(_millis(last + self.ttl, self.zone))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def purgatory_stream(due: DataFrame, ttl_seconds: int = 1200, time: str = "emitted_at") -> DataFrame:
-    """Suppress a url handed out again within the time to live of its first hand-out (state expires by event time)."""
-    return due.withWatermark(time, f"{ttl_seconds} seconds").dropDuplicatesWithinWatermark(["url"])
+    """Suppress a url handed out again within the time to live of its last hand-out; behind it the url passes again.
+
+    Time is event time: a replay gives the same rows. State is one timestamp a url, and goes when the
+    watermark has passed its time to live. Rows later than the watermark are dropped. Needs the RocksDB state store.
+    """
+    return (
+        due.withWatermark(time, f"{ttl_seconds} seconds")
+        .groupBy("url")
+        .transformWithStateInPandas(HandedOut(ttl_seconds, time, _zone(due)), due.schema, "Append", "EventTime")
+    )
+
+
+def _zone(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
 
 
 def metric_windows_stream(
@@ -127,60 +203,102 @@ def metric_windows_stream(
 
 STATE_OUT = (
     "url STRING, signature STRING, changed BOOLEAN, signature_change TIMESTAMP, interval INT, "
-    "error_count INT, next_fetch TIMESTAMP"
+    "error_count INT, next_fetch TIMESTAMP, retired BOOLEAN"
 )
-_STATE = "signature STRING, signature_change TIMESTAMP, interval INT, error_count INT"
+_STATE = "signature STRING, signature_change BIGINT, interval INT, error_count INT"
 
 
 class ScheduleState(StatefulProcessor):
-    """Signature history, adaptive interval and error count of each url."""
+    """Signature history, adaptive interval and error count of each url, and the timer that retires a dead sitemap."""
 
-    def __init__(self, min_minutes: int, max_minutes: int, inc: float, dec: float, max_errors: int):
+    def __init__(self, min_minutes: int, max_minutes: int, inc: float, dec: float, max_errors: int, stale_minutes: int, timers: bool, zone: str):
         self.bounds = (min_minutes, max_minutes)
         self.inc, self.dec, self.max_errors = inc, dec, max_errors
+        self.stale, self.timers, self.zone = pd.Timedelta(minutes=stale_minutes), timers, zone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("schedule", _STATE)
 
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        row = next(initialState.itertuples(index=False))
+        none = lambda v: None if pd.isna(v) else v
+        since = none(row.signature_change)
+        interval, errors = none(row.interval), none(row.error_count)
+        self.state.update(
+            (none(row.signature), None if since is None else _micros(pd.Timestamp(since)), None if interval is None else int(interval), int(errors or 0))
+        )
+
+    def _frame(self, out: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in STATE_OUT.split(",")])
+        for c in ("signature_change", "next_fetch"):
+            frame[c] = pd.to_datetime(frame[c])
+        for c in ("interval", "error_count"):
+            frame[c] = frame[c].astype("Int32")
+        return frame
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         sig, since, interval, errors = self.state.get() if self.state.exists() else (None, None, None, 0)
+        since = None if since is None else pd.Timestamp(since, unit="us")
+        idle_until = None
         # one chunk at a time: a url with very many rows never has to fit in memory at once
         for chunk in rows:
             out = []
             ordered = chunk.sort_values(["fetch_time", "signature"], na_position="first")
             for row in ordered.itertuples(index=False):
                 when = row.fetch_time
-                changed, due = False, None
+                changed, due, retired = False, None, False
                 if row.status == "FETCHED":
                     errors = 0
                     base = interval if interval is not None else row.minutes
                     changed = sig is not None and sig != row.signature
-                    if sig is None or changed:
-                        since = when
+                    empty_map = bool(row.is_sitemap) and row.num_links == "0"
+                    retired = empty_map and since is not None and since < when - self.stale
                     if base >= 0:
                         factor = 1.0 if sig is None else (1.0 - self.dec if changed else 1.0 + self.inc)
                         interval = int(min(self.bounds[1], max(self.bounds[0], int(round(base * factor, 6)))))
-                        due = when + pd.Timedelta(minutes=interval)
+                        due = None if retired else when + pd.Timedelta(minutes=interval)
+                        if sig is None or changed or since is None:
+                            since = when.floor("ms")
                     sig = row.signature
+                    idle_until = since + self.stale if empty_map and since is not None and not retired else None
                 else:
                     errors += 1
                     # fixed intervals; too many failures in a row are final
                     final = row.status == "FETCH_ERROR" and errors >= self.max_errors
                     if not final and row.minutes >= 0:
                         due = when + pd.Timedelta(minutes=row.minutes)
-                out.append((key[0], sig, changed, since, interval, errors, due))
-            frame = pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in STATE_OUT.split(",")])
-            for c in ("signature_change", "next_fetch"):
-                frame[c] = pd.to_datetime(frame[c])
-            for c in ("interval", "error_count"):
-                frame[c] = frame[c].astype("Int32")
-            yield frame
-        self.state.update((sig, since, interval, errors))
+                out.append((key[0], sig, changed, since, interval, errors, due, retired))
+            yield self._frame(out)
+        self.state.update((sig, None if since is None else _micros(since), interval, errors))
+        if self.timers:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if idle_until is not None:
+                self.handle.registerTimer(_millis(idle_until, self.zone) + 1)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        """Stale by now, and nothing was fetched since it gave no link: never again."""
+        sig, since, interval, errors = self.state.get()
+        since = None if since is None else pd.Timestamp(since, unit="us")
+        yield self._frame([(key[0], sig, False, since, interval, errors, None, True)])
 
     def close(self) -> None:
         pass
 
 
+def schedule_state_of(status: DataFrame) -> DataFrame:
+    """The state a stored status row stands for: ``url, signature, signature_change, interval, error_count``."""
+    first = lambda name: meta_first(F.col("metadata"), name)
+    return status.select(
+        "url",
+        first(SIGNATURE).alias("signature"),
+        parse_instant(first(SIGNATURE_CHANGE)).alias("signature_change"),
+        first(FETCH_INTERVAL).try_cast("int").alias("interval"),
+        F.coalesce(first(ERROR_COUNT).try_cast("int"), F.lit(0)).alias("error_count"),
+    )
+
+
 def scheduler_state_stream(
     fetched: DataFrame,
     min_minutes: int = 90,
@@ -188,17 +306,33 @@ def scheduler_state_stream(
     inc: float = 0.5,
     dec: float = 0.2,
     max_errors: int = 3,
+    stale_minutes: int = STALE_MINUTES,
+    status: DataFrame | None = None,
+    retire_late: str | None = None,
 ) -> DataFrame:
-    """Adaptive schedule kept in keyed state. ``fetched``: ``url, fetch_time, status, signature, minutes``.
+    """Adaptive schedule kept in keyed state, fetch by fetch what the batch rule gives.
 
-    Needs the RocksDB state store. State is one small row per url, spread by url.
+    ``fetched``: ``url, fetch_time, status, signature, minutes`` and, where known, ``is_sitemap, num_links``: a sitemap whose last
+    change is ``stale_minutes`` ago and that gave no link is never fetched again. With ``retire_late`` (a watermark's
+    delay) that also happens between two fetches, by a timer. The first batch starts from the stored ``status``, if
+    given. Needs the RocksDB state store. State is one small row per url, spread by url.
     """
-    return (
-        fetched.select("url", "fetch_time", "status", "signature", "minutes")
-        .groupBy("url")
-        .transformWithStateInPandas(
-            ScheduleState(min_minutes, max_minutes, inc, dec, max_errors), STATE_OUT, "Append", "None"
-        )
+    columns = fetched.columns
+    rows = fetched.select(
+        "url",
+        "fetch_time",
+        "status",
+        "signature",
+        "minutes",
+        F.col("is_sitemap") if "is_sitemap" in columns else F.lit(False).alias("is_sitemap"),
+        F.col("num_links") if "num_links" in columns else F.lit(None).cast("string").alias("num_links"),
+    )
+    if retire_late:
+        rows = rows.withWatermark("fetch_time", retire_late)
+    processor = ScheduleState(min_minutes, max_minutes, inc, dec, max_errors, stale_minutes, retire_late is not None, _zone(fetched))
+    known = None if status is None else schedule_state_of(status).groupBy("url")
+    return rows.groupBy("url").transformWithStateInPandas(
+        processor, STATE_OUT, "Append", "EventTime" if retire_late else "None", initialState=known
     )
 
 

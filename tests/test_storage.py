@@ -16,7 +16,7 @@ from crawlframe.operators.upsert import status_upsert
 from crawlframe.schemas import FETCHED, METRICS, STATUS, UPDATES
 from crawlframe.sources import rules as R
 from crawlframe.sources import seeds, tables
-from crawlframe.sources.warc import write_warc
+from crawlframe.sources.warc import read_warc, write_warc
 
 T0 = "2024-01-01 00:00:00"
 
@@ -170,6 +170,40 @@ def test_write_warc(spark, tmp_path, fetched):
     assert raw.count(b"\x1f\x8b\x08") >= len(warc_docs(files[0]))
 
 
+def test_read_warc(spark, tmp_path, fetched):
+    out = tmp_path / "warc"
+    write_warc(fetched, str(out), "NEWS", "20240101000000", max_mb=0.003)
+    assert not [f for f in out.iterdir() if f.name.startswith("_tmp-")]
+    (out / "plain.warc").write_bytes(gzip.decompress(sorted(out.glob("*.warc.gz"))[0].read_bytes()))
+    (out / "cut.warc").write_bytes((out / "plain.warc").read_bytes()[:-30])
+    rows = read_warc(spark, str(out)).collect()
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.file, []).append(r)
+    for path in out.glob("*.warc.gz"):
+        want = [(h["WARC-Type"], h.get("WARC-Target-URI"), h["WARC-Record-ID"], b) for h, b in warc_docs(path)]
+        got = [(r.type, r.url, r.record_id, r.head.encode() + b"\r\n\r\n" + r.content if r.head else bytes(r.content)) for r in by_file[path.name]]
+        assert got == want
+    assert len(by_file["cut.warc"]) == len(by_file["plain.warc"]) - 1
+    raw = (out / "plain.warc").read_bytes()
+    assert all(raw[r.offset :].startswith(b"WARC/1.1\r\n") for r in by_file["plain.warc"])
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert read_warc(spark, str(empty)).count() == 0
+
+
+def test_inflate(spark):
+    from crawlframe.functions.content import gunzip, inflate
+
+    body = b"<urlset>" + b"x" * 100_000
+    packed = gzip.compress(body)
+    cases = [body, packed, packed + gzip.compress(b"tail"), packed[:-20], b"\x1f\x8bnone", b"", None]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i INT, content BINARY").select("i", inflate(F.col("content")).alias("c"))
+    got = [None if r.c is None else bytes(r.c) for r in df.orderBy("i").collect()]
+    assert got[:3] == [body, body, body + b"tail"] and body.startswith(got[3]) and got[4:] == [b"", b"", None]
+    assert len(gunzip(gzip.compress(b"0" * 10_000_000), 1000)) == 1000
+
+
 def test_write_warc_rotates_on_age(spark, tmp_path, fetched):
     out = tmp_path / "warc"
     write_warc(fetched.coalesce(1).sortWithinPartitions("fetch_time"), str(out), "NEWS", "20240101000000", max_minutes=10)
