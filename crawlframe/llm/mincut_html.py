@@ -10,7 +10,9 @@ all their edges are settled first, which doesn't change the cut's value; maximum
 
 A class or id word such as sidebar is a cost among others: an article or main below it begins a region of
 content again unless its own class names it a comment, an advertisement or related matter, and
-long sentences outweigh it. Names such as has-sidebar or share-enabled aren't such words. Element names and roles
+long sentences outweigh it. A name that is made of such a word and others (social-policy-story, share-page), or stands beside
+a word for text, costs little; names such as has-sidebar or share-enabled cost nothing. Without an article or main, paragraphs that
+follow each other in one element speak for each other. Element names and roles
 (nav, aside, footer) and hidden elements do decide for all they hold.
 
 Each page is read where it lies: no shuffle. Work is linear in the page's length but for the flow
@@ -53,6 +55,10 @@ SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
+#: A paragraph is not looked for beyond these.
+P_BOUNDS = frozenset("td th table button object li div section article main aside body".split())
+_KINDS = {"li": SIBLINGS["li"], "dt": SIBLINGS["dt"], "option": SIBLINGS["option"], "tr": SIBLINGS["tr"], "td": SIBLINGS["td"]}
+_KIND_OF = {"li": "li", "dt": "dt", "dd": "dt", "option": "option", "tr": "tr", "td": "td", "th": "td"}
 AWAY_TAGS = frozenset("nav footer aside form button select menu dialog search".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 AWAY_WORDS = frozenset(
@@ -67,22 +73,49 @@ ITEM_WORDS = frozenset(
     "related recommended recommendations".split()
 )
 HEAD_WORDS = frozenset(("header", "head"))
+#: Of these, the ones that say what an element is whatever else its name has.
+SURE_WORDS = frozenset(
+    "ad ads adbox advert adverts advertisement advertising adsense sponsored cookie cookies consent gdpr comment comments disqus reply replies "
+    "respond sidebar widget widgets navbar breadcrumb breadcrumbs newsletter popup modal toolbar pagination pager masthead topbar".split()
+)
+#: Words for containers, which leave a name to the word beside them.
+GENERIC_WORDS = frozenset(
+    "box wrap wrapper container inner outer link links list bar section block area item items group panel row col column form title titles heading "
+    "button buttons btn icon icons top bottom left right site global count unit slot zone holder page main primary secondary".split()
+)
 #: A class name with one of these says what the page has, not what the element is.
-MODIFIERS = frozenset("has have with without no open enabled disabled".split())
+MODIFIERS = frozenset("has have with without no open enabled disabled free".split())
 TEXT_WORDS = frozenset("article content post entry story text body main".split())
+#: What a name costs that is an AWAY word among others.
+MIXED_NAME = 0.6
 #: NAMED: under a class or id word of AWAY_WORDS alone.
 AWAY, NAMED, FORM, NEUTRAL, MILD, MAIN = -3, -2, -1, 0, 1, 2
 
 
 class Element:
-    """An open or closed block element: its name, holder, region, and what it costs to part from the holder."""
+    """An open or closed block element: its name, holder, region, and what it costs to part from the holder.
+
+    ``doubt``: what class words cost its text. ``p``: the open paragraph a block would end. ``ended``: by kind, the outermost open
+    element that a sibling would end.
+    """
 
-    __slots__ = ("name", "up", "region", "depth", "tie", "node")
+    __slots__ = ("name", "up", "region", "depth", "tie", "node", "doubt", "p", "ended", "paragraphs")
 
-    def __init__(self, name: str, up: Element | None, region: int, tie: float):
-        self.name, self.up, self.region, self.tie = name, up, region, tie
+    def __init__(self, name: str, up: Element | None, region: int, tie: float, doubt: float = 0.0):
+        self.name, self.up, self.region, self.tie, self.doubt = name, up, region, tie, doubt
         self.depth = up.depth + 1 if up else 0
         self.node = -1
+        self.paragraphs = 0
+        self.p = self if name == "p" else None if up is None or name in P_BOUNDS else up.p
+        self.ended = up.ended if up else {}
+        changes = {}
+        for kind, (ends, bounds) in _KINDS.items():
+            if name in bounds:
+                changes[kind] = None
+            elif name in ends and self.ended.get(kind) is None:
+                changes[kind] = self
+        if changes:
+            self.ended = {**self.ended, **changes}
 
 
 class Block:
@@ -92,18 +125,28 @@ class Block:
         self.text, self.holder, self.link_chars = text, holder, link_chars
 
 
-def _region(name: str, attributes: str, up: Element) -> tuple[int, float]:
-    """The region an element begins or goes on, and the weight that ties it to its holder."""
+def _region(name: str, attributes: str, up: Element) -> tuple[int, float, float]:
+    """The region an element begins or goes on, the weight that ties it to its holder, and what its names cost."""
     words: set[str] = set()
     role = ""
-    hidden = False
+    hidden = sure = plain = mixed = head = textual = False
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
                 for own in value.split():
                     parts = {w.lower() for w in _PART.findall(own)}
-                    words |= parts - AWAY_WORDS - HEAD_WORDS if parts & MODIFIERS else parts
+                    if parts & MODIFIERS:
+                        words |= parts - AWAY_WORDS - HEAD_WORDS
+                        continue
+                    words |= parts
+                    away, named = parts & AWAY_WORDS, parts & HEAD_WORDS
+                    rest = parts - AWAY_WORDS - HEAD_WORDS - GENERIC_WORDS
+                    sure |= bool(away & SURE_WORDS)
+                    plain |= bool(away) and not rest
+                    mixed |= bool((away or named) and rest)
+                    head |= bool(named) and not rest
+                    textual |= bool(parts & TEXT_WORDS) and not away & SURE_WORDS
             elif key == "role":
                 role = value.lower().strip()
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
@@ -111,27 +154,28 @@ def _region(name: str, attributes: str, up: Element) -> tuple[int, float]:
     held = up.region
     whole = name in ("html", "body")
     if hidden and not whole:
-        return AWAY, 0.1
+        return AWAY, 0.1, 0.0
     main = name in ("article", "main") or role in ("main", "article")
     if held == AWAY:
-        return AWAY, 1.0
+        return AWAY, 1.0, 0.0
     if not whole and (role in AWAY_ROLES or name in AWAY_TAGS) and not (name == "main" or role == "main"):
         if name == "form" and not words & AWAY_WORDS:
-            return (FORM if NAMED < held < MAIN else NAMED if held == NAMED else AWAY), 0.1
-        return AWAY, 0.1
+            return (FORM if NAMED < held < MAIN else NAMED if held == NAMED else AWAY), 0.1, up.doubt
+        return AWAY, 0.1, 0.0
     if main and not (words & ITEM_WORDS and name != "main" and role != "main"):
-        return MAIN, 0.3
+        return MAIN, 0.3, 0.0
     if name == "header" and held < MILD and not whole:
-        return AWAY, 0.1
-    if not whole and (words & AWAY_WORDS or (words & HEAD_WORDS and held < MILD)):
-        return NAMED, 0.1
+        return AWAY, 0.1, 0.0
+    if not whole and (sure or (not textual and (plain or (head and held < MILD)))):
+        return NAMED, 0.1, 0.0
+    doubt = MIXED_NAME if not whole and (mixed or plain) else up.doubt
     if held == NAMED:
-        return NAMED, 1.0
+        return NAMED, 1.0, 0.0
     if held in (MAIN, FORM):
-        return held, 1.0
+        return held, 1.0, doubt
     if words & TEXT_WORDS and not whole:
-        return MILD, 0.5
-    return held, 1.0
+        return MILD, 0.5, doubt
+    return held, 1.0, doubt
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -141,6 +185,15 @@ def read_blocks(page: str) -> list[Block]:
     text: list[str] = []
     linked: list[str] = []
     blocks: list[Block] = []
+    # open elements by name: a tag that ends nothing looks at none of them
+    opened: dict[str, int] = {}
+
+    def close_to(up: Element) -> None:
+        """Elements below ``up`` end."""
+        nonlocal at
+        while at is not up:
+            opened[at.name] -= 1
+            at = at.up
 
     def end_block() -> None:
         if text:
@@ -180,14 +233,15 @@ def read_blocks(page: str) -> list[Block]:
                 links = 0
             if name in INLINE:
                 continue
-            found, hops = at, 0
+            found = at if opened.get(name) else None
             while found is not None and found.name != name:
-                found, hops = found.up, hops + 1
+                found = found.up
                 if found is not None and found.name in ("td", "th", "table") and name in ("p", "div", "li"):
                     found = None
             end_block()
             if found is not None and found is not root:
-                at, links = found.up, 0
+                close_to(found.up)
+                links = 0
             continue
         if name in RAW:
             # browsers look for the end tag without regard to case
@@ -206,27 +260,16 @@ def read_blocks(page: str) -> list[Block]:
                 add(" ")
             continue
         end_block()
-        if name in CLOSES_P:
-            up = at
-            while up is not None and up.name not in ("p", "td", "th", "table", "button", "object", "li", "div", "section", "article", "main", "aside", "body"):
-                up = up.up
-            if up is not None and up.name == "p":
-                at = up.up
-        if name in SIBLINGS:
-            ended, bounds = SIBLINGS[name]
-            up, last = at, None
-            while up is not None and up.name not in bounds:
-                if up.name in ended:
-                    last = up
-                up = up.up
-            if last is not None:
-                at = last.up
+        if name in CLOSES_P and at.p is not None:
+            close_to(at.p.up)
+        if name in SIBLINGS and at.ended.get(_KIND_OF[name]) is not None:
+            close_to(at.ended[_KIND_OF[name]].up)
         if name in VOID:
             continue
         if not m[0].endswith(">"):
             break
-        region, tie = _region(name, m[3] or m[6] or "", at)
-        at = Element(name, at, region, tie)
+        at = Element(name, at, *_region(name, m[3] or m[6] or "", at))
+        opened[name] = opened.get(name, 0) + 1
     end_block()
     return blocks
 
@@ -244,6 +287,10 @@ def log_odds(block: Block, some_main: bool) -> float:
         base = 0.0 if some_main else 1.0
     else:
         base = -2.5 if some_main else -0.8
+    base -= block.holder.doubt
+    if not some_main and region in (NEUTRAL, MILD) and block.holder.name == "p":
+        # of the paragraphs that one element holds, each speaks for the others
+        base += min(1.2, 0.4 * (block.holder.up.paragraphs - 1))
     words = block.text.count(" ") + 1
     base += min(3.0, 0.6 * math.log2(1 + words / 8)) if region != AWAY else min(1.0, 0.1 * math.log2(1 + words / 8))
     base -= 4.0 * min(1.0, block.link_chars / len(block.text))
@@ -370,6 +417,9 @@ def main_text(page: str | None) -> str:
     """The blocks labelled content, joined by an empty line."""
     blocks = read_blocks(page or "")
     some_main = any(b.holder.region == MAIN for b in blocks)
+    for b in blocks:
+        if b.holder.name == "p" and b.link_chars < len(b.text) / 2:
+            b.holder.up.paragraphs += 1
     excess = [log_odds(b, some_main) for b in blocks]
     edges: list[tuple[int, int, float]] = []
     for i in range(1, len(blocks)):

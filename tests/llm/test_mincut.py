@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+import re
+import time
+from html.parser import HTMLParser
 from itertools import product
 
 import pytest
@@ -91,6 +94,98 @@ def test_wrappers_with_class_words(body):
     assert main_text(site(body)) == WANTED
 
 
+SHORT = [
+    "The council met on Monday and agreed on a plan for the old harbour.",
+    "Work on the first two piers begins in spring, it said later.",
+    "Nobody spoke against it, and the mayor thanked all who had come.",
+]
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['class="social-policy-story"', 'class="alert-news"', 'class="banner-layout"', 'class="promo-free"', 'class="share-page content"', 'class="post-content share"',
+     'class="page-header-visible content"', 'class="subscription-content"', 'id="related-content"', "", 'class="text"'],
+)
+def test_short_paragraphs_under_mixed_names(wrapper):
+    body = "".join(f"<p>{s}</p>" for s in SHORT)
+    for heading in ("", "<h1>Plan agreed</h1>"):
+        page = f"<html><body><div class='menu'><a href='/'>Home</a></div><div {wrapper}>{heading}{body}</div><div class='footer'>Imprint</div></body></html>"
+        assert main_text(page) == "\n\n".join((["Plan agreed"] if heading else []) + SHORT)
+
+
+def test_heading_and_three_very_short_paragraphs():
+    assert main_text("<div><h1>News</h1><p>It rained.</p><p>They stayed in.</p><p>All slept.</p></div>") == "News\n\nIt rained.\n\nThey stayed in.\n\nAll slept."
+
+
+@pytest.mark.parametrize("name", ["ad-box", "cookie-notice", "comments", "sidebar", "sidebar-content", "newsletter-text", "share-links", "related", "promo", "modal-body", "nav-bar"])
+def test_what_names_alone_put_away(name):
+    away = "".join(f"<p>{s}</p>" for s in SHORT[:2])
+    page = f"<body><article><h1>Title</h1><p>{LONG}</p></article><div class='{name}'>{away}</div></body>"
+    assert main_text(page) == f"Title\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<section>" * 16_000 + "</blockquote>" * 16_000, "<center>" * 16_000 + "<dt>x</dt>" * 8_000, "<p><object>" + "<center>" * 16_000, "<li><ul>" + "<center>" * 8_000 + "<li>x</li>" * 8_000,
+     "<table><tr><td>" + "<div>" * 8_000 + "</p>" * 8_000, "<div>" * 12_000 + "</div>" * 12_000],
+)
+def test_reading_takes_linear_time(page):
+    began = time.time()
+    read_blocks(page)
+    assert time.time() - began < 1.5
+
+
+class Articles(HTMLParser):
+    """A plain reader of pages whose text stands in article elements: blocks in order, without what lies in other matter."""
+
+    AWAY = {"nav", "header", "footer", "aside", "form", "script", "style", "button", "select", "noscript", "template"}
+    INLINE = {"a", "b", "i", "em", "strong", "span", "code", "small", "sub", "sup", "u", "br", "img", "abbr", "mark", "q", "time"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.away, self.blocks, self.open = 0, [], [], []
+
+    def cut(self):
+        text = " ".join("".join(self.open).split())
+        if text:
+            self.blocks.append(text)
+        self.open = []
+
+    def handle_starttag(self, tag, attrs):
+        named = dict(attrs).get("class") or ""
+        if tag not in self.INLINE:
+            self.cut()
+        elif tag == "br":
+            self.open.append(" ")
+        if self.away:
+            self.away += [tag] * (tag == self.away[0])
+        elif tag in self.AWAY or re.search(r"\b(ad|ads|comment|comments|cookie|newsletter|share|related|sidebar|promo)\b", named):
+            self.away = [tag]
+        self.inside += tag in ("article", "main")
+
+    def handle_endtag(self, tag):
+        if tag not in self.INLINE:
+            self.cut()
+        if self.away and tag == self.away[0]:
+            self.away.pop()
+        self.inside -= tag in ("article", "main")
+
+    def handle_data(self, data):
+        if self.inside and not self.away:
+            self.open.append(data)
+
+
+def test_pages_against_a_plain_reader(spark):
+    """On the supplied pages the cut finds what a reader finds that knows where they keep their article."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    got = {r.page_id: r.text for r in extract_main_text(rows).collect()}
+    for row in rows.collect():
+        reader = Articles()
+        reader.feed(row.html)
+        reader.cut()
+        assert got[row.page_id] == "\n\n".join(reader.blocks), row.page_id
+
+
 def test_long_sentences_outweigh_a_class_word():
     assert main_text(f'<div class="subscription-page"><p>{LONG * 12}</p><p>{LONG * 12}</p></div>').count("nobody") == 24
 
