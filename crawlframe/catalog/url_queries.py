@@ -143,12 +143,21 @@ SELECT page_id, CAST(len(string_split(host, '.')) AS BIGINT), '.' FROM d_host_pa
 """
 
 
+# Labels and what IDNA makes of them.
+IDNA_LABELS = (("bücher", "xn--bcher-kva"), ("münchen", "xn--mnchen-3ya"), ("例え", "xn--r8jz45g"), ("plain", "plain"))
+
+
 def q_punycode_host(spark: SparkSession, sf: str) -> DataFrame:
-    """Hosts with letters of their page's language put in front."""
-    url = F.concat(F.lit("https://bücher-"), F.col("host"), F.col("path"), F.lit("?q=é#f"))
+    """Hosts with one of a few labels put in front."""
+    label = F.element_at(F.array(*[F.lit(a) for a, _ in IDNA_LABELS]), (F.col("page_id") % len(IDNA_LABELS) + 1).cast("int"))
+    url = F.concat(F.lit("https://"), label, F.lit("."), F.col("host"), F.col("path"), F.lit("?q=é#f"))
     return derived(spark, sf, "d_host_pages").select("page_id", U.punycode_host(url).alias("url"))
 
 
+SQL_PUNYCODE = with_ctes("d_host_pages") + f"""SELECT page_id, concat('https://', [{', '.join(f"'{b}'" for _, b in IDNA_LABELS)}][page_id % {len(IDNA_LABELS)} + 1],
+  '.', host, path, '?q=é', CASE WHEN page_id % {len(IDNA_LABELS)} = 3 THEN '#f' ELSE '' END) AS url FROM d_host_pages"""
+
+
 def q_normalize_url(spark: SparkSession, sf: str) -> DataFrame:
     return _forms(spark, sf).select("page_id", F.coalesce(U.normalize_url(F.col("url")), F.lit("-")).alias("url"))
 
@@ -298,7 +307,7 @@ def q_deny_large(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_deny_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """The form for rule tables beyond the broadcast bounds."""
-    return filtering.deny_flag(_pages(spark, sf), _large_rules(spark, sf), max_rows=0, salts=4).select("page_id", "denied")
+    return filtering.deny_flag(_pages(spark, sf), _large_rules(spark, sf), max_rows=0, share=64).select("page_id", "denied")
 
 
 SQL_DENY_LARGE = with_ctes("d_host_pages") + f", {LARGE_RULES_SQL},{_URLS_SQL} SELECT page_id, url IN (SELECT url FROM d_hits) AS denied FROM d_u"
@@ -417,6 +426,13 @@ def q_domain_join(spark: SparkSession, sf: str) -> DataFrame:
     return keys.domain_join(hosts, _suffixes(spark)).select("page_id", "suffix", "domain")
 
 
+def q_domain_join_beyond(spark: SparkSession, sf: str) -> DataFrame:
+    """The same beyond the broadcast bounds, over hosts of which two own most rows."""
+    hosts = derived(spark, sf, "d_host_pages")
+    hot = F.when(F.col("page_id") % 3 == 0, "www.hot.example.org").when(F.col("page_id") % 3 == 1, "Hot.Example.com").otherwise(F.col("host"))
+    return keys.domain_join(hosts.select("page_id", hot.alias("host")), _suffixes(spark), max_rows=0).select("page_id", "suffix", "domain")
+
+
 SQL_DOMAIN = with_ctes("d_host_pages") + """
 , l AS (SELECT page_id, host, string_split(host, '.') AS l FROM d_host_pages),
 s AS (SELECT page_id, l, CASE
@@ -428,6 +444,13 @@ SELECT page_id, array_to_string(list_slice(l, len(l) - n + 1, len(l)), '.') AS s
 """
 
 
+SQL_DOMAIN_BEYOND = SQL_DOMAIN.replace(
+    "l AS (SELECT page_id, host, string_split(host, '.') AS l FROM d_host_pages)",
+    """x AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'www.hot.example.org' WHEN 1 THEN 'hot.example.com' ELSE host END AS host FROM d_host_pages),
+l AS (SELECT page_id, host, string_split(host, '.') AS l FROM x)""",
+)
+
+
 def q_partition_key(spark: SparkSession, sf: str) -> DataFrame:
     by_domain = keys.partition_key(_pages(spark, sf), "byDomain", _suffixes(spark)).withColumnRenamed("key", "by_domain")
     return keys.partition_key(by_domain, "byHost").withColumnRenamed("key", "by_host").drop("url")
@@ -542,7 +565,7 @@ QUERIES: dict[str, tuple] = {
     ),
     "url_parts": (q_url_parts, SQL_URL_PARTS),
     "host_suffixes": (q_host_suffixes, SQL_HOST_SUFFIXES),
-    "punycode_host": (q_punycode_host, None),
+    "punycode_host": (q_punycode_host, SQL_PUNYCODE),
     "normalize_url": (q_normalize_url, SQL_NORMALIZE),
     "regex_normalize": (q_regex_normalize, SQL_REGEX_NORMALIZE),
     "url_id": (q_url_id, "SELECT page_id, sha256(url) AS url_id FROM pages"),
@@ -576,6 +599,7 @@ QUERIES: dict[str, tuple] = {
     "regex_rules": (q_regex_rules, SQL_REGEX_RULES),
     "read_seeds": (q_seeds, SQL_SEEDS),
     "domain_join": (q_domain_join, SQL_DOMAIN),
+    "domain_join_beyond_broadcast": (q_domain_join_beyond, SQL_DOMAIN_BEYOND),
     "partition_key": (q_partition_key, SQL_KEY),
     "extract_robots_rules": (q_robots_rules, SQL_ROBOTS_RULES),
     "robots_filter": (q_robots_filter, SQL_ROBOTS_FILTER),

@@ -3,10 +3,12 @@
 Rule tables are matched by key equality first and by pattern second, never pattern against
 everything. Two physical forms give the same rows:
 
-* rules within the measured broadcast bounds: one row per rule key is broadcast and looked up once
-  per level of the host (``host``, last 1, 2, ... labels). No row is multiplied, nothing is shuffled.
-* larger rule tables: host suffixes are exploded and joined on a salted key, because a key such as
-  ``com`` may own a third of the rows.
+* rules within the measured broadcast bounds: one row per rule key is broadcast, the keys of each level of the host apart, and
+  looked up once per level (``host``, last 1, 2, ... labels). No row is multiplied, nothing is shuffled.
+* larger rule tables: the host suffixes of distinct URLs are exploded and joined; keys that are asked for much, such as
+  ``com``, are dealt over several tasks in proportion to their measured count.
+
+Where only the verdict is wanted, the patterns of a key are folded: plain texts are searched as such, the others make one alternation.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ from crawlframe.functions.predicates import (
 from crawlframe.functions.stage import compute_once, with_parts
 from crawlframe.functions.urls import label_count, last_labels, normalize_url, punycode_host, regex_normalize
 from crawlframe.operators.keys import domain_join
+from crawlframe.operators.spread import HEAVY_SHARE, spread_join
 from crawlframe.schemas import ERROR_CAUSE
 from crawlframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
-SALTS = 32
+#: Global rules up to this many become literals of the plan.
+GLOBAL_LITERALS = 400
 
 _PLAIN = r"^[A-Za-z0-9/_\-=&%~,:;!@ ]+$"
 
@@ -52,6 +56,7 @@ class RuleProfile:
     bytes: int
     levels: tuple[int, ...]
     has_host: bool
+    n_global: int
     has_global: bool
 
     def fits(self, max_rows: int, max_bytes: int) -> bool:
@@ -69,11 +74,11 @@ def profile_rules(rules: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> RuleP
             # host names have at most 127 labels, so this set is small
             F.array_sort(F.collect_set(F.when(is_domain, label_count(F.col("key"))))).alias("levels"),
             F.coalesce(F.bool_or(F.col("scope") == "host"), F.lit(False)).alias("has_host"),
-            F.coalesce(F.bool_or((F.col("scope") == "domain") & (F.col("key") == ".")), F.lit(False)).alias("has_global"),
+            F.count_if((F.col("scope") == "domain") & (F.col("key") == ".")).alias("n_global"),
         )
         .first()
     )
-    return RuleProfile(row["n"], row["b"], tuple(row["levels"]), row["has_host"], row["has_global"])
+    return RuleProfile(row["n"], row["b"], tuple(row["levels"]), row["has_host"], row["n_global"], row["n_global"] > 0)
 
 
 def _hit(rule: Column, path: Column, file: Column) -> Column:
@@ -88,9 +93,40 @@ def _grouped(rules: DataFrame) -> DataFrame:
     return rules.groupBy("scope", "key").agg(F.array_sort(F.collect_list(rule)).alias("rules"))
 
 
-def _with_rule_lists(urls: DataFrame, rules: DataFrame, prof: RuleProfile) -> tuple[DataFrame, list[str]]:
-    """Join the rule lists that apply to each URL, most specific first. Broadcast joins only."""
-    grouped = _grouped(rules)
+#: Patterns that mean something else inside an alternation: back-references, inline flags, quoting.
+_ALONE = re.compile(r"\\[0-9kQE]|\(\?[a-zA-Z-]*[):<]")
+_TOGETHER = 100
+_FOLDED = ("all", "path_texts", "file_texts", "path_alone", "file_alone", "path_any", "file_any")
+
+
+def _folded(rules: DataFrame) -> DataFrame:
+    """One row per key for the verdict alone: ``scope, key, rules``."""
+    alone = F.col("pattern").rlike(_ALONE.pattern)
+    regex = ~F.col("plain")
+
+    def patterns(kind: str, cond: Column) -> Column:
+        return F.array_sort(F.collect_set(F.when((F.col("kind") == kind) & cond, F.col("pattern"))))
+
+    def any_of(kind: str) -> Column:
+        wrapped = F.transform(patterns(kind, regex & ~alone), lambda p: F.concat(F.lit("(?:"), p, F.lit(")")))
+        return F.nullif(F.array_join(wrapped, "|"), F.lit(""))
+
+    cells = [F.bool_or(F.col("kind") == "all"), *[patterns(k, F.col("plain")) for k in ("path", "pathquery")]]
+    cells += [*[patterns(k, regex & alone) for k in ("path", "pathquery")], any_of("path"), any_of("pathquery")]
+    return rules.groupBy("scope", "key").agg(F.struct(*[c.alias(n) for c, n in zip(cells, _FOLDED, strict=True)]).alias("rules"))
+
+
+def _folded_hit(r: Column, path: Column, file: Column) -> Column:
+    def of(name: str, text: Column) -> Column:
+        hit = F.exists(r[f"{name}_texts"], lambda p: F.contains(text, p)) | F.exists(r[f"{name}_alone"], lambda p: F.regexp_like(text, p))
+        return hit | F.coalesce(F.regexp_like(text, r[f"{name}_any"]), F.lit(False))
+
+    return F.coalesce(r["all"] | of("path", path) | of("file", file), F.lit(False))
+
+
+def _with_rule_lists(urls: DataFrame, rules: DataFrame, prof: RuleProfile, explain: bool) -> tuple[DataFrame, list[str]]:
+    """Join the rules that apply to each URL, most specific first. Broadcast joins only."""
+    grouped = _grouped(rules) if explain else _folded(rules)
     out, lists = urls, []
     host = F.col("_p.host")
 
@@ -103,7 +139,7 @@ def _with_rule_lists(urls: DataFrame, rules: DataFrame, prof: RuleProfile) -> tu
         out = lookup(out, grouped.filter("scope = 'host'"), host, "_r_host")
     domain = grouped.filter("scope = 'domain'")
     for level in sorted(prof.levels, reverse=True):
-        out = lookup(out, domain, last_labels(host, level), f"_r_{level}")
+        out = lookup(out, domain.filter(label_count(F.col("key")) == level), last_labels(host, level), f"_r_{level}")
     if prof.has_global:
         everywhere = domain.filter("key = '.'").select("rules")
         out = out.withColumn("_r_all", everywhere.scalar())
@@ -111,15 +147,10 @@ def _with_rule_lists(urls: DataFrame, rules: DataFrame, prof: RuleProfile) -> tu
     return out, lists
 
 
-#: Patterns that mean something else inside an alternation: back-references, inline flags, quoting.
-_ALONE = re.compile(r"\\[0-9kQE]|\(\?[a-zA-Z-]*[):<]")
-_TOGETHER = 100
-
-
 def _everywhere(rules: DataFrame, path: Column, file: Column) -> Column:
     """Whether a global rule matches, its patterns as literals that are compiled once per task.
 
-    Called within the measured bounds of the rule table only.
+    Called for at most ``GLOBAL_LITERALS`` of them.
     """
     rows = rules.filter("scope = 'domain' AND key = '.'").select("kind", "pattern").distinct().collect()
     hit = F.lit(any(r["kind"] == "all" for r in rows))
@@ -135,23 +166,24 @@ def _everywhere(rules: DataFrame, path: Column, file: Column) -> Column:
 def _denied_by_lookup(urls: DataFrame, rules: DataFrame, prof: RuleProfile, explain: bool) -> DataFrame:
     keep = urls.columns
     staged = with_parts(urls)
-    # the verdict needs no list of the global rules, the explanation does
-    joined, lists = _with_rule_lists(staged, rules, prof if explain else replace(prof, has_global=False))
+    # few global rules are literals to the verdict; the explanation needs their list
+    literal = prof.has_global and not explain and prof.n_global <= GLOBAL_LITERALS
+    joined, lists = _with_rule_lists(staged, rules, replace(prof, has_global=False) if literal else prof, explain)
     path, file = F.col("_p.path"), F.col("_p.file")
     if explain:
         firsts = [F.get(F.filter(F.col(c), lambda r: _hit(r, path, file)), F.lit(0)) for c in lists]
         rule = F.coalesce(*firsts) if firsts else F.lit(None).cast("struct<seq:bigint,scope:string,key:string,kind:string,pattern:string,plain:boolean>")
         return joined.select(*keep, (~F.col("_p.valid")).alias("unparsable"), rule.alias("rule"))
     denied = ~F.col("_p.valid")
-    if prof.has_global:
+    if literal:
         denied = denied | _everywhere(rules, path, file)
     for c in lists:
-        denied = denied | F.coalesce(F.exists(F.col(c), lambda r: _hit(r, path, file)), F.lit(False))
+        denied = denied | _folded_hit(F.col(c), path, file)
     return joined.select(*keep, denied.alias("denied"))
 
 
-def _first_hits(urls: DataFrame, rules: DataFrame, salts: int) -> DataFrame:
-    """Winning rule per distinct URL through a salted shuffle join: ``url, rule``."""
+def _first_hits(urls: DataFrame, rules: DataFrame, explain: bool, share: int) -> DataFrame:
+    """Distinct URLs that a rule denies, through a join that deals out heavy keys: ``url`` and, if explained, the winning ``rule``."""
     p = F.col("_p")
     # copies of a URL share their verdict, and would share their salt
     staged = with_parts(urls.select("url").distinct()).filter(p["valid"])
@@ -178,24 +210,25 @@ def _first_hits(urls: DataFrame, rules: DataFrame, salts: int) -> DataFrame:
         "url",
         F.col("_p.path").alias("path"),
         F.col("_p.file").alias("file"),
-        F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int").alias("salt"),
         F.inline(probes).alias("scope", "key", "level"),
     )
-    right = rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if not explain:
+        met = spread_join(left, _folded(rules), ["scope", "key"], "url", "inner", share)
+        return met.filter(_folded_hit(F.col("rules"), F.col("path"), F.col("file"))).select("url").distinct()
     rule = F.struct("seq", "scope", "key", "kind", "pattern", "plain")
-    hits = left.join(right, ["scope", "key", "salt"]).filter(
-        _hit(rule, F.col("path"), F.col("file"))
-    )
+    hits = spread_join(left, rules, ["scope", "key"], "url", "inner", share).filter(_hit(rule, F.col("path"), F.col("file")))
     return hits.groupBy("url").agg(F.min_by(rule, F.struct("level", "seq", "kind", "pattern")).alias("rule"))
 
 
-def _denied_by_shuffle(urls: DataFrame, rules: DataFrame, explain: bool, salts: int) -> DataFrame:
-    hits = _first_hits(urls, rules, salts)
+def _denied_by_shuffle(urls: DataFrame, rules: DataFrame, explain: bool, share: int) -> DataFrame:
+    hits = _first_hits(urls, rules, explain, share)
+    if not explain:
+        hits = hits.withColumn("_hit", F.lit(True))
     joined = with_parts(urls.join(hits, "url", "left"))
     unparsable = ~F.col("_p.valid")
     if explain:
         return joined.select(*urls.columns, unparsable.alias("unparsable"), "rule")
-    return joined.select(*urls.columns, (unparsable | F.col("rule").isNotNull()).alias("denied"))
+    return joined.select(*urls.columns, (unparsable | F.col("_hit").isNotNull()).alias("denied"))
 
 
 def _denied(
@@ -204,13 +237,13 @@ def _denied(
     explain: bool,
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
-    salts: int = SALTS,
+    share: int = HEAVY_SHARE,
 ) -> DataFrame:
     rules = prepare_rules(rules)
     prof = profile_rules(rules, max_rows)
     if prof.fits(max_rows, max_bytes):
         return _denied_by_lookup(urls, rules, prof, explain)
-    return _denied_by_shuffle(urls, rules, explain, salts)
+    return _denied_by_shuffle(urls, rules, explain, share)
 
 
 def deny_flag(urls: DataFrame, rules: DataFrame, **bounds: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlframe.functions.stage import with_parts
 from crawlframe.functions.urls import label_count, last_labels
+from crawlframe.operators.spread import spread_join
 from crawlframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 
@@ -22,8 +23,9 @@ def domain_join(
     """Add ``suffix`` and ``domain`` (suffix plus one label) for each host.
 
     One look-up per label count found in the suffix table; the table is broadcast when its measured
-    size is within both bounds, so the rows of ``urls`` stay where they are. Otherwise the same look-ups
-    are joins, whose skewed keys are left to AQE.
+    size is within both bounds, so the rows of ``urls`` stay where they are. Otherwise each distinct host is resolved
+    once, through joins that deal out the hosts of frequent last labels, and comes back through one that deals out the rows
+    of frequent hosts.
     """
     # the levels are a handful at any size of the table
     prof = suffixes.agg(
@@ -31,16 +33,30 @@ def domain_join(
         F.coalesce(F.sum(F.octet_length("suffix") + 32), F.lit(0)).alias("b"),
         F.array_sort(F.collect_set(label_count(F.col("suffix")))).alias("levels"),
     ).first()
-    small = prof["n"] <= max_rows and prof["b"] <= max_bytes
     by_suffix = suffixes.groupBy("suffix").agg(F.collect_set("kind").alias("kinds"))
+    if prof["n"] <= max_rows and prof["b"] <= max_bytes:
+        return _resolved(urls, by_suffix, prof["levels"], host_col, True)
+    staged = urls.withColumn("_host_key", F.lower(F.col(host_col)))
+    hosts = staged.filter("_host_key is not null").select("_host_key").distinct()
+    known = _resolved(hosts, by_suffix, prof["levels"], "_host_key", False)
+    # rows without a host find nothing, each by a key of its own
+    tie = F.xxhash64(*[c for c, t in urls.dtypes if not t.startswith(("map", "array", "struct"))])
+    staged = staged.withColumn("_tie", tie)
+    return spread_join(staged, known, ["_host_key"], "_tie").drop("_host_key", "_tie").select(*urls.columns, "suffix", "domain")
+
+
+def _resolved(urls: DataFrame, by_suffix: DataFrame, levels: list[int], host_col: str, small: bool) -> DataFrame:
     host = F.lower(F.col(host_col))
     out = urls
     names = []
-    for level in prof["levels"]:
-        side = by_suffix.select(F.col("suffix").alias(f"_s{level}"), F.col("kinds").alias(f"_k{level}"))
-        out = out.join(
-            F.broadcast(side) if small else side, last_labels(host, level) == F.col(f"_s{level}"), "left"
-        ).drop(f"_s{level}")
+    for level in levels:
+        mine = by_suffix.filter(label_count(F.col("suffix")) == level)
+        side = mine.select(F.col("suffix").alias(f"_s{level}"), F.col("kinds").alias(f"_k{level}"))
+        if small:
+            out = out.join(F.broadcast(side), last_labels(host, level) == F.col(f"_s{level}"), "left").drop(f"_s{level}")
+        else:
+            asked = out.withColumn(f"_s{level}", last_labels(host, level))
+            out = spread_join(asked, side, [f"_s{level}"], host_col).drop(f"_s{level}")
         names.append((level, f"_k{level}"))
 
     n = label_count(host)

@@ -170,8 +170,40 @@ def test_both_forms_of_the_deny_filter_agree(spark, skewed):
         DENY_RULES,
     )
     urls = skewed.select("url")
-    assert rows(FI.deny_explain(urls, rules)) == rows(FI.deny_explain(urls, rules, max_rows=0, salts=5))
-    assert rows(FI.deny_filter(urls, rules)) == rows(FI.deny_filter(urls, rules, max_rows=0, salts=5))
+    assert rows(FI.deny_explain(urls, rules)) == rows(FI.deny_explain(urls, rules, max_rows=0, share=7))
+    assert rows(FI.deny_filter(urls, rules)) == rows(FI.deny_filter(urls, rules, max_rows=0, share=7))
+
+
+def test_both_forms_of_the_verdict_agree_on_many_patterns(spark, skewed):
+    """Back-references and inline flags stay apart, plain texts and alternations are folded; global rules beyond the literals."""
+    rules = [(1, "domain", "example", "path", r"/(1)(2)\2"), (2, "domain", "example", "path", "(?i)/3.*4"), (3, "host", "hot.example", "pathquery", "/5"), (4, "host", "h3", "path", "a|/1[0-9]$")]
+    rules += [(10 + i, "domain", ".", "path", f"/77{i}$") for i in range(450)]
+    table = spark.createDataFrame(rules, DENY_RULES)
+    urls = skewed.select("url")
+    verdicts = rows(FI.deny_flag(urls, table))
+    assert verdicts == rows(FI.deny_flag(urls, table, max_rows=0, share=9))
+    explained = FI.deny_explain(urls, table).select("url", (F.col("rule").isNotNull() | F.col("unparsable")).alias("denied"))
+    assert verdicts == rows(explained) and sum("denied=True" in v for v in verdicts) > 100
+    few = spark.createDataFrame(rules[:30], DENY_RULES)
+    assert "rlike" in plan(FI.deny_flag(urls, few)).lower() and len(plan(FI.deny_flag(urls, table))) < 4 * len(plan(FI.deny_flag(urls, few)))
+
+
+def test_rule_tables_are_broadcast_by_level(spark):
+    rules = spark.createDataFrame([(1, "domain", "example", "path", "/x"), (2, "domain", "a.example", "path", "/y")], DENY_RULES)
+    text = plan(FI.deny_filter(spark.range(10).select(F.lit("http://b.a.example/").alias("url")), rules))
+    assert text.count("BroadcastHashJoin") == 2 and set(re.findall(r"\+ 1\) = (\d)\)", text)) == {"1", "2"}
+
+
+def test_heavy_keys_are_dealt_out(spark, skewed):
+    from crawlframe.operators.spread import spread_join
+
+    left = skewed.select("key", "url")
+    right = left.select("key").distinct().withColumn("n", F.xxhash64("key"))
+    want = rows(left.join(right, "key").select("key", "url", "n"))
+    met = spread_join(left, right, ["key"], "url", "inner", 16)
+    assert rows(met.select("key", "url", "n")) == want
+    salts = re.findall(r"_salt", plan(met))
+    assert salts
 
 
 def test_empty_inputs(spark, skewed):
