@@ -333,6 +333,13 @@ def q_due_urls(spark: SparkSession, sf: str) -> DataFrame:
     return due.select("key", "url", ts_text("next_fetch").alias("next_fetch"), F.col("rank").cast("bigint").alias("rank"))
 
 
+def q_due_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the due index of the stored table and its pending updates."""
+    stored_status(spark, sf)
+    due = FR.due_urls(tables.read_due(spark, _STORED[spark.sparkContext.applicationId, sf], DUE), DUE, 5, 100)
+    return due.select("key", "url", ts_text("next_fetch").alias("next_fetch"), F.col("rank").cast("bigint").alias("rank"))
+
+
 SQL_DUE = f"""{D}, r AS (SELECT key, url, next_fetch, row_number() OVER (PARTITION BY key ORDER BY next_fetch, url) AS rank
   FROM d_status WHERE next_fetch <= TIMESTAMP '{DUE}'),
 b AS (SELECT key, min(next_fetch) AS f FROM r GROUP BY key ORDER BY f, key LIMIT 100)
@@ -666,6 +673,7 @@ QUERIES: dict[str, tuple] = {
     "outlink_metadata": (q_outlink_metadata, SQL_OUTLINK_META),
     "status_date": (q_status_date, SQL_STATUS_DATE),
     "due_urls": (q_due_urls, SQL_DUE),
+    "due_urls_stored": (q_due_stored, SQL_DUE),
     "purgatory_filter": (q_purgatory, SQL_PURGATORY),
     "politeness_plan": (q_politeness, SQL_POLITENESS),
     "warc_file_assign": (q_warc_assign, SQL_WARC_ASSIGN),

@@ -3,6 +3,7 @@
 Layout of a status table::
 
     root/base/v=000003/        full snapshot, bucketed and sorted by url
+    root/due/v=000003/due_day=2024-01-05/   url, key and next fetch of that snapshot, by day
     root/updates/v=000003/batch=17/   updates that arrived after that snapshot
 
 A batch of updates is one small append, whatever the size of the table. Writing the same batch
@@ -11,7 +12,8 @@ updates, and those urls merged by the same upsert the batch operators use. Condi
 parts, and because the snapshot is bucketed by url only the updates are shuffled, and a look-up by url reads one bucket. ``compact_status`` folds the updates into a new snapshot. A snapshot counts from the
 moment its marker ``root/_current/v=000003-b=16`` (version and number of buckets) exists; markers are only
 ever added, and the highest one holds, so a crash at any point leaves the last complete snapshot in
-force. One writer at a time, as with one streaming query.
+force. A poll of the frontier reads the days up to its own of the due index, and the updates. ``vacuum_status`` removes
+snapshots that are no longer read. One writer at a time, as with one streaming query.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlframe.schemas import CONTENT, METRICS, STATUS, UPDATES
+from crawlframe.session import as_ts
 
 _MARKERS = "_current"
 _MARKER = re.compile(r"v=(\d+)-b=(\d+)")
@@ -72,6 +75,10 @@ def _updates(root: str, version: int) -> str:
     return f"{root}/updates/v={version:06d}"
 
 
+def _due(root: str, version: int) -> str:
+    return f"{root}/due/v={version:06d}"
+
+
 def _table_name(root: str, version: int) -> str:
     return f"status_{hashlib.sha256(root.encode()).hexdigest()[:12]}_v{version}"
 
@@ -92,6 +99,10 @@ def write_snapshot(df: DataFrame, root: str, buckets: int | None = None) -> int:
         .option("path", _base(root, version))
         .saveAsTable(_table_name(root, version))
     )
+    rows = spark.read.schema(STATUS).parquet(_base(root, version)).select("url", "key", "next_fetch").filter("next_fetch is not null")
+    day = rows.withColumn("due_day", F.to_date("next_fetch"))
+    # a day with very many rows is more than one file
+    day.repartition(n, "due_day", F.pmod(F.xxhash64("key"), F.lit(16))).write.mode("overwrite").partitionBy("due_day").parquet(_due(root, version))
     _point_to(spark, root, version, n)
     return version
 
@@ -141,6 +152,36 @@ def read_status(spark: SparkSession, root: str) -> DataFrame:
     return untouched.unionByName(touched_rows(base, updates, batch_col="batch"))
 
 
+def read_due(spark: SparkSession, root: str, now) -> DataFrame:
+    """``url, key, next_fetch`` of the rows due by ``now``: as a filter of ``read_status``, from the files of the days up to it."""
+    from crawlframe.operators.upsert import touched_rows
+
+    version = current_version(spark, root)
+    now = as_ts(now)
+    index = spark.read.schema("url STRING, key STRING, next_fetch TIMESTAMP, due_day DATE").parquet(_due(root, version))
+    due = index.filter((F.col("due_day") <= F.to_date(now)) & (F.col("next_fetch") <= now)).select("url", "key", "next_fetch")
+    updates = pending_updates(spark, root)
+    if updates is None:
+        return due
+    fresh = touched_rows(_read_base(spark, root), updates, batch_col="batch").select("url", "key", "next_fetch").filter(F.col("next_fetch") <= now)
+    return due.join(updates.select("url").distinct(), "url", "left_anti").unionByName(fresh)
+
+
+def vacuum_status(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Remove all but the last ``keep`` snapshots with their updates; the versions that went."""
+    oldest = current_version(spark, root) - max(keep, 1) + 1
+    gone = []
+    for version in range(oldest - 1, 0, -1):
+        fs, p, _ = _fs(spark, _base(root, version))
+        if not fs.exists(p):
+            break
+        for path in (_base(root, version), _due(root, version), _updates(root, version)):
+            fs.delete(_fs(spark, path)[1], True)
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(root, version)}")
+        gone.append(version)
+    return sorted(gone)
+
+
 def compact_status(spark: SparkSession, root: str, buckets: int | None = None) -> int:
     """Fold all updates into a new snapshot."""
     return write_snapshot(read_status(spark, root), root, buckets)

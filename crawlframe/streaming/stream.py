@@ -25,7 +25,7 @@ from crawlframe.plans.crawl import article_records, crawl_step
 from crawlframe.schemas import ERROR_COUNT, FETCH_INTERVAL, SIGNATURE, SIGNATURE_CHANGE
 from crawlframe.sources.rules import RefreshingRules
 from crawlframe.sources.seeds import read_seeds
-from crawlframe.sources.tables import read_status, write_status
+from crawlframe.sources.tables import read_due, write_status
 from crawlframe.sources.warc import write_warc
 
 Clock = Callable[[], str | dt.datetime]
@@ -117,7 +117,7 @@ def frontier_poll_stream(
         now = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
         if "at" not in state or (now - state["at"]).total_seconds() >= reset_after_seconds:
             state["at"] = now
-        due = due_urls(read_status(spark, status_path), state["at"], per_bucket, max_buckets)
+        due = due_urls(read_due(spark, status_path, state["at"]), state["at"], per_bucket, max_buckets)
         if inflight is not None:
             due = purgatory_filter(due, inflight(), now)
         sink(due, batch_id)

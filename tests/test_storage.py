@@ -81,6 +81,37 @@ def test_status_table_round_trip(spark, tmp_path):
     assert tables.current_version(spark, root) == 3
 
 
+def test_a_poll_reads_the_days_up_to_its_own(spark, tmp_path):
+    root = tmp_path / "status"
+    days = [f"2024-01-{d:02d} 10:00:00" for d in range(1, 21)]
+    data = spark.createDataFrame([(f"http://h{i % 3}/{i}", "i", f"h{i % 3}", "FETCHED", d) for i, d in enumerate(days)], "url STRING, url_id STRING, key STRING, status STRING, d STRING")
+    tables.write_snapshot(data.select("url", "url_id", "key", "status", F.col("d").cast("timestamp").alias("next_fetch"), M.empty_meta().alias("metadata")), str(root), buckets=3)
+    late = updates(spark, [("http://h0/0", "FETCHED", "x"), ("http://new/", "DISCOVERED", "x"), ("http://h2/14", "FETCHED", "x")])
+    moved = late.withColumn("next_fetch", F.when(F.col("url") == "http://h0/0", "2024-03-01 00:00:00").otherwise("2024-01-02 00:00:00").cast("timestamp"))
+    tables.write_status(moved, str(root), 1)
+    # files of later days may be unreadable
+    for file in (root / "due").rglob("*.parquet"):
+        if int(str(file.parent)[-2:]) > 5:
+            file.write_bytes(b"no parquet")
+    now = "2024-01-05 12:00:00"
+    got = {(r.url, r.key, r.next_fetch) for r in tables.read_due(spark, str(root), now).collect()}
+    want = tables.read_status(spark, str(root)).filter(F.col("next_fetch") <= F.lit(now).cast("timestamp"))
+    assert got == {(r.url, r.key, r.next_fetch) for r in want.collect()}
+    assert {u for u, _, _ in got} == {f"http://h{i % 3}/{i}" for i in range(1, 5)} | {"http://new/", "http://h2/14"}
+
+
+def test_vacuum_keeps_the_last_snapshots(spark, tmp_path):
+    root = str(tmp_path / "status")
+    tables.write_snapshot(spark.createDataFrame([], STATUS), root, buckets=1)
+    for i in range(4):
+        tables.write_status(updates(spark, [(f"http://{i}/", "FETCHED", "1")]), root, i)
+        tables.compact_status(spark, root)
+    before = state(tables.read_status(spark, root))
+    assert tables.vacuum_status(spark, root) == [1, 2, 3] and tables.vacuum_status(spark, root) == []
+    assert state(tables.read_status(spark, root)) == before and len(before) == 4
+    assert sorted(p.name for p in (tmp_path / "status" / "base").iterdir()) == ["v=000004", "v=000005"]
+
+
 def test_upsert_is_idempotent_and_order_free(spark):
     current = spark.createDataFrame(
         [("http://a/", "i", "k", "FETCHED", None, {}), ("http://q/", "i", "k", "ERROR", None, None)], STATUS
