@@ -516,20 +516,27 @@ SELECT url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS key, status,
 
 def q_bootstrap_step(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate pages, sitemaps and feeds classified; pages announce feeds."""
-    docs = (
-        head_docs(spark, sf).select("url", "content").unionByName(sitemap_docs(spark, sf)).unionByName(feed_docs(spark, sf)).withColumn("metadata", M.empty_meta())
-    )
-    out = crawl.bootstrap_step(docs)
+    good = F.lit(200).alias("http_status")
+    heads = head_docs(spark, sf).select("url", "content", F.when(F.col("page_id") % 7 == 3, 404).otherwise(200).alias("http_status"))
+    docs = heads.unionByName(sitemap_docs(spark, sf).select("*", good)).unionByName(feed_docs(spark, sf).select("*", good)).withColumn("metadata", M.empty_meta())
+    out = crawl.bootstrap_step(docs, scheduler=lambda rows: SC.next_fetch_default(rows, NOW, SC.default_intervals(spark)))
+    path = F.coalesce(F.try_element_at("metadata", F.lit("url.path")), F.array(F.lit("-")))
     return out.select(
-        "url", "status", _flag("isFeed").alias("is_feed"), _flag("isSitemap").alias("is_sitemap"), _flag("isSitemapNews").alias("is_news"), _flag("canonical").alias("canonical")
+        "url", "key", "status", ts_text("next_fetch").alias("next_fetch"), _flag("isFeed").alias("is_feed"), _flag("isSitemap").alias("is_sitemap"),
+        _flag("isSitemapNews").alias("is_news"), _flag("canonical").alias("canonical"), F.array_join(path, " ").alias("path"), _flag("depth").alias("depth"),
     )
 
 
-SQL_BOOTSTRAP_STEP = f"""{R.strip()}, {with_ctes('d_feed_rows')[5:].strip()}, {with_ctes('d_host_pages')[5:].strip()}
-SELECT url, 'FETCHED' AS status, '-' AS is_feed, '-' AS is_sitemap, '-' AS is_news, CASE WHEN page_id % 5 = 0 THEN concat('https://c.example.com/', page_id) ELSE '-' END AS canonical FROM pages
-UNION ALL SELECT DISTINCT parent_url, 'FETCHED', '-', 'true', 'true', '-' FROM d_sitemap_rows
-UNION ALL SELECT DISTINCT parent_url, 'FETCHED', 'true', '-', '-', '-' FROM d_feed_rows
-UNION ALL SELECT concat(regexp_extract(url, '^([a-z]+)://', 1), '://', host, '/feed/', page_id, '.xml'), 'DISCOVERED', 'true', '-', '-', '-' FROM d_host_pages WHERE page_id % 2 = 0"""
+SQL_BOOTSTRAP_STEP = f"""{R.strip()}, {with_ctes('d_feed_rows')[5:].strip()}, {with_ctes('d_host_pages')[5:].strip()}, o AS (
+SELECT url, CASE WHEN page_id % 7 = 3 THEN 'ERROR' ELSE 'FETCHED' END AS status, -1 AS minutes, '-' AS is_feed, '-' AS is_sitemap, '-' AS is_news,
+  CASE WHEN page_id % 5 = 0 AND page_id % 7 <> 3 THEN concat('https://c.example.com/', page_id) ELSE '-' END AS canonical, '-' AS path, '-' AS depth FROM pages
+UNION ALL SELECT DISTINCT parent_url, 'FETCHED', 1440, '-', 'true', 'true', '-', '-', '-' FROM d_sitemap_rows
+UNION ALL SELECT DISTINCT parent_url, 'FETCHED', 720, 'true', '-', '-', '-', '-', '-' FROM d_feed_rows
+UNION ALL SELECT concat(regexp_extract(url, '^([a-z]+)://', 1), '://', host, '/feed/', page_id, '.xml'), 'DISCOVERED', 0, 'true', '-', '-', '-', url, '1'
+  FROM d_host_pages WHERE page_id % 2 = 0 AND page_id % 7 <> 3)
+SELECT url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS key, status,
+  CASE WHEN minutes >= 0 THEN strftime(TIMESTAMP '{NOW}' + to_minutes(minutes), '%Y-%m-%d %H:%M:%S') ELSE '' END AS next_fetch,
+  is_feed, is_sitemap, is_news, canonical, path, depth FROM o"""
 
 
 def q_parse_filters(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,7 +25,6 @@ from crawlframe.functions.metadata import (
     empty_meta,
     meta_add,
     meta_first,
-    meta_of,
     meta_set,
     meta_true,
     meta_update,
@@ -436,14 +435,21 @@ def bootstrap_flags(fetched: DataFrame) -> DataFrame:
     return staged.withColumn("metadata", out).drop("_f")
 
 
-def bootstrap_step(fetched: DataFrame, chain: Chain = ()) -> DataFrame:
-    """Status updates of the site classifier: every document FETCHED, pages give the feeds they announce.
+def bootstrap_step(
+    fetched: DataFrame, chain: Chain = (), scheduler: Callable[[DataFrame], DataFrame] | None = None, key_mode: str = "byHost", suffixes: DataFrame | None = None
+) -> DataFrame:
+    """Status updates of the site classifier: ``url, key, status, next_fetch, metadata``.
 
-    One narrow pass: a document turns into its own row and one row per feed.
+    Every document that was fetched is FETCHED, pages give the feeds they announce, with their path and depth. Where records carry
+    ``http_status``, failed and redirected fetches keep their own status, and their bodies are not looked at. One narrow pass: a
+    document turns into its own row and one row per feed. ``scheduler`` sets ``next_fetch``.
     """
-    flagged = with_parts(apply_parse_filters(bootstrap_flags(fetched), PARSE_FILTERS["bootstrap"]), "url", "_base")
+    state = classify_fetch(F.col("http_status")) if "http_status" in fetched.columns else F.lit("FETCHED")
+    staged = compute_once(fetched, "_state", state)
+    staged = staged.withColumn("content", F.when(F.col("_state") == "FETCHED", F.col("content")))
+    flagged = with_parts(apply_parse_filters(bootstrap_flags(staged), PARSE_FILTERS["bootstrap"]), "url", "_base")
     found = F.when(
-        F.col("branch") == "page", feed_urls_of(F.col("content").cast("string"), F.col("url"), F.col("_base"))
+        (F.col("branch") == "page") & (F.col("_state") == "FETCHED"), feed_urls_of(F.col("content").cast("string"), F.col("url"), F.col("_base"))
     )
     row_type = "array<struct<target:string,is_doc:boolean>>"
     own = F.array(F.struct(F.lit(None).cast("string").alias("target"), F.lit(True).alias("is_doc"))).cast(row_type)
@@ -452,14 +458,15 @@ def bootstrap_step(fetched: DataFrame, chain: Chain = ()) -> DataFrame:
         F.array().cast(row_type),
     )
     rows = compute_once(flagged, "_rows", F.concat(own, feeds)).select(
-        F.col("url").alias("parent_url"), "metadata", F.inline("_rows").alias("url", "is_doc")
-    )
-    links = rows.withColumn(
-        "metadata", F.when(F.col("is_doc"), F.col("metadata")).otherwise(meta_of(**{IS_FEED: "true"}))
+        F.col("url").alias("parent_url"), "metadata", "_state", F.inline("_rows").alias("url", "is_doc")
     )
+    child = meta_set(outlink_metadata(F.col("parent_url"), F.col("metadata"), True, True), IS_FEED, "true")
+    links = rows.withColumn("metadata", F.when(F.col("is_doc"), F.col("metadata")).otherwise(child))
     kept = apply_url_filters(links, chain, bypass="is_doc")
-    return kept.select(
+    updates = kept.select(
         F.coalesce("url", "parent_url").alias("url"),
-        F.when(F.col("is_doc"), "FETCHED").otherwise("DISCOVERED").alias("status"),
+        F.when(F.col("is_doc"), F.col("_state")).otherwise("DISCOVERED").alias("status"),
         "metadata",
     )
+    updates = scheduler(updates) if scheduler is not None else updates.withColumn("next_fetch", F.lit(None).cast("timestamp"))
+    return partition_key(updates, key_mode, suffixes).select("url", "key", "status", "next_fetch", "metadata")
