@@ -102,8 +102,13 @@ class Lines:
             yield own[inside], code[inside]
 
     def keys(self, order: int) -> np.ndarray:
-        """All distinct codes, ascending."""
-        parts = [np.unique(c) for _, c in self.codes(order)]
+        """All distinct codes, ascending. A table of codes seen lately keeps most repeats from the sort."""
+        lately, parts = np.full(1 << 20, ~U64(0)), []
+        for _, codes in self.codes(order):
+            slot = Lookup._slots(codes, 0, 20)
+            new = lately[slot] != codes
+            lately[slot[new]] = codes[new]
+            parts.append(np.unique(codes[new]))
         return np.unique(np.concatenate(parts)) if parts else np.empty(0, U64)
 
     def pack(self) -> bytes:
