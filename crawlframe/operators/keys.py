@@ -36,12 +36,12 @@ def domain_join(
     by_suffix = suffixes.groupBy("suffix").agg(F.collect_set("kind").alias("kinds"))
     if prof["n"] <= max_rows and prof["b"] <= max_bytes:
         return _resolved(urls, by_suffix, prof["levels"], host_col, True)
-    staged = urls.withColumn("_host_key", F.lower(F.col(host_col)))
-    hosts = staged.filter("_host_key is not null").select("_host_key").distinct()
+    hosts = urls.select(F.lower(F.col(host_col)).alias("_host_key")).filter("_host_key is not null").distinct()
     known = _resolved(hosts, by_suffix, prof["levels"], "_host_key", False)
-    # rows without a host find nothing, each by a key of its own
+    # rows without a host are spread over keys that find nothing
     tie = F.xxhash64(*[c for c, t in urls.dtypes if not t.startswith(("map", "array", "struct"))])
-    staged = staged.withColumn("_tie", tie)
+    nowhere = F.concat(F.lit("\x01"), F.pmod(tie, F.lit(1 << 20)).cast("string"))
+    staged = urls.withColumns({"_tie": tie, "_host_key": F.coalesce(F.lower(F.col(host_col)), nowhere)})
     return spread_join(staged, known, ["_host_key"], "_tie").drop("_host_key", "_tie").select(*urls.columns, "suffix", "domain")
 
 
