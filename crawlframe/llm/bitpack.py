@@ -116,9 +116,10 @@ def write_packed(
         if doc_ids:
             yield flush()
 
-    # the text's head splits rows without doc_id, or of one doc_id, over ranges
+    # the text's head splits rows without doc_id over ranges
     keyed = docs.select("doc_id", text_of().alias("text"))
-    ordered = keyed.repartitionByRange("doc_id", F.substring("text", 1, 24)).sortWithinPartitions("doc_id", "text")
+    head = F.when(F.col("doc_id").isNull(), F.substring("text", 1, 24))
+    ordered = keyed.repartitionByRange("doc_id", head).sortWithinPartitions("doc_id", "text")
     rows = ordered.select(F.spark_partition_id().alias("shard"), F.col("doc_id").cast("long"), "text")
     rows.mapInArrow(encode, _BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
     totals = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
