@@ -584,3 +584,11 @@ def test_host_step_inside_a_chain(spark):
     links = spark.createDataFrame(rows, "parent_url STRING, url STRING")
     chain = [{"name": "host", "params": {"ignore_domain": True, "suffixes": table}}]
     assert {r.url for r in FI.apply_url_filters(links, chain).collect()} == {"http://c.b.co.uk/x", "http://b.co.uk/", "http://a.b.co.uk/y"}
+
+
+def test_lines_of_a_text_sitemap_keep_their_digits(spark):
+    """The n-th line once lost the digits of n at its ends."""
+    lines = [f"https://h.example/{n}{n}{n}" for n in range(12)]
+    body = "\n".join(f"  {x} " for x in lines)
+    docs = spark.createDataFrame([("https://h.example/s.txt", body.encode())], "url STRING, content BINARY")
+    assert [e.loc for e in X.parse_sitemap(docs).head().entries] == lines
