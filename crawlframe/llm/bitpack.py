@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlframe.llm.shared import text_of
-from crawlframe.llm.tokens import PieceEncoder, vocabulary_size
+from crawlframe.llm.tokens import vocabulary_size, worker_encoder
 
 #: Ids in a block before the next document starts a new one.
 BLOCK_IDS = 1 << 16
@@ -89,7 +89,7 @@ def write_packed(
     end = np.uint32(end_id).astype("<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer, byte_level)
+        encoder = worker_encoder(tokenizer, byte_level)
         shard, block, first, held = 0, 0, 0, 0
         doc_ids: list = []
         parts: list[bytes] = []

@@ -1,4 +1,4 @@
-"""Token ids of whole texts from a public tokenizer file, with each distinct word encoded once per task.
+"""Token ids of whole texts from a public tokenizer file, with each distinct word encoded once per task or worker.
 
 Both vocabularies here cut a text before every run "white space, then something else", so encoding the
 pieces between such cuts and joining the ids gives what encoding the whole text gives. Invented or
@@ -13,12 +13,13 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterable
+from functools import lru_cache
 
 #: White space other than space and line feed, or what one of the two sides might take for it.
 _ODD_SPACE = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _TAIL = frozenset(".,;:!?")
-#: Pieces remembered by one task; the table starts afresh beyond it.
+#: Pieces remembered by one encoder; the table starts afresh beyond it.
 KNOWN_PIECES = 600_000
 
 
@@ -101,6 +102,12 @@ class PieceEncoder:
             gc.enable()
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, byte_level: bool) -> PieceEncoder:
+    """The encoder of this Python worker: its vocabulary and its known pieces live on from task to task."""
+    return PieceEncoder(path, byte_level)
+
+
 def vocabulary_size(path: str) -> int:
     from tokenizers import Tokenizer
 

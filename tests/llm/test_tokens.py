@@ -195,3 +195,15 @@ def test_rows_without_an_id_are_split(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "packed/shards")).count() > 1
     rows = read_packed(spark, str(tmp_path / "packed")).collect()
     assert len(rows) == 3000 and len({r.start for r in rows}) == 3000
+
+
+def test_an_encoder_lives_on_in_its_worker():
+    """The second task of a worker finds the vocabulary and the pieces of the first, and gives what a new encoder gives."""
+    from crawlframe.llm.tokens import worker_encoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["one two", "", "two\nthree  four", "one"]
+    first = worker_encoder(path, True)
+    got = first.encode(texts)
+    again = worker_encoder(path, True)
+    assert again is first and again.encode(texts) == got == PieceEncoder(path, True).encode(texts)
