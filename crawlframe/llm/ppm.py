@@ -57,6 +57,12 @@ def line_of(text: bytes) -> bytes:
     return b" ".join(words) + b" \n" if words else b"\n"
 
 
+def each_once(values: np.ndarray) -> np.ndarray:
+    """Each value once, ascending, by a sort: np.unique without counts goes by a hash table, which is several times slower here."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=~values[:1]) != 0]
+
+
 class Lines:
     """Some documents' lines: ``first`` is the first one's place in its batch."""
 
@@ -89,27 +95,27 @@ class Lines:
     def codes(self, order: int, stretch: int = _STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(document, code) of every byte: the byte and the ``order`` bytes before it as one number, some at a time."""
         pad = b" " * order
-        whole = np.frombuffer(b"".join([pad + x for x in self.lines]), np.uint8)
+        whole = b"".join([pad + x for x in self.lines])
         edges = np.concatenate([[0], np.cumsum(self.lengths + order)])
+        # eight bytes from every place on as one number, of which the first ones are the code
+        eight = np.ndarray((len(whole),), ">u8", whole + bytes(8), strides=(1,))
+        pads = (edges[:-1, None] + np.arange(order)).reshape(-1)
         for i in range(order, len(whole), stretch):
             j = min(i + stretch, len(whole))
-            code = np.zeros(j - i, U64)
-            for back in range(order, -1, -1):
-                code = (code << U64(8)) | whole[i - back : j - back]
+            code = eight[i - order : j - order].astype(U64)
+            code >>= U64(8 * (7 - order))
             a, b = np.searchsorted(edges, [i, j - 1], "right") - 1
-            own = np.repeat(np.arange(a, b + 1), np.diff(np.clip(edges[a : b + 2], i, j)))
-            inside = np.arange(i, j) - edges[own] >= order
-            yield own[inside], code[inside]
+            inside = np.ones(j - i, bool)
+            p, q = np.searchsorted(pads, [i, j])
+            inside[pads[p:q] - i] = False
+            starts, ends = edges[a : b + 1] + order, edges[a + 1 : b + 2]
+            own = np.repeat(np.arange(a, b + 1), np.clip(ends, i, j) - np.clip(starts, i, j))
+            yield own, code[inside]
 
     def keys(self, order: int) -> np.ndarray:
-        """All distinct codes, ascending. A table of codes seen lately keeps most repeats from the sort."""
-        lately, parts = np.full(1 << 20, ~U64(0)), []
-        for _, codes in self.codes(order):
-            slot = Lookup._slots(codes, 0, 20)
-            new = lately[slot] != codes
-            lately[slot[new]] = codes[new]
-            parts.append(np.unique(codes[new]))
-        return np.unique(np.concatenate(parts)) if parts else np.empty(0, U64)
+        """All distinct codes, ascending."""
+        parts = [each_once(codes) for _, codes in self.codes(order)]
+        return each_once(np.concatenate(parts)) if parts else np.empty(0, U64)
 
     def pack(self) -> bytes:
         import zstandard
@@ -279,7 +285,7 @@ def _counts(rows: DataFrame, order: int, chunk_bytes: int) -> DataFrame:
                 for doc, codes in lines.codes(order):
                     train = own[doc]
                     grams, n = np.unique(codes[train], return_counts=True)
-                    other = np.unique(codes[~train])
+                    other = each_once(codes[~train])
                     keys += [grams, other]
                     numbers += [n, np.zeros(len(other), np.int64)]
                 every, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -404,7 +410,7 @@ def _chunks(rows: DataFrame, shared, order: int, buckets: int, chunk_bytes: int)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for lines in Lines.cut(batch.column(2), chunk_bytes):
-                keys = np.concatenate([lines.keys(order), np.unique(lines.words().hashes() | _WORD)])
+                keys = np.concatenate([lines.keys(order), each_once(lines.words().hashes() | _WORD)])
                 bucket = shared.value.bucket_of(keys, buckets)
                 by = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
@@ -451,7 +457,7 @@ def score_documents(
             part = lines.words()
             hashes, per_doc = part.hashes() | _WORD, np.diff(part.first)
             del part
-            codes, words = lines.keys(order), np.unique(hashes)
+            codes, words = lines.keys(order), each_once(hashes)
             cost, count = np.zeros(len(codes), np.int64), np.zeros(len(words), np.int64)
             for keys, value, at, width in ((codes, cost, 0, 4), (words, count, 1, 8)):
                 bucket = shared.value.bucket_of(keys, buckets)

@@ -153,3 +153,18 @@ def test_nothing_to_learn_from(spark):
     assert rows[1].base_score == 0 and rows[1].n_known == 0 and rows[1].train_tokens == 0
     assert abs(rows[1].score - 5 * math.log10(1 / 256)) < 1e-5
     assert score_documents(docs.limit(0), F.lit(False)).count() == 0
+
+
+def test_codes_of_lines_by_hand():
+    """Every byte with the bytes before it, whatever the stretch; each distinct value once, also the greatest."""
+    from crawlframe.llm.ppm import Lines, each_once
+
+    rows = [b"ab a \n", b"\n", b"abc \n"]
+    for order in (0, 1, 5):
+        want = [(d, int.from_bytes((b" " * order + x)[i : i + order + 1], "big")) for d, x in enumerate(rows) for i in range(len(x))]
+        for stretch in (1, 4, 1 << 20):
+            got = [(int(d), int(c)) for own, codes in Lines(rows).codes(order, stretch) for d, c in zip(own, codes, strict=True)]
+            assert got == want
+        assert Lines(rows).keys(order).tolist() == sorted({c for _, c in want})
+    top = np.iinfo(np.uint64).max
+    assert each_once(np.array([top, 3, 0, top, 3], np.uint64)).tolist() == [0, 3, top] and len(each_once(np.empty(0, np.uint64))) == 0
